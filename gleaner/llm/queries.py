@@ -15,7 +15,14 @@ def op1_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
+def op10_hilbert_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .sharding import shard_documents
+
+    return shard_documents(table(spark, sf_dir, "documents"))
+
+
 QUERIES = {
     "op1_simhash_near_dedup": op1_simhash_near_dedup,
+    "op10_hilbert_sharding": op10_hilbert_sharding,
 }
 ORACLE_SQL: dict[str, str] = {}
