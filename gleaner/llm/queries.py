@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from . import chat, mixing
 from .common import table
 
 
@@ -21,8 +22,22 @@ def op10_hilbert_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return shard_documents(table(spark, sf_dir, "documents"))
 
 
+def op9_chat_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    turns = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    return chat.read_back(chat.windows(turns.unionByName(chat.control_conversation(turns))))
+
+
+def op6_poisson_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.mix(table(spark, sf_dir, "documents"))
+
+
 QUERIES = {
     "op1_simhash_near_dedup": op1_simhash_near_dedup,
+    "op6_poisson_mixing": op6_poisson_mixing,
+    "op9_chat_windows": op9_chat_windows,
     "op10_hilbert_sharding": op10_hilbert_sharding,
 }
-ORACLE_SQL: dict[str, str] = {}
+ORACLE_SQL = {
+    "op6_poisson_mixing": mixing.ORACLE_SQL,
+    "op9_chat_windows": chat.ORACLE_SQL,
+}
