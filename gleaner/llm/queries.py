@@ -27,12 +27,19 @@ def op9_chat_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat.read_back(chat.windows(turns.unionByName(chat.control_conversation(turns))))
 
 
+def op2_pu_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .toxicity import score_documents
+
+    return score_documents(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op6_poisson_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(table(spark, sf_dir, "documents"))
 
 
 QUERIES = {
     "op1_simhash_near_dedup": op1_simhash_near_dedup,
+    "op2_pu_toxicity": op2_pu_toxicity,
     "op6_poisson_mixing": op6_poisson_mixing,
     "op9_chat_windows": op9_chat_windows,
     "op10_hilbert_sharding": op10_hilbert_sharding,
