@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat, mixing
+from . import chat, mixing, topk
 from .common import table
 
 
@@ -33,6 +33,17 @@ def op2_pu_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return score_documents(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op4_exact_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = table(spark, sf_dir, "embeddings")
+    return topk.top_k(vectors, vectors.where("vec_id % 50 = 0"))
+
+
+def op5_weak_supervision_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .pii import find_spans, summarize
+
+    return summarize(find_spans(table(spark, sf_dir, "documents")))
+
+
 def op6_poisson_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(table(spark, sf_dir, "documents"))
 
@@ -40,11 +51,14 @@ def op6_poisson_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op1_simhash_near_dedup": op1_simhash_near_dedup,
     "op2_pu_toxicity": op2_pu_toxicity,
+    "op4_exact_top_k": op4_exact_top_k,
+    "op5_weak_supervision_pii": op5_weak_supervision_pii,
     "op6_poisson_mixing": op6_poisson_mixing,
     "op9_chat_windows": op9_chat_windows,
     "op10_hilbert_sharding": op10_hilbert_sharding,
 }
 ORACLE_SQL = {
+    "op4_exact_top_k": topk.ORACLE_SQL,
     "op6_poisson_mixing": mixing.ORACLE_SQL,
     "op9_chat_windows": chat.ORACLE_SQL,
 }
