@@ -22,6 +22,12 @@ def op10_hilbert_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return shard_documents(table(spark, sf_dir, "documents"))
 
 
+def op7_chunk_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .fingerprints import edited_likeness
+
+    return edited_likeness(table(spark, sf_dir, "documents"))
+
+
 def op9_chat_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
     turns = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
     return chat.read_back(chat.windows(turns.unionByName(chat.control_conversation(turns))))
@@ -33,6 +39,12 @@ def op2_pu_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return score_documents(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op3_bpe_chunk_reuse(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .bpe import encode_digests
+
+    return encode_digests(table(spark, sf_dir, "documents"))
+
+
 def op4_exact_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
     vectors = table(spark, sf_dir, "embeddings")
     return topk.top_k(vectors, vectors.where("vec_id % 50 = 0"))
@@ -51,9 +63,11 @@ def op6_poisson_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op1_simhash_near_dedup": op1_simhash_near_dedup,
     "op2_pu_toxicity": op2_pu_toxicity,
+    "op3_bpe_chunk_reuse": op3_bpe_chunk_reuse,
     "op4_exact_top_k": op4_exact_top_k,
     "op5_weak_supervision_pii": op5_weak_supervision_pii,
     "op6_poisson_mixing": op6_poisson_mixing,
+    "op7_chunk_fingerprints": op7_chunk_fingerprints,
     "op9_chat_windows": op9_chat_windows,
     "op10_hilbert_sharding": op10_hilbert_sharding,
 }
