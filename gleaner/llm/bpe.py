@@ -147,9 +147,11 @@ def _assemble_texts(path: str, full: bool):  # noqa: ANN202
 
 
 def _encoded_texts(docs: DataFrame, path: str, full: bool) -> DataFrame:
-    # All three uses of ``texts`` below read one exchange.
+    # All uses of ``texts`` below read one exchange; that no key is null is said here, as the
+    # filters that joins add for it would make their plans differ from the others.
     texts = (
         docs.select(text_key(F.col("text")).alias("key"), F.coalesce("text", F.lit("")).alias("text"))
+        .where("key is not null")
         .groupBy("key")
         .agg(F.first("text").alias("text"))
     )
