@@ -36,6 +36,17 @@ from .common import text_key
 SIZES = Sizes(512, 2048, 8192)
 _BLANK = re.compile(rb"[ \t\n\r]")
 _WORD = re.compile(r"[^ \t\n\r]+")
+_SIMPLE = re.compile(r"([A-Za-zÀ-ÖØ-öø-ÿ]*)([!-&(-/:-@\[-`{-~]*)")
+
+
+def _byte_symbols() -> dict[int, str]:
+    """The public byte-level alphabet: printable Latin-1 stands for itself, the rest from U+0100 on."""
+    own = {*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)}
+    rest = iter(range(0x100, 0x200))
+    return {b: chr(b if b in own else next(rest)) for b in range(256)}
+
+
+_BYTE_SYMBOLS = _byte_symbols()
 
 
 def default_tokenizer() -> str:
@@ -45,7 +56,13 @@ def default_tokenizer() -> str:
 
 
 class Encoder:
-    """A tokenizer file with a bounded table of the words it has encoded."""
+    """A tokenizer file with a bounded table of the words it has encoded.
+
+    Where the file lower-cases, splits off runs of letters and lets no match span white space, a
+    new word of Latin letters and closing marks is put together from the ids of these two
+    pieces, each taken from the model directly; any other word goes through the whole library
+    call. Words unused since the table was last renewed are forgotten.
+    """
 
     LIMIT = 300_000
 
@@ -55,23 +72,49 @@ class Encoder:
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.no_truncation()
         self.tokenizer.no_padding()
+        ids = lambda t: self.tokenizer.encode(t, add_special_tokens=False).ids
+        if ids("one two\nthree") != ids("one") + ids("two") + ids("three"):
+            raise ValueError("this tokenizer's tokens depend on white space; words can't be encoded apart")
         size = self.tokenizer.get_vocab_size(with_added_tokens=True)
         self.kind = np.uint16 if size <= 1 << 16 else np.uint32
         self.decimal = [str(i) for i in range(size)]
         self.token = [self.tokenizer.id_to_token(i) or "" for i in range(size)]
         self.words: dict[str, bytes] = {}
+        self.before: dict[str, bytes] = {}
+        self.pieces: dict[str, bytes] = {}
+        self.by_piece = all(ids(t) == self._model_ids(t.lower()) for t in ("Straße", "PRÉsent", "un", "zzqqÿ")) and ids(
+            "Ab.,!"
+        ) == ids("ab") + ids(".,!")
+
+    def _model_ids(self, piece: str) -> list[int]:
+        symbols = piece.encode().decode("latin-1").translate(_BYTE_SYMBOLS)
+        return [t.id for t in self.tokenizer.model.tokenize(symbols)]
+
+    def _piece(self, piece: str) -> bytes:
+        got = self.pieces.get(piece)
+        if got is None:
+            if len(self.pieces) > self.LIMIT:
+                self.pieces.clear()
+            self.pieces[piece] = got = np.array(self._model_ids(piece), self.kind).tobytes()
+        return got
+
+    def _word(self, word: str) -> bytes:
+        got = self.before.get(word)
+        if got is None:
+            simple = _SIMPLE.fullmatch(word) if self.by_piece else None
+            if simple:
+                got = b"".join(self._piece(p) for p in (simple[1].lower(), simple[2]) if p)
+            else:
+                got = np.array(self.tokenizer.encode(word, add_special_tokens=False).ids, self.kind).tobytes()
+        if len(self.words) >= self.LIMIT:
+            self.before, self.words = self.words, {}
+        self.words[word] = got
+        return got
 
     def encode(self, text: str) -> bytes:
         """Ids of the text, packed."""
-        found = _WORD.findall(text)
-        new = [w for w in dict.fromkeys(found) if w not in self.words]
-        if new:
-            if len(self.words) > self.LIMIT:
-                self.words.clear()
-                new = list(dict.fromkeys(found))
-            for word, got in zip(new, self.tokenizer.encode_batch(new, add_special_tokens=False), strict=True):
-                self.words[word] = np.array(got.ids, self.kind).tobytes()
-        return b"".join(map(self.words.__getitem__, found))
+        known = self.words.get
+        return b"".join([known(w) or self._word(w) for w in _WORD.findall(text)])
 
     def unpack(self, ids: bytes) -> list[int]:
         return np.frombuffer(ids, self.kind).tolist()
