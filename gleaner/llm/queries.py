@@ -60,7 +60,14 @@ def op6_poisson_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(table(spark, sf_dir, "documents"))
 
 
+def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from corpus_pipeline import run
+
+    return run(spark, sf_dir)
+
+
 QUERIES = {
+    "pipeline": pipeline,
     "op1_simhash_near_dedup": op1_simhash_near_dedup,
     "op2_pu_toxicity": op2_pu_toxicity,
     "op3_bpe_chunk_reuse": op3_bpe_chunk_reuse,

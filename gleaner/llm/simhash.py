@@ -135,4 +135,5 @@ def drop_near_duplicates(docs: DataFrame) -> DataFrame:
         near_duplicates(docs).where("doc_id = component_id").select(F.col("doc_id").alias("first_id")).distinct()
     )
     with_id = docs.where("doc_id is not null").join(first, F.col("doc_id") == F.col("first_id"), "left_semi")
+    # Rows that repeat an id, with whatever text, are merged after the same exchange.
     return with_id.dropDuplicates(["doc_id"]).unionByName(docs.where("doc_id is null"))
