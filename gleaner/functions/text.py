@@ -72,7 +72,7 @@ def verses(text: Column, lines: int = 3) -> Column:
     it reads the same as the last one (so a refrain at the end holds back the break). Text without
     sentences gives the instrumental marker.
     """
-    parts = F.filter(F.transform(F.split(F.coalesce(text, F.lit("")), r"[\n.!?|]+"), F.trim), lambda s: s != "")
+    parts = F.filter(F.transform(F.split(F.coalesce(text, F.lit("")), r"[\n.!?|]+"), lambda s: F.trim(s)), lambda s: s != "")
     last = F.element_at(parts, -1)
     laid = F.transform(
         parts, lambda s, i: F.when(((i + 1) % lines == 0) & (s != last), F.concat(s, F.lit("\n"))).otherwise(s)
