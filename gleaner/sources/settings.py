@@ -7,6 +7,7 @@ from dataclasses import dataclass, field
 from typing import Any
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql.types import StructType
 
 CATEGORY_SCHEMA = """id int, folder_slug string, native_name string, english_name string, family string,
     search_queries map<string, array<string>>, reference_concepts array<string>, allow_spoken_narration boolean"""
@@ -53,7 +54,7 @@ class Settings:
 
 def categories(spark: SparkSession, rows: Iterable[Mapping[str, Any]]) -> DataFrame:
     """The category dimension; slugs are unique and the named fields required."""
-    fields = [f.split()[0] for f in CATEGORY_SCHEMA.replace(", array<string>>", "").split(", ")]
+    fields = StructType.fromDDL(CATEGORY_SCHEMA).names
     rows = [dict(r) for r in rows]
     for r in rows:
         missing = [f for f in ("id", "folder_slug", "native_name", "english_name") if r.get(f) in (None, "")]
@@ -62,4 +63,4 @@ def categories(spark: SparkSession, rows: Iterable[Mapping[str, Any]]) -> DataFr
     slugs = [r["folder_slug"] for r in rows]
     if len(set(slugs)) != len(slugs):
         raise SettingsError("folder_slug must be unique")
-    return spark.createDataFrame([tuple(r.get(f) for f in map(str.strip, fields)) for r in rows], CATEGORY_SCHEMA)
+    return spark.createDataFrame([tuple(map(r.get, fields)) for r in rows], CATEGORY_SCHEMA)
