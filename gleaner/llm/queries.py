@@ -28,6 +28,12 @@ def op7_chunk_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return edited_likeness(table(spark, sf_dir, "documents"))
 
 
+def op8_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .suffixes import removal_digests
+
+    return removal_digests(table(spark, sf_dir, "documents"))
+
+
 def op9_chat_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
     turns = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
     return chat.read_back(chat.windows(turns.unionByName(chat.control_conversation(turns))))
@@ -75,6 +81,7 @@ QUERIES = {
     "op5_weak_supervision_pii": op5_weak_supervision_pii,
     "op6_poisson_mixing": op6_poisson_mixing,
     "op7_chunk_fingerprints": op7_chunk_fingerprints,
+    "op8_suffix_dedup": op8_suffix_dedup,
     "op9_chat_windows": op9_chat_windows,
     "op10_hilbert_sharding": op10_hilbert_sharding,
 }
