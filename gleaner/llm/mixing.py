@@ -37,30 +37,30 @@ def _hash52(*parts: Column) -> Column:
 
 
 def source_rates(docs: DataFrame, weights: dict[str | None, float] | None = None) -> DataFrame:
-    """(mix_source, parts, cdf) for each source; cdf is that of one part.
+    """(_mix_source, _mix_parts, _mix_cdf) for each source; the last is that of one part.
 
     ``weights`` None gives all sources of the table equal weights.
     """
-    counts = docs.groupBy(F.col("source").alias("mix_source")).agg(F.count("*").alias("n"))
+    counts = docs.groupBy(F.col("source").alias("_mix_source")).agg(F.count("*").alias("n"))
     if weights is None:
         weighted = counts.withColumn("w", F.lit(1.0))
     else:
         given = docs.sparkSession.createDataFrame(list(weights.items()), "s string, w double")
-        weighted = counts.join(given, F.col("mix_source").eqNullSafe(F.col("s")), "left").fillna({"w": 0.0}).drop("s")
+        weighted = counts.join(given, F.col("_mix_source").eqNullSafe(F.col("s")), "left").fillna({"w": 0.0}).drop("s")
     totals = weighted.agg(F.sum("n").alias("rows"), F.sum("w").alias("weight"))
     rated = weighted.join(F.broadcast(totals))  # one row
     rated = rated.withColumn("rate", F.col("rows") * F.try_divide("w", "weight") / F.col("n")).where("rate > 0")
     rated = rated.withColumn("parts", F.ceil(F.col("rate") / PART_MEAN).cast("int"))
     return rated.withColumn("mean", F.col("rate") / F.col("parts")).select(
-        "mix_source",
-        "parts",
+        "_mix_source",
+        F.col("parts").alias("_mix_parts"),
         F.expr(
             f"""array_distinct(aggregate(sequence(1, {_TERMS}),
                   named_struct('p', exp(-mean), 'cdf', array(exp(-mean))),
                   (s, k) -> named_struct('p', s.p * mean / k,
                                          'cdf', concat(s.cdf, array(element_at(s.cdf, -1) + s.p * mean / k))),
                   s -> s.cdf))"""
-        ).alias("cdf"),
+        ).alias("_mix_cdf"),
     )
 
 
@@ -68,21 +68,21 @@ def mix(docs: DataFrame, weights: dict[str | None, float] | None = None, seed: i
     """``docs`` replicated to the target weights and shuffled, with columns copy and shuffle_key."""
     rates = source_rates(docs, weights)
     rows = docs.drop("copy", "shuffle_key")
-    same = F.col("source").eqNullSafe(F.col("mix_source"))
+    same = F.col("source").eqNullSafe(F.col("_mix_source"))
     if rates.count() <= BROADCAST_SOURCES:
         joined = rows.join(F.broadcast(rates), same)
     else:
-        salted = rates.withColumn("mix_salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+        salted = rates.withColumn("_mix_salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
         own = F.pmod(F.xxhash64("doc_id"), F.lit(SALTS)).cast("int")
-        joined = rows.join(salted, same & (own == F.col("mix_salt"))).drop("mix_salt")
+        joined = rows.join(salted, same & (own == F.col("_mix_salt"))).drop("_mix_salt")
     doc = F.coalesce(F.col("doc_id").cast("string"), F.lit("null"))
     counted = joined.withColumn("_doc", doc).withColumn(
-        "_u", F.transform(F.sequence(F.lit(1), "parts"), lambda j: _hash52(F.col("_doc"), j.cast("string"), F.lit(str(seed))) / F.lit(float(1 << 52)))
+        "_u", F.transform(F.sequence(F.lit(1), "_mix_parts"), lambda j: _hash52(F.col("_doc"), j.cast("string"), F.lit(str(seed))) / F.lit(float(1 << 52)))
     )
-    times = F.expr("aggregate(_u, 0, (n, u) -> n + size(filter(cdf, c -> c <= u)))")
+    times = F.expr("aggregate(_u, 0, (n, u) -> n + size(filter(_mix_cdf, c -> c <= u)))")
     copies = counted.withColumn("_times", times).where("_times > 0").withColumn("copy", F.explode(F.sequence(F.lit(1), "_times")))
     keyed = copies.withColumn("shuffle_key", _hash52(F.col("_doc"), F.col("copy").cast("string"), F.lit(f"order {seed}")))
-    keyed = keyed.drop("mix_source", "parts", "cdf", "_doc", "_u", "_times")
+    keyed = keyed.drop("_mix_source", "_mix_parts", "_mix_cdf", "_doc", "_u", "_times")
     return keyed.repartitionByRange("shuffle_key").sortWithinPartitions("shuffle_key", "doc_id", "copy")
 
 

@@ -99,8 +99,8 @@ def hilbert_index(levels: list[str], bits: int = BITS) -> Column:
     )
 
 
-def assign_shards(df: DataFrame, dims: list[str], shards: int = SHARDS, bits: int = BITS) -> DataFrame:
-    """``df(doc_id, text_crc32, *dims, ...)`` with columns shard and slot.
+def assign_shards(df: DataFrame, dims: list[str], shards: int = SHARDS, bits: int = BITS, crc: str = "text_crc32") -> DataFrame:
+    """``df(doc_id, *dims, ...)`` with columns shard and slot; ``crc`` names the texts' CRC-32.
 
     ``dims`` names three dimensions (any number works). The input is read twice: once for the
     quantiles, once for the digests that are then written to the shared folder and ranked.
@@ -109,7 +109,7 @@ def assign_shards(df: DataFrame, dims: list[str], shards: int = SHARDS, bits: in
     cuts = quantile_cuts(df, dims, bits)
     levels = [f"_level{i}" for i in range(len(dims))]
     id_hash = F.pmod(F.xxhash64("doc_id"), F.lit(ID_BUCKETS))
-    text_hash = F.pmod(F.xxhash64("text_crc32"), F.lit(TEXT_BUCKETS))
+    text_hash = F.pmod(F.xxhash64(crc), F.lit(TEXT_BUCKETS))
     rows = materialize(
         df.withColumns({c: _level(_number(d, kinds[d]), cut) for c, d, cut in zip(levels, dims, cuts, strict=True)})
         .withColumn("_bucket", (text_hash * ID_BUCKETS + id_hash).cast("int"))
@@ -128,7 +128,7 @@ def assign_shards(df: DataFrame, dims: list[str], shards: int = SHARDS, bits: in
         .join(F.broadcast(cells), levels)  # at most 8**bits rows
         .select(*levels, "_bucket", "_total", (F.col("_cell_start") + F.col("_bucket_start")).alias("_start"))
     )
-    in_bucket = Window.partitionBy(*levels, "_bucket").orderBy("text_crc32", "doc_id")
+    in_bucket = Window.partitionBy(*levels, "_bucket").orderBy(crc, "doc_id")
     ranked = (
         rows.withColumn("_nth", F.row_number().over(in_bucket))
         .join(starts, [*levels, "_bucket"])
@@ -169,12 +169,12 @@ def shard_documents(docs: DataFrame, shards: int = SHARDS) -> DataFrame:
 def write_shards(docs: DataFrame, path: str, shards: int = SHARDS) -> None:
     """Write the documents themselves as one directory a shard, each in slot order."""
     text = F.coalesce(F.col("text"), F.lit(""))
-    own = docs.withColumns({"text_crc32": F.crc32(text.cast("binary")), "chars": F.length(text)})
-    placed = assign_shards(own, ["chars", "source", "lang"], shards)
+    own = docs.drop("shard", "slot").withColumns({"_crc": F.crc32(text.cast("binary")), "_chars": F.length(text)})
+    placed = assign_shards(own, ["_chars", "source", "lang"], shards, crc="_crc")
     (
         placed.repartitionByRange("shard", "slot")
         .sortWithinPartitions("shard", "slot")
-        .drop("text_crc32", "chars")
+        .drop("_crc", "_chars")
         .write.partitionBy("shard")
         .parquet(path)
     )

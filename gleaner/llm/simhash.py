@@ -132,8 +132,8 @@ def near_duplicates(docs: DataFrame, hot_cell: int = HOT_CELL) -> DataFrame:
 def drop_near_duplicates(docs: DataFrame) -> DataFrame:
     """The rows of ``docs`` that are first (smallest id) in their group; rows without an id stay."""
     first = (
-        near_duplicates(docs).where("doc_id = component_id").select(F.col("doc_id").alias("first_id")).distinct()
+        near_duplicates(docs).where("doc_id = component_id").select(F.col("doc_id").alias("_first_id")).distinct()
     )
-    with_id = docs.where("doc_id is not null").join(first, F.col("doc_id") == F.col("first_id"), "left_semi")
+    with_id = docs.where("doc_id is not null").join(first, F.col("doc_id") == F.col("_first_id"), "left_semi")
     # Rows that repeat an id, with whatever text, are merged after the same exchange.
     return with_id.dropDuplicates(["doc_id"]).unionByName(docs.where("doc_id is null"))

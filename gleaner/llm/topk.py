@@ -19,7 +19,8 @@ and shuffles only short lists.
 Defined cases: vectors that are null, empty or hold null or non-finite components take no part;
 only candidates of the query's length are compared; rows that repeat a query's id are the
 query's own and no candidates of it; repeated candidate rows each count; repeated query rows
-are answered once; null ids are candidates of nobody; fewer than k candidates give fewer rows.
+are answered once; null ids are candidates of nobody; fewer than k candidates give fewer rows;
+scores must fit a 64-bit integer, or the job fails rather than return a wrong one.
 """
 
 from __future__ import annotations
