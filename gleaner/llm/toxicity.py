@@ -39,7 +39,7 @@ from pyspark.sql.types import DoubleType
 
 FOLDS, HELD_OUT_FOLD = 3, 1
 THRESHOLD = 0.7
-MAX_POSITIVE, MAX_UNLABELLED, MAX_CHARS = 3000, 6000, 20_000
+MAX_POSITIVE, MAX_UNLABELLED, MAX_CHARS = 2000, 4000, 20_000
 HASH_BITS = 20
 PREFIXES = (4, 5, 6)
 SMOOTHING = 20
@@ -91,7 +91,7 @@ def _sampled_features(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]
 
 def _screened(ids: list[np.ndarray], values: list[np.ndarray], positive: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """The features that part positives from the rest best, and the dense matrix of them."""
-    doc = np.repeat(np.arange(len(ids)), [len(i) for i in ids])
+    doc = np.repeat(np.arange(len(ids), dtype=np.int32), [len(i) for i in ids])
     flat, val = np.concatenate(ids), np.concatenate(values).astype(np.float64)
     size = 1 << HASH_BITS
     in_pos = positive[doc]
