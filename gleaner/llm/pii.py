@@ -20,6 +20,7 @@ carried, other columns are ignored by ``find_spans`` and kept by ``redact``.
 from __future__ import annotations
 
 import re
+from bisect import bisect_right
 from collections import Counter
 from collections.abc import Iterator
 from hashlib import sha256
@@ -110,8 +111,16 @@ def candidates(text: str) -> tuple[list[Span], list[Span]]:
         bad += [("email", *m.span()) for m in _NEAR_EMAIL.finditer(text)]
     if "-" in text:
         bad += [("phone", *m.span()) for m in _NEAR_PHONE.finditer(text)]
-    taken = sorted(good, key=lambda s: s[1])
-    free = [s for s in bad if not any(g[0] == s[0] and g[1] < s[2] and s[1] < g[2] for g in taken)] if bad else []
+    if not bad:
+        return good, []
+    ends = {k: [s[2] for s in good if s[0] == k] for k in KINDS}
+    starts = {k: [s[1] for s in good if s[0] == k] for k in KINDS}
+    free = []
+    for s in bad:
+        # Base spans of a kind are in order and disjoint: the first to end behind the start decides.
+        i = bisect_right(ends[s[0]], s[1])
+        if i == len(ends[s[0]]) or starts[s[0]][i] >= s[2]:
+            free.append(s)
     return good, sorted(free, key=lambda s: (KINDS.index(s[0]), s[1], s[2]))
 
 

@@ -130,10 +130,13 @@ def near_duplicates(docs: DataFrame, hot_cell: int = HOT_CELL) -> DataFrame:
 
 
 def drop_near_duplicates(docs: DataFrame) -> DataFrame:
-    """The rows of ``docs`` that are first (smallest id) in their group; rows without an id stay."""
-    first = (
-        near_duplicates(docs).where("doc_id = component_id").select(F.col("doc_id").alias("_first_id")).distinct()
-    )
-    with_id = docs.where("doc_id is not null").join(first, F.col("doc_id") == F.col("_first_id"), "left_semi")
-    # Rows that repeat an id, with whatever text, are merged after the same exchange.
-    return with_id.dropDuplicates(["doc_id"]).unionByName(docs.where("doc_id is null"))
+    """The rows of ``docs`` that are first (smallest id) in their group; rows without an id stay.
+
+    Rows that share an id are one document: of those, the one whose text has the least MD5 stays.
+    """
+    first = near_duplicates(docs).where("doc_id = component_id").select("doc_id").distinct()
+    with_id = docs.where("doc_id is not null").join(first, "doc_id", "left_semi")
+    one = F.min_by(F.struct(*(F.col(f"`{c}`") for c in docs.columns)), F.md5(F.coalesce("text", F.lit("")).cast("binary")))
+    # The aggregate reads the exchange that the join made.
+    kept = with_id.groupBy("doc_id").agg(one.alias("row")).select("row.*")
+    return kept.unionByName(docs.where("doc_id is null"))

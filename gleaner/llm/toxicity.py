@@ -220,4 +220,4 @@ def score_documents(docs: DataFrame, labels: DataFrame) -> DataFrame:
 def drop_toxic(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """The rows of ``docs`` whose score is below the threshold."""
     model = train(docs, labels)
-    return docs.withColumn("_score", score_column("text", model)).where(F.col("_score") < THRESHOLD).drop("_score")
+    return docs.where(score_column("text", model) < THRESHOLD)

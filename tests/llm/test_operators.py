@@ -93,6 +93,9 @@ def test_drop_near_duplicates(spark, docs):
     expected = plain_components({i: simhash.fingerprint_of(t) & (2**64 - 1) for i, t in enumerate(TEXTS)})
     assert sorted(kept) == sorted(set(expected.values()))
     assert simhash.drop_near_duplicates(table(spark, ["a", "a"], [None, None])).count() == 2
+    again = simhash.drop_near_duplicates(table(spark, ["first text", "another text", "a third text"], [4, 4, 9]))
+    least = min(["first text", "another text"], key=lambda t: hashlib.md5(t.encode()).hexdigest())
+    assert [(r["doc_id"], r["text"]) for r in again.orderBy("doc_id").collect()] == [(4, least), (9, "a third text")]
 
 
 # 2 toxicity
@@ -196,6 +199,11 @@ def test_pii_base_spans():
     for _ in range(8000):
         text = "".join(rng.choice("a1@.-+ 9()x%é_255") for _ in range(rng.randint(0, 30)))
         assert pii.base_spans(text) == plain_base(text)
+    for _ in range(4000):
+        text = "".join(rng.choice(["4111 1111 1111 1111", "4111 1111 1111 1112", " +1 234 555 1234", "+1", " 555-123-4567", "a@b.c", "a (at) b.com", "1.2.3.4", "1.2.3.400", " "]) for _ in range(rng.randint(1, 9)))
+        good, more = pii.candidates(text)
+        assert not any(g[0] == s[0] and g[1] < s[2] and s[1] < g[2] for g in good for s in more)
+    pii.candidates("4111 1111 1111 1111, 4111 1111 1111 1112, " * 30_000)
     for long in ("a" * 300_000, "1" * 300_000, "1." * 100_000, "a@" * 100_000, "+1" * 100_000):
         pii.base_spans(long)
     assert pii.luhn("4111111111111111") and not pii.luhn("4111111111111112")
