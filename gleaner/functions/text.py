@@ -65,19 +65,84 @@ def object_uri(*segments: Column) -> Column:
     return F.concat_ws("/", *(F.nullif(s, F.lit("")) for s in segments))
 
 
+_EDGES = r"(?U)^[\s\x1c-\x1f]+|[\s\x1c-\x1f]+$"
+
+
+def strip(text: Column) -> Column:
+    """White space of any kind taken off both ends."""
+    return F.regexp_replace(text, _EDGES, "")
+
+
+def sentences(text: Column) -> Column:
+    """Stripped pieces between line breaks and ``. ! ? |``, empty ones dropped."""
+    return F.filter(F.transform(F.split(text, r"[\n.!?|]+"), strip), lambda s: s != "")
+
+
 def verses(text: Column, lines: int = 3) -> Column:
-    """Sentences laid out in verses.
+    """Sentences laid out in numbered verses.
 
-    Sentences end at line breaks and ``. ! ? |``. A blank line follows every third sentence, unless
-    it reads the same as the last one (so a refrain at the end holds back the break). Text without
-    sentences gives the instrumental marker.
+    A verse ends after ``lines`` sentences, but not at a sentence that reads the same as the
+    last one: a refrain holds the break back to the next sentence that may have it. A text of
+    separators alone is one line; a null or blank one gives the instrumental marker.
     """
-    parts = F.filter(F.transform(F.split(F.coalesce(text, F.lit("")), r"[\n.!?|]+"), lambda s: F.trim(s)), lambda s: s != "")
+    whole = strip(F.coalesce(text, F.lit("")))
+    found = sentences(whole)
+    parts = F.when(F.size(found) > 0, found).otherwise(F.array(whole))
     last = F.element_at(parts, -1)
-    laid = F.transform(
-        parts, lambda s, i: F.when(((i + 1) % lines == 0) & (s != last), F.concat(s, F.lit("\n"))).otherwise(s)
-    )
-    return F.when(F.size(parts) == 0, F.lit("[instrumental]")).otherwise(F.array_join(laid, "\n"))
+
+    def lay(state: Column, s: Column) -> Column:
+        ends = (state["held"] + 1 >= lines) & (s != last)
+        following = F.concat(F.lit("[Verse "), (state["verse"] + 1).cast("string"), F.lit("]"))
+        return F.struct(
+            F.concat(state["out"], F.when(ends, F.array(s, F.lit(""), following)).otherwise(F.array(s))).alias("out"),
+            F.when(ends, 0).otherwise(state["held"] + 1).alias("held"),
+            F.when(ends, state["verse"] + 1).otherwise(state["verse"]).alias("verse"),
+        )
+
+    start = F.struct(F.array(F.lit("[Verse 1]")).alias("out"), F.lit(0).alias("held"), F.lit(1).alias("verse"))
+    laid = F.array_join(F.aggregate(parts, start, lay, lambda state: state["out"]), "\n")
+    return F.when(whole == "", F.lit("[Verse 1]\n[Instrumental / No Speech Detected]")).otherwise(laid)
+
+
+def lyrics_file(title: Column, artist: Column, slug: Column, source: Column, text: Column) -> Column:
+    """Five header lines, a blank one, then the verses. Labels and fallbacks are fixed values."""
+    known = lambda c, fallback: F.coalesce(F.nullif(c, F.lit("")), F.lit(fallback))
+    head = [
+        F.concat(F.lit("Title: "), known(title, "Tamil Folk Song")),
+        F.concat(F.lit("Artist: "), known(artist, "Unknown Artist")),
+        F.lit("Language: Tamil"),
+        F.concat(F.lit("Source: "), known(source, "YouTube")),
+        F.concat(F.lit("Category: "), F.coalesce(slug, F.lit(""))),
+        F.lit(""),
+    ]
+    return F.concat_ws("\n", *head, verses(text))
+
+
+def endpoint(url: Column, path: str = "/api/transcribe") -> Column:
+    """A service address with its path: added unless the address ends in it or in its last part."""
+    clean = strip(F.coalesce(url, F.lit("")))
+    named = clean.endswith(path) | clean.endswith("/" + path.rsplit("/", 1)[-1])
+    return F.when((clean == "") | named, clean).otherwise(F.concat(F.regexp_replace(clean, "/+$", ""), F.lit(path)))
+
+
+def response_text(body: Column) -> Column:
+    """The transcript in a JSON answer: the first of text, transcript and result that is not empty.
+
+    A list of strings or of segments with a ``text`` is joined without separators; what is no
+    JSON object gives the empty string.
+    """
+    answer = F.try_parse_json(body)
+
+    def field(name: str) -> Column:
+        listed = F.try_variant_get(answer, f"$.{name}", "array<variant>")
+        segments = F.transform(
+            listed, lambda x: F.coalesce(F.try_variant_get(x, "$.text", "string"), F.try_variant_get(x, "$", "string"), F.lit(""))
+        )
+        plain = F.try_variant_get(answer, f"$.{name}", "string")
+        filled = F.when(F.size(listed) > 0, F.array_join(segments, ""))
+        return F.when(listed.isNotNull(), filled).otherwise(F.nullif(plain, F.lit("")))
+
+    return strip(F.coalesce(*map(field, ("text", "transcript", "result")), F.lit("")))
 
 
 def _lcs(a: str, b: str) -> int:

@@ -8,7 +8,8 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
+from pyspark.sql import functions as F
 
 FRAME, HOP = 2048, 512  # fixed values
 METRICS = """duration double, peak double, rms double, silence double, clipping double, snr double,
@@ -116,3 +117,52 @@ def split_series(frames: DataFrame, key: str, order: str, value: str, per_second
         return pd.DataFrame([(k[0], i, a, b) for i, (a, b) in enumerate(pieces)], columns=[key, "piece", "start_s", "end_s"])
 
     return frames.groupBy(key).applyInPandas(run, f"{key} {dict(frames.dtypes)[key]}, piece int, start_s double, end_s double")
+
+
+MAX_PARTS = 5
+
+
+def part_candidates(candidates: DataFrame, pieces: DataFrame, max_parts: int = MAX_PARTS) -> DataFrame:
+    """Candidates of the parts: ``pieces(recording_id, piece, start_s, end_s)``, piece from 0.
+
+    A recording of one piece stays as it is. Parts get ids, titles and lengths of their own;
+    those beyond ``max_parts`` are left out, as the feature asks.
+    """
+    whole = Window.partitionBy("recording_id")
+    cut = pieces.withColumn("_pieces", F.count("*").over(whole)).where("_pieces > 1 and piece < " + str(int(max_parts)))
+    number = F.col("piece") + 1
+    named = candidates.join(cut.drop("_pieces"), "recording_id", "left")
+    return named.select(
+        *(F.col(c) for c in candidates.columns if c not in ("recording_id", "title", "duration_sec")),
+        F.col("recording_id").alias("parent_id"),
+        F.when(number.isNull(), F.col("recording_id")).otherwise(F.format_string("%s_p%02d", "recording_id", number)).alias("recording_id"),
+        F.when(number.isNull(), F.col("title")).otherwise(F.format_string("%s (Part %d)", "title", number)).alias("title"),
+        F.when(number.isNull(), F.col("duration_sec")).otherwise(F.round(F.col("end_s") - F.col("start_s"), 2)).alias("duration_sec"),
+        "start_s",
+        "end_s",
+    )
+
+
+def encode_wav(y: np.ndarray, rate: int) -> bytes:
+    """A mono 16-bit PCM file of samples in [-1, 1]."""
+    out = io.BytesIO()
+    with wave.open(out, "wb") as f:
+        f.setnchannels(1)
+        f.setsampwidth(2)
+        f.setframerate(rate)
+        f.writeframes((np.clip(y, -1, 32767 / 32768) * 32768).round().astype("<i2").tobytes())
+    return out.getvalue()
+
+
+def cut_files(parts: DataFrame) -> DataFrame:
+    """(recording_id, content) for ``parts(recording_id, content, start_s, end_s)``: one file a part."""
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            rows = []
+            for name, content, start, end in zip(batch["recording_id"], batch["content"], batch["start_s"], batch["end_s"], strict=True):
+                y, rate, _ = decode_wav(content)
+                rows.append((name, encode_wav(y[round(start * rate) : round(end * rate)], rate)))
+            yield pd.DataFrame(rows, columns=["recording_id", "content"])
+
+    return parts.select("recording_id", "content", "start_s", "end_s").mapInPandas(run, "recording_id string, content binary")

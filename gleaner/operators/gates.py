@@ -93,6 +93,43 @@ def quality_composite(parts: Mapping[str, tuple[Column, float]]) -> Column:
     return F.round(total, 4)
 
 
+# Weights of the sub-scores, and the ends of their ranges.
+QUALITY_WEIGHTS = {"silence": 0.18, "clipping": 0.14, "snr": 0.18, "noise": 0.12, "range": 0.12, "dropout": 0.10, "band": 0.10, "loudness": 0.06}
+QUALITY_LIMITS = {
+    "min_duration": 10.0, "max_duration": 300.0, "silence": 0.45, "clipping": 0.05, "dynamic_range": 4.0, "snr": 5.0, "noise_floor": -25.0,
+    "dropout": 0.10, "rolloff": 3000.0, "sample_rate": 16000, "min_lufs": -45.0, "max_lufs": -4.0,
+}
+FULL_SNR, FULL_RANGE, NOISE_SPAN, FULL_BAND = 30.0, 40.0, 30.0, 8000.0
+UNKNOWN_LOUDNESS, OFF_LOUDNESS = 0.7, 0.4
+
+
+def quality_score(m: Mapping[str, Column], limits: Mapping[str, float] = QUALITY_LIMITS) -> Column:
+    """Composite of eight sub-scores over ``metrics`` columns and ``lufs``, which may be null."""
+    least = lambda x: max(x, 1e-10)
+    room = lambda metric: 1 - m[metric] / least(limits[metric])
+    in_range = m["lufs"].between(limits["min_lufs"], limits["max_lufs"])
+    loudness = F.when(m["lufs"].isNull(), UNKNOWN_LOUDNESS).when(in_range, 1.0).otherwise(OFF_LOUDNESS)
+    scores = {
+        "silence": room("silence"),
+        "clipping": room("clipping"),
+        "snr": (m["snr"] - limits["snr"]) / least(FULL_SNR - limits["snr"]),
+        "noise": (limits["noise_floor"] - m["noise_floor"]) / NOISE_SPAN,
+        "range": (m["dynamic_range"] - limits["dynamic_range"]) / least(FULL_RANGE - limits["dynamic_range"]),
+        "dropout": room("dropout"),
+        "band": m["rolloff"] / FULL_BAND,
+        "loudness": loudness,
+    }
+    return quality_composite({k: (v, QUALITY_WEIGHTS[k]) for k, v in scores.items()})
+
+
+def parent_decisions(parts: DataFrame, parent: str) -> DataFrame:
+    """A split recording is accepted if any of its parts is, else rejected, without a code."""
+    return parts.groupBy(parent).agg(
+        F.when(F.bool_or(F.col("decision") == ACCEPT), ACCEPT).otherwise(REJECT).alias("decision"),
+        F.lit(None).cast("string").alias("rejection_code"),
+    )
+
+
 def override_code(excess: Sequence[tuple[Column, str]]) -> Column:
     """Code of the metric furthest over its limit, in raw units; the first listed wins ties."""
     return F.coalesce(worst_of(excess), F.lit("SEVERE_DISTORTION"))

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from ..functions import scoring, text
 from ..operators import audio, dedupe, discovery, gates
+from ..sources import settings, storage
 from ..sources.runlog import last_by_key
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -334,13 +335,115 @@ def exact_copy_dedupe(spark, d):
     return t(spark, d, "documents").groupBy(digest.alias("digest")).agg(F.min("doc_id").alias("doc_id"), F.count("*").alias("copies"))
 
 
-@query(r"""with p as (select conv_id, turn, list_filter(list_transform(regexp_split_to_array(text, '[\n.!?|]+'), lambda s: trim(s, ' ')), lambda s: s <> '') as p from conversations)
-  select conv_id, turn, case when len(p) = 0 then '[instrumental]' else array_to_string(list_transform(p, lambda s, i:
-    case when i % 3 = 0 and s <> p[len(p)] then s || chr(10) else s end), chr(10)) end as verses from p""")
+_VERSES = r"""(select conv_id, turn, role, whole, case when whole = '' then '[Verse 1]' || chr(10) || '[Instrumental / No Speech Detected]' else
+  list_reduce(list_transform(p, lambda s: {'out': s, 'held': 0, 'verse': 0}), lambda a, x: {
+    'out': a.out || chr(10) || x.out || case when a.held >= 2 and x.out <> p[len(p)] then chr(10) || chr(10) || '[Verse ' || (a.verse + 1) || ']' else '' end,
+    'held': case when a.held >= 2 and x.out <> p[len(p)] then 0 else a.held + 1 end,
+    'verse': case when a.held >= 2 and x.out <> p[len(p)] then a.verse + 1 else a.verse end}, {'out': '[Verse 1]', 'held': 0, 'verse': 1}).out end as verses
+  from (select *, case when len(f) = 0 then [whole] else f end as p from (select *, list_filter(list_transform(
+    regexp_split_to_array(whole, '[\n.!?|]+'), lambda s: trim(s, E' \t\n\r')), lambda s: s <> '') as f
+    from (select conv_id, turn, role, trim(coalesce(text, ''), E' \t\n\r') as whole from conversations))))"""
+
+
+@query("select conv_id, turn, verses from " + _VERSES)
 def verse_layout(spark, d):
     return t(spark, d, "conversations").select("conv_id", "turn", text.verses(F.col("text")).alias("verses"))
 
 
+@query("""select conv_id, turn, 'Title: ' || case when turn % 3 = 0 then 'Tamil Folk Song' else 'turn ' || turn end || chr(10) || 'Artist: ' || coalesce(nullif(role, ''), 'Unknown Artist')
+  || chr(10) || 'Language: Tamil' || chr(10) || 'Source: YouTube' || chr(10) || 'Category: c' || conv_id || chr(10) || chr(10) || verses as content from """ + _VERSES)
+def lyrics_file(spark, d):
+    title = F.when(F.col("turn") % 3 == 0, "").otherwise(F.concat(F.lit("turn "), "turn"))
+    made = text.lyrics_file(title, F.col("role"), F.concat(F.lit("c"), "conv_id"), F.lit(None).cast("string"), F.col("text"))
+    return t(spark, d, "conversations").select("conv_id", "turn", made.alias("content"))
+
+
+@query("""select event_id, case event_id % 5 when 0 then 'a ' || event_type when 1 then event_type || 'two' when 2 then event_type || '!' else '' end as transcript from events""")
+def response_text(spark, d):
+    """Answers in four shapes, and one that is no JSON."""
+    kind, n = F.col("event_type"), F.col("event_id") % 5
+    body = (
+        F.when(n == 0, F.format_string('{"text": " a %s "}', kind))
+        .when(n == 1, F.format_string('{"text": "", "transcript": ["%s", "two"]}', kind))
+        .when(n == 2, F.format_string('{"text": [], "result": [{"text": "%s", "start": 1}, {"text": "!"}]}', kind))
+        .when(n == 3, F.lit('{"other": 1}'))
+        .otherwise("no json {")
+    )
+    return t(spark, d, "events").select("event_id", text.response_text(body).alias("transcript"))
+
+
+@query("""select page_id, case when page_id % 3 = 0 then url || '/transcribe' else rtrim(url, '/') || '/api/transcribe' end as address from pages""")
+def endpoint_address(spark, d):
+    given = F.when(F.col("page_id") % 3 == 0, F.concat("url", F.lit("/transcribe"))).otherwise(F.concat(F.lit(" "), "url", F.lit("//")))
+    return t(spark, d, "pages").select("page_id", text.endpoint(given).alias("address"))
+
+
+_FILES = """(select 'store/out/' || case when doc_id % 4 = 0 then 'review/' else '' end || source || '/' || doc_id || case when k = 0 then '.wav' else '.txt' end as path,
+  n_chars % 60 as length from documents, (values (0), (1)) v(k) where k = 0 or doc_id % 3 > 0)"""
+
+
+def _files(spark: SparkSession, d: str) -> DataFrame:
+    """A listing of an audio file for each document, and of a text for two in three."""
+    review = F.col("doc_id") % 4 == 0
+    place = lambda ext: storage.output_path(F.lit("store"), F.lit("out"), F.col("source"), F.col("doc_id").cast("string"), ext, review)
+    paths = F.array_compact(F.array(place("wav"), F.when(F.col("doc_id") % 3 > 0, place("txt"))))
+    return t(spark, d, "documents").select(F.explode(paths).alias("path"), (F.col("n_chars") % 60).alias("length"))
+
+
+@query(f"""select category, count(*) filter (wav and not review) as accepted, count(*) filter (not wav and not review) as texts, count(*) filter (wav and review) as review
+  from (select regexp_extract(path, '^store/out/(review/)?([^/]+)/', 2) as category, path like '%.wav' as wav, path like '%/review/%' as review from {_FILES}) group by 1""")
+def category_counts(spark, d):
+    return storage.category_counts(_files(spark, d), "store/out/")
+
+
+@query(f"""with f as {_FILES} select path, length from f where path like '%.wav' and
+  replace(path, '.wav', '.txt') not in (select path from f where path like '%.txt' and length > 20)""")
+def missing_transcripts(spark, d):
+    return storage.missing_transcripts(_files(spark, d))
+
+
+@query("""select doc_id as recording_id, source as category_slug, case when doc_id % 4 = 0 then 'REVIEW' else 'ACCEPT' end as decision from documents
+  where doc_id % 4 = 0 or doc_id % 3 > 0""")
+def stored_outputs(spark, d):
+    decision = F.when(F.col("doc_id") % 4 == 0, "REVIEW").otherwise("ACCEPT")
+    decided = t(spark, d, "documents").select(F.col("doc_id").alias("recording_id"), F.col("source").alias("category_slug"), decision.alias("decision"))
+    return storage.stored(decided, _files(spark, d), "store", "out")
+
+
+@query("""select count(*) as total, count(*) filter (value < 20) as done, count(*) filter (value >= 20 and event_id % 2 = 0) as transcribed,
+  greatest(0, count(*) filter (value >= 20 and event_id % 2 <> 0)) as remaining from events""")
+def backfill_totals(spark, d):
+    return storage.backfill_totals(t(spark, d, "events").select((F.col("value") < 20).alias("done"), (F.col("event_id") % 2 == 0).alias("success")))
+
+
+@query(f"select user_id, case when bool_or(decision = 'ACCEPT') then 'ACCEPT' else 'REJECT' end as decision, null::varchar as rejection_code from {_RUN} group by 1")
+def parent_decisions(spark, d):
+    return gates.parent_decisions(_run(spark, d), "user_id")
+
+
+_SUB = "least(1, greatest(0, {})) * {}"
+
+
+@query("select l_orderkey, l_linenumber, round(" + " + ".join(_SUB.format(x, w) for x, w in [
+    ("1 - l_discount * 4 / 0.45", 0.18), ("1 - l_tax / 0.05", 0.14), ("(l_quantity - 5) / 25", 0.18), ("(-25 + l_quantity) / 30", 0.12),
+    ("(l_quantity - 4) / 36", 0.12), ("1 - l_discount / 0.1", 0.10), ("l_extendedprice / 8000", 0.10)])
+    + " + case when l_linenumber = 1 then 0.7 when -l_quantity between -45 and -4 then 1 else 0.4 end * 0.06, 4) + 0.0 as score from lineitem")
+def quality_score(spark, d):
+    c = F.col
+    m = {"silence": c("l_discount") * 4, "clipping": c("l_tax"), "snr": c("l_quantity"), "noise_floor": -c("l_quantity"), "dynamic_range": c("l_quantity"),
+         "dropout": c("l_discount"), "rolloff": c("l_extendedprice"), "lufs": F.when(c("l_linenumber") > 1, -c("l_quantity"))}
+    return t(spark, d, "lineitem").select("l_orderkey", "l_linenumber", (gates.quality_score(m) + 0.0).alias("score"))
+
+
+@query("""with g as (select p_partkey, [upper(p_name), p_name || '/' || p_type || ',' || p_name] || string_split(replace(p_name || '/' || p_type || ',' || p_name, '/', ','), ',') || [p_brand, ' ' || lower(p_brand)] as g from part),
+  k as (select p_partkey, list_filter(list_transform(g, lambda x: trim(x)), lambda x: x <> '') as k from g)
+  select p_partkey, array_to_string(list_filter(k, lambda x, i: list_position(list_transform(k, lambda y: lower(y)), lower(x)) = i), '|') as keywords from k""")
+def category_keywords(spark, d):
+    english = F.concat("p_name", F.lit("/"), "p_type", F.lit(","), "p_name")
+    found = settings.keywords(F.upper("p_name"), english, F.array("p_brand", F.concat(F.lit(" "), F.lower("p_brand"))))
+    return t(spark, d, "part").select("p_partkey", F.array_join(found, "|").alias("keywords"))
+
+
 @query("select conv_id, string_agg(text, ' ' order by turn) as transcript from conversations group by 1")
 def transcript_join(spark, d):
     parts = F.sort_array(F.collect_list(F.struct("turn", "text")))

@@ -6,7 +6,8 @@ from collections.abc import Iterable, Mapping
 from dataclasses import dataclass, field
 from typing import Any
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 CATEGORY_SCHEMA = """id int, folder_slug string, native_name string, english_name string, family string,
@@ -64,3 +65,24 @@ def categories(spark: SparkSession, rows: Iterable[Mapping[str, Any]]) -> DataFr
     if len(set(slugs)) != len(slugs):
         raise SettingsError("folder_slug must be unique")
     return spark.createDataFrame([tuple(map(r.get, fields)) for r in rows], CATEGORY_SCHEMA)
+
+
+VARIANTS = ("tamil", "english", "tanglish", "qualified")  # fixed values: query variants in their order
+
+
+def all_queries(search_queries: Column) -> Column:
+    """The queries of all variants in order, as one array."""
+    return F.concat(*(F.coalesce(F.try_element_at(search_queries, F.lit(v)), F.array().cast("array<string>")) for v in VARIANTS))
+
+
+def keywords(native: Column, english: Column, native_queries: Column) -> Column:
+    """Names, parts of the English name between ``/`` and ``,``, and native queries; each once, in any case."""
+    given = F.concat(F.array(native, english), F.split(english, "[/,]"), F.coalesce(native_queries, F.array().cast("array<string>")))
+    terms = F.filter(F.transform(given, lambda x: F.trim(x)), lambda x: x.isNotNull() & (x != ""))
+    lowered = F.transform(terms, lambda x: F.lower(x))
+    return F.filter(terms, lambda x, i: F.array_position(lowered, F.lower(x)) == i + 1)
+
+
+def unknown_slugs(candidates: DataFrame, known: DataFrame) -> DataFrame:
+    """Candidates whose category is not in the dimension."""
+    return candidates.join(known, candidates["category_slug"] == known["folder_slug"], "left_anti")

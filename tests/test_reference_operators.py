@@ -10,8 +10,8 @@ from pyspark.sql import functions as F
 from gleaner.functions import scoring, text
 from gleaner.operators import audio, dedupe, discovery, gates
 from gleaner.plans import queries
-from gleaner.sources import retry, runlog, search
-from gleaner.sources.settings import Settings, SettingsError, categories
+from gleaner.sources import retry, runlog, search, storage
+from gleaner.sources.settings import Settings, SettingsError, all_queries, categories, keywords, unknown_slugs
 from gleaner.streaming import runlog as stream
 
 SF = "/root/testdata/sf0.001"
@@ -145,7 +145,7 @@ def test_discovery_stops_after_empty_rounds(spark):
 def test_text_functions(spark):
     df = spark.createDataFrame([("A. B! C? D|", "Official THE song  x", "https://y.example/watch?v=abcdefghijk&t=1"), ("...", "", "abc"), ("la. x. la. la", None, "")], "v string, m string, u string")
     got = df.select(text.verses(F.col("v")), text.strip_markers(F.col("m"), ["official", "the"]), text.media_id(F.col("u"))).collect()
-    assert [r[0] for r in got] == ["A\nB\nC\n\nD", "[instrumental]", "la\nx\nla\nla"]
+    assert [r[0] for r in got] == ["[Verse 1]\nA\nB\nC\n\n[Verse 2]\nD", "[Verse 1]\n...", "[Verse 1]\nla\nx\nla\nla"]
     assert [r[1] for r in got] == ["song x", "", None]
     assert [r[2] for r in got] == ["abcdefghijk", "abc", ""]
     assert text.ratio("abc", "abd") == pytest.approx(66.667, abs=0.01)
@@ -251,3 +251,62 @@ def test_streaming_counts(spark, tmp_path):
 
 def keyed_count(spark):
     return spark.read.parquet(f"{SF}/events.parquet").select("user_id").distinct().count()
+
+
+def test_verse_break_waits_behind_a_refrain(spark):
+    df = spark.createDataFrame([("a. b. R. c. d. e. R",), (" \n\u00a0",), (None,)], "v string")
+    got = [r[0] for r in df.select(text.verses(F.col("v"))).collect()]
+    assert got[0] == "[Verse 1]\na\nb\nR\nc\n\n[Verse 2]\nd\ne\nR"
+    assert got[1] == got[2] == "[Verse 1]\n[Instrumental / No Speech Detected]"
+
+
+def test_responses_and_endpoints(spark):
+    bodies = ['{"text": " x "}', '{"text": null, "transcript": "y"}', '{"result": ["a", {"text": "b"}]}', "[1]", "broken", None]
+    df = spark.createDataFrame([(b,) for b in bodies], "b string")
+    assert [r[0] for r in df.select(text.response_text(F.col("b"))).collect()] == ["x", "y", "ab", "", "", ""]
+    df = spark.createDataFrame([(u,) for u in ("h/", "h/api/transcribe", "h/transcribe", " ", None)], "u string")
+    assert [r[0] for r in df.select(text.endpoint(F.col("u"))).collect()] == ["h/api/transcribe", "h/api/transcribe", "h/transcribe", "", ""]
+
+
+def test_storage_round_trip(spark, tmp_path):
+    decided = spark.createDataFrame([("a", "s1", "ACCEPT"), ("b", "s1", "REVIEW"), ("c", "s2", "ACCEPT")], "recording_id string, category_slug string, decision string")
+    placed = storage.with_paths(decided, str(tmp_path / "store"), "tn")
+    assert {r["recording_id"]: r["text_path"] is None for r in placed.collect()} == {"a": False, "b": True, "c": False}
+    sound = placed.select(F.col("audio_path").alias("path"), F.lit(b"wave").alias("content"))
+    words = placed.where("recording_id = 'a'").select(F.col("text_path").alias("path"), F.lit(b"w" * 30).alias("content"))
+    for _ in range(2):
+        storage.write_files(sound.unionByName(words))
+    listing = storage.list_files(spark, str(tmp_path / "store")).withColumn("path", F.regexp_replace("path", "^file:/+", "/"))
+    assert listing.count() == 4 and storage.audio_files(spark, str(tmp_path / "store")).count() == 3
+    missing = storage.missing_transcripts(listing)
+    assert {os.path.basename(r["path"]) for r in missing.collect()} == {"b.wav", "c.wav"}
+    assert storage.missing_transcripts(listing, force=True).count() == 3
+    assert {r["recording_id"] for r in storage.stored(decided, listing, str(tmp_path / "store"), "tn").collect()} == {"a"}
+    assert rows(storage.category_counts(listing, str(tmp_path / "store" / "tn"))) == [("s1", 2, 1, 0), ("s2", 1, 0, 0)]
+    storage.write_manifest(placed.withColumn("state", F.lit("tn")), str(tmp_path / "manifest"))
+    assert spark.read.parquet(str(tmp_path / "manifest")).where("category_slug = 's1'").count() == 2
+    refused = storage.with_paths(spark.createDataFrame([("d", "s1", "REJECT")], decided.schema), "r", "tn")
+    with pytest.raises(Exception, match="not stored: d"):
+        refused.collect()
+
+
+def test_parts_of_long_recordings(spark):
+    rate = 8000
+    y = np.sin(np.arange(rate * 4) / 9) * 0.5
+    pieces = spark.createDataFrame([("a", 0, 0.0, 1.5), ("a", 1, 1.5, 4.0), ("b", 0, 0.0, 4.0)], "recording_id string, piece int, start_s double, end_s double")
+    given = spark.createDataFrame([("a", "T", 4.0, "u"), ("b", "B", 4.0, "v"), ("c", "C", 1.0, "w")], "recording_id string, title string, duration_sec double, url string")
+    parts = audio.part_candidates(given, pieces)
+    got = rows(parts.select("recording_id", "parent_id", "title", "duration_sec"))
+    assert got == [("a_p01", "a", "T (Part 1)", 1.5), ("a_p02", "a", "T (Part 2)", 2.5), ("b", "b", "B", 4.0), ("c", "c", "C", 1.0)]
+    cut = audio.cut_files(parts.where("start_s is not null").withColumn("content", F.lit(audio.encode_wav(y, rate))))
+    lengths = {r["recording_id"]: len(audio.decode_wav(bytes(r["content"]))[0]) for r in cut.collect()}
+    assert lengths == {"a_p01": rate * 3 // 2, "a_p02": rate * 5 // 2}
+
+
+def test_category_terms(spark):
+    row = {"id": 1, "folder_slug": "s", "native_name": "N", "english_name": "Oosal / Oonjal song, oosal", "search_queries": {"tamil": ["q1", "n"], "english": ["q2"]}}
+    known = categories(spark, [row])
+    got = known.select(keywords(F.col("native_name"), F.col("english_name"), F.col("search_queries")["tamil"]).alias("k"), all_queries(F.col("search_queries")).alias("q")).first()
+    assert got["k"] == ["N", "Oosal / Oonjal song, oosal", "Oosal", "Oonjal song", "q1"] and got["q"] == ["q1", "n", "q2"]
+    candidates = spark.createDataFrame([("a", "s"), ("b", "x")], "recording_id string, category_slug string")
+    assert [r[0] for r in unknown_slugs(candidates, known).select("recording_id").collect()] == ["b"]
