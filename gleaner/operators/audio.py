@@ -13,7 +13,11 @@ from pyspark.sql import functions as F
 
 FRAME, HOP = 2048, 512  # fixed values
 METRICS = """duration double, peak double, rms double, silence double, clipping double, snr double,
-    noise_floor double, dynamic_range double, dropout double, rolloff double, sample_rate int, channels int"""
+    noise_floor double, dynamic_range double, dropout double, rolloff double, sample_rate int, channels int, lufs double"""
+# The K-weighting filters (gain in dB, quality, corner frequency), gate and block lengths.
+SHELF, HIGH_PASS = (4.0, 2**-0.5, 1500.0), (0.0, 0.5, 38.0)
+BLOCK_SECONDS, BLOCK_STEP, ABSOLUTE_GATE, RELATIVE_GATE, LUFS_OFFSET = 0.4, 0.25, -70.0, -10.0, -0.691
+LEAST_LUFS_SECONDS = 0.5
 
 
 def decode_wav(content: bytes) -> tuple[np.ndarray, int, int]:
@@ -47,11 +51,44 @@ def dropout_ratio(db: np.ndarray) -> float:
     return hits / len(db)
 
 
+def _k_weighting(rate: int, n: int) -> np.ndarray:
+    """Frequency response of both filters at the bins of a real transform of n samples."""
+    z = np.exp(-2j * np.pi * np.arange(n // 2 + 1) / n)
+    gain, quality, corner = SHELF
+    a, w = 10 ** (gain / 40), 2 * np.pi * corner / rate
+    c, edge = np.cos(w), np.sqrt(a) * np.sin(w) / quality
+    shelf = a * ((a + 1) + (a - 1) * c + edge - 2 * ((a - 1) + (a + 1) * c) * z + ((a + 1) + (a - 1) * c - edge) * z**2)
+    shelf /= (a + 1) - (a - 1) * c + edge + 2 * ((a - 1) - (a + 1) * c) * z + ((a + 1) - (a - 1) * c - edge) * z**2
+    _, quality, corner = HIGH_PASS
+    w = 2 * np.pi * corner / rate
+    c, alpha = np.cos(w), np.sin(w) / (2 * quality)
+    return shelf * (1 + c) / 2 * (1 - z) ** 2 / (1 + alpha - 2 * c * z + (1 - alpha) * z**2)
+
+
+def loudness(y: np.ndarray, rate: int) -> float | None:
+    """Integrated loudness of a mono signal by gated blocks; null if too short or silent."""
+    seconds = len(y) / rate
+    if seconds < LEAST_LUFS_SECONDS:
+        return None
+    n = 1 << (len(y) + rate - 1).bit_length()  # a second of zeros at least, for the filters to die away
+    heard = np.fft.irfft(np.fft.rfft(y, n) * _k_weighting(rate, n), n)[: len(y)]
+    energy = np.concatenate([[0.0], np.cumsum(heard**2)])
+    at = BLOCK_SECONDS * BLOCK_STEP * np.arange(round((seconds - BLOCK_SECONDS) / (BLOCK_SECONDS * BLOCK_STEP)) + 1)
+    first, end = ((x * rate).astype(int).clip(0, len(y)) for x in (at, at + BLOCK_SECONDS))
+    power = np.maximum(energy[end] - energy[first], 0) / (BLOCK_SECONDS * rate)
+    level = lambda p: LUFS_OFFSET + 10 * np.log10(np.maximum(p, 1e-30))
+    loud = power[level(power) >= ABSOLUTE_GATE]
+    if len(loud):
+        loud = loud[level(loud) > level(loud.mean()) + RELATIVE_GATE]
+    return float(level(loud.mean())) if len(loud) else None
+
+
 def metrics(y: np.ndarray, rate: int, channels: int) -> tuple:
     rms = frame_rms(y)
     db = _db(rms)
     whole = float(np.sqrt(np.mean(y**2)))
     p5, p95 = np.percentile(db, 5), np.percentile(db, 95)
+    lufs = loudness(y, rate)
     rolls = []
     window = np.hanning(FRAME)
     for start in range(0, max(1, len(y) - FRAME + 1), HOP * 4):
@@ -63,6 +100,7 @@ def metrics(y: np.ndarray, rate: int, channels: int) -> tuple:
         round(len(y) / rate, 2), round(float(np.abs(y).max()), 4), round(whole, 6), round(float(np.mean(db < -55)), 4),
         round(float(np.mean(np.abs(y) >= 0.99)), 5), round(float(_db(whole) - p5), 2), round(float(p5), 2),
         round(float(p95 - p5), 2), round(dropout_ratio(db), 4), round(float(np.median(rolls)) if rolls else 0.0, 1), rate, channels,
+        None if lufs is None else round(lufs, 2),
     )
 
 
@@ -79,7 +117,7 @@ def measure(files: DataFrame) -> DataFrame:
                         raise ValueError("no frames")
                     rows.append((path, *metrics(y, rate, n), None))
                 except (wave.Error, EOFError, ValueError) as e:
-                    rows.append((path, *[None] * 12, str(e) or type(e).__name__))
+                    rows.append((path, *[None] * len(METRICS.split(',')), str(e) or type(e).__name__))
             yield pd.DataFrame(rows, columns=["path", *(f.split()[0] for f in METRICS.split(",")), "error"])
 
     return files.select("path", "content").mapInPandas(run, f"path string, {METRICS}, error string")

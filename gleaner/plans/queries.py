@@ -11,6 +11,7 @@ from ..functions import scoring, text
 from ..operators import audio, dedupe, discovery, gates
 from ..sources import settings, storage
 from ..sources.runlog import last_by_key
+from ..streaming import runlog as stream
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE_SQL: dict[str, str] = {}
@@ -514,3 +515,10 @@ def chunk_assign(spark, d):
 def category_cube(spark, d):
     nation = F.broadcast(t(spark, d, "nation"))  # 25 rows: the category dimension has a fixed size
     return t(spark, d, "customer").join(nation, F.col("c_nationkey") == F.col("n_nationkey")).cube("c_mktsegment", "n_name").agg(F.count("*").alias("n"))
+
+
+@query(f"""select strftime(date_trunc('hour', ts), '%Y-%m-%d %H:%M:%S') as hour, decision, count(*) as n from {_RUN} group by 1, 2""")
+def windowed_decisions(spark, d):
+    """The streaming counts over a table that is read as a batch."""
+    counted = stream.decision_counts(_run(spark, d))
+    return counted.select(F.date_format("start", "yyyy-MM-dd HH:mm:ss").alias("hour"), "decision", F.col("count").alias("n"))

@@ -226,6 +226,35 @@ def test_audio_metrics(spark):
     assert got["sine"]["rms"] == pytest.approx(0.3535, abs=1e-3) and got["sine"]["duration"] == 2
     assert got["square"]["clipping"] > 0.9 and got["gap"]["dropout"] > got["sine"]["dropout"] == 0
     assert got["empty"]["error"] and got["junk"]["error"]
+    assert got["silence"]["lufs"] is None and -11 < got["sine"]["lufs"] < -9
+
+
+def test_loudness():
+    rate = 48000
+    tone = np.sin(2 * np.pi * 997 * np.arange(rate * 5) / rate)
+    assert audio.loudness(tone, rate) == pytest.approx(-3.0, abs=0.2)
+    assert audio.loudness(tone, rate) - audio.loudness(tone / 10, rate) == pytest.approx(20, abs=1e-6)
+    quiet_half = np.concatenate([tone, tone * 1e-3])
+    assert audio.loudness(quiet_half, rate) == pytest.approx(audio.loudness(tone, rate), abs=0.3)
+    assert audio.loudness(tone[: rate // 4], rate) is None and audio.loudness(np.zeros(rate), rate) is None
+    # The same filters as a plain recursion over samples.
+    x, out = tone[:3000], []
+    a, c, s = 10 ** (4 / 40), np.cos(2 * np.pi * 1500 / rate), np.sin(2 * np.pi * 1500 / rate) / 2**0.5 * a_root(4)
+    shelf = ([a * (a + 1 + (a - 1) * c + 2 * s), -2 * a * (a - 1 + (a + 1) * c), a * (a + 1 + (a - 1) * c - 2 * s)], [a + 1 - (a - 1) * c + 2 * s, 2 * (a - 1 - (a + 1) * c), a + 1 - (a - 1) * c - 2 * s])
+    c, al = np.cos(2 * np.pi * 38 / rate), np.sin(2 * np.pi * 38 / rate)
+    passed = ([(1 + c) / 2, -1 - c, (1 + c) / 2], [1 + al, -2 * c, 1 - al])
+    for b, d in (shelf, passed):
+        out = []
+        for n in range(len(x)):
+            past = sum(b[k] * x[n - k] - (d[k] * out[n - k] if k else 0) for k in range(3) if n >= k)
+            out.append(past / d[0])
+        x = np.array(out)
+    n = 1 << 17
+    assert np.fft.irfft(np.fft.rfft(tone[:3000], n) * audio._k_weighting(rate, n), n)[:3000] == pytest.approx(x, abs=1e-6)
+
+
+def a_root(gain):
+    return np.sqrt(10 ** (gain / 40))
 
 
 def test_split_points():
