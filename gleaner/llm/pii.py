@@ -42,6 +42,7 @@ _DOMAIN = re.compile(r"[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+")
 _IP = re.compile(r"(?<![0-9])[0-9]++(?:\.[0-9]++){3}")
 _CARD = re.compile(r"[0-9](?:[\x20-]?[0-9])+")
 _PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
+_DIGIT = re.compile(r"[0-9]")
 _NEAR_PHONE = re.compile(r"(?<![\w+])(?:\([0-9]{3}\)|[0-9]{3})[ .-][0-9]{3}[ .-][0-9]{4}(?!\w)")
 _NEAR_EMAIL = re.compile(
     r"(?<![\w.+-])[A-Za-z0-9._+-]{1,64} ?[\[(] ?at ?[\])] ?[A-Za-z0-9-]{1,63} ?(?:\.|[\[(] ?dot ?[\])]) ?[A-Za-z]{2,10}(?!\w)", re.IGNORECASE
@@ -107,9 +108,10 @@ def base_spans(text: str | None) -> list[Span]:
 def candidates(text: str) -> tuple[list[Span], list[Span]]:
     """Base spans, and near misses that overlap no base span of their kind."""
     good, bad = _matches(text)
-    if "at)" in text or "at]" in text:
+    # Every match of the patterns holds what is looked for here.
+    if "(" in text or "[" in text:
         bad += [("email", *m.span()) for m in _NEAR_EMAIL.finditer(text)]
-    if "-" in text:
+    if _DIGIT.search(text):
         bad += [("phone", *m.span()) for m in _NEAR_PHONE.finditer(text)]
     if not bad:
         return good, []

@@ -222,6 +222,15 @@ def test_pii_query(spark, docs):
     assert masked[len(TEXTS) - 1]["n_chars"] == 37 and masked[0]["text"] == TEXTS[0]
 
 
+@pytest.mark.parametrize(
+    "text", ["call 555.123.4567 now", "(555) 123 4567", "jane (AT) host.com", "jane [ at ] host [ dot ] com", "jane [At] host (DOT) com"]
+)
+def test_pii_near_misses_stand_alone(text):
+    kind = "phone" if "555" in text else "email"
+    assert [s[0] for s in pii.candidates(text)[1]] == [kind]
+    assert pii.candidates(text + " -at)")[1] == pii.candidates(text)[1]
+
+
 def test_pii_reliabilities():
     votes = np.array([[1, 1, 1, 0, 1], [-1, -1, -1, -1, -1], [-1, 1, 1, 0, 1]])
     true = pii.reliabilities(votes, np.array([100.0, 100.0, 1.0]))
