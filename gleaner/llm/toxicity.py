@@ -14,7 +14,8 @@ its own share of the unlabelled sample, are averaged.
 
 The learning sample is bounded: at most ``MAX_POSITIVE`` positives and ``MAX_UNLABELLED``
 unlabelled documents, those smallest by a hash of the id, of at most ``MAX_CHARS`` code points
-each; it is what reaches the driver, as hashed counts. All texts are scored whole.
+each. Features are screened in Spark; what reaches the driver is the sample's
+columns of at most ``MAX_FEATURES`` features. All texts are scored whole.
 
 Defined cases: a null or empty text, or one without words, scores by the intercept alone; rows
 with a null id are never learned from and count as held out; a document labelled twice is
@@ -37,15 +38,18 @@ from pyspark.sql import functions as F
 from pyspark.sql.functions import pandas_udf
 from pyspark.sql.types import DoubleType
 
+from .common import materialize
+
 FOLDS, HELD_OUT_FOLD = 3, 1
 THRESHOLD = 0.7
-MAX_POSITIVE, MAX_UNLABELLED, MAX_CHARS = 2000, 4000, 20_000
+MAX_POSITIVE, MAX_UNLABELLED, MAX_CHARS = 3000, 6000, 20_000
 HASH_BITS = 20
 PREFIXES = (4, 5, 6)
 SMOOTHING = 20
 MAX_FEATURES = 300
 MIN_SHARE, MIN_Z = 0.03, 3.0
 ENSEMBLE = 3
+_UNIT = 1 << 40
 _WORD = re.compile(r"\w+")
 
 
@@ -89,28 +93,47 @@ def _sampled_features(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]
         yield pd.DataFrame(rows, columns=["doc_id", "positive", "ids", "values"])
 
 
-def _screened(ids: list[np.ndarray], values: list[np.ndarray], positive: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """The features that part positives from the rest best, and the dense matrix of them."""
-    doc = np.repeat(np.arange(len(ids), dtype=np.int32), [len(i) for i in ids])
-    flat, val = np.concatenate(ids), np.concatenate(values).astype(np.float64)
-    size = 1 << HASH_BITS
-    in_pos = positive[doc]
-    n_pos, n_unl = max(1, positive.sum()), max(1, (~positive).sum())
-    mean, noise = [], []
-    for mine, n in ((in_pos, n_pos), (~in_pos, n_unl)):
-        mean.append(np.bincount(flat[mine], val[mine], size) / n)
-        noise.append((np.bincount(flat[mine], val[mine] ** 2, size) / n - mean[-1] ** 2) / n)
-    z = (mean[0] - mean[1]) / np.sqrt(noise[0] + noise[1] + 1e-12)
-    common = np.bincount(flat[in_pos], minlength=size) >= max(2, MIN_SHARE * n_pos)
-    strength = np.where(common & (z > MIN_Z), z, 0)
-    keep = np.argsort(-strength, kind="stable")[:MAX_FEATURES]
-    keep = keep[strength[keep] > 0]
-    column = np.full(size, -1)
-    column[keep] = np.arange(len(keep))
-    dense = np.zeros((len(ids), len(keep)), np.float32)
-    known = column[flat] >= 0
-    np.add.at(dense, (doc[known], column[flat[known]]), val[known])
-    return keep, dense
+def _feature_sums(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """Documents, values and squares summed by feature and class, in units that add up alike in any order."""
+    for batch in batches:
+        for positive, rows in batch.groupby("positive"):
+            flat = np.concatenate([np.frombuffer(b, np.int32) for b in rows["ids"]])
+            val = np.concatenate([np.frombuffer(b, np.float32) for b in rows["values"]]).astype(np.float64)
+            names, place = np.unique(flat, return_inverse=True)
+            total, square = np.zeros(len(names), np.int64), np.zeros(len(names), np.int64)
+            np.add.at(total, place, np.rint(val * _UNIT).astype(np.int64))
+            np.add.at(square, place, np.rint(val**2 * _UNIT).astype(np.int64))
+            yield pd.DataFrame({"feature": names, "positive": positive, "docs": np.bincount(place, minlength=len(names)), "total": total, "square": square})
+
+
+def _screened(sample: DataFrame, n_pos: int, n_unl: int) -> np.ndarray:
+    """The features that part positives from the rest best; at most ``MAX_FEATURES`` reach the driver."""
+    parts = sample.mapInPandas(_feature_sums, "feature int, positive boolean, docs long, total long, square long")
+    of = lambda c, mark: F.coalesce(F.sum(F.when(F.col("positive") == mark, F.col(c))), F.lit(0))
+    sums = parts.groupBy("feature").agg(*(of(c, m).alias(f"{c}_{m}") for c in ("docs", "total", "square") for m in (True, False)))
+    mean = {m: F.col(f"total_{m}") / (_UNIT * n) for m, n in ((True, n_pos), (False, n_unl))}
+    noise = [(F.col(f"square_{m}") / (_UNIT * n) - mean[m] * mean[m]) / n for m, n in ((True, n_pos), (False, n_unl))]
+    z = (mean[True] - mean[False]) / F.sqrt(noise[0] + noise[1] + 1e-12)
+    common = F.col("docs_True") >= max(2, MIN_SHARE * n_pos)
+    best = sums.where(common).select("feature", z.alias("z")).where(F.col("z") > MIN_Z).orderBy(F.desc("z"), "feature")
+    return np.array([r["feature"] for r in best.limit(MAX_FEATURES).collect()], np.int64)
+
+
+def _columns(sample: DataFrame, keep: np.ndarray) -> pd.DataFrame:
+    """(doc_id, positive, row): the kept features of each document of the sample."""
+
+    def dense(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        column = np.full(1 << HASH_BITS, -1)
+        column[keep] = np.arange(len(keep))
+        for batch in batches:
+            rows = []
+            for ids, values in zip(batch["ids"], batch["values"], strict=True):
+                row, at = np.zeros(len(keep), np.float32), column[np.frombuffer(ids, np.int32)]
+                row[at[at >= 0]] = np.frombuffer(values, np.float32)[at >= 0]
+                rows.append(row.tobytes())
+            yield pd.DataFrame({"doc_id": batch["doc_id"], "positive": batch["positive"], "row": rows})
+
+    return sample.mapInPandas(dense, "doc_id long, positive boolean, row binary").toPandas()
 
 
 def _nnpu(pos: np.ndarray, unl: np.ndarray, prior: float, steps: int = 300, rate: float = 0.03, decay: float = 1e-3) -> tuple[np.ndarray, float]:
@@ -136,9 +159,8 @@ def _nnpu(pos: np.ndarray, unl: np.ndarray, prior: float, steps: int = 300, rate
     return w[:-1], float(w[-1])
 
 
-def fit(ids: list[np.ndarray], values: list[np.ndarray], positive: np.ndarray, prior: float) -> Model:
-    """Screen the features, then average ``ENSEMBLE`` classifiers."""
-    keep, dense = _screened(ids, values, positive)
+def fit(keep: np.ndarray, dense: np.ndarray, positive: np.ndarray, prior: float) -> Model:
+    """The average of ``ENSEMBLE`` classifiers over the screened features."""
     scale = np.sqrt((dense.astype(np.float64) ** 2).mean(axis=0)) + 1e-6
     dense = (dense / scale).astype(np.float32)
     pos, unl = dense[positive], dense[~positive]
@@ -163,13 +185,14 @@ def train(docs: DataFrame, labels: DataFrame) -> Model:
     chosen = positive.unionByName(unlabelled)  # at most MAX_POSITIVE + MAX_UNLABELLED ids
     sample = short.select("doc_id", "text").join(F.broadcast(chosen), "doc_id")
     kind = "doc_id long, positive boolean, ids binary, values binary"
-    got = sample.mapInPandas(_sampled_features, kind).toPandas().sort_values(["positive", "doc_id"], kind="stable")
-    marks = got["positive"].to_numpy(bool)
-    if not prior or not marks.any():
+    sample = materialize(sample.mapInPandas(_sampled_features, kind))
+    n = {r["positive"]: r["count"] for r in sample.groupBy("positive").count().collect()}
+    if not prior or not n.get(True):
         return Model({}, None)
-    ids_ = [np.frombuffer(b, np.int32) for b in got["ids"]]
-    values = [np.frombuffer(b, np.float32) for b in got["values"]]
-    return fit(ids_, values, marks, min(0.95, prior))
+    keep = _screened(sample, n[True], max(1, n.get(False, 0)))
+    got = _columns(sample, keep).sort_values(["positive", "doc_id"], kind="stable")
+    dense = np.frombuffer(b"".join(got["row"]), np.float32).reshape(len(got), len(keep))
+    return fit(keep, dense, got["positive"].to_numpy(bool), min(0.95, prior))
 
 
 class _WordScores(dict):

@@ -123,6 +123,10 @@ def test_toxicity_held_out(spark):
     assert none.agg(F.max("score")).first()[0] == 0
 
 
+def test_toxicity_sample_size():
+    assert (toxicity.MAX_POSITIVE, toxicity.MAX_UNLABELLED) == (3000, 6000)
+
+
 # 3 BPE
 
 
