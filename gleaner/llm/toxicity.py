@@ -14,12 +14,13 @@ its own share of the unlabelled sample, are averaged.
 
 The learning sample is bounded: at most ``MAX_POSITIVE`` positives and ``MAX_UNLABELLED``
 unlabelled documents, those smallest by a hash of the id, of at most ``MAX_CHARS`` code points
-each. Features are screened in Spark; what reaches the driver is the sample's
+each, one row an id. Features are screened in Spark; what reaches the driver is the sample's
 columns of at most ``MAX_FEATURES`` features. All texts are scored whole.
 
 Defined cases: a null or empty text, or one without words, scores by the intercept alone; rows
 with a null id are never learned from and count as held out; a document labelled twice is
-toxic if any of its labels is; without a single positive every score is 0; repeated rows
+toxic if any of its labels is; of rows that share an id the one whose text has the least MD5 is learned
+from; without a single positive every score is 0; repeated rows
 are scored alike; other columns are ignored.
 """
 
@@ -183,7 +184,9 @@ def train(docs: DataFrame, labels: DataFrame) -> Model:
     ).withColumn("positive", F.lit(True))
     unlabelled = ids.orderBy(by_hash).limit(MAX_UNLABELLED).withColumn("positive", F.lit(False))
     chosen = positive.unionByName(unlabelled)  # at most MAX_POSITIVE + MAX_UNLABELLED ids
-    sample = short.select("doc_id", "text").join(F.broadcast(chosen), "doc_id")
+    # Of rows that share an id, the one whose text has the least MD5.
+    sample = short.select("doc_id", "text").join(F.broadcast(chosen), "doc_id").groupBy("doc_id", "positive")
+    sample = sample.agg(F.min_by("text", F.md5(F.col("text").cast("binary"))).alias("text"))
     kind = "doc_id long, positive boolean, ids binary, values binary"
     sample = materialize(sample.mapInPandas(_sampled_features, kind))
     n = {r["positive"]: r["count"] for r in sample.groupBy("positive").count().collect()}

@@ -127,6 +127,16 @@ def test_toxicity_sample_size():
     assert (toxicity.MAX_POSITIVE, toxicity.MAX_UNLABELLED) == (3000, 6000)
 
 
+def test_toxicity_learns_from_one_row_of_an_id(spark, monkeypatch):
+    texts = [f"{'vile' if i % 4 == 0 else 'mild'} {prose(20)}" for i in range(200)]
+    ids = [i for i in range(2000) if crc32(str(i).encode()) % 3 != 1][:200]
+    labels = spark.createDataFrame([(d, int(i % 4 == 0)) for i, d in enumerate(ids)], "doc_id long, toxic int")
+    rows = []
+    monkeypatch.setattr(toxicity, "fit", lambda keep, dense, positive, prior: rows.append((len(dense), positive.sum())) or toxicity.Model({}, None))
+    toxicity.train(table(spark, [*texts, *([texts[0] + " again"] * 300)], [*ids, *([ids[0]] * 300)]), labels)
+    assert rows == [(250, 50)]
+
+
 # 3 BPE
 
 
