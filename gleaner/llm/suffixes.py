@@ -11,20 +11,24 @@ repeats is ever built:
    bytes are all that its strings cover. An interval whose anchor hash occurs once in the corpus
    holds no repeat. Those that occur again byte for byte are repeats as a whole; counts of
    (anchor hash, digest of the bytes and of the place of the anchor in them) settle them.
-2. Groups. Intervals that share an anchor hash but not their bytes meet in groups: the
-   distinct ones of each hash, with their bytes. Suffixes of a group can only be equal over LENGTH
-   bytes if they start equally far from the anchor. They are sorted by that distance, then by
-   multikey quicksort on eight-byte keys to the depth ``SHALLOW``; whatever is alone by then is
-   no repeat. What remains has long common prefixes and goes into blind tries: a trie node
-   keeps only the place where its suffixes part, and a suffix is compared in full just
-   once, with the one it is led to. The common prefix with its neighbours decides. A prefix
-   that is longer than LENGTH by n settles the next n starts as well, which are not sorted.
-   Groups of more than ``HOT_GROUP`` intervals (the edges of a passage that very many documents
-   share) are spread by the digest of each string instead and counted, so no task holds one.
+2. Groups. What remains are intervals that share an anchor hash but not their bytes. Strings are
+   compared with those that start equally far from their anchor only. The starts of an interval
+   are cut into bins of ``BIN`` neighbouring distances; all strings of a bin share a core, and
+   bins that occur with one core only hold no repeat. Bins that share a core form a group, in
+   which the core, alike in all, is left out: a string of LENGTH bytes is then as good as the
+   ``BIN - 1`` bytes around the core. Within a group the suffixes of each distance are
+   ordered by multikey quicksort (ternary partition on keys of eight bytes) to the depth
+   ``SHALLOW``; whatever is alone by then is no repeat. What remains has long common prefixes and
+   is ordered by blind tries: a trie node keeps only the place where its suffixes part, and a
+   suffix is compared in full just once, with the one it is led to. The common prefix with its
+   neighbours in the order decides. One that is longer by n settles the next n starts too.
+   A task holds the rows of one group, ``GROUP_ROWS`` at most; the bins of a larger group are
+   cut into finer ones, with a longer core each, until they fit or have one start, where all
+   members are equal.
 3. The intervals are joined to their documents by content key and cut out. Texts move twice,
    each time with copies merged before the exchange.
 
-Digests have 128 bits and a fixed seed; nothing else is decided by hash. Defined cases: a null text is empty; a text
+Digests have 128 bits: equal intervals, cores and texts are told by them, nothing else is. Defined cases: a null text is empty; a text
 shorter than LENGTH keeps all bytes; copies of a text of LENGTH bytes or more lose everything;
 matches never cross documents; repeated rows are documents of their own (and so copies of each
 other); null ids are carried; other columns are ignored.
@@ -38,16 +42,19 @@ from hashlib import sha256
 import numpy as np
 import pandas as pd
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import materialize, text_key
 
 LENGTH = 400
 GRAM = 96
+SLOTS = LENGTH - GRAM + 1  # distances that a start can have from its anchor
+BIN = 61
+FINER = (BIN, 8, 1)
 SHALLOW = 24
-HOT_GROUP = 400
-_BATCH_BYTES = 4 << 20
+GROUP_ROWS = 1 << 18
+_BATCH_ROWS = 1 << 15
 _GEAR = np.array([xxhash.xxh64_intdigest(bytes([b]), 11) | 1 for b in range(256)], np.uint64)
 
 
@@ -116,13 +123,12 @@ def _find(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
 class BlindTrie:
     """Suffixes of one buffer, inserted one by one; nodes keep depths and branching bytes only.
 
-    A node is [depth, {byte: child}], a leaf the number of a suffix. ``insert`` returns the longest
-    prefix that the new suffix shares with any before it, and one that shares it.
+    A node is [depth, {byte: child}], a leaf the list of the suffixes that are equal there.
     """
 
     def __init__(self, data: bytes, starts: list[int], ends: list[int]) -> None:
         self.data, self.starts, self.ends = data, starts, ends
-        self.root: list | int | None = None
+        self.root: tuple | list | None = None
 
     def _byte(self, i: int, depth: int) -> int:
         at = self.starts[i] + depth
@@ -133,93 +139,119 @@ class BlindTrie:
         n = min(len(a), len(b))
         if a[:n] == b[:n]:
             return n
-        x = np.frombuffer(a, np.uint8, n) != np.frombuffer(b, np.uint8, n)
-        return int(x.argmax())
+        return next(k for k in range(n) if a[k] != b[k])
 
-    def insert(self, i: int) -> tuple[int, int]:
+    def insert(self, i: int) -> None:
         if self.root is None:
-            self.root = i
-            return 0, -1
-        node = self.root
-        while isinstance(node, list):  # be led to a leaf, blindly
-            branches = node[1]
-            node = branches.get(self._byte(i, node[0]), next(iter(branches.values())))
-        common = self._common(i, node)
+            self.root = [i]
+            return
+        place = self.root
+        while isinstance(place, tuple):  # be led to a leaf, blindly
+            branches = place[1]
+            place = branches.get(self._byte(i, place[0])) or next(iter(branches.values()))
+        leaf = place
+        common = self._common(i, leaf[0])
         parent, edge, place = None, 0, self.root
-        while isinstance(place, list) and place[0] < common:
+        while isinstance(place, tuple) and place[0] < common:
             parent, edge = place, self._byte(i, place[0])
             place = place[1][edge]
-        mine = self._byte(i, common)
-        if isinstance(place, list) and place[0] == common:
-            place[1].setdefault(mine, i)
-        elif mine != self._byte(node, common):
-            split = [common, {self._byte(node, common): place, mine: i}]
+        mine, theirs = self._byte(i, common), self._byte(leaf[0], common)
+        if isinstance(place, tuple) and place[0] == common:
+            place[1].setdefault(mine, []).append(i)
+        elif mine == theirs:  # both end here
+            leaf.append(i)
+        else:
+            split = (common, {theirs: place, mine: [i]})
             if parent is None:
                 self.root = split
             else:
                 parent[1][edge] = split
-        return common, node
-
 
-def _shallow_groups(data: np.ndarray, starts: np.ndarray, group: np.ndarray) -> np.ndarray:
-    """Numbers of the groups that agree on SHALLOW bytes, 0 for suffixes alone in theirs.
-
-    Multikey quicksort, a key of eight bytes at a time: each pass orders the suffixes of a
-    group by the next key and parts them; those left alone drop out.
+    def in_order(self) -> Iterator[tuple[int, int]]:
+        """Each suffix with the length of the prefix it shares with the one before, in order."""
+        stack: list[tuple] = [(self.root, 0)] if self.root is not None else []
+        while stack:
+            place, shared = stack.pop()
+            if isinstance(place, tuple):
+                children = [child for _, child in sorted(place[1].items(), key=lambda c: c[0])]
+                stack += [(c, place[0] if n else shared) for n, c in reversed(list(enumerate(children)))]
+                continue
+            yield place[0], shared
+            length = self.ends[place[0]] - self.starts[place[0]]
+            for i in place[1:]:
+                yield i, length
+
+
+def multikey_quicksort(words: np.ndarray, group: np.ndarray) -> tuple[np.ndarray, list[tuple[int, int]]]:
+    """The order of rows by group, then by their words; and where in it all words of a group agree.
+
+    Every round parts each open segment in three by the word of its middle row: those below,
+    equal and above. Equal ones go on to the next word; segments of one row are done.
     """
-    live = np.arange(len(starts))
-    label = np.unique(group, return_inverse=True)[1]
-    for depth in range(0, SHALLOW, 8):
-        key = np.zeros(len(live), np.uint64)
-        for k in range(8):
-            key = (key << np.uint64(8)) | data[starts[live] + depth + k].astype(np.uint64)
-        order = np.lexsort((key, label))
-        live, label, key = live[order], label[order], key[order]
-        new = np.ones(len(live), bool)
-        new[1:] = (label[1:] != label[:-1]) | (key[1:] != key[:-1])
-        label = np.cumsum(new)
-        many = np.bincount(label, minlength=len(live) + 1)[label] > 1
-        live, label = live[many], label[many]
-    out = np.zeros(len(starts), np.int64)
-    out[live] = label
-    return out
-
-
-def repeated_starts(spans: list[bytes], anchors: list[int], groups: list[int]) -> list[np.ndarray]:
-    """For each span, which of its starts have an equal string in another span of its group.
-
-    ``anchors`` are places in the spans; a span of n bytes has n - LENGTH + 1 starts.
+    order = np.argsort(group, kind="stable")
+    place = np.arange(len(order))
+    segment, depth = group[order].astype(np.int64), np.zeros(len(order), np.int64)
+    deep: list[tuple[int, int]] = []
+    while True:
+        edge = np.flatnonzero(np.append(True, segment[1:] != segment[:-1])) if len(segment) else np.zeros(0, np.int64)
+        size = np.diff(np.append(edge, len(segment)))
+        full = (size > 1) & (depth[edge] == words.shape[1])
+        deep += zip(place[edge[full]].tolist(), (place[edge[full]] + size[full]).tolist(), strict=True)
+        open_ = np.repeat((size > 1) & ~full, size)
+        if not open_.any():
+            return order, deep
+        place, segment, depth = place[open_], segment[open_], depth[open_]
+        number = np.cumsum(np.append(False, segment[1:] != segment[:-1]))
+        edge = np.flatnonzero(np.append(True, number[1:] != number[:-1]))
+        size = np.diff(np.append(edge, len(number)))
+        key = words[order[place], depth]
+        pivot = key[edge + size // 2][number]
+        side = (key >= pivot).astype(np.int64) + (key > pivot)
+        segment = number * 3 + side
+        moved = np.argsort(segment, kind="stable")
+        order[place] = order[place][moved]
+        segment, depth = segment[moved], depth[moved] + (side[moved] == 1)
+
+
+def repeated_starts(contents: list[bytes], firsts: list[int], groups: list[int], length: int) -> list[np.ndarray]:
+    """For each row, which of its starts have an equal string of ``length`` bytes in its group.
+
+    A row of n bytes has n - length + 1 starts; the first is at slot ``firsts``, and only strings at
+    the same slot are compared.
     """
-    data = b"".join(spans)
-    offset = np.cumsum([0, *map(len, spans)])
-    counts = np.array([len(s) - LENGTH + 1 for s in spans])
-    owner = np.repeat(np.arange(len(spans)), counts)
-    first = np.cumsum([0, *counts])
-    within = np.arange(len(owner)) - first[owner]
-    starts = offset[owner] + within
-    distance = np.array(anchors)[owner] - within
-    label = _shallow_groups(np.frombuffer(data, np.uint8), starts, np.array(groups)[owner] * (2 * LENGTH) + distance)
-    known = np.zeros(len(owner), bool)
-    order = np.lexsort((within, label))
-    order = order[label[order] > 0]
-    edges = np.flatnonzero(np.diff(label[order], prepend=-1, append=-1))
-    members = [order[a:b] for a, b in zip(edges, edges[1:], strict=False)]
-    # Groups in the order of their first suffix in its span, so that what a long common prefix
-    # settles comes after it.
-    members.sort(key=lambda m: int(within[m].min()))
-    ends = offset[1:][owner]
-    last = first[1:][owner]
-    for m in members:
-        if known[m].all():
-            continue
-        ids = m.tolist()
-        trie = BlindTrie(data, [int(starts[i]) for i in ids], [int(ends[i]) for i in ids])
-        for n, i in enumerate(ids):
-            common, other = trie.insert(n)
-            if common >= LENGTH:
-                for j in (i, ids[other]):
-                    known[j : min(j + common - LENGTH + 1, int(last[j]))] = True
-    return [known[a:b] for a, b in zip(first, first[1:], strict=False)]
+    if not length:  # all members of a group are equal, and none is alone
+        return [np.ones(len(c) + 1, bool) for c in contents]
+    raw = b"".join(contents)
+    data = np.frombuffer(raw + b"\0" * SHALLOW, np.uint8)
+    sizes = np.array([len(c) for c in contents])
+    ends = np.cumsum(sizes)
+    offset, first, group = ends - sizes, np.array(firsts), np.array(groups)
+    count = sizes - length + 1
+    known = np.zeros((len(contents), int((first + count).max())), bool)
+    shallow = min(SHALLOW, length)
+    n_words = -(-shallow // 8)
+    for slot in range(int(first.min()), known.shape[1]):
+        rows = np.flatnonzero((first <= slot) & (slot < first + count))
+        at = offset[rows] + slot - first[rows]
+        words = np.zeros((len(rows), n_words), np.uint64)
+        for k in range(shallow):
+            words[:, k // 8] = (words[:, k // 8] << np.uint64(8)) | data[at + k]
+        order, deep = multikey_quicksort(words, group[rows])
+        for a, b in deep:
+            members = rows[order[a:b]]
+            if known[members, slot].all():
+                continue
+            starts = at[order[a:b]].tolist()
+            trie = BlindTrie(raw, starts, ends[members].tolist())
+            for i in range(len(starts)):
+                trie.insert(i)
+            before = -1
+            for i, shared in trie.in_order():
+                if shared >= length:
+                    for j in (members[before], members[i]):
+                        known[j, slot : slot + shared - length + 1] = True
+                before = i
+    return [k[f : f + n] for k, f, n in zip(known, firsts, count.tolist(), strict=True)]
 
 
 def _runs(marks: np.ndarray) -> list[tuple[int, int]]:
@@ -228,41 +260,73 @@ def _runs(marks: np.ndarray) -> list[tuple[int, int]]:
     return [(int(a), int(b) - 1) for a, b in zip(edge[::2], edge[1::2], strict=True)]
 
 
-_PART = "hash long, span binary, first int, last int"
+_PART = "span binary, first int, last int"
 
 
-def _sort_groups(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    """Rows come sorted by hash; whole groups are gathered up to a few megabytes and sorted."""
-    held: list[tuple] = []
-    size = 0
+def _sort_groups(length: int):  # noqa: ANN202
+    """Rows come sorted by core; whole groups are gathered up to ``_BATCH_ROWS`` rows and sorted."""
 
-    def done() -> pd.DataFrame:
-        marks = repeated_starts([r[2] for r in held], [r[3] for r in held], [r[4] for r in held])
-        rows = [(r[0], r[1], a, b) for r, m in zip(held, marks, strict=True) for a, b in _runs(m)]
-        return pd.DataFrame(rows, columns=["hash", "span", "first", "last"])
+    def done(held: list[tuple]) -> pd.DataFrame:
+        marks = repeated_starts([r[3] for r in held], [r[2] for r in held], [r[4] for r in held], length)
+        rows = [(r[0], r[1] + a, r[1] + b) for r, m in zip(held, marks, strict=True) for a, b in _runs(m)]
+        return pd.DataFrame(rows, columns=["span", "first", "last"])
 
-    number, current = -1, None
-    for batch in batches:
-        for hash_, span, content, place in zip(batch["hash"], batch["span"], batch["content"], batch["place"], strict=True):
-            if hash_ != current:
-                if size > _BATCH_BYTES:
-                    yield done()
-                    held, size, number = [], 0, -1
-                current, number = hash_, number + 1
-            held.append((hash_, span, bytes(content), int(place), number))
-            size += len(content)
-    if held:
-        yield done()
-
-
-def _string_digests(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    """A row for each string of each interval of a hot group: its start, and what it reads."""
-    for batch in batches:
-        for hash_, span, content, place in zip(batch["hash"], batch["span"], batch["content"], batch["place"], strict=True):
-            content = bytes(content)
-            n = len(content) - LENGTH + 1
-            digests = [xxhash.xxh3_128_digest(content[i : i + LENGTH], seed=int(place) - i + LENGTH) for i in range(n)]
-            yield pd.DataFrame({"hash": [hash_] * n, "span": [span] * n, "start": range(n), "digest": digests})
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        held: list[tuple] = []
+        number, current = 0, None
+        for batch in batches:
+            for core, span, at, first, content in zip(batch["core"], batch["span"], batch["at"], batch["first"], batch["content"], strict=True):
+                if core != current:
+                    if len(held) >= _BATCH_ROWS:
+                        yield done(held)
+                        held = []
+                    current, number = core, number + 1
+                held.append((span, at, first, bytes(content), number))
+        if held:
+            yield done(held)
+
+    return run
+
+
+def _bins(rows: DataFrame, length: int, width: int) -> DataFrame:
+    """``rows(core, span, at, first, content)`` cut into bins of ``width`` slots, the core left out.
+
+    ``at`` is the offset of a row's first start in its interval, ``first`` the slot of that start.
+    Strings of ``length`` bytes become strings of ``width - 1`` bytes.
+    """
+    last = F.col("first") + F.octet_length("content") - length
+    low = F.explode(F.sequence(F.floor(F.col("first") / width).cast("int") * width, last.cast("int"), F.lit(width)))
+    cut = rows.withColumn("last", last.cast("int")).withColumn("low", low)
+    part = lambda a, b: F.substring(F.col("content"), a - F.col("first") + 1, b - a)
+    a, b = F.greatest("first", "low"), F.least("last", F.col("low") + width - 1)
+    inner, outer = F.col("low") + (width - 1), F.col("low") + length
+    named = F.concat(F.col("core"), F.format_string("%d:", "low").cast("binary"), part(inner, outer))
+    return cut.select(
+        F.unhex(F.md5(named)).alias("core"),
+        "span",
+        (F.col("at") + a - F.col("first")).alias("at"),
+        (a - F.col("low")).alias("first"),
+        F.concat(part(a, inner), part(outer, b + length)).alias("content"),
+    )
+
+
+def _sorted_parts(rows: DataFrame, group_rows: int) -> DataFrame:
+    """(span, first, last): runs of repeated starts, from the groups that the rows form."""
+    length, parts = LENGTH, None
+    for width in FINER:
+        bins = materialize(_bins(rows, length, width))
+        length = width - 1
+        sizes = bins.groupBy("core").agg(F.count("*").alias("n"))
+        largest = sizes.agg(F.max("n")).first()[0] or 0
+        # A window keeps the rows of a core together, whatever the optimiser does with sizes.
+        counted = bins.withColumn("n", F.count("*").over(Window.partitionBy("core"))).where("n > 1")
+        fitting = counted.where(F.col("n") <= group_rows) if length and largest > group_rows else counted
+        done = fitting.drop("n").sortWithinPartitions("core", "span", "at").mapInPandas(_sort_groups(length), _PART)
+        parts = done if parts is None else parts.unionByName(done)
+        if not length or largest <= group_rows:
+            return parts
+        rows = bins.join(sizes.where(F.col("n") > group_rows), "core").drop("n")
+    raise AssertionError("the last bins have one start")
 
 
 def _cut_out(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -296,51 +360,49 @@ def _contents(docs: DataFrame) -> DataFrame:
     return named.where("key is not null").groupBy("key").agg(F.first("text").alias("text"))
 
 
-def removed_parts(docs: DataFrame, hot_group: int = HOT_GROUP) -> DataFrame:
+def removed_parts(docs: DataFrame, group_rows: int = GROUP_ROWS) -> DataFrame:
     """(key, lo, end): the byte ranges to remove from each distinct text."""
     named = docs.select(text_key(F.col("text")).alias("key"), F.coalesce("text", F.lit("")).alias("text"))
     found = materialize(named.where(F.octet_length("text") >= LENGTH).mapInPandas(_find, _FOUND))
     # A place of a distinct interval: where it stands in one of its texts, and how often it occurs.
     distinct = found.groupBy("hash", "span").agg(F.count("*").alias("n"), F.min(F.struct("key", "lo", "hi", "anchor")).alias("at"))
-    groups = distinct.groupBy("hash").agg(F.count("*").alias("kinds"), F.sum("n").alias("total")).where("total > 1")
-    known = materialize(distinct.join(groups, "hash").select("hash", "span", "n", "kinds", "at.*"))
-    whole = known.where("n > 1").select("hash", "span", F.lit(0).alias("first"), (F.col("hi") - F.col("lo")).alias("last"))
+    groups = distinct.groupBy("hash").agg(
+        F.count("*").alias("kinds"), F.sum("n").alias("total"), F.min("n").alias("least")
+    ).where("total > 1")
+    known = materialize(distinct.join(groups, "hash").select("span", "n", "kinds", "least", "at.*"))
+    whole = known.where("n > 1").select("span", F.lit(0).alias("first"), (F.col("hi") - F.col("lo")).alias("last"))
 
     # Intervals that occur once byte for byte need sorting, against all others of their hash.
-    open_hashes = known.where("kinds > 1").groupBy("hash").agg(F.min("n").alias("least")).where("least = 1").select("hash")
-    wanted = known.where("kinds > 1").join(open_hashes, "hash", "left_semi")
-    bytes_ = F.substring(F.col("text").cast("binary"), F.col("lo") + 1, F.col("hi") - F.col("lo") + LENGTH)
-    held = _contents(docs).join(wanted, "key").select("hash", "span", "kinds", bytes_.alias("content"), (F.col("anchor") - F.col("lo")).alias("place"))
-    held = materialize(held)
-    mild = held.where(F.col("kinds") <= hot_group).drop("kinds").repartition("hash").sortWithinPartitions("hash", "span")
-    sorted_ = mild.mapInPandas(_sort_groups, _PART)
-    strings = held.where(F.col("kinds") > hot_group).drop("kinds").mapInPandas(_string_digests, "hash long, span binary, start int, digest binary")
-    again = strings.groupBy("hash", "digest").agg(F.count("*").alias("n")).where("n > 1").drop("n")
-    hot = strings.join(again, ["hash", "digest"]).select("hash", "span", F.col("start").alias("first"), F.col("start").alias("last"))
-    parts = materialize(whole.unionByName(sorted_).unionByName(hot))
+    wanted = known.where("kinds > 1 and least = 1")
+    content = F.substring(F.col("text").cast("binary"), F.col("lo") + 1, F.col("hi") - F.col("lo") + LENGTH)
+    slot = F.lit(SLOTS - 1) - F.col("anchor") + F.col("lo")
+    rows = _contents(docs).join(wanted, "key").select(
+        F.lit(b"").alias("core"), "span", F.lit(0).alias("at"), slot.alias("first"), content.alias("content")
+    )
+    parts = materialize(whole.unionByName(_sorted_parts(rows, group_rows)))
 
     # Back to every place where such an interval stands.
-    placed = found.select("hash", "span", "key", F.col("lo").alias("base")).distinct().join(parts, ["hash", "span"])
+    placed = found.select("span", "key", F.col("lo").alias("base")).distinct().join(parts, "span")
     start = F.col("base") + F.col("first")
     return placed.select("key", start.alias("lo"), (F.col("base") + F.col("last") + LENGTH).alias("end"))
 
 
-def remove_repeats(docs: DataFrame, hot_group: int = HOT_GROUP) -> DataFrame:
+def remove_repeats(docs: DataFrame, group_rows: int = GROUP_ROWS) -> DataFrame:
     """(doc_id, n_bytes, n_removed, n_spans, kept) for each row; kept holds the bytes that stay."""
-    cuts = removed_parts(docs, hot_group).groupBy("key").agg(F.collect_set(F.struct("lo", "end")).alias("cuts"))
+    cuts = removed_parts(docs, group_rows).groupBy("key").agg(F.collect_set(F.struct("lo", "end")).alias("cuts"))
     joined = _contents(docs).join(cuts, "key", "left").select("key", "text", "cuts")
     done = joined.mapInPandas(_cut_out, "key binary, n_bytes long, n_removed long, n_spans long, kept binary")
     return docs.select("doc_id", text_key(F.col("text")).alias("key")).join(done, "key").drop("key")
 
 
-def removal_digests(docs: DataFrame, hot_group: int = HOT_GROUP) -> DataFrame:
+def removal_digests(docs: DataFrame, group_rows: int = GROUP_ROWS) -> DataFrame:
     """``remove_repeats`` with the SHA-256 of the kept bytes in their place, taken where they are cut."""
 
     def digests(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in _cut_out(batches):
             yield batch.assign(kept_sha256=[sha256(k).hexdigest() for k in batch["kept"]]).drop(columns="kept")
 
-    cuts = removed_parts(docs, hot_group).groupBy("key").agg(F.collect_set(F.struct("lo", "end")).alias("cuts"))
+    cuts = removed_parts(docs, group_rows).groupBy("key").agg(F.collect_set(F.struct("lo", "end")).alias("cuts"))
     joined = _contents(docs).join(cuts, "key", "left").select("key", "text", "cuts")
     done = joined.mapInPandas(digests, "key binary, n_bytes long, n_removed long, n_spans long, kept_sha256 string")
     return docs.select("doc_id", text_key(F.col("text")).alias("key")).join(done, "key").drop("key")

@@ -318,8 +318,8 @@ def plain_removal(texts, n=suffixes.LENGTH):
     return out
 
 
-@pytest.mark.parametrize("hot", [2, 400])
-def test_suffix_removal(spark, hot):
+@pytest.mark.parametrize("group_rows", [1, 6, suffixes.GROUP_ROWS])
+def test_suffix_removal(spark, group_rows):
     passages = [prose(rng.randint(80, 160)) for _ in range(3)]
     texts = []
     for _ in range(50):
@@ -330,12 +330,12 @@ def test_suffix_removal(spark, hot):
             parts += [p[a : a + rng.randint(300, 900)], rng.choice(["a" * 700, "ab" * 300, prose(20)])]
         texts.append("".join(parts))
     texts += [texts[0], texts[0], None, "", "x" * 399, "y" * 400, "y" * 400, "z" * 401]
-    got = found(suffixes.removal_digests(table(spark, texts), hot))
+    got = found(suffixes.removal_digests(table(spark, texts), group_rows))
     assert [tuple(got[i])[1:] for i in range(len(texts))] == plain_removal(texts)
 
 
 def test_blind_trie_orders():
-    data = [prose(6).encode() for _ in range(30)] + [b"abcabc", b"abcabd", b"abc", b"abcabc"]
+    data = [prose(6).encode() for _ in range(30)] + [b"abcabc", b"abcabd", b"abc", b"abcabc", b"abcabc", b""]
     whole, starts, ends = b"".join(data), [], []
     for d in data:
         starts.append(sum(map(len, data[: len(starts)])))
@@ -343,8 +343,29 @@ def test_blind_trie_orders():
     trie = suffixes.BlindTrie(whole, starts, ends)
     share = lambda a, b: next((i for i, (x, y) in enumerate(zip(a, b, strict=False)) if x != y), min(len(a), len(b)))
     for i in range(len(data)):
-        common, _ = trie.insert(i)
-        assert common == max((share(data[i], data[j]) for j in range(i)), default=0)
+        trie.insert(i)
+    got = list(trie.in_order())
+    assert [data[i] for i, _ in got] == sorted(data)
+    assert all(common == share(data[a], data[b]) for (a, _), (b, common) in zip(got, got[1:], strict=False))
+
+
+def test_multikey_quicksort():
+    gen = np.random.default_rng(3)
+    words, group = gen.integers(0, 4, (500, 3)).astype(np.uint64), gen.integers(0, 9, 500)
+    order, deep = suffixes.multikey_quicksort(words, group)
+    rows = [(group[i], *words[i]) for i in order]
+    assert rows == sorted(rows)
+    equal = collections.Counter(rows)
+    assert sorted(b - a for a, b in deep) == sorted(n for n in equal.values() if n > 1)
+    assert all(len(set(rows[a:b])) == 1 for a, b in deep)
+
+
+def test_suffix_removal_at_edges_that_many_share(spark):
+    passage = prose(110)
+    texts = [f"{prose(60)} {passage} {prose(60)}" for _ in range(150)] + [f"{prose(5)} {passage[: 420 + i]}{prose(9)}" for i in range(60)]
+    for group_rows in (40, suffixes.GROUP_ROWS):
+        got = found(suffixes.removal_digests(table(spark, texts), group_rows))
+        assert [tuple(got[i])[1:] for i in range(len(texts))] == plain_removal(texts)
 
 
 # 9 chat
