@@ -17,11 +17,15 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 def shared_dir(spark: SparkSession) -> str:
     """The folder of ``spark.checkpoint.dir``, which driver and executors share.
 
-    A private folder is made only where the session names none, as in local tests.
+    Where the session names none, a private folder is made on a local master, as in tests; on
+    a cluster that would be a folder of the driver alone, so it is refused.
     """
     sc = spark.sparkContext
     if sc.getCheckpointDir() is None:
-        sc.setCheckpointDir(spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="gleaner-"))
+        folder = spark.conf.get("spark.checkpoint.dir", None)
+        if not folder and not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that driver and executors share")
+        sc.setCheckpointDir(folder or tempfile.mkdtemp(prefix="gleaner-"))
     return sc.getCheckpointDir()
 
 
@@ -34,7 +38,16 @@ def materialize(df: DataFrame) -> DataFrame:
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/table-{uuid.uuid4().hex}"
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    written = spark.read.schema(df.schema).parquet(path)
+    written.table_path = path
+    return written
+
+
+def discard(df: DataFrame) -> None:
+    """Remove the files of a table made by ``materialize`` that no plan reads any more."""
+    spark = df.sparkSession
+    path = spark._jvm.org.apache.hadoop.fs.Path(df.table_path)
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def text_key(text: Column) -> Column:
