@@ -5,7 +5,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import materialize
+from .common import discard, materialize
+
+SALTS = 8  # parts that the links of one node are dealt over
 
 
 def _summary(edges: DataFrame) -> tuple[int, int]:
@@ -13,17 +15,24 @@ def _summary(edges: DataFrame) -> tuple[int, int]:
     return row[0], row[1]
 
 
+def _with_least(links: DataFrame, least: DataFrame) -> DataFrame:
+    """``links(u, v)`` with the value of their u; the links of a hub are dealt over ``SALTS`` tasks."""
+    salts = F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1)))
+    dealt = links.withColumn("salt", F.pmod(F.xxhash64("v"), F.lit(SALTS)).cast("int"))
+    return dealt.join(least.withColumn("salt", salts), ["u", "salt"]).drop("salt")
+
+
 def _large_star(edges: DataFrame) -> DataFrame:
     """Hang every larger neighbour of a node on the smallest node of its neighbourhood."""
     both = edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
     least = both.groupBy("u").agg(F.min("v").alias("m")).withColumn("m", F.least("u", "m"))
-    return both.where("v > u").join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v"))
+    return _with_least(both.where("v > u"), least).select(F.col("v").alias("u"), F.col("m").alias("v"))
 
 
 def _small_star(edges: DataFrame) -> DataFrame:
     """Hang a node and its smaller neighbours on the smallest of them."""
     least = edges.groupBy("u").agg(F.min("v").alias("m"))
-    moved = edges.join(least, "u").where("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v"))
+    moved = _with_least(edges, least).where("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v"))
     return moved.unionByName(least.select("u", F.col("m").alias("v")))
 
 
@@ -39,7 +48,8 @@ def connected_components(edges: DataFrame) -> DataFrame:
     )
     before = _summary(edges)
     while before[0]:
-        edges = materialize(_small_star(_large_star(edges)).distinct())
+        last, edges = edges, materialize(_small_star(_large_star(edges)).distinct())
+        discard(last)
         after = _summary(edges)
         if after == before:
             break

@@ -5,12 +5,14 @@ Manhattan distance of two such vectors never exceeds the Hamming distance of the
 fingerprints. Every count is kept in thermometer code (0, 1, 2 as 00, 01, 11), so the whole
 vector fits a long and the Manhattan distance is one XOR and one bit count.
 
-The grid: the 32 coordinates form four groups. Vectors within Manhattan distance 2 differ in
-two groups at most, so they agree in at least one of the six pairs of groups; the cell of a
-vector is (pair, the coordinates of that pair). Each fingerprint lies in six cells, whatever
-the size of the table. Pairs of a cell pass the Manhattan bound and are then verified exactly.
-
-A cell with more than ``HOT_CELL`` fingerprints is not paired off. Its members are expanded to
+The grid: the 32 coordinates form groups, four for a small table and more for a large one, so that
+cells stay small. Vectors within Manhattan distance 2 differ in two groups at most; a grid
+leaves two groups free and has the coordinates of all others for its axes (six grids for
+four groups), and one more axis, cut in bins: the sum of the free coordinates, which differs by
+2 at most. Vectors are joined with those of their cell and of the bins in range. Pairs so met
+pass the Manhattan bound and are then verified exactly.
+
+A column of bins with more than ``HOT_CELL`` fingerprints is not paired off. Its members are expanded to
 their 65 values within one bit; two fingerprints are within two bits exactly if they share
 such a value, and a star on the smallest member links all that share one. This is linear in
 the number of fingerprints and loses no link.
@@ -39,6 +41,8 @@ from .graph import connected_components
 SHINGLE_WORDS = 3
 MAX_BITS = 2
 HOT_CELL = 256
+RANGE_BIN = 3
+GRIDS = ((1 << 20, 4), (1 << 28, 6), (1 << 33, 8), (1 << 62, 12))  # groups for tables of up to so many fingerprints
 _BLOCK = 1 << 16
 _LOW_BITS = 0x5555555555555555
 
@@ -78,15 +82,23 @@ def _distance(a: str, b: str) -> Column:
     return F.bit_count(F.col(a).bitwiseXOR(F.col(b)))
 
 
-def _cells(nodes: DataFrame) -> DataFrame:
-    """Six rows (cell, node, fp, counts) for each distinct fingerprint."""
-    group = [F.shiftrightunsigned(F.col("counts"), 16 * i).bitwiseAND(F.lit(0xFFFF)) for i in range(4)]
-    keys = [
-        F.lit(n << 32).bitwiseOR(F.shiftleft(group[i], 16)).bitwiseOR(group[j])
-        for n, (i, j) in enumerate(combinations(range(4), 2))
-    ]
-    return nodes.withColumn("counts", segment_counts(F.col("fp"))).select(
-        F.explode(F.array(*keys)).alias("cell"), "node", "fp", "counts"
+def _cells(nodes: DataFrame, groups: int) -> DataFrame:
+    """A row (grid, fixed, free, node, fp, counts) for each distinct fingerprint and grid.
+
+    ``fixed`` holds the coordinates that are axes of the grid, ``free`` the sum of the others.
+    """
+    edges = [2 * (32 * i // groups) for i in range(groups + 1)]
+    bits = [((1 << b) - 1) ^ ((1 << a) - 1) for a, b in zip(edges, edges[1:], strict=False)]
+    signed = lambda mask: mask - (1 << 64) if mask >> 63 else mask
+    masks = F.array(*(F.lit(signed(bits[i] | bits[j])).cast("long") for i, j in combinations(range(groups), 2)))
+    rows = nodes.withColumn("counts", segment_counts(F.col("fp"))).select("node", "fp", "counts", F.posexplode(masks).alias("grid", "mask"))
+    return rows.select(
+        "grid",
+        F.col("counts").bitwiseAND(F.bitwise_not("mask")).alias("fixed"),
+        F.bit_count(F.col("counts").bitwiseAND(F.col("mask"))).alias("free"),
+        "node",
+        "fp",
+        "counts",
     )
 
 
@@ -99,16 +111,22 @@ def _links_by_flips(nodes: DataFrame) -> DataFrame:
     return reach.join(least, "value").where("node <> v").select(F.col("node").alias("u"), "v").distinct()
 
 
-def fingerprint_links(nodes: DataFrame, hot_cell: int = HOT_CELL) -> DataFrame:
+def fingerprint_links(nodes: DataFrame, hot_cell: int = HOT_CELL, groups: int | None = None) -> DataFrame:
     """(u, v) links that connect all ``nodes(node, fp)`` within two bits; fp is distinct."""
-    cells = materialize(_cells(nodes))
-    sizes = cells.groupBy("cell").agg(F.count("*").alias("size")).where("size > 1")
-    kept = cells.join(sizes, "cell")
+    if groups is None:
+        n = nodes.count()
+        groups = next(g for most, g in GRIDS if n <= most)
+    cells = materialize(_cells(nodes, groups))
+    sizes = cells.groupBy("grid", "fixed").agg(F.count("*").alias("size")).where("size > 1")
+    kept = cells.join(sizes, ["grid", "fixed"])
     hot = kept.where(F.col("size") > hot_cell).select("node", "fp").distinct()
     mild = kept.where(F.col("size") <= hot_cell).drop("size")
-    other = mild.select("cell", *(F.col(c).alias(f"{c}_b") for c in ("node", "fp", "counts")))
+    bin_of = lambda x: F.floor(x / RANGE_BIN)
+    in_range = F.explode(F.sequence(bin_of(F.col("free") - MAX_BITS), bin_of(F.col("free") + MAX_BITS)))
+    other = mild.select("grid", "fixed", in_range.alias("bin"), *(F.col(c).alias(f"{c}_b") for c in ("node", "fp", "counts")))
     pairs = (
-        mild.join(other, "cell")
+        mild.withColumn("bin", bin_of(F.col("free")))
+        .join(other, ["grid", "fixed", "bin"])
         .where(F.col("node") < F.col("node_b"))
         .where(_distance("counts", "counts_b") <= MAX_BITS)
         .where(_distance("fp", "fp_b") <= MAX_BITS)
