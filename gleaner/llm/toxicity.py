@@ -13,9 +13,10 @@ scored by adding up one cached number a word. ``ENSEMBLE`` numpy classifiers, ea
 its own share of the unlabelled sample, are averaged.
 
 The learning sample is bounded: at most ``MAX_POSITIVE`` positives and ``MAX_UNLABELLED``
-unlabelled documents, those smallest by a hash of the id, of at most ``MAX_CHARS`` code points
-each, one row an id. Features are screened in Spark; what reaches the driver is the sample's
-columns of at most ``MAX_FEATURES`` features. All texts are scored whole.
+unlabelled documents, those smallest by a hash of the id, one row an id, whatever their length: a
+text is counted whole into at most ``2**HASH_BITS`` features. Features are screened in Spark; what
+reaches the driver is the sample's columns of at most ``MAX_FEATURES`` features, some 12 MB.
+All texts are scored whole.
 
 Defined cases: a null or empty text, or one without words, scores by the intercept alone; rows
 with a null id are never learned from and count as held out; a document labelled twice is
@@ -43,7 +44,7 @@ from .common import materialize
 
 FOLDS, HELD_OUT_FOLD = 3, 1
 THRESHOLD = 0.7
-MAX_POSITIVE, MAX_UNLABELLED, MAX_CHARS = 3000, 6000, 20_000
+MAX_POSITIVE, MAX_UNLABELLED = 3000, 6000
 HASH_BITS = 20
 PREFIXES = (4, 5, 6)
 SMOOTHING = 20
@@ -137,23 +138,30 @@ def _columns(sample: DataFrame, keep: np.ndarray) -> pd.DataFrame:
     return sample.mapInPandas(dense, "doc_id long, positive boolean, row binary").toPandas()
 
 
+def risk(w: np.ndarray, pos: np.ndarray, unl: np.ndarray, prior: float) -> tuple[float, float]:
+    """Both parts of the estimated risk: that of positives, and that of negatives, which may fall below zero."""
+    gp, gu = pos @ w[:-1] + w[-1], unl @ w[:-1] + w[-1]
+    return prior * np.logaddexp(0, -gp).mean(), np.logaddexp(0, gu).mean() - prior * np.logaddexp(0, gp).mean()
+
+
+def risk_gradient(w: np.ndarray, pos: np.ndarray, unl: np.ndarray, prior: float) -> np.ndarray:
+    """Gradient of the whole risk, or, where the risk of negatives is below zero, of its opposite."""
+    sigmoid = lambda z: 1 / (1 + np.exp(-np.clip(z, -60, 60)))
+    gp, gu = pos @ w[:-1] + w[-1], unl @ w[:-1] + w[-1]
+    d_pos, d_unl = -prior * sigmoid(gp) / len(gp), sigmoid(gu) / len(gu)
+    if risk(w, pos, unl, prior)[1] >= 0:
+        d_pos = d_pos + prior * (sigmoid(gp) - 1) / len(gp)
+    else:
+        d_pos, d_unl = -d_pos, -d_unl
+    return np.append(d_pos @ pos + d_unl @ unl, d_pos.sum() + d_unl.sum())
+
+
 def _nnpu(pos: np.ndarray, unl: np.ndarray, prior: float, steps: int = 300, rate: float = 0.03, decay: float = 1e-3) -> tuple[np.ndarray, float]:
     """Weights and intercept that minimise the non-negative risk, by Adam on whole sets."""
-    sigmoid = lambda z: 1 / (1 + np.exp(-np.clip(z, -60, 60)))
     w, m, v = (np.zeros(pos.shape[1] + 1) for _ in range(3))
     w[-1] = np.log(prior / (1 - prior))
     for t in range(1, steps + 1):
-        gp, gu = pos @ w[:-1] + w[-1], unl @ w[:-1] + w[-1]
-        sp, su = sigmoid(gp), sigmoid(gu)
-        negative_risk = np.logaddexp(0, gu).mean() - prior * np.logaddexp(0, gp).mean()
-        d_pos, d_unl = np.zeros_like(gp), np.zeros_like(gu)
-        if negative_risk >= 0:
-            d_pos = prior * (sp - 1) / len(gp) - prior * sp / len(gp)
-            d_unl = su / len(gu)
-        else:
-            d_pos = prior * sp / len(gp)
-            d_unl = -su / len(gu)
-        grad = np.append(d_pos @ pos + d_unl @ unl, d_pos.sum() + d_unl.sum())
+        grad = risk_gradient(w, pos, unl, prior)
         grad[:-1] += decay * w[:-1]
         m, v = 0.9 * m + 0.1 * grad, 0.999 * v + 0.001 * grad * grad
         w -= rate * (m / (1 - 0.9**t)) / (np.sqrt(v / (1 - 0.999**t)) + 1e-8)
@@ -176,16 +184,16 @@ def train(docs: DataFrame, labels: DataFrame) -> Model:
     known = labels.where("doc_id is not null and toxic is not null").where(~held_out(F.col("doc_id")))
     known = known.groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
     prior = known.agg(F.avg((F.col("toxic") == 1).cast("double"))).first()[0]
-    short = docs.where(~held_out(F.col("doc_id"))).where(F.length("text") <= MAX_CHARS)
+    learned = docs.where(~held_out(F.col("doc_id"))).where("text is not null")
     by_hash = F.xxhash64("doc_id", F.lit("toxicity"))
-    ids = short.select("doc_id").distinct()
+    ids = learned.select("doc_id").distinct()
     positive = (
         ids.join(known.where("toxic = 1"), "doc_id", "left_semi").orderBy(by_hash).limit(MAX_POSITIVE)
     ).withColumn("positive", F.lit(True))
     unlabelled = ids.orderBy(by_hash).limit(MAX_UNLABELLED).withColumn("positive", F.lit(False))
     chosen = positive.unionByName(unlabelled)  # at most MAX_POSITIVE + MAX_UNLABELLED ids
     # Of rows that share an id, the one whose text has the least MD5.
-    sample = short.select("doc_id", "text").join(F.broadcast(chosen), "doc_id").groupBy("doc_id", "positive")
+    sample = learned.select("doc_id", "text").join(F.broadcast(chosen), "doc_id").groupBy("doc_id", "positive")
     sample = sample.agg(F.min_by("text", F.md5(F.col("text").cast("binary"))).alias("text"))
     kind = "doc_id long, positive boolean, ids binary, values binary"
     sample = materialize(sample.mapInPandas(_sampled_features, kind))
