@@ -7,9 +7,11 @@ has too, divided by the length of all its chunks.
 
 ``edited_likeness`` compares each document with an edited version of itself and with the document
 that follows it by id. Neighbours meet without a global sort: quantiles of the id divide the
-table into as many ranges as there are shuffle partitions, each range is sorted and streamed by
-one task, and the first document of a range (of the first range, for the last) is sent to
-the range before as well, so one exchange of the texts is all.
+table into fine ranges, whose bytes are counted; neighbouring ones are put together to as many
+tasks of like size as there are shuffle partitions, and a range that one repeated id (or null)
+fills beyond that size is divided among several by the text's MD5. Each row is sent to its task
+by number, where the range is sorted and streamed; the first document of a task (of the first,
+for the last) is sent to the task before as well, so one exchange of the texts is all.
 
 Defined cases: a null text is empty; the empty text has the empty fingerprint, contained in
 the empty one alone; null ids come before all others and repeated ids are ordered by their text's
@@ -83,26 +85,56 @@ def _range_of(doc_id: Column, cuts: list) -> Column:
     return F.aggregate(steps, F.lit(0), lambda at, step: F.when(further(at, step), at + step).otherwise(at))
 
 
+def _plan_tasks(ranges: list, tasks: int) -> tuple[list, dict[int, tuple[int, int]], int]:
+    """Cuts between tasks, {range: (first task, tasks)}, and the number of tasks, of like bytes."""
+    target = max(1, -(-sum(r["bytes"] for r in ranges) // tasks))
+    cuts, placed, number, held, alone = [], {}, -1, 0, True
+    for r in ranges:
+        parts = -(-r["bytes"] // target) if r["least"] == r["most"] else 1
+        if alone or parts > 1 or held + r["bytes"] > target:
+            if number >= 0:
+                cuts.append(r["least"])
+            number, held, alone = len(cuts), 0, parts > 1 or r["least"] is None
+            placed[number] = parts
+        held += r["bytes"]
+    first, spread = 0, {}
+    for n, parts in placed.items():
+        spread[n] = (first, parts)
+        first += parts
+    return cuts, spread, first
+
+
 def _in_ranges(docs: DataFrame) -> DataFrame:
-    """Rows (range, tail, id, text), sorted in ranges; tail 1 marks the head of the next range."""
-    ids = docs.select("doc_id")
-    n = min(MAX_RANGES, int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")))
-    shares = [i / n for i in range(1, n)] or [0.5]
-    cuts = sorted(set(ids.agg(F.percentile_approx("doc_id", shares, 10 * MAX_RANGES)).first()[0] or []))
-    placed = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text")).withColumn("range", _range_of(F.col("doc_id"), cuts))
-    heads = (
-        ids.withColumn("range", _range_of(F.col("doc_id"), cuts))
-        .groupBy("range")
-        .agg(F.min(F.struct(F.col("doc_id").isNotNull().alias("known"), "doc_id"))["doc_id"].alias("head"))
-        .orderBy("range")
-        .collect()
-    )  # a row a range
-    before = [(h["head"], heads[i - 1]["range"]) for i, h in enumerate(heads)]
-    tails = docs.sparkSession.createDataFrame(before, f"head {dict(docs.dtypes)['doc_id']}, range int")
-    again = placed.drop("range").join(F.broadcast(tails), F.col("doc_id").eqNullSafe(F.col("head"))).drop("head")
-    both = placed.withColumn("tail", F.lit(0)).unionByName(again.withColumn("tail", F.lit(1)))
-    named = both.select("range", "tail", "doc_id", F.md5(F.col("text").cast("binary")).alias("order"), "text")
-    return named.repartition(n, "range").sortWithinPartitions("range", "tail", "doc_id", "order").drop("order")
+    """Rows (range, tail, id, text), sorted in tasks; tail 1 marks the head of the next range."""
+    spark, kind = docs.sparkSession, dict(docs.dtypes)["doc_id"]
+    rows = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text")).withColumn("order", F.md5(F.col("text").cast("binary")))
+    n = min(MAX_RANGES // 2, int(spark.conf.get("spark.sql.shuffle.partitions")))
+    fine = min(MAX_RANGES, 32 * n)
+    shares = [i / fine for i in range(1, fine)] or [0.5]
+    marks = sorted(set(docs.agg(F.percentile_approx("doc_id", shares, 10 * MAX_RANGES)).first()[0] or []))
+    sized = rows.select("doc_id", (F.octet_length("text") + 64).alias("bytes")).groupBy(_range_of(F.col("doc_id"), marks).alias("range"), F.col("doc_id").isNotNull().alias("known"))
+    sized = sized.agg(F.sum("bytes").alias("bytes"), F.min("doc_id").alias("least"), F.max("doc_id").alias("most"))
+    ranges = sized.orderBy("known", "range").collect()  # at most MAX_RANGES + 1 rows
+    # A null id has the range of its own that the first mark would have: one step below all others.
+    cuts, spread, tasks = _plan_tasks(ranges, n) if ranges else ([], {0: (0, 1)}, 1)
+    nulls = bool(ranges) and not ranges[0]["known"] and len(ranges) > 1
+    number = _range_of(F.col("doc_id"), cuts[1:] if nulls else cuts)
+    number = F.when(F.col("doc_id").isNull(), 0).otherwise(number + 1) if nulls else number
+    firsts = F.array(*(F.lit(spread[i][0]) for i in range(len(spread))))
+    task = F.get(firsts, number)
+    for i, (_, parts) in spread.items():
+        if parts > 1:  # as many as there are tasks in all, at most twice
+            share = F.conv(F.substring("order", 1, 8), 16, 10).cast("long") * parts
+            task = task + F.when(number == i, F.shiftright(share, 32).cast("int")).otherwise(0)
+    placed = rows.withColumn("range", task)
+    least = F.min(F.struct(F.col("doc_id").isNotNull().alias("known"), "doc_id", "order"))
+    heads = placed.groupBy("range").agg(least.alias("h")).orderBy("range").collect()  # a row a task
+    before = [(h["h"]["doc_id"], h["h"]["order"], heads[i - 1]["range"]) for i, h in enumerate(heads)]
+    tails = F.broadcast(spark.createDataFrame(before, f"head {kind}, head_order string, target int"))
+    again = rows.join(tails, F.col("doc_id").eqNullSafe(F.col("head")) & (F.col("order") == F.col("head_order")))
+    again = again.groupBy("target").agg(F.first("doc_id").alias("doc_id"), F.first("text").alias("text"), F.first("order").alias("order"))
+    both = placed.withColumn("tail", F.lit(0)).unionByName(again.withColumnRenamed("target", "range").withColumn("tail", F.lit(1)))
+    return both.select("range", "tail", "doc_id", "order", "text").repartitionById(max(1, tasks), F.col("range")).sortWithinPartitions("range", "tail", "doc_id", "order").drop("order")
 
 
 _SCHEMA = """doc_id string, n_chars long, edited_sha256 string, fingerprint string,
