@@ -5,12 +5,13 @@ Template: ``<|im_start|>role\\ntext<|im_end|>\\n`` for each turn. Inside texts a
 away restores the text. Backslashes and line breaks of a role are escaped as well.
 
 Windows: the tokens of a turn are its white-space words plus a fixed cost for its markers.
-What the opening system turns and the history leave of the budget (a quarter of it at least) is
-the room of a span. Prefix sums of the tokens divide a conversation into strides of half that
-room; a span holds the turns that begin in one stride, and a turn longer than a stride has a
-span of its own, so a span never exceeds its room unless a single turn does. Each window holds
-the system turns that open the conversation, then up to ``HISTORY_TOKENS`` of the turns just
-before its span (whole turns, at most ``HISTORY_TURNS``), then its span. The mask covers the
+What the opening system turns and the history leave of the budget is the room of a span. Prefix
+sums of the tokens divide a conversation into strides of half that room; a span holds the turns
+that begin in one stride, and a turn longer than a stride has a span of its own. Each window
+holds the system turns that open the conversation, then up to ``HISTORY_TOKENS`` of the turns
+just before its span (whole turns, at most ``HISTORY_TURNS``, and only what the budget leaves), then
+its span. So a window exceeds the budget only where the system turns and one single turn do:
+such a window holds nothing else, as turns are never cut. The mask covers the
 assistant texts of the span alone: what is repeated as history was a target in an earlier
 window, so each assistant text is a target exactly once.
 
@@ -52,9 +53,9 @@ def _escape_role(role: Column) -> Column:
 
 
 def _unescape_role(role: Column) -> Column:
-    """A NUL keeps the doubled backslashes apart from the escaped line breaks meanwhile."""
-    apart = F.replace(role, F.lit("\\\\"), F.lit("\x00b"))
-    return unescape(F.replace(F.replace(apart, F.lit("\\n"), F.lit("\n")), F.lit("\x00b"), F.lit("\\")))
+    """Doubled backslashes part the role, from left to right; between them only line breaks are escaped."""
+    parts = F.transform(F.split(role, r"\\\\"), lambda p: F.replace(p, F.lit("\\n"), F.lit("\n")))
+    return unescape(F.array_join(parts, "\\"))
 
 
 def _spans(turns: DataFrame, window_tokens: int) -> DataFrame:
@@ -74,7 +75,8 @@ def _spans(turns: DataFrame, window_tokens: int) -> DataFrame:
     )
     room = window_tokens - HISTORY_TOKENS
     system_tokens = F.sum(F.when(F.col("opening_system"), F.col("tokens")).otherwise(0)).over(Window.partitionBy("conv_id"))
-    rows = rows.withColumn("size", F.floor(F.greatest(F.lit(room) - system_tokens, F.lit(room // 4)) / 2))
+    rows = rows.withColumn("system_tokens", system_tokens)
+    rows = rows.withColumn("size", F.floor(F.greatest(F.lit(room) - F.col("system_tokens"), F.lit(2)) / 2))
     rows = rows.withColumn("stride", F.floor(F.col("start") / F.col("size")))
     by_pos = Window.partitionBy("conv_id").orderBy("pos")
     long_turn = F.col("tokens") > F.col("size")
@@ -85,25 +87,28 @@ def _spans(turns: DataFrame, window_tokens: int) -> DataFrame:
         | F.coalesce(F.lag(long_turn).over(by_pos), F.lit(False))
     )
     rows = rows.withColumn("opens", F.when(opens, 1).otherwise(0))
-    return rows.withColumn("span", F.sum("opens").over(by_pos.rowsBetween(Window.unboundedPreceding, 0)))
+    rows = rows.withColumn("span", F.sum("opens").over(by_pos.rowsBetween(Window.unboundedPreceding, 0)))
+    return rows.withColumn("span_tokens", F.sum("tokens").over(Window.partitionBy("conv_id", "span")))
 
 
-def _history(rows: DataFrame) -> DataFrame:
+def _history(rows: DataFrame, window_tokens: int) -> DataFrame:
     """A row (conv_id, span, pos) for each turn that a later span repeats as history.
 
     A turn can only serve the spans that open within the next ``HISTORY_TURNS`` turns, so it
-    looks that far ahead, and keeps those where all turns from it up to the opening fit.
+    looks that far ahead, and keeps those where all turns from it up to the opening fit, in the
+    history and, with the system turns and the span, in the budget.
     """
     by_pos = Window.partitionBy("conv_id").orderBy("pos")
     ahead = by_pos.rowsBetween(1, HISTORY_TURNS)
-    nearby = F.collect_list(F.struct("span", "opens", "tokens")).over(ahead)
-    looked = rows.select("conv_id", "pos", "role", "text", "tokens", "opening_system", nearby.alias("next"))
+    nearby = F.collect_list(F.struct("span", "opens", "tokens", "span_tokens")).over(ahead)
+    looked = rows.select("conv_id", "pos", "role", "text", "tokens", "opening_system", "system_tokens", nearby.alias("next"))
     needed = F.expr("tokens + aggregate(slice(next, 1, i), 0L, (a, x) -> a + x.tokens)")
     serves = (
         looked.where("not opening_system")
         .select("*", F.posexplode("next").alias("i", "later"))
         .where("later.opens = 1")
         .where(needed <= HISTORY_TOKENS)
+        .where(needed + F.col("system_tokens") + F.col("later.span_tokens") <= window_tokens)
     )
     return serves.select("conv_id", F.col("later.span").alias("span"), "pos", "role", "text", F.lit(1).alias("part"))
 
@@ -121,7 +126,7 @@ def windows(turns: DataFrame, window_tokens: int = WINDOW_TOKENS) -> DataFrame:
         .agg(F.sort_array(F.collect_list(F.struct("pos", "role", "text"))).alias("system"))
     )
     own = rows.select("conv_id", "span", "pos", "role", "text", F.lit(2).alias("part"))
-    members = own.unionByName(_history(rows))
+    members = own.unionByName(_history(rows, window_tokens))
     packed = members.groupBy("conv_id", "span").agg(
         F.sort_array(F.collect_list(F.struct("part", "pos", "role", "text"))).alias("members")
     )
@@ -226,13 +231,15 @@ with src as (
     role = 'system' and sum((role <> 'system')::int) over (partition by conv_id order by pos) = 0 as sys
   from a
 ), c as (
-  select *, greatest({WINDOW_TOKENS - HISTORY_TOKENS} - sum(case when sys then tokens else 0 end) over (partition by conv_id),
-                     {(WINDOW_TOKENS - HISTORY_TOKENS) // 4}) // 2 as size
-  from b
-), d as (
+  select *, greatest({WINDOW_TOKENS - HISTORY_TOKENS} - system_tokens, 2) // 2 as size
+  from (select *, sum(case when sys then tokens else 0 end) over (partition by conv_id) as system_tokens from b)
+), e as (
   select *, (pos = 1 or start // size <> lag(start // size) over w or tokens > size
              or coalesce(lag(tokens > size) over w, false))::int as opens
   from c window w as (partition by conv_id order by pos)
+), d as (
+  select *, sum(tokens) over (partition by conv_id, span) as span_tokens
+  from (select *, sum(opens) over (partition by conv_id order by pos) as span from e)
 ), own as (
   select coalesce(conv_id, -9) as conv, count(*) as n_turns,
     sha256(string_agg(role || chr(10) || text || chr(10), '' order by pos)) as turns_sha256,
@@ -244,7 +251,8 @@ with src as (
   select coalesce(t.conv_id, -9) as conv, sum(t.chars) as chars
   from d t join d o on t.conv_id is not distinct from o.conv_id and o.opens = 1
     and o.pos between t.pos + 1 and t.pos + {HISTORY_TURNS}
-  where not t.sys and o.start - t.start <= {HISTORY_TOKENS} group by 1
+  where not t.sys and o.start - t.start <= {HISTORY_TOKENS}
+    and o.start - t.start + t.system_tokens + o.span_tokens <= {WINDOW_TOKENS} group by 1
 ), system as (
   select coalesce(t.conv_id, -9) as conv, sum(t.chars) as chars
   from d t join d o on t.conv_id is not distinct from o.conv_id and o.opens = 1 and t.pos < o.pos
