@@ -14,6 +14,8 @@ from gleaner.llm import bpe, chat, fingerprints, mixing, pii, sharding, simhash,
 from gleaner.llm.cdc import Sizes, cut_points
 from gleaner.llm.graph import connected_components
 
+from .test_jaccard import plain as plain_similar
+
 SF = "/root/testdata/sf0.001"
 SCHEMA = "doc_id long, text string, lang string, source string, n_chars long"
 rng = random.Random(11)
@@ -75,8 +77,8 @@ def test_simhash_links_of_close_fingerprints(spark):
     fps = sorted({s ^ sum(1 << b for b in rng.sample(range(64), rng.randint(0, 3))) for s in seed for _ in range(40)})
     nodes = spark.createDataFrame([(i, f - (1 << 64) if f >> 63 else f) for i, f in enumerate(fps)], "node long, fp long")
     expected = plain_components(dict(enumerate(fps)))
-    for hot in (2, 10_000):
-        groups = {r["node"]: r["component"] for r in connected_components(simhash.fingerprint_links(nodes, hot)).collect()}
+    for hot, parts in ((2, None), (10_000, None), (10_000, 6), (10_000, 8), (10_000, 12)):
+        groups = {r["node"]: r["component"] for r in connected_components(simhash.fingerprint_links(nodes, hot, parts)).collect()}
         assert {i: groups.get(i, i) for i in expected} == expected
 
 
@@ -123,6 +125,27 @@ def test_toxicity_held_out(spark):
     assert none.agg(F.max("score")).first()[0] == 0
 
 
+def test_toxicity_gradient():
+    gen = np.random.default_rng(4)
+    pos, unl = gen.normal(size=(20, 5)), gen.normal(size=(60, 5))
+    for scale in (0.1, 8.0):  # the second drives the risk of negatives below zero
+        w = gen.normal(size=6) * scale
+        for a, b, prior in ((pos, unl, 0.2), (pos, pos, 0.9), (pos, -pos, 0.9)):
+            whole = lambda x: sum(r) if (r := toxicity.risk(x, a, b, prior))[1] >= 0 else -r[1]  # noqa: B023, E731
+            steps = [(whole(w + h) - whole(w - h)) / 2e-6 for h in np.eye(6) * 1e-6]
+            assert toxicity.risk_gradient(w, a, b, prior) == pytest.approx(steps, abs=1e-5)
+
+
+def test_toxicity_learns_from_long_texts(spark, monkeypatch):
+    seen = []
+    monkeypatch.setattr(toxicity, "fit", lambda keep, dense, positive, prior: seen.append(len(dense)) or toxicity.Model({}, None))
+    ids = [i for i in range(100) if crc32(str(i).encode()) % 3 != 1][:30]
+    texts = [("vile " if i % 2 else "mild ") * 9000 for i in range(30)]
+    labels = spark.createDataFrame([(d, i % 2) for i, d in enumerate(ids)], "doc_id long, toxic int")
+    toxicity.train(table(spark, texts, ids), labels)
+    assert seen == [45]
+
+
 def test_toxicity_sample_size():
     assert (toxicity.MAX_POSITIVE, toxicity.MAX_UNLABELLED) == (3000, 6000)
 
@@ -292,6 +315,29 @@ def test_edited_likeness(spark, docs):
     assert fingerprints.edited_likeness(table(spark, ["a", "b", "c"], [None, 4, 4])).count() == 3
 
 
+@pytest.mark.parametrize("ids", [lambda i: i, lambda i: None if i % 3 == 0 else i, lambda i: 7 if i % 2 else i, lambda i: None, lambda i: -i])
+def test_edited_likeness_over_many_ranges(spark, ids):
+    texts = [prose(rng.randint(0, 60) if i % 20 else 900) for i in range(200)] + ["twin"] * 30
+    rows = [(ids(i), t) for i, t in enumerate(texts)]
+    key = lambda r: (r[0] is not None, r[0] or 0, hashlib.md5(r[1].encode()).hexdigest())
+    ordered = sorted(rows, key=key)
+    expected = collections.Counter()
+    for n, (i, t) in enumerate(ordered):
+        changed = fingerprints.edited(t, ordered[(n + 1) % len(ordered)][1])
+        expected[i, len(t), hashlib.sha256(changed.encode()).hexdigest()] += 1
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", "13")
+    got = fingerprints.edited_likeness(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    spark.conf.set("spark.sql.shuffle.partitions", before)
+    assert collections.Counter((r["doc_id"], r["n_chars"], r["edited_sha256"]) for r in got) == expected
+
+
+def test_tasks_of_like_bytes():
+    size = lambda b, lo, hi: {"bytes": b, "least": lo, "most": hi}
+    cuts, spread, tasks = fingerprints._plan_tasks([size(100, i, i + 9) for i in range(0, 1000, 10)] + [size(5000, 2000, 2000)], 15)
+    assert spread[len(cuts)][1] == 5 and tasks <= 30 and cuts[0] == 100
+
+
 def test_chunks_move_with_their_text():
     sizes = Sizes(16, 64, 255)
     data = prose(3000).encode()
@@ -391,6 +437,37 @@ def test_chat_round_trip(spark):
     assert made.count() > len(by) and chat.read_back(chat.windows(df.limit(0))).count() == 0
 
 
+def test_chat_budget_and_history(spark):
+    say = lambda n: " ".join(["w"] * n)
+    turns = []
+    for c, system in enumerate((None, 20, 700, 890, 3000)):
+        sizes = [rng.choice([1, 30, 90, 200, 600, 5000]) for _ in range(40)]
+        turns += [(c, 0, "system", say(system))] if system else []
+        turns += [(c, n + 1, "assistant" if n % 2 else "user", say(k)) for n, k in enumerate(sizes)]
+    made = chat.windows(spark.createDataFrame(turns, "conv_id long, turn long, role string, text string")).collect()
+    context = 0
+    for w in made:
+        parts = w["formatted"].split(chat.START)[1:]
+        own = parts[w["n_context"] :]
+        sizes = [len(p.removesuffix(chat.END + "\n").partition("\n")[2].split()) + chat.MARKER_TOKENS for p in parts]
+        system = sum(s for s, p in zip(sizes, parts, strict=True) if p.startswith("system"))
+        if sum(sizes) > chat.WINDOW_TOKENS:
+            alone = [s for s, p in zip(sizes, parts, strict=True) if not p.startswith("system")]
+            assert len(own) == 1 and len(alone) <= 1, (system, sizes)
+        history = sum(s for s, p in zip(sizes[: w["n_context"]], parts, strict=False) if not p.startswith("system"))
+        assert history <= chat.HISTORY_TOKENS
+        context += history > 0
+        masked = [w["formatted"][m["start"] - 1 : m["start"] - 1 + m["length"]] for m in w["mask"]]
+        assert masked == [p.removesuffix(chat.END + "\n").partition("\n")[2] for p in own if p.startswith("assistant")]
+    assert context > 5
+
+
+@pytest.mark.parametrize("role", ["a\x00b", "\\n", "\\\\n\n\\", "\n\\\n", "\x00b\\", "<\\|<|x"])
+def test_chat_roles_come_back(spark, role):
+    df = spark.createDataFrame([(role,)], "r string")
+    assert df.select(chat._unescape_role(chat._escape_role(F.col("r")))).first()[0] == role
+
+
 # 10 sharding
 
 
@@ -449,7 +526,7 @@ def test_pipeline(spark):
             assert seen.columns == docs.columns
         if name == "simhash near-dedup":
             kept = {r["doc_id"]: r["text"] for r in before.collect()}
-            roots = plain_components({i: simhash.fingerprint_of(t) & (2**64 - 1) for i, t in kept.items()})
+            roots = plain_similar(kept)  # the stage's rule: five words, similarity 0.8
             assert {r["doc_id"] for r in seen.collect()} == set(roots.values())
         if name == "pii":
             assert not any(pii.base_spans(r["text"]) for r in seen.collect())
