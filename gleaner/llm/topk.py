@@ -1,20 +1,23 @@
 """Exact top-k inner products by a three-phase uniform threshold.
 
-Components become integers, floor(256 * x). A vector is cut into ``SEGMENTS`` parts, and each part
+Components become integers, floor(256 * x). A vector is cut into ``SITES`` parts, and each part
 is a site with local scores: the inner product of query and candidate over that part alone. The
 score of a candidate is the sum of its local scores.
 
-Phase 1: every task keeps, for each query and site, the k best local scores it has, and
-returns these candidates with their full scores; the k-th best among all gathered is a score
-that k candidates are known to reach, the safe cutoff of the query. Phase 2: the cutoffs of a block
-of queries are broadcast. A candidate whose local scores all lie below cutoff / sites cannot
-reach the cutoff, so only candidates with one local score at least that are collected. Phase 3:
-the remaining local scores of those are resolved exactly, and scores below the cutoff dropped;
-the k best are taken from what is left. The result is exact for any data.
-
-Queries are answered in blocks of about ``BLOCK`` (their number grows with the table, the
-size of a block, and so of what is broadcast, does not); each block reads the table twice
-and shuffles only short lists.
+Phase 1: every task lists, for each query and site, the candidates with the ``LEADERS`` times k
+best local scores it has. These leaders alone are scored in full; the k-th best score among the leaders of all
+tasks is one that k candidates are known to reach, the safe cutoff of the query. Phase 2: the
+cutoffs go out with the queries. Sites are scored one after another, and a candidate stays only
+while it has a sufficient entry (a local score of cutoff / sites or more, without which no sum
+reaches the cutoff) or may still get one, and while what it has, with the most that the
+lengths of the parts left allow, reaches the cutoff. Phase 3: where few candidates are left, their
+remaining local scores are resolved one by one, exactly. The k best of those that reach the
+cutoff are the result; it is exact for any data.
+
+Vectors are packed into tiles and queries into blocks of about ``BLOCK``; every tile meets every
+block of its length. Blocks are broadcast while they take ``BROADCAST_BYTES`` at most, a size
+that is known from their number; beyond it tiles and blocks are joined on block and a salt. Only
+short lists are shuffled after that.
 
 Defined cases: vectors that are null, empty or hold null or non-finite components take no part;
 only candidates of the query's length are compared; rows that repeat a query's id are the
@@ -35,39 +38,122 @@ from pyspark.sql import functions as F
 from .common import materialize
 
 K = 5
-SEGMENTS = 4
-BLOCK = 8192
+SITES = 4
+BLOCK = 1024
 SCALE = 256
-_ROWS = 2048
-_SCHEMA = "query_id long, vec_id long, score long"
+LEADERS = 8
+FEW = 0.25  # share of candidates left below which they are resolved one by one
+BROADCAST_BYTES = 8 << 20
+SALTS = 32
+_TILE_ROWS, _TILE_BYTES = 2048, 4 << 20
+_LIST = "query_id long, row long, vec_id long, score long"
+_NONE = -(1 << 63)
 
 
 def _integers(vectors: DataFrame) -> DataFrame:
-    """(vec_id, v) with integer-valued double components; rows that take no part are left out."""
+    """(vec_id, dim, v) with integer-valued double components; rows that take no part are left out."""
     scaled = F.transform("embedding", lambda x: F.floor(x.cast("double") * SCALE).cast("double"))
     fits = F.forall("embedding", lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) != float("inf")))
     rows = vectors.where("vec_id is not null and embedding is not null and size(embedding) > 0").where(fits)
-    return rows.select(F.col("vec_id").cast("long").alias("vec_id"), scaled.alias("v"))
+    return rows.select(F.col("vec_id").cast("long").alias("vec_id"), F.size("embedding").alias("dim"), scaled.alias("v"))
+
+
+def _pack(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """Tiles (dim, ids, data) of neighbouring rows of like length, bounded in rows and bytes."""
+    for batch in batches:
+        for dim, part in batch.groupby("dim"):
+            rows = max(1, min(_TILE_ROWS, _TILE_BYTES // (8 * int(dim))))
+            for at in range(0, len(part), rows):
+                cut = part.iloc[at : at + rows]
+                data = np.stack(cut["v"].to_numpy()).astype(np.float64)
+                yield pd.DataFrame({"dim": [dim], "ids": [cut["vec_id"].to_numpy("int64").tobytes()], "data": [data.tobytes()]})
+
+
+def _pack_block(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
+    cuts = rows["cut"].to_numpy("int64").tobytes()
+    data = np.stack(rows["v"].to_numpy()).astype(np.float64).tobytes()
+    return pd.DataFrame({"block": [key[0]], "dim": [key[1]], "query_ids": [rows["vec_id"].to_numpy("int64").tobytes()], "cuts": [cuts], "queries": [data]})
 
 
 def _exact(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     """Integer products as doubles where these are exact, else as Python integers."""
-    if not a.size or not b.size or np.abs(a).max() * np.abs(b).max() * a.shape[1] < 2**52:
+    if not a.size or not b.size or np.abs(a).max() * np.abs(b).max() * a.shape[1] < 2**50:
         return a @ b.T
-    as_int = lambda m: np.array([[int(x) for x in row] for row in m], dtype=object)
-    return as_int(a) @ as_int(b).T
+    return _whole(a) @ _whole(b).T
+
+
+def _whole(m: np.ndarray) -> np.ndarray:
+    return np.array([[int(x) for x in row] for row in m], dtype=object).reshape(m.shape)
+
+
+def _paired(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """Inner products of matching rows, exact in the same way."""
+    if not a.size or np.abs(a).max() * np.abs(b).max() * a.shape[1] < 2**50:
+        return np.einsum("ij,ij->i", a, b)
+    return (_whole(a) * _whole(b)).sum(axis=1)
 
 
 def _sites(dim: int) -> list[slice]:
-    edges = np.linspace(0, dim, min(SEGMENTS, dim) + 1).astype(int)
+    edges = np.linspace(0, dim, min(SITES, dim) + 1).astype(int)
     return [slice(a, b) for a, b in zip(edges, edges[1:], strict=False)]
 
 
-def _best(scores: np.ndarray, k: int) -> np.ndarray:
-    """Row-wise positions of the k largest, in any order."""
-    if scores.shape[1] <= k:
-        return np.tile(np.arange(scores.shape[1]), (len(scores), 1))
-    return np.argpartition(-scores, k - 1, axis=1)[:, :k]
+def _own(query_ids: np.ndarray, ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Pairs of a query and a row with its own id."""
+    columns = np.flatnonzero(np.isin(ids, query_ids))
+    at, which = np.nonzero(query_ids[:, None] == ids[columns][None, :])
+    return at, columns[which]
+
+
+def leaders(q: np.ndarray, v: np.ndarray, own: tuple[np.ndarray, np.ndarray], n: int) -> tuple[np.ndarray, np.ndarray]:
+    """Phase 1: pairs (query, row) that are among the n best of a query at some site."""
+    chosen = np.zeros((len(q), len(v)), bool)
+    for s in _sites(q.shape[1]):
+        local = _exact(q[:, s], v[:, s])
+        local[own] = -np.inf
+        best = np.argpartition(-local, n - 1, axis=1)[:, :n] if len(v) > n else np.tile(np.arange(len(v)), (len(q), 1))
+        np.put_along_axis(chosen, best, True, axis=1)
+    chosen[own] = False
+    return np.nonzero(chosen)
+
+
+def reaching(q: np.ndarray, v: np.ndarray, cuts: np.ndarray, own: tuple[np.ndarray, np.ndarray]) -> tuple[np.ndarray, np.ndarray, np.ndarray, int]:
+    """Phases 2 and 3: pairs that reach the cutoffs, their scores, and how many pairs were scored in full."""
+    sites = _sites(q.shape[1])
+    m = len(sites)
+    lengths = [(np.linalg.norm(q[:, s], axis=1), np.linalg.norm(v[:, s], axis=1)) for s in sites]
+    least = np.array([-np.inf if c == _NONE else float(c) for c in cuts])
+    floor_ = least - 1 - np.abs(least) * 1e-9  # bounds are rounded, so they are given some room
+    pairs: tuple[np.ndarray, np.ndarray] | None = None
+    total = np.zeros((len(q), len(v)))
+    enough = np.zeros((len(q), len(v)), bool)
+    for n, s in enumerate(sites):
+        if pairs is None:
+            local, need, low = _exact(q[:, s], v[:, s]), least[:, None], floor_[:, None]
+            room = sum((a[:, None] * b[None, :] for a, b in lengths[n + 1 :]), np.zeros((1, 1)))
+            most = np.maximum.reduce([a[:, None] * b[None, :] for a, b in lengths[n + 1 :]]) if n + 1 < m else -np.inf
+        else:
+            qi, vi = pairs
+            local, need, low = _paired(q[qi][:, s], v[vi][:, s]), least[qi], floor_[qi]
+            room = sum((a[qi] * b[vi] for a, b in lengths[n + 1 :]), np.zeros(1))
+            most = np.maximum.reduce([a[qi] * b[vi] for a, b in lengths[n + 1 :]]) if n + 1 < m else -np.inf
+        total = total + local
+        enough = enough | (local * m >= low)
+        stay = (enough | (most * m >= low)) & (total + room >= low)
+        if pairs is None:
+            stay[own] = False
+            if n + 1 == m or stay.mean() < FEW:
+                pairs = np.nonzero(stay)
+                total, enough = total[pairs], enough[pairs]
+                scored = len(pairs[0]) if n + 1 < m else stay.size
+        else:
+            pairs = (pairs[0][stay], pairs[1][stay])
+            total, enough = total[stay], enough[stay]
+            if n + 1 < m:
+                scored = len(pairs[0])
+    assert pairs is not None
+    reach = total >= least[pairs[0]]
+    return pairs[0][reach], pairs[1][reach], total[reach], scored
 
 
 def _top(rows: pd.DataFrame, k: int) -> pd.DataFrame:
@@ -76,88 +162,70 @@ def _top(rows: pd.DataFrame, k: int) -> pd.DataFrame:
     return rows[rows.groupby("query_id").cumcount() < k]
 
 
-Query = tuple[np.ndarray, np.ndarray]
-Collect = Callable[[np.ndarray, list[np.ndarray], np.ndarray, np.ndarray], tuple[np.ndarray, np.ndarray]]
-
-
-def _scan(queries: dict[int, Query], k: int, collect: Collect) -> Callable[[Iterator[pd.DataFrame]], Iterator[pd.DataFrame]]:
-    """A pass over the vectors: ``collect`` names (query, candidate) pairs of a batch to keep."""
+def _scan(k: int, first: bool) -> Callable[[Iterator[pd.DataFrame]], Iterator[pd.DataFrame]]:
+    """A pass over (tile, block) pairs: the leaders with their scores, or the rows that reach the cutoffs."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        held = pd.DataFrame({c: pd.Series(dtype="int64") for c in ("query_id", "vec_id", "score")})
+        held, size = [], 0
         for batch in batches:
-            for dim, part in batch.groupby(batch["v"].map(len)):
-                if dim not in queries:
-                    continue
-                query_ids, q = queries[dim]
-                for at in range(0, len(part), _ROWS):
-                    rows = part.iloc[at : at + _ROWS]
-                    ids = rows["vec_id"].to_numpy("int64")
-                    v = np.stack([np.asarray(x, np.float64) for x in rows["v"]])
-                    local = [_exact(q[:, s], v[:, s]) for s in _sites(dim)]
-                    total = sum(local[1:], local[0])
-                    qi, vi = collect(query_ids, local, total, ids)
-                    keep = query_ids[qi] != ids[vi]
-                    qi, vi = qi[keep], vi[keep]
-                    found = pd.DataFrame({"query_id": query_ids[qi], "vec_id": ids[vi], "score": [int(x) for x in total[qi, vi]]})
-                    held = _top(pd.concat([held, found]), k) if len(found) else held
-        yield held
+            for tile, dim, ids_, data, q_ids, cuts, queries in zip(*(batch[c] for c in _PAIR), strict=True):
+                ids, v = np.frombuffer(ids_, np.int64), np.frombuffer(data).reshape(-1, dim)
+                query_ids, q = np.frombuffer(q_ids, np.int64), np.frombuffer(queries).reshape(-1, dim)
+                own = _own(query_ids, ids)
+                if first:
+                    qi, vi = leaders(q, v, own, LEADERS * k)
+                    score = _paired(q[qi], v[vi])
+                else:
+                    qi, vi, score, _ = reaching(q, v, np.frombuffer(cuts, np.int64), own)
+                found = {"query_id": query_ids[qi], "row": tile * _TILE_ROWS + vi, "vec_id": ids[vi], "score": [int(x) for x in score]}
+                held.append(_top(pd.DataFrame(found, dtype="int64"), k))
+                size += len(held[-1])
+                if size > 1 << 18:
+                    held = [_top(pd.concat(held), k)]
+                    size = len(held[0])
+                    if size > 1 << 17:  # many queries: what is known so far goes on
+                        yield held.pop()
+                        size = 0
+        if held:
+            yield _top(pd.concat(held), k)
 
     return run
 
 
-def _gathering(k: int) -> Collect:
-    def collect(query_ids: np.ndarray, local: list[np.ndarray], total: np.ndarray, ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """The candidates that lead a site's list; one more than k, as the query itself may."""
-        chosen = np.zeros(total.shape, bool)
-        for scores in local:
-            np.put_along_axis(chosen, _best(scores, k + 1), True, axis=1)
-        return np.nonzero(chosen)
-
-    return collect
-
+_PAIR = ("tile", "dim", "ids", "data", "query_ids", "cuts", "queries")
 
-def _collecting(cutoffs: dict[int, int]) -> Collect:
-    def collect(query_ids: np.ndarray, local: list[np.ndarray], total: np.ndarray, ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Candidates with a local score of cutoff / sites or more, then those that reach the cutoff."""
-        least = np.array([cutoffs.get(int(i), -np.inf) for i in query_ids])
-        enough = np.zeros(total.shape, bool)
-        for scores in local:
-            enough |= scores * len(local) >= least[:, None]
-        qi, vi = np.nonzero(enough)
-        reach = total[qi, vi] >= least[qi]
-        return qi[reach], vi[reach]
 
-    return collect
+def _met(tiles: DataFrame, asked: DataFrame, blocks: int, widest: int) -> DataFrame:
+    """Every tile with every block of queries of its length."""
+    packed = asked.groupBy("block", "dim").applyInPandas(_pack_block, "block int, dim int, query_ids binary, cuts binary, queries binary")
+    if blocks * BLOCK * widest * 8 <= BROADCAST_BYTES:
+        met = tiles.join(F.broadcast(packed), "dim")
+    else:
+        dealt = tiles.withColumns({"block": F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))), "salt": F.pmod(F.xxhash64("tile"), F.lit(SALTS)).cast("int")})
+        met = dealt.join(packed.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1)))), ["block", "dim", "salt"])
+    return met.select(*_PAIR)
 
 
-def _distinct_top(found: DataFrame, k: int) -> DataFrame:
+def _ranked(found: DataFrame, k: int) -> DataFrame:
     by_score = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
     return found.withColumn("rank", F.row_number().over(by_score)).where(F.col("rank") <= k)
 
 
 def top_k(vectors: DataFrame, queries: DataFrame, k: int = K) -> DataFrame:
     """(query_id, rank, vec_id, score) for each vector of ``queries`` against all ``vectors``."""
-    spark = vectors.sparkSession
-    rows = materialize(_integers(vectors))
+    tiles = materialize(
+        _integers(vectors).mapInPandas(_pack, "dim int, ids binary, data binary").withColumn("tile", F.monotonically_increasing_id())
+    )
     asked = materialize(_integers(queries).dropDuplicates(["vec_id"]))
-    blocks = max(1, -(-asked.count() * 2 // BLOCK))
-    asked = asked.withColumn("block", F.pmod(F.xxhash64("vec_id"), F.lit(blocks)))
-    out = spark.createDataFrame([], _SCHEMA).withColumn("rank", F.lit(0))
-    for b in range(blocks):
-        block = asked.where(F.col("block") == b).drop("block").toPandas()  # about BLOCK / 2 rows
-        held = {
-            int(dim): (part["vec_id"].to_numpy("int64"), np.stack([np.asarray(x, np.float64) for x in part["v"]]))
-            for dim, part in block.groupby(block["v"].map(len))
-        }
-        if not held:
-            continue
-        gathered = _distinct_top(rows.mapInPandas(_scan(held, k, _gathering(k)), _SCHEMA), k)
-        known = gathered.groupBy("query_id").agg(F.min("score").alias("least"), F.count("*").alias("n"))
-        cutoffs = {r["query_id"]: r["least"] for r in known.where(F.col("n") == k).collect()}  # a row a query
-        found = rows.mapInPandas(_scan(held, k, _collecting(cutoffs)), _SCHEMA)
-        out = out.unionByName(materialize(_distinct_top(found, k)))
-    return out.select("query_id", "rank", "vec_id", "score")
+    seen = asked.agg(F.count("*").alias("n"), F.coalesce(F.max("dim"), F.lit(0)).alias("dim")).first()
+    blocks = max(1, -(-seen["n"] // BLOCK))
+    asked = asked.withColumns({"block": F.pmod(F.xxhash64("vec_id"), F.lit(blocks)).cast("int"), "cut": F.lit(_NONE)})
+    gathered = _met(tiles, asked, blocks, seen["dim"]).mapInPandas(_scan(k, first=True), _LIST)
+    known = _ranked(gathered.dropDuplicates(["query_id", "row"]), k).groupBy("query_id").agg(F.min("score").alias("least"), F.count("*").alias("n"))
+    cutoffs = materialize(known.where(F.col("n") == k).select(F.col("query_id").alias("vec_id"), "least"))
+    asked = asked.join(cutoffs, "vec_id", "left").withColumn("cut", F.coalesce("least", "cut")).drop("least")
+    found = _met(tiles, asked, blocks, seen["dim"]).mapInPandas(_scan(k, first=False), _LIST)
+    return _ranked(found, k).select("query_id", "rank", "vec_id", "score")
 
 
 ORACLE_SQL = f"""
