@@ -1,16 +1,21 @@
 """Personal-data spans by weak supervision.
 
 Base spans of four kinds (email, ip, card, phone) come from fixed patterns and checks, and always
-stay. Candidates for further spans are near misses: masked addresses, numbers that fail a
-check, phone numbers without a country code. Five labelers vote on every base span and
-candidate, +1, -1 or 0 for no opinion: the strict pattern, the structure of the match, a gazetteer
-(address endings, card issuers, reserved networks), the words around it, and its borders.
+stay. Candidates for further spans are near misses: masked addresses, phone numbers without a
+country code, numbers that fail a check, and the parts of these that would pass it (a base
+pattern takes a phone number and a card number after it for one, and drops both). Five labelers
+vote on every base span and candidate, +1, -1 or 0 for no opinion: the pattern with its check, the
+structure of the match, a gazetteer (address endings, card issuers, reserved networks), the
+words around it, and its borders.
 
 Votes are counted by kind and vote pattern over all documents: at most ``4 * 3**5`` counts,
 whatever the size of the corpus. On these, expectation-maximisation estimates for each
 kind how often a labeler votes which way on true and on false spans, and so the probability
-that a pattern is true. A logistic span classifier over kind and votes is then trained on
-these probabilities as soft labels, and adds the candidates that it gives ``ACCEPT`` or more.
+that a pattern is true. The final classifier never sees the votes: it is logistic over what the
+span and its surroundings look like (shape, digits, checksum, borders, the words next to
+it), trained on at most ``SAMPLE`` spans a kind, those smallest by a hash, with EM's probabilities
+as soft labels. It adds the candidates that it gives ``ACCEPT`` or more; of those that overlap, the
+likeliest.
 
 Defined cases: a null text has no spans; offsets are code points, end exclusive; patterns run
 over whole texts in time linear in their length; repeated rows are treated alike, null ids are
@@ -19,6 +24,7 @@ carried, other columns are ignored by ``find_spans`` and kept by ``redact``.
 
 from __future__ import annotations
 
+import heapq
 import re
 from bisect import bisect_right
 from collections import Counter
@@ -27,13 +33,19 @@ from hashlib import sha256
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+import xxhash
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from .common import materialize
+
 KINDS = ("email", "ip", "card", "phone")
 LABELERS = ("strict", "structure", "gazetteer", "context", "border")
 ACCEPT = 0.9
 CONTEXT_CHARS = 40
+SAMPLE = 4000
+MOST_CHARS = 64
+WEIGHTS = 1 << 12
 Span = tuple[str, int, int]
 
 _LOCAL = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789._%+-")
@@ -56,6 +68,7 @@ _FOR = {
 }
 _AGAINST = frozenset("token key hash version order invoice id sha md5 isbn number serial".split())
 _WORDS = re.compile(r"[a-z]+")
+_PIECES = re.compile(r"[0-9]+")
 
 
 def luhn(digits: str) -> bool:
@@ -94,8 +107,8 @@ def _matches(text: str) -> tuple[list[Span], list[Span]]:
         fits = all(len(p) < 4 or not p[:-3].strip("0") for p in m[0].split(".")) and all(int(p[-4:]) <= 255 for p in m[0].split("."))
         (good if fits else bad).append(("ip", *m.span()))
     for m in _CARD.finditer(text):
-        if m.end() - m.start() >= 13 and 13 <= len(d := _digits(m[0])) <= 19:
-            (good if luhn(d) else bad).append(("card", *m.span()))
+        if m.end() - m.start() >= 13 and len(d := _digits(m[0])) >= 13:
+            (good if len(d) <= 19 and luhn(d) else bad).append(("card", *m.span()))
     for m in _PHONE.finditer(text) if "+" in text else ():
         (good if 9 <= len(_digits(m[0])) <= 15 else bad).append(("phone", *m.span()))
     return good, bad
@@ -105,9 +118,36 @@ def base_spans(text: str | None) -> list[Span]:
     return _matches(text or "")[0]
 
 
+def fits(kind: str, got: str) -> bool:
+    """Whether the string, on its own, is a base span of the kind."""
+    if kind == "card":
+        return 13 <= len(d := _digits(got)) <= 19 and luhn(d) and _CARD.fullmatch(got) is not None
+    if kind == "phone":
+        return 9 <= len(_digits(got)) <= 15 and _PHONE.fullmatch(got) is not None
+    return (kind, 0, len(got)) in base_spans(got)
+
+
+def parts_of(text: str, span: Span) -> Iterator[Span]:
+    """Stretches of a failed card or phone match, cut between its runs of digits, that pass on their own."""
+    kind, a, b = span
+    runs = [m.span() for m in _PIECES.finditer(text, a, b)]
+    least, most = (13, 19) if kind == "card" else (9, 15)
+    for i, (start, _) in enumerate(runs if kind == "card" else runs[:1]):
+        digits = 0
+        for first, end in runs[i:]:
+            digits += end - first
+            if digits > most:
+                break
+            part = (kind, a if kind == "phone" else start, end)
+            if digits >= least and part != span and fits(kind, text[part[1] : end]):
+                yield part
+
+
 def candidates(text: str) -> tuple[list[Span], list[Span]]:
     """Base spans, and near misses that overlap no base span of their kind."""
     good, bad = _matches(text)
+    parts = [part for s in bad if s[0] in ("card", "phone") for part in parts_of(text, s)]
+    bad = [s for s in bad if s[2] - s[1] <= MOST_CHARS] + parts  # longer ones are no span of any kind
     # Every match of the patterns holds what is looked for here.
     if "(" in text or "[" in text:
         bad += [("email", *m.span()) for m in _NEAR_EMAIL.finditer(text)]
@@ -118,7 +158,7 @@ def candidates(text: str) -> tuple[list[Span], list[Span]]:
     ends = {k: [s[2] for s in good if s[0] == k] for k in KINDS}
     starts = {k: [s[1] for s in good if s[0] == k] for k in KINDS}
     free = []
-    for s in bad:
+    for s in set(bad):
         # Base spans of a kind are in order and disjoint: the first to end behind the start decides.
         i = bisect_right(ends[s[0]], s[1])
         if i == len(ends[s[0]]) or starts[s[0]][i] >= s[2]:
@@ -131,9 +171,9 @@ def _structure(kind: str, got: str) -> int:
     if kind == "email":
         return 1 if got.count("@") == 1 and ".." not in got and got[0] not in ".-" else -1
     if kind == "ip":
-        return 1 if all(p == str(int(p[-9:])) for p in got.split(".")) else -1
+        return 1 if all(len(p) <= 3 and p == str(int(p)) and int(p) <= 255 for p in got.split(".")) else -1
     if kind == "card":
-        return 1 if luhn(d) and len(d) in (14, 15, 16) else -1
+        return 1 if luhn(d) and len(d) in (14, 15, 16) and min(map(len, _PIECES.findall(got))) > 2 else -1
     return 1 if 10 <= len(d) <= 13 else -1
 
 
@@ -142,7 +182,7 @@ def _gazetteer(kind: str, got: str) -> int:
     if kind == "email":
         return 1 if re.split(r"[^A-Za-z0-9]+", got)[-1].lower() in _ENDINGS else 0
     if kind == "ip":
-        return -1 if got.split(".")[0] in ("0", "127") else 1
+        return -1 if got.split(".")[0] in ("0", "127") or len(got) > 15 or int(got.split(".")[0]) > 223 else 1
     if kind == "card":
         return 1 if d[0] in "3456" and len(set(d)) > 2 else -1
     return 1 if got.startswith("+1") or "555" in d or "(" in got else 0
@@ -156,27 +196,63 @@ def votes(text: str, span: Span, strict: bool) -> tuple[int, ...]:
     return 1 if strict else -1, _structure(kind, text[a:b]), _gazetteer(kind, text[a:b]), context, -1 if inside else 1
 
 
-def _voted(text: str) -> Iterator[tuple[Span, bool, tuple[int, ...]]]:
+def _seen_spans(text: str) -> Iterator[tuple[Span, bool, bool]]:
+    """(span, whether it is a base span, whether it passes on its own)."""
     good, more = candidates(text)
-    for strict, spans in ((True, good), (False, more)):
-        for s in spans:
-            yield s, strict, votes(text, s, strict)
+    for s in good:
+        yield s, True, True
+    for s in more:
+        yield s, False, fits(s[0], text[s[1] : s[2]])
 
 
-def _count_patterns(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+def _border(c: str) -> str:
+    return "edge" if not c else "alnum" if c.isalnum() else "space" if c.isspace() else c
+
+
+def features(text: str, span: Span) -> list[int]:
+    """Hashed features of the span and of what stands next to it."""
+    kind, a, b = span
+    got, digits = text[a:b], _digits(text[a:b])
+    shape = re.sub(r"[^\W\d_]+", "a", re.sub(r"[0-9]+", "9", got))
+    before, after = (_WORDS.findall(t.lower()) for t in (text[max(0, a - CONTEXT_CHARS) : a], text[b : b + CONTEXT_CHARS]))
+    named = [
+        "kind", f"fits {fits(kind, got)}", f"digits {len(digits)}", f"shape {shape[:16]}", f"luhn {luhn(digits)}",
+        f"length {min(len(got) // 4, 10)}", f"left {_border(text[a - 1 : a])}", f"right {_border(text[b : b + 1])}",
+        f"ending {re.split(r'[^A-Za-z0-9]+', got)[-1].lower() if kind == 'email' else ''}", f"head {got[:2] if kind != 'email' else ''}",
+        f"before {before[-1] if before else ''}", f"after {after[0] if after else ''}",
+    ]
+    return [xxhash.xxh32_intdigest(f"{kind} {n}") % WEIGHTS for n in named]
+
+
+def _observe(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """Counts of vote patterns (hash null), and the spans smallest by a hash with their features."""
     counts: Counter[tuple] = Counter()
+    held: dict[str, list[tuple]] = {k: [] for k in KINDS}
     for batch in batches:
         for text in batch["text"]:
-            if text:
-                counts.update((s[0], *v) for s, _, v in _voted(text))
-    yield pd.DataFrame([(*k, n) for k, n in counts.items()], columns=["kind", *LABELERS, "n"])
-
-
-def vote_patterns(docs: DataFrame) -> DataFrame:
-    """(kind, a vote for each labeler, n), summed over all documents."""
-    schema = "kind string, " + ", ".join(f"{x} int" for x in LABELERS) + ", n long"
-    parts = docs.select("text").mapInPandas(_count_patterns, schema)
-    return parts.groupBy("kind", *LABELERS).agg(F.sum("n").alias("n"))
+            own = None
+            for s, _, strict in _seen_spans(text) if text else ():
+                v = votes(text, s, strict)
+                counts[(s[0], *v)] += 1
+                own = own or xxhash.xxh64_intdigest(text.encode("utf-8", "surrogatepass"))
+                rank = xxhash.xxh64_intdigest(f"{s[0]}:{s[1]}:{s[2]}", seed=own) >> 1
+                rows = held[s[0]]
+                if len(rows) < SAMPLE or rank < -rows[0][0]:
+                    push = heapq.heappush if len(rows) < SAMPLE else heapq.heapreplace
+                    push(rows, (-rank, v, np.array(features(text, s), np.int32).tobytes()))
+    rows = [(*k, n, None, None) for k, n in counts.items()]
+    rows += [(k, *v, 1, str(-rank), seen) for k, found in held.items() for rank, v, seen in found]
+    yield pd.DataFrame(rows, columns=["kind", *LABELERS, "n", "rank", "seen"])
+
+
+def observations(docs: DataFrame) -> tuple[pd.DataFrame, pd.DataFrame]:
+    """Vote patterns with their counts over all documents, and the sample of spans."""
+    schema = "kind string, " + ", ".join(f"{x} int" for x in LABELERS) + ", n long, rank string, seen binary"
+    parts = materialize(docs.select("text").mapInPandas(_observe, schema))
+    patterns = parts.where("rank is null").groupBy("kind", *LABELERS).agg(F.sum("n").alias("n"))
+    least = Window.partitionBy("kind").orderBy(F.col("rank").cast("long"), *LABELERS, "seen")
+    sample = parts.where("rank is not null").withColumn("at", F.row_number().over(least)).where(F.col("at") <= SAMPLE)
+    return patterns.toPandas(), sample.select("kind", *LABELERS, "seen").toPandas()
 
 
 def reliabilities(votes_: np.ndarray, n: np.ndarray, rounds: int = 60) -> np.ndarray:
@@ -198,49 +274,60 @@ def reliabilities(votes_: np.ndarray, n: np.ndarray, rounds: int = 60) -> np.nda
     return true
 
 
-def _encoded(kinds: np.ndarray, votes_: np.ndarray) -> np.ndarray:
-    """One column a vote and value, and one a kind."""
-    hot = np.concatenate([votes_ == -1, votes_ == 1], axis=1)
-    return np.concatenate([hot, kinds[:, None] == np.array(KINDS)[None, :]], axis=1).astype(float)
+Model = tuple[np.ndarray, float]
 
 
-def train(patterns: pd.DataFrame, steps: int = 500) -> tuple[np.ndarray, float]:
+def train(patterns: pd.DataFrame, sample: pd.DataFrame, steps: int = 400) -> Model:
     """Weights and intercept of the span classifier, from EM's soft labels."""
     patterns = patterns.sort_values(["kind", *LABELERS]).reset_index(drop=True)
-    kinds, v = patterns["kind"].to_numpy(str), patterns[list(LABELERS)].to_numpy(int)
-    n = patterns["n"].to_numpy(float)
-    soft = np.zeros(len(n))
-    for k in set(kinds):
-        soft[kinds == k] = reliabilities(v[kinds == k], n[kinds == k])
-    x, weight = _encoded(kinds, v), np.sqrt(n) / max(1.0, np.sqrt(n).sum())
-    w, b = np.zeros(x.shape[1]), 0.0
-    for _ in range(steps if len(n) else 0):
-        p = 1 / (1 + np.exp(-np.clip(x @ w + b, -40, 40)))
+    kinds, v, n = patterns["kind"].to_numpy(str), patterns[list(LABELERS)].to_numpy(int), patterns["n"].to_numpy(float)
+    label: dict[tuple, float] = {}
+    for k in sorted(set(kinds)):
+        mine = kinds == k
+        label |= {(k, *map(int, row)): p for row, p in zip(v[mine], reliabilities(v[mine], n[mine]), strict=True)}
+    w, b = np.zeros(WEIGHTS), 0.0
+    if not len(sample):
+        return w, -10.0
+    sample = sample.sort_values(["kind", *LABELERS, "seen"])
+    x = np.stack([np.frombuffer(f, np.int32) for f in sample["seen"]])
+    soft = np.array([label[(r[0], *map(int, r[1:]))] for r in sample[["kind", *LABELERS]].itertuples(index=False)])
+    # Candidates are few beside base spans: both halves of each kind weigh the same.
+    half = pd.Series(list(zip(sample["kind"], soft > 0.5, strict=True)))
+    weight = (1 / half.map(half.value_counts())).to_numpy(float)
+    weight /= weight.sum()
+    m, s, rate = np.zeros(WEIGHTS + 1), np.zeros(WEIGHTS + 1), 0.05
+    for t in range(1, steps + 1):  # Adam
+        p = 1 / (1 + np.exp(-np.clip(w[x].sum(axis=1) + b, -40, 40)))
         g = weight * (p - soft)
-        w, b = w - 2.0 * (x.T @ g + 1e-3 * w), b - 2.0 * g.sum()
-    return w, b
+        grad = np.append(np.bincount(x.ravel(), np.repeat(g, x.shape[1]), WEIGHTS) + 1e-4 * w, g.sum())
+        m, s = 0.9 * m + 0.1 * grad, 0.999 * s + 0.001 * grad * grad
+        step = rate * (m / (1 - 0.9**t)) / (np.sqrt(s / (1 - 0.999**t)) + 1e-9)
+        w, b = w - step[:-1], b - step[-1]
+    return w, float(b)
+
+
+def classifier(docs: DataFrame) -> Model:
+    """Learned from the documents' own spans; what reaches the driver is bounded."""
+    return train(*observations(docs))
 
 
-def classifier(docs: DataFrame) -> dict[tuple, float]:
-    """Probability for every possible (kind, votes); what reaches the driver is bounded."""
-    w, b = train(vote_patterns(docs).toPandas())
-    grid = np.array(np.meshgrid(*[[-1, 0, 1]] * len(LABELERS))).reshape(len(LABELERS), -1).T
-    return {
-        (k, *map(int, row)): float(p)
-        for k in KINDS
-        for row, p in zip(grid, 1 / (1 + np.exp(-(_encoded(np.full(len(grid), k), grid) @ w + b))), strict=True)
-    }
+def probability(text: str, span: Span, model: Model) -> float:
+    return float(1 / (1 + np.exp(-np.clip(model[0][features(text, span)].sum() + model[1], -40, 40))))
 
 
-def spans_of(text: str, known: dict[tuple, float]) -> tuple[list[Span], list[Span]]:
+def spans_of(text: str, model: Model) -> tuple[list[Span], list[Span]]:
     """Base spans, and those with what the classifier adds; by kind, then start."""
-    base, every = [], []
-    for s, strict, v in _voted(text):
-        if strict:
-            base.append(s)
-        if strict or known[(s[0], *v)] >= ACCEPT:
-            every.append(s)
-    return base, sorted(every, key=lambda s: (KINDS.index(s[0]), s[1], s[2]))
+    base, more = candidates(text)
+    likely = [(-p, s[1] - s[2], s) for s in more if (p := probability(text, s, model)) >= ACCEPT]
+    added: list[Span] = []
+    taken: dict[str, list[tuple[int, int]]] = {k: [] for k in KINDS}
+    for _, _, s in sorted(likely):
+        near = taken[s[0]]
+        i = bisect_right(near, (s[1], s[2]))
+        if (i == 0 or near[i - 1][1] <= s[1]) and (i == len(near) or near[i][0] >= s[2]):
+            near.insert(i, (s[1], s[2]))
+            added.append(s)
+    return base, sorted(base + added, key=lambda s: (KINDS.index(s[0]), s[1], s[2]))
 
 
 def _joined(spans: list[Span]) -> str:
