@@ -1,18 +1,17 @@
 """BPE encoding and decoding with content-defined chunk reuse.
 
 Distinct texts are cut into chunks by a rolling hash (see ``cdc``). A chunk that stands in more
-than one place is encoded once, by the task that holds one of its texts; its ids are then joined
-to all its places. Chunk ends fall anywhere, so the ids of the words they cut through are
-of no use: at each joint the text from the last blank of one chunk to the first blank of the
-next is encoded again. Where a chunk has no blank the repair runs on into the following
-chunk, until it stands between blanks on both sides. There the two encodings agree exactly,
-as the tokenizer's pattern never spans white space and no special token holds any: encoding
-is independent on either side of a blank.
+than one place is encoded once, by the task that holds one of its texts, from its first blank to its
+last; the ids are then joined to all its places. What lies between such stretches is encoded in
+place. Then every joint is repaired: a window of words around it is encoded again as a whole
+and compared with the ids on both sides. Where they agree exactly the joint stands; else the
+window grows, and when it has taken up both stretches they are encoded as one.
 
 Texts move once, by content key (copies are merged before the exchange, so a group of copies of
 any size is one row); what else is shuffled are chunk digests and the ids of shared chunks.
-Within a task a word is encoded once while it stays in the task's bounded word table; a
-text, a chunk or a joint is put together from words.
+For a tokenizer whose tokens never depend on white space a word is encoded once while it stays in
+the task's bounded table, and a stretch is put together from words; for any other a stretch goes
+through the library whole.
 
 Defined cases: a null text is empty; the empty text has no ids; very long texts and words are
 encoded whole; rows that repeat keep a row each; null ids are carried; other columns are ignored.
@@ -36,6 +35,7 @@ from .common import text_key
 SIZES = Sizes(512, 2048, 8192)
 _BLANK = re.compile(rb"[ \t\n\r]")
 _WORD = re.compile(r"[^ \t\n\r]+")
+_BLANKS = " \t\n\r"
 _SIMPLE = re.compile(r"([A-Za-zÀ-ÖØ-öø-ÿ]*)([!-&(-/:-@\[-`{-~]*)")
 
 
@@ -56,7 +56,7 @@ def default_tokenizer() -> str:
 
 
 class Encoder:
-    """A tokenizer file with a bounded table of the words it has encoded.
+    """A tokenizer file with bounded tables of the words and joints it has seen.
 
     Where the file lower-cases, splits off runs of letters and lets no match span white space, a
     new word of Latin letters and closing marks is put together from the ids of these two
@@ -73,8 +73,7 @@ class Encoder:
         self.tokenizer.no_truncation()
         self.tokenizer.no_padding()
         ids = lambda t: self.tokenizer.encode(t, add_special_tokens=False).ids
-        if ids("one two\nthree") != ids("one") + ids("two") + ids("three"):
-            raise ValueError("this tokenizer's tokens depend on white space; words can't be encoded apart")
+        self.by_word = ids("one two\n three,  \tx") == ids("one") + ids("two") + ids("three,") + ids("x")
         size = self.tokenizer.get_vocab_size(with_added_tokens=True)
         self.kind = np.uint16 if size <= 1 << 16 else np.uint32
         self.decimal = [str(i) for i in range(size)]
@@ -82,7 +81,8 @@ class Encoder:
         self.words: dict[str, bytes] = {}
         self.before: dict[str, bytes] = {}
         self.pieces: dict[str, bytes] = {}
-        self.by_piece = all(ids(t) == self._model_ids(t.lower()) for t in ("Straße", "PRÉsent", "un", "zzqqÿ")) and ids(
+        self.joints: dict[tuple[str, str], bool] = {}
+        self.by_piece = self.by_word and all(ids(t) == self._model_ids(t.lower()) for t in ("Straße", "PRÉsent", "un", "zzqqÿ")) and ids(
             "Ab.,!"
         ) == ids("ab") + ids(".,!")
 
@@ -105,14 +105,20 @@ class Encoder:
             if simple:
                 got = b"".join(self._piece(p) for p in (simple[1].lower(), simple[2]) if p)
             else:
-                got = np.array(self.tokenizer.encode(word, add_special_tokens=False).ids, self.kind).tobytes()
+                got = self.whole(word)
         if len(self.words) >= self.LIMIT:
             self.before, self.words = self.words, {}
         self.words[word] = got
         return got
 
+    def whole(self, text: str) -> bytes:
+        """Ids that the library gives the text, packed."""
+        return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, self.kind).tobytes()
+
     def encode(self, text: str) -> bytes:
         """Ids of the text, packed."""
+        if not self.by_word:
+            return self.whole(text)
         known = self.words.get
         return b"".join([known(w) or self._word(w) for w in _WORD.findall(text)])
 
@@ -159,15 +165,65 @@ def _encode_owned(path: str):  # noqa: ANN202
     return run
 
 
+def _tail(text: str, words: int) -> str:
+    """The last words of the text, from the blank before them on."""
+    at = len(text.rstrip(_BLANKS))
+    for _ in range(words):
+        at = max(text.rfind(b, 0, at) for b in _BLANKS)
+        if at < 0:
+            return text
+    return text[at:]
+
+
+def _head(text: str, words: int) -> str:
+    """The first words of the text, up to the blank behind them."""
+    at = 0
+    for _ in range(words):
+        found = _WORD.search(text, at)
+        if not found:
+            return text
+        at = found.end()
+    return text[:at]
+
+
+def joint_holds(encoder: Encoder, left: tuple[str, bytes], right: tuple[str, bytes]) -> bool:
+    """Whether some window around the joint of two (text, ids) encodes as the two sides do.
+
+    The window starts with a word of each side and doubles until it agrees or has taken up both.
+    """
+    words = 1
+    while True:
+        a, b = _tail(left[0], words), _head(right[0], words)
+        agrees = encoder.joints.get((a, b))
+        if agrees is None:
+            agrees = encoder.whole(a + b) == encoder.encode(a) + encoder.encode(b)
+            if len(encoder.joints) >= encoder.LIMIT // 4:
+                encoder.joints.clear()
+            encoder.joints[a, b] = agrees
+        if agrees and left[1].endswith(encoder.encode(a)) and right[1].startswith(encoder.encode(b)):
+            return True
+        if len(a) == len(left[0]) and len(b) == len(right[0]):
+            return False
+        words *= 2
+
+
 def assemble(encoder: Encoder, text: str, reuse: list[tuple[int, int, bytes]]) -> list[int]:
-    """Ids of a text, some stretches (start, end, ids; blanks at both ends) of which are known."""
+    """Ids of a text, some stretches (start, end, ids) of which are known; joints are repaired."""
     data = text.encode("utf-8", "surrogatepass")
-    out, at = [], 0
-    for start, end, ids in sorted(reuse, key=lambda r: r[0]):
-        out += [encoder.encode(data[at:start].decode("utf-8", "surrogatepass")), ids]
+    read = lambda a, b: data[a:b].decode("utf-8", "surrogatepass")
+    parts: list[tuple[str, bytes]] = []
+    at = 0
+    for start, end, ids in [*sorted(reuse, key=lambda r: r[0]), (len(data), len(data), b"")]:
+        for part in ((read(at, start), None), (read(start, end), ids)):
+            if not part[0]:
+                continue
+            part = (part[0], encoder.encode(part[0]) if part[1] is None else part[1])
+            while parts and not joint_holds(encoder, parts[-1], part):
+                whole = parts.pop()[0] + part[0]
+                part = (whole, encoder.whole(whole))
+            parts.append(part)
         at = end
-    out.append(encoder.encode(data[at:].decode("utf-8", "surrogatepass")))
-    return encoder.unpack(b"".join(out))
+    return encoder.unpack(b"".join(ids for _, ids in parts))
 
 
 def _assemble_texts(path: str, full: bool):  # noqa: ANN202
