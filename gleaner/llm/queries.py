@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat, mixing, topk
+from . import chat, mixing, sharding, topk
 from .common import table
 
 
@@ -17,9 +17,7 @@ def op1_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op10_hilbert_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
-    from .sharding import shard_documents
-
-    return shard_documents(table(spark, sf_dir, "documents"))
+    return sharding.shard_documents(table(spark, sf_dir, "documents"))
 
 
 def op7_chunk_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -89,4 +87,5 @@ ORACLE_SQL = {
     "op4_exact_top_k": topk.ORACLE_SQL,
     "op6_poisson_mixing": mixing.ORACLE_SQL,
     "op9_chat_windows": chat.ORACLE_SQL,
+    "op10_hilbert_sharding": sharding.ORACLE_SQL,
 }

@@ -8,10 +8,11 @@ touch, so each shard covers a compact box of the metadata space, and a reader th
 minima and maxima of a file can skip most files for a filter on any of the dimensions.
 
 The global order is never sorted in one task. Rows are counted by (cell, bucket), where bucket
-is a hash of text and id; running sums over cells (at most ``8**BITS`` rows) and over the
-buckets of each cell give the rank at which a bucket starts; only the rows of one bucket are
-ranked together. Equal texts share the upper half of the bucket number, so copies lie side by
-side, and the lower half, a hash of the id, splits a text that very many rows share.
+comes from the text's CRC and a hash of the id; running sums over cells (at most ``8**BITS`` rows)
+and over the buckets of each cell give the rank at which a bucket starts; only the rows of one
+bucket are ranked together. The lower part of the bucket, the hash of the id, splits a text that
+very many rows share; it has more values the more rows the table has. Copies of one length,
+source and language share a cell, and so lie in one run of it, but for cuts between shards.
 
 Law ``rows``: shard counts differ by one at most. Only DataFrame and SQL functions are used.
 
@@ -33,7 +34,7 @@ from .common import materialize
 BITS = 4
 SHARDS = 16
 TEXT_BUCKETS = 16
-ID_BUCKETS = 16
+ID_BUCKETS, MOST_ID_BUCKETS, BUCKET_ROWS = 16, 4096, 1 << 20
 _ACCURACY = 10_000
 
 
@@ -108,11 +109,16 @@ def assign_shards(df: DataFrame, dims: list[str], shards: int = SHARDS, bits: in
     kinds = dict(df.dtypes)
     cuts = quantile_cuts(df, dims, bits)
     levels = [f"_level{i}" for i in range(len(dims))]
-    id_hash = F.pmod(F.xxhash64("doc_id"), F.lit(ID_BUCKETS))
-    text_hash = F.pmod(F.xxhash64(crc), F.lit(TEXT_BUCKETS))
+    id_buckets = ID_BUCKETS
+    n = df.count()
+    while id_buckets < MOST_ID_BUCKETS and id_buckets * BUCKET_ROWS < n:
+        id_buckets *= 2
+    digits = F.conv(F.substring(F.md5(F.coalesce(F.col("doc_id").cast("string"), F.lit("null"))), 1, 3), 16, 10).cast("int")
+    id_hash = F.floor(digits * id_buckets / MOST_ID_BUCKETS)
+    text_hash = F.pmod(F.col(crc), F.lit(TEXT_BUCKETS))
     rows = materialize(
         df.withColumns({c: _level(_number(d, kinds[d]), cut) for c, d, cut in zip(levels, dims, cuts, strict=True)})
-        .withColumn("_bucket", (text_hash * ID_BUCKETS + id_hash).cast("int"))
+        .withColumn("_bucket", (text_hash * id_buckets + id_hash).cast("int"))
     )
 
     counts = rows.groupBy(*levels, "_bucket").agg(F.count("*").alias("_n"))
@@ -178,3 +184,59 @@ def write_shards(docs: DataFrame, path: str, shards: int = SHARDS) -> None:
         .write.partitionBy("shard")
         .parquet(path)
     )
+
+
+_TABLE = "list_transform(range(256), lambda n: list_reduce(list_prepend(n, range(8)), lambda c, i: case when c & 1 = 1 then xor(c >> 1, 3988292384) else c >> 1 end))"
+
+
+def _crc_sql(value: str) -> str:
+    """The CRC-32 of a string, byte by byte."""
+    as_bytes = f"list_transform(regexp_extract_all(hex(encode({value})), '..'), lambda h: ('0x' || h)::bigint)"
+    return f"xor(list_reduce(list_prepend(4294967295::bigint, {as_bytes}), lambda c, b: xor(c >> 8, crc_values[(xor(c, b) & 255) + 1])), 4294967295)"
+
+
+def _curve_sql() -> str:
+    """Common table expressions from levels x0, x1, x2 to the position h, a step each."""
+    steps, last = [], "levelled"
+    for q in (1 << b for b in range(BITS - 1, 0, -1)):
+        for i in range(3):
+            swap = f"(xor(x0, x{i}) & {q - 1})"
+            new = {0: f"xor(x0, case when x{i} & {q} <> 0 then {q - 1} else {swap} end)"}
+            if i:
+                new[i] = f"case when x{i} & {q} <> 0 then x{i} else xor(x{i}, {swap}) end"
+            listed = ", ".join(f"{e} as x{k}" for k, e in new.items())
+            steps.append(f"turn_{q}_{i} as (select * replace ({listed}) from {last})")
+            last = f"turn_{q}_{i}"
+    twist = "0"
+    for q in (1 << b for b in range(BITS - 1, 0, -1)):
+        twist = f"xor({twist}, case when g2 & {q} <> 0 then {q - 1} else 0 end)"
+    steps.append(f"gray as (select *, x0 as g0, xor(x0, x1) as g1, xor(xor(x0, x1), x2) as g2 from {last})")
+    steps.append(f"twisted as (select *, {twist} as t from gray)")
+    h = "0"
+    for b in range(BITS - 1, -1, -1):
+        for i in range(3):
+            h = f"({h} * 2 + case when xor(g{i}, t) & {1 << b} <> 0 then 1 else 0 end)"
+    steps.append(f"curved as (select *, {h} as h from twisted)")
+    return ",\n".join(steps)
+
+
+def _cuts_sql(column: str) -> str:
+    """The quantiles of a column of ``sized``: the value of rank ceil(share * count)."""
+    ranks = f"list_transform(range(1, {2**BITS}), lambda i: greatest(1, ceil(i * len(v) / {2**BITS}.0)::int))"
+    return f"(select list_distinct(list_transform({ranks}, lambda r: v[r])) from (select list_sort(list({column}) filter ({column} is not null)) as v from sized))"
+
+
+ORACLE_SQL = f"""
+with crc_table as (select {_TABLE} as crc_values), sized as (
+  select doc_id, octet_length(encode(coalesce(text, '')))::bigint + 1 as size, {_crc_sql("coalesce(text, '')")} as crc,
+    length(coalesce(text, '')) as chars, {_crc_sql("source")} as source_crc, {_crc_sql("lang")} as lang_crc from documents, crc_table
+), levelled as (
+  select *, {", ".join(f"len(list_filter({_cuts_sql(c)}, lambda k: {c} > k)) as x{i}" for i, c in enumerate(("chars", "source_crc", "lang_crc")))}
+  from sized
+), {_curve_sql()}, ranked as (
+  select *, count(*) over () as total, row_number() over (order by h, crc % {TEXT_BUCKETS},
+    ('0x' || substr(md5(doc_id::varchar), 1, 3))::int * {ID_BUCKETS} // {MOST_ID_BUCKETS}, crc, doc_id) - 1 as place from curved
+)
+select doc_id, size, crc as text_crc32, 'rows' as law, (place * {SHARDS} // total)::int as shard,
+  (place - ((place * {SHARDS} // total) * total + {SHARDS - 1}) // {SHARDS})::bigint as slot, null::int as grown_shard from ranked
+"""
