@@ -194,6 +194,41 @@ def test_bpe_words_and_joints():
     assert bpe.assemble(own, text, known) == whole.encode(text, add_special_tokens=False).ids
 
 
+@pytest.mark.parametrize("name", ["word_bpe_49k.json", "byte_bpe_50k.json"])
+def test_bpe_repairs_joints(name):
+    """Texts put together from stretches that are cut anywhere, against the whole library call."""
+    import public_tokenizers
+    from tokenizers import Tokenizer
+
+    path = public_tokenizers.path(name)
+    whole, own = Tokenizer.from_file(path), bpe.Encoder(path)
+    repaired = 0
+    for _ in range(60):
+        text = "".join(rng.choice(["Some", "words", " ", "  ", "\n", "\n\n", " \n ", "it's", "...", "été", "12345", " a", "\t"]) for _ in range(120))
+        data = text.encode()
+        ends = sorted(i for i in rng.sample(range(len(data) + 1), 12) if i == len(data) or data[i] & 0xC0 != 0x80)
+        known = [(a, b, own.encode(data[a:b].decode())) for a, b in zip(ends[::2], ends[1::2], strict=False)]
+        ids = whole.encode(text, add_special_tokens=False).ids
+        assert bpe.assemble(own, text, known) == ids
+        parts = [0, *(i for k in known for i in k[:2]), len(data)]
+        apart = [t for a, b in zip(parts, parts[1:], strict=False) for t in whole.encode(data[a:b].decode(), add_special_tokens=False).ids]
+        repaired += apart != ids
+    assert repaired > 30
+
+
+def test_bpe_other_tokenizer(spark):
+    import public_tokenizers
+    from tokenizers import Tokenizer
+
+    path = public_tokenizers.path("byte_bpe_50k.json")
+    whole = Tokenizer.from_file(path)
+    passage = prose(1500)
+    texts = [f"{prose(30)}\n{passage}  {prose(20)}" for _ in range(6)] + ["", None, " \n"]
+    for i, r in found(bpe.encode_documents(table(spark, texts), path)).items():
+        ids = whole.encode(texts[i] or "", add_special_tokens=False).ids
+        assert (r["ids"], r["decoded"]) == (ids, whole.decode(ids, skip_special_tokens=False))
+
+
 # 4 top-k
 
 
@@ -212,6 +247,36 @@ def test_top_k(spark):
     assert topk.top_k(df.limit(0), df.limit(0)).count() == 0
 
 
+def test_top_k_beyond_one_block(spark, monkeypatch):
+    gen = np.random.default_rng(6)
+    monkeypatch.setattr(topk, "BLOCK", 7)
+    monkeypatch.setattr(topk, "BROADCAST_BYTES", 0)
+    df = spark.createDataFrame([(i, gen.normal(size=6 + i % 2).tolist()) for i in range(400)], "vec_id long, embedding array<double>")
+    whole = {r["vec_id"]: np.floor(np.array(r["embedding"]) * 256).astype(int) for r in df.collect()}
+    got = collections.defaultdict(list)
+    for r in topk.top_k(df, df.where("vec_id % 10 = 0"), 3).orderBy("query_id", "rank").collect():
+        got[r["query_id"]].append((-r["score"], r["vec_id"]))
+    assert got == {q: sorted((-int(v @ w), i) for i, w in whole.items() if i != q and len(w) == len(v))[:3] for q, v in whole.items() if q % 10 == 0}
+
+
+def test_top_k_prunes():
+    gen = np.random.default_rng(7)
+    rows = gen.normal(size=(3000, 64))
+    rows = np.floor(256 * rows / np.linalg.norm(rows, axis=1)[:, None])
+    q = rows[::50]
+    own = topk._own(np.arange(0, 3000, 50), np.arange(3000))
+    qi, vi = topk.leaders(q, rows, own, 40)
+    assert len(qi) <= 4 * 40 * len(q)
+    scores = q @ rows.T
+    scores[own] = -np.inf
+    reached = np.zeros(scores.shape, bool)
+    reached[qi, vi] = True
+    cuts = np.sort(np.where(reached, scores, -np.inf), axis=1)[:, -5].astype(np.int64)
+    qi, vi, got, scored = topk.reaching(q, rows, cuts, own)
+    assert set(zip(qi, vi, strict=True)) == set(zip(*np.nonzero(scores >= cuts[:, None]), strict=True))
+    assert (got == scores[qi, vi]).all() and scored < 0.25 * scores.size
+
+
 # 5 PII
 
 PATTERNS = {
@@ -268,6 +333,55 @@ def test_pii_near_misses_stand_alone(text):
     assert pii.candidates(text + " -at)")[1] == pii.candidates(text)[1]
 
 
+def test_pii_parts_of_failed_matches():
+    text = "call +1 (269) 555-3296 4111 1111 1111 1111 2 or +1"
+    good, more = pii.candidates(text)
+    found = {(s[0], text[s[1] : s[2]]) for s in more}
+    assert not good and {("phone", "+1 (269) 555-3296"), ("card", "4111 1111 1111 1111")} <= found
+    pii.candidates("1 " * 50_000 + "+1 " * 50_000)
+
+
+def test_pii_added_spans(spark):
+    """Precision and recall of what the classifier adds, on planted spans that no base pattern gives."""
+    card = lambda: (c := "4" + "".join(rng.choice("0123456789") for _ in range(14))) + next(d for d in "0123456789" if pii.luhn(c + d))
+    phone = lambda: f"+1 ({rng.randint(100, 999)}) 555-{rng.randint(1000, 9999)}"
+    texts, planted = [], set()
+    for i in range(600):
+        parts, hidden = [prose(rng.randint(3, 20)) + "."], None
+        if i % 3 == 0:
+            parts += [rng.choice([phone, card, lambda: f"u{i}@mail.example.com", lambda: f"10.{i % 256}.7.9"])()]
+        elif i % 10 == 1:
+            hidden = [("phone", phone()), ("card", card())]
+            parts += [f"{hidden[0][1]} {hidden[1][1]}"]
+        elif i % 10 == 2:
+            parts += [rng.choice(["order " + "".join(rng.choice("0123456789") for _ in range(25)), "1 2 3 4 5 6 7 8 9 0 1 2 3 4 5 6 7 8 9 0 1", "+1 2 3 4 5 6 7", "300.300.1.1"])]
+        text = " ".join([*parts, prose(6)])
+        texts.append(text)
+        planted |= {(i, k, text.index(v), text.index(v) + len(v)) for k, v in hidden or ()}
+    got = pii.find_spans(table(spark, texts)).collect()
+    added = set()
+    for r in got:
+        extra = set(filter(None, r["spans"].split(","))) - set(filter(None, r["base"].split(",")))
+        added |= {(r["doc_id"], *(x if n == 0 else int(x) for n, x in enumerate(s.split(":")))) for s in extra}
+    assert len(planted) >= 80
+    assert len(added & planted) >= 0.95 * len(planted) and len(added & planted) >= 0.95 * len(added), [(s, texts[s[0]][s[2] : s[3]]) for s in added - planted]
+
+
+def test_pii_em_by_hand():
+    """Two labelers that agree and one at random: EM finds which are reliable."""
+    gen = np.random.default_rng(8)
+    truth = gen.random(4000) < 0.5
+    vote = lambda right: np.where(gen.random(4000) < right, np.where(truth, 1, -1), np.where(truth, -1, 1))
+    seen = np.stack([vote(0.95), vote(0.9), vote(0.5), vote(0.9), vote(0.9)], axis=1)
+    patterns, place, n = np.unique(seen, axis=0, return_inverse=True, return_counts=True)
+    p = pii.reliabilities(patterns, n.astype(float))
+    assert np.mean((p > 0.5)[place.ravel()] == truth) > 0.97
+    flipped = patterns.copy()
+    flipped[:, 2] *= -1
+    other = {tuple(r): x for r, x in zip(patterns, p, strict=True)}
+    assert all(abs(other[tuple(r)] - x) < 0.2 for r, x in zip(flipped, p, strict=True) if tuple(r) in other)
+
+
 def test_pii_reliabilities():
     votes = np.array([[1, 1, 1, 0, 1], [-1, -1, -1, -1, -1], [-1, 1, 1, 0, 1]])
     true = pii.reliabilities(votes, np.array([100.0, 100.0, 1.0]))
@@ -492,6 +606,36 @@ def test_shards(spark, docs):
     assert max(sizes) - min(sizes) <= 1
 
 
+def test_shards_follow_the_curve(spark):
+    """Ranks ascend along the curve, shards hold compact boxes, and a filter skips most of them."""
+    rows = [(i, "x" * rng.randint(0, 4000), rng.choice("abcd"), rng.choice("stuv"), 0) for i in range(3000)]
+    df = spark.createDataFrame(rows, SCHEMA)
+    sized = df.select("doc_id", F.length("text").alias("chars"), "source", "lang", F.crc32("text").alias("text_crc32"))
+    cuts = sharding.quantile_cuts(sized, ["chars", "source", "lang"])
+    level = lambda x, c: sum(x > k for k in c)
+    placed = {r["doc_id"]: (r["shard"], r["slot"]) for r in sharding.assign_shards(sized, ["chars", "source", "lang"]).collect()}
+    cells = {(level(len(t), cuts[0]), level(crc32(s.encode()), cuts[1]), level(crc32(la.encode()), cuts[2])) for _, t, la, s, _ in rows}
+    at = {tuple(r)[:3]: r["h"] for r in spark.createDataFrame(sorted(cells), "x int, y int, z int").withColumn("h", sharding.hilbert_index(["x", "y", "z"])).collect()}
+    in_order = sorted(rows, key=lambda r: placed[r[0]])
+    curve = [at[level(len(t), cuts[0]), level(crc32(s.encode()), cuts[1]), level(crc32(la.encode()), cuts[2])] for _, t, la, s, _ in in_order]
+    assert curve == sorted(curve)
+    read = sum(any(placed[i][0] == n and s == "t" and 1000 < len(t) < 1500 for i, t, _, s, _ in rows) for n in range(16))
+    boxes = collections.defaultdict(set)
+    for i, t, _, s, _ in rows:
+        boxes[placed[i][0]].add((s, len(t)))
+    kept = sum(any(s == "t" for s, _ in b) and min(n for _, n in b) < 1500 and max(n for _, n in b) > 1000 for b in boxes.values())
+    assert read <= kept <= 8
+
+
+def test_shards_match_duckdb(spark):
+    duckdb = pytest.importorskip("duckdb")
+    con = duckdb.connect()
+    con.execute(f"create view documents as select * from '{SF}/documents.parquet'")
+    got = sharding.shard_documents(spark.read.parquet(f"{SF}/documents.parquet"))
+    expected = con.execute(f"select {', '.join(got.columns)} from ({sharding.ORACLE_SQL})").fetchall()
+    assert sorted(map(tuple, got.collect())) == sorted(expected)
+
+
 def test_written_shards(spark, docs, tmp_path):
     sharding.write_shards(docs, str(tmp_path / "out"), 4)
     back = spark.read.parquet(str(tmp_path / "out"))
