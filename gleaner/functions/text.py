@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import re
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 import pandas as pd
 from pyspark.sql import Column
@@ -86,22 +86,44 @@ def verses(text: Column, lines: int = 3) -> Column:
     separators alone is one line; a null or blank one gives the instrumental marker.
     """
     whole = strip(F.coalesce(text, F.lit("")))
-    found = sentences(whole)
-    parts = F.when(F.size(found) > 0, found).otherwise(F.array(whole))
-    last = F.element_at(parts, -1)
 
-    def lay(state: Column, s: Column) -> Column:
-        ends = (state["held"] + 1 >= lines) & (s != last)
-        following = F.concat(F.lit("[Verse "), (state["verse"] + 1).cast("string"), F.lit("]"))
+    def lay(found: Column) -> Column:
+        parts = F.when(F.size(found) > 0, found).otherwise(F.array(whole))
+        return _bound(parts, lambda p: _bound(_verse_ends(p, lines), lambda ends: _joined_verses(p, ends)))
+
+    laid = _bound(sentences(whole), lay)
+    return F.when(whole == "", F.lit("[Verse 1]\n[Instrumental / No Speech Detected]")).otherwise(laid)
+
+
+def _bound(value: Column, use: Callable[[Column], Column]) -> Column:
+    """``use(value)`` with the value worked out once, even where lambdas read it again and again."""
+    return F.get(F.transform(F.array(value), use), F.lit(0))
+
+
+def _verse_ends(parts: Column, lines: int) -> Column:
+    """How many sentences lie before each break, ascending; only numbers are folded."""
+
+    def step(state: Column, s: Column) -> Column:
+        at = state["at"] + 1
+        ends = (at - state["last"] >= lines) & (s != F.element_at(parts, -1))
         return F.struct(
-            F.concat(state["out"], F.when(ends, F.array(s, F.lit(""), following)).otherwise(F.array(s))).alias("out"),
-            F.when(ends, 0).otherwise(state["held"] + 1).alias("held"),
-            F.when(ends, state["verse"] + 1).otherwise(state["verse"]).alias("verse"),
+            at.alias("at"),
+            F.when(ends, at).otherwise(state["last"]).alias("last"),
+            F.when(ends, F.concat(state["ends"], F.array(at))).otherwise(state["ends"]).alias("ends"),
         )
 
-    start = F.struct(F.array(F.lit("[Verse 1]")).alias("out"), F.lit(0).alias("held"), F.lit(1).alias("verse"))
-    laid = F.array_join(F.aggregate(parts, start, lay, lambda state: state["out"]), "\n")
-    return F.when(whole == "", F.lit("[Verse 1]\n[Instrumental / No Speech Detected]")).otherwise(laid)
+    start = F.struct(F.lit(0).alias("at"), F.lit(0).alias("last"), F.array().cast("array<int>").alias("ends"))
+    return F.aggregate(parts, start, step, lambda state: state["ends"])
+
+
+def _joined_verses(parts: Column, ends: Column) -> Column:
+    def verse(k: Column) -> Column:
+        first = F.when(k > 0, F.get(ends, k - 1)).otherwise(0)
+        behind = F.coalesce(F.get(ends, k), F.size(parts))
+        head = F.concat(F.lit("[Verse "), (k + 1).cast("string"), F.lit("]\n"))
+        return F.concat(head, F.array_join(F.slice(parts, first + 1, behind - first), "\n"))
+
+    return F.array_join(F.transform(F.sequence(F.lit(0), F.size(ends)), verse), "\n\n")
 
 
 def lyrics_file(title: Column, artist: Column, slug: Column, source: Column, text: Column) -> Column:

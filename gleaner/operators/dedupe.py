@@ -11,44 +11,115 @@ from ..functions.scoring import hamming_similarity
 
 
 def _checkpoint(df: DataFrame) -> DataFrame:
+    """A checkpoint in the folder of ``spark.checkpoint.dir``; a private one is made for local masters alone."""
     sc = df.sparkSession.sparkContext
     if sc.getCheckpointDir() is None:
-        sc.setCheckpointDir(df.sparkSession.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="gleaner-"))
+        folder = df.sparkSession.conf.get("spark.checkpoint.dir", None)
+        if not folder and not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that driver and executors share")
+        sc.setCheckpointDir(folder or tempfile.mkdtemp(prefix="gleaner-"))
     return df.checkpoint()
 
 
-def similar_pairs(prints: DataFrame, words: int, threshold: float) -> DataFrame:
-    """(ord, other, similarity) of earlier ``other`` within the threshold, for ``prints(ord, fp)``.
+def _blocks(prints: DataFrame, words: int, threshold: float) -> DataFrame:
+    """(block, value, id) for prints of at least ``words`` words, over their first ``words``.
 
-    ``fp`` holds ``words`` 32-bit words. Within the threshold at most k bits differ, so of k + 1
-    blocks of bits one at least is equal: pairs meet on (block, its bits) and are verified.
+    At most k bits may differ, so of k + 1 blocks of bits one at least is equal.
     """
     bits = 32 * words
     k = int((1 - threshold) * bits + 1e-9)
     edges = [i * bits // (k + 1) for i in range(k + 2)]
-    text = F.array_join(F.transform("fp", lambda x: F.lpad(F.conv(x.bitwiseAND(F.lit(0xFFFFFFFF)).cast("string"), 10, 2), 32, "0")), "")
+    word = lambda x: F.lpad(F.conv(x.bitwiseAND(F.lit(0xFFFFFFFF)).cast("string"), 10, 2), 32, "0")
+    rows = prints.withColumn("_bits", F.array_join(F.transform(F.slice("fp", 1, words), word), ""))
     blocks = F.array(*(F.substring("_bits", a + 1, b - a) for a, b in zip(edges, edges[1:], strict=False)))
-    rows = prints.withColumn("_bits", text).select("ord", "fp", F.posexplode(blocks).alias("block", "value"))
-    other = rows.select("block", "value", F.col("ord").alias("other"), F.col("fp").alias("other_fp"))
-    met = rows.join(other, ["block", "value"]).where("other < ord").select("ord", "other", "fp", "other_fp")
-    near = met.withColumn("similarity", hamming_similarity(F.col("fp"), F.col("other_fp"))).where(F.col("similarity") >= threshold)
-    return near.select("ord", "other", "similarity").distinct()
+    return rows.select("id", F.size("fp").alias("size"), F.posexplode(blocks).alias("block", "value"))
 
 
-def any_earlier(pairs: DataFrame) -> DataFrame:
-    """(ord, duplicate_of, similarity): the best earlier neighbour, whether that was kept or not."""
+def similar_prints(prints: DataFrame, threshold: float) -> DataFrame:
+    """(a, b, similarity), a before b, of distinct prints ``(id, fp)`` within the threshold.
+
+    Prints are compared over their common prefix. So for every length that occurs, prints of that
+    length meet those that are as long or longer, on blocks of that prefix. Only ids travel; a
+    pair is made once and then verified on its prints.
+    """
+    sizes = sorted(r["n"] for r in prints.select(F.size("fp").alias("n")).where("n > 0").distinct().collect())  # lengths, not rows
+    met = None
+    for n in sizes:
+        blocks = _checkpoint(_blocks(prints.where(F.size("fp") >= n), n, threshold))
+        other = blocks.select("block", "value", F.col("id").alias("other"))
+        pairs = blocks.where(F.col("size") == n).join(other, ["block", "value"]).where("id <> other")
+        pairs = pairs.select(F.least("id", "other").alias("a"), F.greatest("id", "other").alias("b")).distinct()
+        met = pairs if met is None else met.unionByName(pairs)
+    if met is None:
+        return prints.select(F.col("id").alias("a"), F.col("id").alias("b"), F.lit(0.0).alias("similarity")).limit(0)
+    left = prints.select(F.col("id").alias("a"), F.col("fp").alias("fp_a"))
+    right = prints.select(F.col("id").alias("b"), F.col("fp").alias("fp_b"))
+    both = met.distinct().join(left, "a").join(right, "b")
+    near = both.withColumn("similarity", hamming_similarity(F.col("fp_a"), F.col("fp_b"))).where(F.col("similarity") >= threshold)
+    return near.select("a", "b", "similarity")
+
+
+def _distinct_prints(prints: DataFrame) -> DataFrame:
+    """(id, fp) once for each print; the id is the first ``ord`` that has it."""
+    return prints.where(F.size("fp") > 0).groupBy("fp").agg(F.min("ord").alias("id")).select("id", "fp")
+
+
+def similar_pairs(prints: DataFrame, threshold: float) -> DataFrame:
+    """(ord, other, similarity) of every earlier ``other`` within the threshold, for ``prints(ord, fp)``.
+
+    All pairs are the result here, so copies are paired too; ``any_earlier`` and ``greedy`` need none of that.
+    """
+    known = _checkpoint(_distinct_prints(prints))
+    near = _checkpoint(similar_prints(known, threshold))
+    own = known.select(F.col("id").alias("a"), F.col("id").alias("b"), F.lit(1.0).alias("similarity"))
+    both = near.unionByName(near.select(F.col("b").alias("a"), F.col("a").alias("b"), "similarity")).unionByName(own)
+    member = prints.join(known, "fp").select("id", "ord")
+    named = both.join(member.select(F.col("id").alias("a"), "ord"), "a").join(member.select(F.col("id").alias("b"), F.col("ord").alias("other")), "b")
+    return named.where("other < ord").select("ord", "other", "similarity")
+
+
+def _neighbours(prints: DataFrame, threshold: float) -> tuple[DataFrame, DataFrame]:
+    """Rows (ord, id) with the first row of their print, and (id, other, similarity) both ways."""
+    known = _checkpoint(_distinct_prints(prints))
+    near = _checkpoint(similar_prints(known, threshold)).select(F.col("a").alias("id"), F.col("b").alias("other"), "similarity")
+    both = near.unionByName(near.select(F.col("other").alias("id"), F.col("id").alias("other"), "similarity"))
+    return _checkpoint(prints.join(known, "fp").select("ord", "id")), both
+
+
+def _best(pairs: DataFrame) -> DataFrame:
+    """(ord, duplicate_of, similarity): the most similar ``other`` of each row, the first on ties."""
     best = F.max(F.struct("similarity", (-F.col("other")).alias("o")))
     return pairs.groupBy("ord").agg(best.alias("b")).select("ord", (-F.col("b.o")).alias("duplicate_of"), F.col("b.similarity"))
 
 
-def greedy(prints: DataFrame, pairs: DataFrame) -> DataFrame:
+def any_earlier(prints: DataFrame, threshold: float) -> DataFrame:
+    """(ord, duplicate_of, similarity): the best earlier neighbour, whether that was kept or not.
+
+    A copy's best is its first copy, or what that equals over a shorter length and comes before it;
+    so only first copies need their neighbours.
+    """
+    member, near = _neighbours(prints, threshold)
+    firsts = _best(near.where("other < id").select(F.col("id").alias("ord"), "other", "similarity"))
+    equal = firsts.where("similarity = 1").select(F.col("ord").alias("id"), F.col("duplicate_of").alias("before"))
+    copies = member.where("ord <> id").join(equal, "id", "left")
+    return firsts.unionByName(copies.select("ord", F.coalesce("before", "id").alias("duplicate_of"), F.lit(1.0).alias("similarity")))
+
+
+def greedy(prints: DataFrame, threshold: float, stored: DataFrame | None = None) -> DataFrame:
     """(ord, duplicate_of) where only kept rows block later ones; null for kept rows.
 
-    Rows without an undecided or kept earlier neighbour are kept, rows with a kept one dropped,
-    until none is undecided; each round is checkpointed. The result is that of one pass in order.
+    ``stored(ord, fp)`` are prints that were kept before, with orders below all others: they block and are not
+    part of the result. Copies follow their first copy. Rows without an undecided or kept
+    earlier neighbour are kept, rows with a kept one dropped, until none is undecided; each round
+    is checkpointed. The result is that of one pass in order. Rows without a print are kept.
     """
-    state = _checkpoint(prints.select("ord", F.lit(None).cast("boolean").alias("kept")))
-    edges = _checkpoint(pairs.select("ord", "other", "similarity"))
+    old = stored.select("ord", "fp", F.lit(True).alias("kept")) if stored is not None else None
+    rows = prints.select("ord", "fp", F.lit(None).cast("boolean").alias("kept"))
+    rows = rows if old is None else rows.unionByName(old)
+    member, near = _neighbours(rows, threshold)
+    edges = _checkpoint(near.where("other < id").select(F.col("id").alias("ord"), "other", "similarity"))
+    seeds = rows.where("kept").select("ord", "kept")
+    state = _checkpoint(member.where("ord = id").select("ord").join(seeds, "ord", "left"))
     while state.where("kept is null").limit(1).count():
         seen = edges.join(state.select(F.col("ord").alias("other"), F.col("kept").alias("other_kept")), "other")
         around = seen.groupBy("ord").agg(
@@ -66,9 +137,13 @@ def greedy(prints: DataFrame, pairs: DataFrame) -> DataFrame:
             )
         )
     kept = state.where("kept").select(F.col("ord").alias("other"))
-    reason = any_earlier(edges.join(kept, "other")).select("ord", "duplicate_of")
-    dropped = state.where("not kept").join(reason, "ord")
-    return state.where("kept").select("ord", F.lit(None).cast("long").alias("duplicate_of")).unionByName(dropped.select("ord", F.col("duplicate_of").cast("long")))
+    own = kept.select(F.col("other").alias("id"), "other", F.lit(1.0).alias("similarity"))
+    blockers = near.join(kept, "other").select("id", "other", "similarity").unionByName(own)
+    reason = _best(member.join(blockers, "id").where("other < ord").select("ord", "other", "similarity"))
+    found = member.select("ord").join(reason.select("ord", "duplicate_of"), "ord", "left")
+    bare = prints.where("fp is null or size(fp) = 0").select("ord", F.lit(None).cast("long").alias("duplicate_of"))
+    new = prints.select("ord") if old is None else prints.select("ord").join(old, "ord", "left_anti")
+    return found.select("ord", F.col("duplicate_of").cast("long")).unionByName(bare).join(new, "ord", "left_semi")
 
 
 def first_copies(rows: DataFrame, key: str, order: str) -> DataFrame:

@@ -256,12 +256,12 @@ def topk_contributors(spark, d):
     return discovery.top_contributors(t(spark, d, "lineitem"), "l_suppkey", "l_orderkey")
 
 
-@query("""with r as (select event_id, user_id as recording_id, event_id % 4 as rnd from events where event_id % 4 < 3),
+@query("""with r as (select event_id, user_id as recording_id, event_id % 3 as rnd from events),
   f as (select recording_id, min(rnd * 1000000000 + event_id) as k from r group by 1)
   select recording_id, (k % 1000000000)::bigint as ord, (k // 1000000000 + 1)::int as round from f where recording_id not in (select user_id from events where event_id < 20)""")
 def discovery_fixpoint(spark, d):
     events = t(spark, d, "events").select(F.col("user_id").alias("recording_id"), F.col("event_id").alias("ord"))
-    found = discovery.discover(lambda n, _: events.where(F.col("ord") % 4 == n - 1), events.where("ord < 20"))
+    found = discovery.discover(lambda n, _: events.where(F.col("ord") % 3 == n - 1), events.where("ord < 20"))
     return found.select("recording_id", "ord", "round")
 
 
@@ -316,18 +316,28 @@ def _prints(spark: SparkSession, d: str) -> DataFrame:
 
 @query(_PAIRS + "select ord, other, similarity from pairs")
 def hamming_pairs(spark, d):
-    return dedupe.similar_pairs(_prints(spark, d), 2, 0.70)
+    return dedupe.similar_pairs(_prints(spark, d), 0.70)
 
 
 @query(_PAIRS + """select ord, arg_max(other, (similarity, -other)) as duplicate_of, max(similarity) as similarity from pairs group by 1""")
 def dedupe_any_earlier(spark, d):
-    return dedupe.any_earlier(dedupe.similar_pairs(_prints(spark, d), 2, 0.70))
+    return dedupe.any_earlier(_prints(spark, d), 0.70)
 
 
-@query()
+# One pass in order: the state holds the orders that were kept; each step decides the next row.
+_GREEDY = _PAIRS + """, n as (select vec_id, row_number() over (order by vec_id) as i from embeddings),
+  near as (select n.i, n.vec_id, list(p.other) as others, list(p.similarity) as sims from n left join pairs p on p.ord = n.vec_id group by 1, 2),
+  pass as (select 0 as i, []::bigint[] as kept union all
+    select near.i, case when len(list_intersect(kept, others)) > 0 then kept else list_append(kept, near.vec_id) end
+    from pass join near on near.i = pass.i + 1),
+  last as (select kept from pass order by i desc limit 1)
+  select n.vec_id as ord, arg_max(p.other, (p.similarity, -p.other)) filter (list_contains(kept, p.other)) as duplicate_of
+  from n cross join last left join pairs p on p.ord = n.vec_id group by 1"""
+
+
+@query(_GREEDY)
 def dedupe_greedy(spark, d):
-    prints = _prints(spark, d)
-    return dedupe.greedy(prints, dedupe.similar_pairs(prints, 2, 0.70))
+    return dedupe.greedy(_prints(spark, d), 0.70)
 
 
 @query("select min(doc_id) as doc_id, count(*) as copies, md5(text) as digest from documents group by text")

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -16,10 +17,32 @@ def last_by_key(rows: DataFrame, key: str, order: str) -> DataFrame:
 
 
 def _lines(spark: SparkSession, path: str, schema: str) -> DataFrame:
-    """Parsed lines with ``line``; blank, broken and id-less ones are skipped."""
-    text = spark.read.text(path).select("value", F.input_file_name().alias("f"), F.monotonically_increasing_id().alias("line"))
-    parsed = text.where(F.trim("value").startswith("{")).select(F.from_json("value", schema).alias("r"), "line")
-    return parsed.select("r.*", "line").where("recording_id is not null and recording_id <> ''")
+    """Parsed lines with ``line``, their place in the order of appends; broken and id-less ones are skipped.
+
+    Lines that were appended here carry the number of their append and of their row. Files from
+    elsewhere are ordered by their time of change, then by offset, before all numbered lines.
+    """
+    text = spark.read.text(path).select(
+        "value", F.col("_metadata.file_modification_time").alias("t"), F.col("_metadata.file_path").alias("f"), F.monotonically_increasing_id().alias("n")
+    )
+    parsed = text.where(F.trim("value").startswith("{")).select(F.from_json("value", f"{schema}, append bigint, row bigint").alias("r"), "t", "f", "n")
+    known = parsed.where("r.recording_id is not null and r.recording_id <> ''")
+    foreign = F.struct(F.lit(-1).cast("long").alias("append"), F.col("t"), F.col("f"), F.col("n").alias("row"))
+    own = F.struct(F.col("r.append").alias("append"), F.lit(None).cast("timestamp").alias("t"), F.lit("").alias("f"), F.col("r.row").alias("row"))
+    return known.select("r.*", F.when(F.col("r.append").isNull(), foreign).otherwise(own).alias("line")).drop("append", "row")
+
+
+def _append(rows: DataFrame, path: str, schema: str) -> None:
+    """Write rows numbered after every append before; their own order is that of the table."""
+    spark = rows.sparkSession
+    try:
+        last = spark.read.schema(f"{schema}, append bigint, row bigint").json(path).agg(F.max("append")).first()[0]
+    except AnalysisException as missing:
+        if missing.getCondition() != "PATH_NOT_FOUND":
+            raise
+        last = None
+    numbered = rows.withColumns({"append": F.lit((last or 0) + 1), "row": F.monotonically_increasing_id()})
+    numbered.write.mode("append").json(path)
 
 
 def read_run_log(spark: SparkSession, path: str) -> DataFrame:
@@ -28,20 +51,33 @@ def read_run_log(spark: SparkSession, path: str) -> DataFrame:
 
 
 def append_run_log(records: DataFrame, path: str) -> None:
-    stamped = records.withColumn("ts", F.date_format(F.current_timestamp(), "yyyy-MM-dd'T'HH:mm:ss"))
-    stamped.write.mode("append").json(path)
+    """Add records; one writer at a time, as appends are numbered."""
+    _append(records.withColumn("ts", F.date_format(F.current_timestamp(), "yyyy-MM-dd'T'HH:mm:ss")), path, RECORD)
 
 
 def read_fingerprints(spark: SparkSession, path: str) -> DataFrame:
+    """The last stored print of each recording, empty ones left out."""
     rows = last_by_key(_lines(spark, path, PRINT), "recording_id", "line").drop("line")
     return rows.where(F.size("fingerprint") > 0)
 
 
-def append_fingerprints(new: DataFrame, path: str, known: DataFrame | None = None) -> None:
-    """Unlike a read, an append keeps what is known: ids already stored are left out."""
-    rows = new.dropDuplicates(["recording_id"])
-    rows = rows.join(known, "recording_id", "left_anti") if known is not None else rows
-    rows.select("recording_id", "duration", "fingerprint").write.mode("append").json(path)
+def append_fingerprints(new: DataFrame, path: str, order: str | None = None) -> None:
+    """Unlike a read, an append keeps what is known: ids in the store are left out.
+
+    Of new rows that share an id the first by ``order`` is kept; without one, the first by duration and print.
+    """
+    spark = new.sparkSession
+    place = [order] if order else ["duration", "fingerprint"]
+    first = Window.partitionBy("recording_id").orderBy(*place)
+    rows = new.withColumn("_n", F.row_number().over(first)).where("_n = 1")
+    try:
+        known = _lines(spark, path, PRINT).select("recording_id").distinct()
+    except AnalysisException as missing:
+        if missing.getCondition() != "PATH_NOT_FOUND":
+            raise
+    else:
+        rows = rows.join(known, "recording_id", "left_anti")
+    _append(rows.select("recording_id", "duration", "fingerprint"), path, PRINT)
 
 
 def unprocessed(candidates: DataFrame, log: DataFrame) -> DataFrame:

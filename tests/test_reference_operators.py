@@ -118,7 +118,7 @@ def test_greedy_matches_one_pass(spark):
     base = rng.integers(0, 1 << 32, 12)
     prints = [[int(base[i % 12]) ^ int(sum(1 << b for b in rng.choice(32, rng.integers(0, 5), replace=False)))] for i in range(90)]
     df = spark.createDataFrame([(i, p) for i, p in enumerate(prints)], "ord long, fp array<bigint>")
-    pairs = dedupe.similar_pairs(df, 1, 0.85)
+    pairs = dedupe.similar_pairs(df, 0.85)
     sim = lambda a, b: 1 - (a[0] ^ b[0]).bit_count() / 32
     expected, kept = {}, []
     for i, p in enumerate(prints):
@@ -126,11 +126,87 @@ def test_greedy_matches_one_pass(spark):
         expected[i] = -best[1] if best[0] >= 0.85 else None
         if expected[i] is None:
             kept.append(i)
-    assert {r[0]: r[1] for r in dedupe.greedy(df, pairs).collect()} == expected
+    assert {r[0]: r[1] for r in dedupe.greedy(df, 0.85).collect()} == expected
     brute = {(i, j) for i in range(90) for j in range(i) if sim(prints[i], prints[j]) >= 0.85}
     assert {(r[0], r[1]) for r in pairs.collect()} == brute
 
 
+def similarity(a, b):
+    n = min(len(a), len(b))
+    return 1 - sum(((x ^ y) & 0xFFFFFFFF).bit_count() for x, y in zip(a, b, strict=False)) / (32 * n) if n else 0.0
+
+
+def test_prints_of_unequal_length(spark):
+    rng = np.random.default_rng(9)
+    base = [rng.integers(0, 1 << 32, 4) for _ in range(5)]
+    prints = [[0, 123456], [0b10101]]
+    for i in range(70):
+        p = [int(w) for w in base[i % 5][: rng.integers(0, 5)]]
+        prints.append([w ^ int(sum(1 << b for b in rng.choice(32, rng.integers(0, 4), replace=False))) for w in p] if i % 3 else p)
+    df = spark.createDataFrame(list(enumerate(prints)), "ord long, fp array<bigint>")
+    brute = {(i, j): similarity(prints[i], prints[j]) for i in range(len(prints)) for j in range(i)}
+    near = {k: v for k, v in brute.items() if v >= 0.9}
+    assert {(r["ord"], r["other"]): r["similarity"] for r in dedupe.similar_pairs(df, 0.9).collect()} == pytest.approx(near)
+    assert (1, 0) in near
+    best = {i: max((v, -j) for (k, j), v in near.items() if k == i) for i in {k for k, _ in near}}
+    assert {r["ord"]: (r["similarity"], -r["duplicate_of"]) for r in dedupe.any_earlier(df, 0.9).collect()} == best
+    for cut in (0, 20):  # the first rows that a pass keeps are the store of the next one
+        kept, expected = [], {}
+        for i in range(len(prints)):
+            blockers = [(brute[i, k], -k) for k in kept if brute[i, k] >= 0.9]
+            expected[i] = -max(blockers)[1] if blockers else None
+            kept += [] if blockers else [i]
+        stored = df.where(F.col("ord").isin([k for k in kept if k < cut])) if cut else None
+        got = dedupe.greedy(df.where(F.col("ord") >= cut), 0.9, stored)
+        assert {r["ord"]: r["duplicate_of"] for r in got.collect()} == {i: v for i, v in expected.items() if i >= cut}
+
+
+def test_run_log_keeps_the_last_append(spark, tmp_path):
+    log = str(tmp_path / "log")
+    schema = "recording_id string, decision string"
+    runlog.append_run_log(spark.createDataFrame([("a", "REJECT")], schema), log)
+    many = spark.createDataFrame([(f"x{i}", "REVIEW") for i in range(20_000)] + [("a", "ACCEPT")], schema)
+    runlog.append_run_log(many.repartition(3), log)
+    assert runlog.read_run_log(spark, log).where("recording_id = 'a'").first()["decision"] == "ACCEPT"
+    runlog.append_run_log(spark.createDataFrame([("a", "REVIEW")], schema), log)
+    assert runlog.read_run_log(spark, log).where("recording_id = 'a'").first()["decision"] == "REVIEW"
+
+
+def test_fingerprint_store_keeps_the_first(spark, tmp_path):
+    store = str(tmp_path / "prints")
+    schema = "recording_id string, duration double, fingerprint array<bigint>, ord int"
+    runlog.append_fingerprints(spark.createDataFrame([("a", 2.0, [2], 1), ("a", 1.0, [1], 2)], schema), store, "ord")
+    runlog.append_fingerprints(spark.createDataFrame([("a", 9.0, [9], 1), ("b", 1.0, [3], 1)], schema), store, "ord")
+    assert rows(runlog.read_fingerprints(spark, store)) == [("a", 2.0, [2]), ("b", 1.0, [3])]
+
+
+def test_long_verses(spark):
+    one = [f"s{i % 7}" for i in range(10_000)]
+    got = spark.createDataFrame([(". ".join(one),)] * 8, "v string").select(text.verses(F.col("v"))).collect()
+    out, held, number = ["[Verse 1]"], 0, 1
+    for s in one:
+        out.append(s)
+        held += 1
+        if held >= 3 and s != one[-1]:
+            number, held = number + 1, 0
+            out += ["", f"[Verse {number}]"]
+    assert all(r[0] == "\n".join(out) for r in got)
+
+
+def test_noise_floor_and_rolloff_by_hand():
+    rate, n = 8000, 8000 * 4
+    y = np.sin(2 * np.pi * 1000 * np.arange(n) / rate) * np.linspace(0.01, 0.5, n)
+    got = dict(zip((f.split()[0] for f in audio.METRICS.split(",")), audio.metrics(y, rate, 1), strict=True))
+    rms = audio.frame_rms(y)
+    low, high = 20 * np.log10(np.percentile(rms, 5)), 20 * np.log10(np.percentile(rms, 95))
+    assert got["noise_floor"] == round(low, 2) and got["dynamic_range"] == round(high - low, 2)
+    assert abs(got["rolloff"] - 1000) < 40
+    frame = np.pad(y, 1024)[512 * 5 : 512 * 5 + 2048] * np.hanning(2049)[:-1]
+    below = np.cumsum(np.abs(np.fft.rfft(frame)))
+    assert audio.rolloffs(y, rate)[5] == np.flatnonzero(below >= 0.95 * below[-1])[0] * rate / 2048
+    assert len(audio.rolloffs(y, rate)) == len(rms)
+
+
 def test_discovery_stops_after_empty_rounds(spark):
     calls = []
 
@@ -167,7 +243,7 @@ def test_run_log(spark, tmp_path):
     store = str(tmp_path / "fp")
     fps = spark.createDataFrame([("a", 1.0, [1, 2]), ("e", 1.0, [])], "recording_id string, duration double, fingerprint array<bigint>")
     runlog.append_fingerprints(fps, store)
-    runlog.append_fingerprints(fps.withColumn("duration", F.lit(9.0)), store, fps)
+    runlog.append_fingerprints(fps.withColumn("duration", F.lit(9.0)), store)
     assert rows(runlog.read_fingerprints(spark, store)) == [("a", 1.0, [1, 2])]
 
 
