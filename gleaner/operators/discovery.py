@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..sources.search import Fetch, search
 from .dedupe import _checkpoint, first_copies
 
 
@@ -61,3 +62,30 @@ def discover(
         if empty >= patience or (limit and hits.count() >= limit):
             break
     return hits.orderBy("round", order).limit(limit) if limit else hits
+
+
+CHANNEL_LISTING = "https://www.youtube.com/channel/%s/videos"
+
+
+def search_rounds(
+    queries: DataFrame, fetch: Fetch, seen: DataFrame, most: int = 100, channels: int = 5, channel_most: int = 300,
+    listing: str = CHANNEL_LISTING, max_rounds: int = 3, patience: int = 2, limit: int = 0,
+) -> DataFrame:
+    """Hits of ``queries(query, source_ord)`` over rounds; from the second on, of the best channels so far as well.
+
+    Channels (ids that begin with UC) are ranked by hits, the one seen first on ties, and their listings are searched
+    after all queries. ``place`` is (source, hit), the order inside a round.
+    """
+    asked = queries.select("query", F.col("source_ord").cast("int").alias("source_ord"), F.lit(most).alias("most"))
+
+    def fetch_round(n: int, hits: DataFrame) -> DataFrame:
+        sources = asked
+        if n > 1 and channels:
+            known = hits.withColumn("channel_id", F.trim("channel_id")).where("channel_id like 'UC%'")
+            best = top_contributors(known.withColumn("first", F.struct("round", "place")), "channel_id", "first", channels)
+            ranked = best.withColumn("source_ord", F.row_number().over(Window.orderBy(F.desc("hits"), "first_seen")))  # a few rows
+            after = F.lit(1 << 30) + F.col("source_ord")
+            sources = asked.unionByName(ranked.select(F.format_string(listing, "channel_id").alias("query"), after.alias("source_ord"), F.lit(channel_most).alias("most")))
+        return search(sources, fetch).withColumn("place", F.struct("source_ord", "hit_ord"))
+
+    return discover(fetch_round, seen, "recording_id", "place", max_rounds, patience, limit)

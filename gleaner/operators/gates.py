@@ -6,7 +6,7 @@ decides, so every gate is one CASE expression, evaluated in the JVM in one pass.
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass, field
 
 from pyspark.sql import Column, DataFrame
@@ -15,10 +15,25 @@ from pyspark.sql import functions as F
 from ..functions.scoring import clamp01, first_of, weighted_mean, worst_of
 from ..functions.text import has_script, has_term
 from ..sources.settings import Settings
+from .dedupe import _checkpoint
 
 REJECT, REVIEW, PASS, ACCEPT = "REJECT", "REVIEW", "PASS", "ACCEPT"
 
 
+def gate_result(stage: str, code: Column | None = None, review: Column | None = None, score: Column | None = None) -> Column:
+    """A gate's audit row. REJECT stands exactly where there is a code, so neither comes without the other; a rejecting
+    gate has no score. A review flag lets the row pass."""
+    none = F.lit(None)
+    code = (none if code is None else code).cast("string")
+    flagged = F.coalesce(F.lit(False) if review is None else review, F.lit(False))
+    return F.struct(
+        F.lit(stage).alias("stage"),
+        F.when(code.isNotNull(), REJECT).when(flagged, REVIEW).otherwise(PASS).alias("decision"),
+        code.alias("rejection_code"),
+        F.when(code.isNull(), (none if score is None else score).cast("double")).alias("score"),
+    )
+
+
 @dataclass(frozen=True)
 class TextRules:
     """Patterns of the text gate; order of ``exclusions`` is the order of their codes."""
@@ -130,6 +145,24 @@ def parent_decisions(parts: DataFrame, parent: str) -> DataFrame:
     )
 
 
+def quality_override(m: Mapping[str, Column], limits: Mapping[str, float] = QUALITY_LIMITS) -> Column:
+    """Code of a composite that is too low though no limit is broken: of seven metrics the one furthest over its limit.
+
+    The order decides ties. A metric that is not known counts as a good one.
+    """
+    over = lambda k, good: F.coalesce(m[k], F.lit(good)) - limits[k]
+    under = lambda k, good: limits[k] - F.coalesce(m[k], F.lit(good))
+    return override_code([
+        (over("silence", 0.0), "MOSTLY_SILENT"),
+        (over("clipping", 0.0), "EXCESSIVE_CLIPPING"),
+        (under("snr", 99.0), "VERY_LOW_SNR"),
+        (over("noise_floor", -99.0), "EXCESSIVE_NOISE"),
+        (under("dynamic_range", 99.0), "SEVERE_DISTORTION"),
+        (over("dropout", 0.0), "AUDIO_DROPOUT"),
+        (under("rolloff", 99999.0), "LOW_BANDWIDTH"),
+    ])
+
+
 def override_code(excess: Sequence[tuple[Column, str]]) -> Column:
     """Code of the metric furthest over its limit, in raw units; the first listed wins ties."""
     return F.coalesce(worst_of(excess), F.lit("SEVERE_DISTORTION"))
@@ -201,15 +234,31 @@ def fold_decisions(results: DataFrame, key: str, order: str) -> DataFrame:
     )
 
 
-def run_chain(candidates: DataFrame, gates: Sequence[tuple[str, object]]) -> DataFrame:
-    """Apply gates in turn to survivors only; each is (stage, function of a DataFrame giving it a
-    ``code`` column). Rejected rows leave the chain, so a later model never sees them."""
-    alive, gone = candidates, []
+def decision_counts(rows: DataFrame, category: str) -> DataFrame:
+    """A row a category with its number of each decision."""
+    return rows.groupBy(category).agg(*(F.count_if(F.col("decision") == x).alias(x.lower()) for x in (ACCEPT, REVIEW, REJECT)))
+
+
+def run_chain(candidates: DataFrame, gates: Sequence[tuple[str, Column | Callable[[DataFrame], DataFrame]]]) -> DataFrame:
+    """Apply gates in turn to survivors only; adds the ``stage`` that rejected a row (``DONE``: none) and its ``code``.
+
+    Each gate is (stage, code column) or (stage, function of a DataFrame giving it a ``code`` column). Columns are part of
+    one plan. Before a function the rows are written, so that it sees survivors alone and nothing before it runs again.
+    """
+    none = F.lit(None).cast("string")
+    rows = candidates.withColumns({"stage": none, "code": none})
+    started = False
     for stage, gate in gates:
-        seen = gate(alive)
-        gone.append(seen.where("code is not null").select(*candidates.columns, F.lit(stage).alias("stage"), "code"))
-        alive = seen.where("code is null").drop("code")
-    done = alive.select(*candidates.columns, F.lit("DONE").alias("stage"), F.lit(None).cast("string").alias("code"))
-    for g in gone:
-        done = done.unionByName(g)
-    return done
+        if isinstance(gate, Column):
+            hit = rows.withColumn("_hit", F.when(F.col("stage").isNull(), gate))
+            rows = hit.withColumns(
+                {"stage": F.coalesce("stage", F.when(F.col("_hit").isNotNull(), F.lit(stage))), "code": F.coalesce("code", "_hit")}
+            ).drop("_hit")
+        else:
+            rows = _checkpoint(rows) if started else rows
+            alive = candidates if not started else rows.where("stage is null").select(*candidates.columns)
+            seen = gate(alive).select(*candidates.columns, "code")
+            seen = seen.withColumn("stage", F.when(F.col("code").isNotNull(), F.lit(stage)))
+            rows = rows.where("stage is not null").unionByName(seen) if started else seen
+        started = True
+    return rows.withColumn("stage", F.coalesce("stage", F.lit("DONE"))).select(*candidates.columns, "stage", "code")

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..functions import scoring, text
-from ..operators import audio, dedupe, discovery, gates
+from ..operators import audio, chain, dedupe, discovery, gates, models, relevance
 from ..sources import settings, storage
 from ..sources.runlog import last_by_key
 from ..streaming import runlog as stream
@@ -532,3 +532,144 @@ def windowed_decisions(spark, d):
     """The streaming counts over a table that is read as a batch."""
     counted = stream.decision_counts(_run(spark, d))
     return counted.select(F.date_format("start", "yyyy-MM-dd HH:mm:ss").alias("hour"), "decision", F.col("count").alias("n"))
+
+
+@query(f"""select event_type, count(*) filter (decision = 'ACCEPT') as accept, count(*) filter (decision = 'REVIEW') as review,
+  count(*) filter (decision = 'REJECT') as reject from {_RUN} group by 1""")
+def category_decisions(spark, d):
+    return gates.decision_counts(_run(spark, d), "event_type")
+
+
+_OVER = [("n_chars % 50 / 100.0 - 0.45", "MOSTLY_SILENT"), ("n_chars % 6 / 100.0 - 0.05", "EXCESSIVE_CLIPPING"), ("5 - (4 + n_chars % 30)", "VERY_LOW_SNR"),
+         ("-60 + n_chars % 37 + 25", "EXCESSIVE_NOISE"), ("4 - (3 + n_chars % 40)", "SEVERE_DISTORTION"), ("n_chars % 12 / 100.0 - 0.1", "AUDIO_DROPOUT"),
+         ("3000 - (2900 + n_chars % 5000)", "LOW_BANDWIDTH")]
+_OVERRIDE = "list_sort([" + ", ".join(f"{{'d': -({x})::double, 'o': {i}, 'c': '{c}'}}" for i, (x, c) in enumerate(_OVER)) + "])[1].c"
+
+
+def _metrics() -> dict:
+    n = F.col("n_chars")
+    whole = {"duration": n / 10.0, "silence": n % 50 / 100.0, "clipping": n % 6 / 100.0, "dynamic_range": 3 + n % 40, "snr": 4 + n % 30,
+             "noise_floor": -60 + n % 37, "dropout": n % 12 / 100.0, "rolloff": 2900 + n % 5000, "sample_rate": F.lit(16000), "lufs": F.when(n % 9 > 0, -(n % 50))}
+    return {k: v.cast("double") for k, v in whole.items()}
+
+
+@query(f"select doc_id, {_OVERRIDE} as code from documents")
+def quality_override(spark, d):
+    return t(spark, d, "documents").select("doc_id", gates.quality_override(_metrics()).alias("code"))
+
+
+_BROKEN = """(n_chars % 50 = 0 or n_chars % 61 = 0 or n_chars % 45 = 0 or abs(n_chars / 10.0 - (n_chars / 10.0 + case when n_chars % 37 = 0 then 40 else 0.5 end)) >
+  greatest(1.0, 0.15 * (n_chars / 10.0)))"""
+
+
+def _probe() -> dict:
+    n = F.col("n_chars")
+    return {"exists": n % 50 != 0, "size": n % 61, "frames": F.when(n % 45 != 0, n), "has_stream": n >= 0, "container": n / 10.0,
+            "pcm": n / 10.0 + F.when(n % 37 == 0, 40.0).otherwise(0.5)}
+
+
+@query(f"select doc_id, case when {_BROKEN} then 'CORRUPT_AUDIO' end as code from documents")
+def integrity_gate(spark, d):
+    return t(spark, d, "documents").select("doc_id", gates.integrity_code(*_probe().values()).alias("code"))
+
+
+@query("""select page_id, case when page_id % 4 = 0 then '' else 't ' || page_id end as cleaned, case when page_id % 4 = 0 and page_id % 3 = 0 then 'fallback'
+  else trim((case when page_id % 4 = 0 then '' else 't ' || page_id end) || case when page_id % 3 = 0 then '' else ' [SONG]' end) end as evidence from pages""")
+def evidence_text(spark, d):
+    p = F.col("page_id")
+    title = F.when(p % 4 == 0, "").otherwise(F.concat(F.lit("t "), p.cast("string")))
+    label = F.when(p % 3 == 0, "UNKNOWN").otherwise("SONG")
+    return t(spark, d, "pages").select("page_id", title.alias("cleaned"), text.evidence(title, label, F.lit("fallback")).alias("evidence"))
+
+
+_second = models.batch_model(lambda: lambda ids: (ids % 100) / 100.0, "double")  # a stand-in for the second encoder
+
+
+@query(_COS + """, b as (select vec_id, case when abs(sim - 0.25) <= 0.06 then 0.5 * sim + 0.5 * ((vec_id % 100) / 100.0::double) else sim end as sim from s)
+  select vec_id, round(sim, 4) + 0.0 as score, case when sim >= 0.35 then 'PASS' when sim >= 0.25 then 'REVIEW' else 'REJECT' end as decision,
+    case when sim < 0.25 then 'NON_FOLK' end as rejection_code from b""")
+def relevance_gate(spark, d):
+    """The whole relevance gate; the second model is called in tasks, for vectors of the undecided band."""
+    s = _similarity(spark, d).withColumn("second", _second(relevance.undecided(F.col("sim")), F.col("vec_id")))
+    s = s.withColumn("sim", relevance.blend(F.col("sim"), F.col("second"))).withColumn("r", relevance.relevance_result(F.col("sim")))
+    score = F.coalesce("r.score", F.round("sim", 4)) + 0.0
+    return s.select("vec_id", score.alias("score"), "r.decision", "r.rejection_code")
+
+
+@query("""select case page_id % 3 when 0 then substr(md5(url), 1, 11) when 1 then substr(md5(url), 1, 11) else url end as recording_id, 'pages' as category_slug, '' as title
+  from pages""")
+def address_candidates(spark, d):
+    short = F.substring(F.md5("url"), 1, 11)
+    p = F.col("page_id") % 3
+    u = F.when(p == 0, F.concat(F.lit(" https://m.example/watch?v="), short)).when(p == 1, short).otherwise(F.col("url"))
+    return chain.address_candidates(t(spark, d, "pages").select(u.alias("url")), "pages").select("recording_id", "category_slug", "title")
+
+
+CHAIN_RULES = gates.TextRules(foreign_script="[ß]", foreign_terms=("eaux",), target_script="[éèêç]", context_terms=("the", "and", "de", "der", "a"),
+                              exclusions={"SPEECH": ("whether",), "NEWS": ("tion",)})
+_HEARD = "(code is null and quality >= 0.55)"
+# The gates in order up to the classifier; then one pass in order over the prints that get that far; then the final rules.
+_CHAIN = f"""with recursive labelled as (select doc_id from labels where quality = 1),
+  src as (select *, n_chars / 10.0::double as dur, 55 + n_chars % 45 as best from documents where doc_id not in (select doc_id from labelled)),
+  m as (select *, round(least(1, greatest(0, 1 - n_chars % 50 / 100.0 / 0.45)) * 0.18 + least(1, greatest(0, 1 - n_chars % 6 / 100.0 / 0.05)) * 0.14
+    + least(1, greatest(0, (4 + n_chars % 30 - 5) / 25.0)) * 0.18 + least(1, greatest(0, (-25 - (-60 + n_chars % 37)) / 30.0)) * 0.12
+    + least(1, greatest(0, (3 + n_chars % 40 - 4) / 36.0)) * 0.12 + least(1, greatest(0, 1 - n_chars % 12 / 100.0 / 0.1)) * 0.10
+    + least(1, greatest(0, (2900 + n_chars % 5000) / 8000.0)) * 0.10
+    + case when n_chars % 9 = 0 then 0.7 when -(n_chars % 50) between -45 and -4 then 1 else 0.4 end * 0.06, 4) as quality,
+    case when n_chars % 7 = 0 then null else (n_chars % 100) / 100.0::double end as sim, case when n_chars % 5 = 0 then null else (n_chars % 90) / 100.0::double end as mus,
+    (n_chars % 101) / 100.0::double as spe, (n_chars % 101) / 100.0::double as voc, {_OVERRIDE} as override from src),
+  g as (select *, case
+    when regexp_matches(text, '[ß]') or regexp_matches(lower(text), {_B('eaux')}) then 'metadata_gate:NON_FOLK'
+    when not regexp_matches(text, '[éèêç]') and not regexp_matches(lower(text), {_B('the|and|de|der|a')}) then 'metadata_gate:NON_FOLK'
+    when regexp_matches(lower(text), {_B('whether')}) and lang <> 'fr' then 'metadata_gate:SPEECH'
+    when regexp_matches(lower(text), {_B('tion')}) then 'metadata_gate:NEWS'
+    when best < 62 then 'metadata_gate:NON_FOLK'
+    when dur > 300 then 'metadata_gate:TOO_LONG' when n_chars > 0 and dur < 10 then 'metadata_gate:TOO_SHORT'
+    when {_BROKEN} then 'integrity_gate:CORRUPT_AUDIO'
+    when dur < 10 then 'quality_gate:TOO_SHORT' when n_chars % 50 > 45 then 'quality_gate:MOSTLY_SILENT' when n_chars % 40 < 1 then 'quality_gate:SEVERE_DISTORTION'
+    when n_chars % 30 < 1 then 'quality_gate:VERY_LOW_SNR' when -60 + n_chars % 37 > -25 then 'quality_gate:EXCESSIVE_NOISE' when n_chars % 12 > 10 then 'quality_gate:AUDIO_DROPOUT'
+    when n_chars % 5000 < 100 then 'quality_gate:LOW_BANDWIDTH' end as code from m),
+  h as (select * exclude (code, sim, mus, spe, voc), {_HEARD} as heard, case when {_HEARD} and sim < 0.25 then 'folk_relevance_gate:NON_FOLK' else code end as code,
+    case when {_HEARD} then sim end as sim, case when {_HEARD} then mus end as mus, case when {_HEARD} then spe end as spe, case when {_HEARD} then voc end as voc from g),
+  b as (select doc_id as vec_id, list_transform(embedding, lambda x: (x > 0)::int) as b from h join embeddings on vec_id = doc_id // 4 where heard and code is null),
+  pairs as (select x.vec_id as ord, y.vec_id as other from b x join b y on y.vec_id < x.vec_id
+    where 1 - list_sum(list_transform(range(1, 65), lambda i: xor(x.b[i], y.b[i]))) / 64.0::double >= 0.70),
+  n as (select vec_id, row_number() over (order by vec_id) as i from b),
+  near as (select n.i, n.vec_id, list(p.other) as others from n left join pairs p on p.ord = n.vec_id group by 1, 2),
+  pass as (select 0 as i, []::bigint[] as kept union all
+    select near.i, case when len(list_intersect(kept, others)) > 0 then kept else list_append(kept, near.vec_id) end from pass join near on near.i = pass.i + 1),
+  last as (select kept from pass order by i desc limit 1),
+  u as (select h.* exclude (code), case when code is null and doc_id in (select vec_id from b) and not list_contains(kept, doc_id)
+    then 'duplicate_gate:DUPLICATE_RECORDING' else code end as code from h cross join last),
+  f as (select *, case when code is null then {_SCORE.replace('relevance', 'sim').replace('music', 'mus').replace('speech', 'voc')} end as final_score,
+    case when mus >= 0.25 and mus >= spe then 'SONG' when spe >= 0.85 and spe > mus then 'SPEECH' when mus >= 0.25 and spe >= 0.25 then 'MIXED' else 'UNKNOWN' end as label from u),
+  z as (select *, case when code is not null then code when quality < 0.55 then 'final_scoring:' || override
+    when label = 'SPEECH' and coalesce(mus, 0) < 0.25 and (case when lang = 'fr' then spe > 0.92 else spe >= 0.85 end) then 'final_scoring:SPEECH'
+    when mus < 0.25 and sim < 0.4 then 'final_scoring:NON_SONG' when final_score < 0.4 and sim < 0.4 then 'final_scoring:NON_FOLK'
+    when final_score < 0.4 then 'final_scoring:NON_SONG' end as done from f)
+  select doc_id, coalesce(string_split(done, ':')[1], 'final_scoring') as stage, case when done is not null then 'REJECT'
+    when best < 70 or (heard and (sim is null or sim < 0.35)) or final_score < 0.5 then 'REVIEW' else 'ACCEPT' end as decision,
+    string_split(done, ':')[2] as rejection_code, final_score + 0.0 as final_score from z"""
+
+
+def _heard_signals(rows: DataFrame) -> DataFrame:
+    """Stand-ins for the models, over the length that the metrics hold."""
+    n = F.round(F.col("metrics.duration") * 10).cast("long")
+    return rows.withColumns({"music": F.when(n % 5 != 0, (n % 90) / 100.0), "speech": (n % 101) / 100.0, "vocal": (n % 101) / 100.0,
+                             "similarity": F.when(n % 7 != 0, (n % 100) / 100.0)})
+
+
+@query(_CHAIN)
+def candidate_chain(spark, d):
+    """The whole chain: documents that no log holds, every gate in order, duplicates among what gets that far, the final decision."""
+    log = t(spark, d, "labels").where("quality = 1").select(F.col("doc_id").alias("recording_id"))
+    prints = _prints(spark, d).withColumnRenamed("ord", "vec_id")
+    rows = t(spark, d, "documents").join(prints, F.expr("doc_id div 4 = vec_id"), "left").select(  # four documents share a print
+        F.col("doc_id").alias("recording_id"), F.col("source").alias("category_slug"), F.col("doc_id").alias("ord"), F.col("text").alias("raw"),
+        (F.col("lang") == "fr").alias("narration"), (55 + F.col("n_chars") % 45).cast("double").alias("best"), F.lit(1).alias("hits"),
+        (F.col("n_chars") / 10.0).alias("duration"), F.struct(*(v.alias(k) for k, v in _probe().items())).alias("probe"),
+        F.struct(*(v.alias(k) for k, v in _metrics().items())).alias("metrics"), "fp",
+    )
+    todo = chain.pending(rows, log, log.limit(0))
+    decided = chain.decide(todo, CHAIN_RULES, _heard_signals, s=settings.Settings(duplicate_similarity=0.70))
+    return decided.select(F.col("recording_id").alias("doc_id"), "stage", "decision", "rejection_code", (F.col("final_score") + 0.0).alias("final_score"))

@@ -14,6 +14,28 @@ CATEGORY_SCHEMA = """id int, folder_slug string, native_name string, english_nam
     search_queries map<string, array<string>>, reference_concepts array<string>, allow_spoken_narration boolean"""
 
 
+# The sections that a settings file must have, and where each setting stands in it.
+SECTIONS = (
+    "state_name", "device", "storage", "run_log", "workers", "retry", "search", "download", "audio", "metadata_gate", "quality_gate", "classifier",
+    "vad", "folk_relevance", "duplicate", "scoring", "transcription", "logging",
+)
+FILE_KEYS = {
+    "min_duration": ("audio", "minimum_duration_sec"),
+    "max_duration": ("audio", "maximum_duration_sec"),
+    "keyword_threshold": ("metadata_gate", "fuzzy_match_threshold"),
+    "keyword_review_margin": ("metadata_gate", "review_margin"),
+    "min_quality": ("quality_gate", "minimum_quality_score"),
+    "accept": ("scoring", "accept_threshold"),
+    "review": ("scoring", "review_threshold"),
+    "weights": ("scoring", "weights"),
+    "relevance_pass": ("folk_relevance", "accept_similarity"),
+    "relevance_review": ("folk_relevance", "review_similarity"),
+    "relevance_band": ("folk_relevance", "uncertain_band"),
+    "duplicate_similarity": ("duplicate", "fingerprint_similarity"),
+}
+WEIGHT_NAMES = {"folk_relevance": "relevance", "music_speech": "music", "vad": "vocal"}
+
+
 class SettingsError(ValueError):
     """A setting is missing or contradicts another."""
 
@@ -52,6 +74,25 @@ class Settings:
             raise SettingsError(f"unknown settings: {sorted(unknown)}")
         return cls(**given)
 
+    @classmethod
+    def from_file(cls, path: str) -> Settings:
+        """Settings of a YAML file by sections; every section of SECTIONS must be there, other keys keep their defaults."""
+        import yaml
+
+        with open(path, encoding="utf-8") as f:
+            given = yaml.safe_load(f)
+        if not isinstance(given, dict):
+            raise SettingsError("the file holds no sections")
+        missing = [name for name in SECTIONS if name not in given]
+        if missing:
+            raise SettingsError(f"missing sections: {missing}")
+        found: dict[str, Any] = {}
+        for name, (section, key) in FILE_KEYS.items():
+            value = (given[section] or {}).get(key)
+            if value is not None:
+                found[name] = {WEIGHT_NAMES.get(k, k): float(w) for k, w in value.items()} if name == "weights" else float(value)
+        return cls(**found)
+
 
 def categories(spark: SparkSession, rows: Iterable[Mapping[str, Any]]) -> DataFrame:
     """The category dimension; slugs are unique and the named fields required."""

@@ -8,7 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from gleaner.functions import scoring, text
-from gleaner.operators import audio, dedupe, discovery, gates
+from gleaner.operators import audio, chain, dedupe, discovery, gates, models, relevance
 from gleaner.plans import queries
 from gleaner.sources import retry, runlog, search, storage
 from gleaner.sources.settings import Settings, SettingsError, all_queries, categories, keywords, unknown_slugs
@@ -415,3 +415,197 @@ def test_category_terms(spark):
     assert got["k"] == ["N", "Oosal / Oonjal song, oosal", "Oosal", "Oonjal song", "q1"] and got["q"] == ["q1", "n", "q2"]
     candidates = spark.createDataFrame([("a", "s"), ("b", "x")], "recording_id string, category_slug string")
     assert [r[0] for r in unknown_slugs(candidates, known).select("recording_id").collect()] == ["b"]
+
+
+def test_chain_calls_each_gate_once(spark):
+    calls = {name: spark.sparkContext.accumulator(0) for name in ("two", "three", "five")}
+
+    def gate(name, k):
+        count = calls[name]
+
+        def run(batches):
+            for b in batches:
+                count.add(len(b))
+                yield b.assign(code=["X" if v % k == 0 else None for v in b["id"]])
+
+        return lambda df: df.mapInPandas(run, "id long, code string")
+
+    steps = [("two", gate("two", 2)), ("big", F.when(F.col("id") > 90, "BIG")), ("three", gate("three", 3)), ("five", gate("five", 5))]
+    out = {r["id"]: r["stage"] for r in gates.run_chain(spark.range(100), steps).collect()}
+    expected = {i: "two" if i % 2 == 0 else "big" if i > 90 else "three" if i % 3 == 0 else "five" if i % 5 == 0 else "DONE" for i in range(100)}
+    assert out == expected
+    assert {k: v.value for k, v in calls.items()} == {
+        "two": 100,
+        "three": sum(1 for s in expected.values() if s not in ("two", "big")),
+        "five": sum(1 for s in expected.values() if s in ("five", "DONE")),
+    }
+
+
+def test_gate_result_rejects_with_a_code_alone(spark):
+    df = spark.createDataFrame([("C", True, 0.5), (None, True, 0.5), (None, None, None)], "code string, review boolean, score double")
+    got = df.select(gates.gate_result("s", F.col("code"), F.col("review"), F.col("score")).alias("r")).collect()
+    assert [tuple(r["r"]) for r in got] == [("s", "REJECT", "C", None), ("s", "REVIEW", None, 0.5), ("s", "PASS", None, None)]
+
+
+def test_quality_override_ties_and_unknown_metrics(spark):
+    limits = {"silence": 0.5, "clipping": 0.5, "snr": 5.0, "noise_floor": -25.0, "dynamic_range": 4.0, "dropout": 0.5, "rolloff": 3000.0}
+    none = F.lit(None).cast("double")
+    known = {k: none for k in limits}
+    codes = spark.range(1).select(
+        gates.quality_override(known, limits), gates.quality_override({**known, "snr": F.lit(2.0), "dynamic_range": F.lit(1.0)}, limits)
+    ).first()
+    assert tuple(codes) == ("MOSTLY_SILENT", "VERY_LOW_SNR")
+
+
+def test_batch_model_asks_for_active_rows_only(spark):
+    asked = spark.sparkContext.accumulator(0)
+
+    def load():
+        def model(values):
+            if (values == 13).any():
+                raise ValueError("bad row")
+            asked.add(len(values))
+            return values * 2.0
+
+        return model
+
+    use = models.batch_model(load, "double")
+    out = spark.range(0, 40, numPartitions=2).withColumn("y", use(F.col("id") % 2 == 1, F.col("id")))
+    assert {r["id"]: r["y"] for r in out.where("id >= 0").collect()} == {i: 2.0 * i if i % 2 and i != 13 else None for i in range(40)}
+    assert asked.value == 19
+
+
+def test_relevance_concepts_and_band(spark):
+    df = spark.createDataFrame([([], "harvest"), (["x"], "harvest"), (None, "boat")], "c array<string>, e string")
+    got = [r[0] for r in df.select(relevance.concepts(F.col("c"), F.col("e"))).collect()]
+    assert got == [["Tamil folk harvest traditional song"], ["x"], ["Tamil folk boat traditional song"]]
+    refs = F.array(F.array(F.lit(1.0), F.lit(0.0)), F.array(F.lit(0.6), F.lit(0.8)))
+    none = F.expr("cast(null as array<double>)")
+    one = spark.range(1).select(
+        relevance.best_similarity(F.array(F.lit(0.0), F.lit(1.0)), refs), relevance.best_similarity(none, refs),
+        relevance.best_similarity(F.array(F.lit(1.0)), F.expr("cast(array() as array<array<double>>)")),
+    ).first()
+    assert tuple(one) == (0.8, None, 0.0)
+    sims = spark.createDataFrame([(0.24, 0.5), (0.5, 0.1), (0.24, None), (None, 0.9)], "a double, b double")
+    blended = [r[0] for r in sims.select(relevance.blend(F.col("a"), F.col("b"))).collect()]
+    assert blended == [pytest.approx(0.37), 0.5, 0.24, None]
+    assert sims.select(relevance.relevance_result(F.col("a")).alias("r")).first()["r"].rejection_code == "NON_FOLK"
+
+
+GOOD = {"duration": 60.0, "silence": 0.0, "clipping": 0.0, "dynamic_range": 30.0, "snr": 30.0, "noise_floor": -60.0, "dropout": 0.0, "rolloff": 8000.0,
+        "sample_rate": 44100.0, "lufs": -14.0}
+CANDIDATE = {"category_slug": "c", "raw": "tamil song", "narration": False, "best": 90.0, "hits": 1, "duration": 60.0,
+             "probe": {"exists": True, "size": 9, "frames": 9, "has_stream": True, "container": 60.0, "pcm": 60.0},
+             "metrics": GOOD, "fp": None, "music": 0.9, "speech": 0.1, "vocal": 0.8, "similarity": 0.6}
+CHAIN = """recording_id string, ord long, category_slug string, raw string, narration boolean, best double, hits int, duration double,
+    probe struct<exists: boolean, size: long, frames: long, has_stream: boolean, container: double, pcm: double>,
+    metrics struct<duration: double, silence: double, clipping: double, dynamic_range: double, snr: double, noise_floor: double, dropout: double, rolloff: double,
+      sample_rate: double, lufs: double>, fp array<bigint>, music double, speech double, vocal double, similarity double"""
+
+
+def test_candidates_meet_every_gate_in_order(spark):
+    weak = {**GOOD, "silence": 0.44, "clipping": 0.03, "snr": 6.0, "noise_floor": -26.0, "dynamic_range": 5.0}
+    cases = [
+        ({}, ("final_scoring", "ACCEPT", None, 8)),
+        ({"raw": "telugu tamil"}, ("metadata_gate", "REJECT", "NON_FOLK", 1)),
+        ({"best": 61.0}, ("metadata_gate", "REJECT", "NON_FOLK", 1)),
+        ({"best": 65.0}, ("final_scoring", "REVIEW", None, 8)),
+        ({"duration": 301.0}, ("metadata_gate", "REJECT", "TOO_LONG", 2)),
+        ({"duration": None}, ("final_scoring", "ACCEPT", None, 8)),
+        ({"probe": {**CANDIDATE["probe"], "frames": 0}}, ("integrity_gate", "REJECT", "CORRUPT_AUDIO", 3)),
+        ({"metrics": {**GOOD, "silence": 0.46}}, ("quality_gate", "REJECT", "MOSTLY_SILENT", 4)),
+        ({"metrics": weak, "similarity": 0.98}, ("final_scoring", "REJECT", "MOSTLY_SILENT", 5)),
+        ({"similarity": 0.2}, ("folk_relevance_gate", "REJECT", "NON_FOLK", 7)),
+        ({"similarity": None}, ("final_scoring", "REVIEW", None, 9)),
+        ({"similarity": 0.3}, ("final_scoring", "REVIEW", None, 9)),
+        ({"fp": [5]}, ("final_scoring", "ACCEPT", None, 9)),
+        ({"fp": [5]}, ("duplicate_gate", "REJECT", "DUPLICATE_RECORDING", 8)),
+        ({"fp": [99 << 20]}, ("duplicate_gate", "REJECT", "DUPLICATE_RECORDING", 8)),
+        ({"music": 0.1, "speech": 0.9}, ("final_scoring", "REJECT", "SPEECH", 9)),
+    ]
+    df = spark.createDataFrame([{**CANDIDATE, "recording_id": str(i), "ord": i, **x} for i, (x, _) in enumerate(cases)], CHAIN)
+    stored = spark.createDataFrame([(-1, [99 << 20])], "ord long, fp array<bigint>")
+    steps = {"metadata_gate": 2, "integrity_gate": 3, "quality_gate": 4, "folk_relevance_gate": 7, "duplicate_gate": 8}
+    heard = spark.sparkContext.accumulator(0)
+
+    def signals(rows):
+        def run(batches):
+            for b in batches:
+                heard.add(len(b))
+                yield b[["ord"]]
+
+        counted = rows.mapInPandas(run, "ord long")
+        return rows.join(counted, "ord").join(df.select("ord", *chain.HEARD), "ord")
+
+    bare = df.drop(*chain.HEARD)
+    for out in (chain.decide(df, RULES, stored=stored), chain.decide(bare, RULES, signals, stored)):
+        out = out.persist()
+        got = {r["recording_id"]: r for r in out.collect()}
+        for i, (x, (stage, decision, code, reached)) in enumerate(cases):
+            r = got[str(i)]
+            assert (r["stage"], r["decision"], r["rejection_code"]) == (stage, decision, code), (i, x, r)
+            assert [s["stage"] for s in r["results"]][-1] == stage
+            assert len(r["results"]) == (reached if stage in steps else 5 if x.get("metrics") is weak else 9)
+            assert (r["final_score"] is None) == (stage != "final_scoring")
+        assert rows(chain.new_prints(out)) == [("12", [5])]
+        out.unpersist()
+    assert heard.value == 10
+    none = chain.decide(df.limit(0), RULES, stored=stored)
+    assert none.count() == 0
+
+
+def test_pending_and_addresses(spark):
+    made = chain.address_candidates(spark.createDataFrame([(" https://x.example/watch?v=abcdefghijk",), ("abcdefghijl",)], "url string"), "c")
+    assert rows(made.select("recording_id", "category_slug", "title")) == [("abcdefghijk", "c", ""), ("abcdefghijl", "c", "")]
+    ids = lambda *x: spark.createDataFrame([(v,) for v in x], "recording_id string")
+    assert rows(chain.pending(ids("a", "b", "c"), ids("a"), ids("b"))) == [("c",)]
+
+
+def canned(query, most):
+    """A search for the data source test: named by module and function."""
+    return [{"id": f"{query}{i}"} for i in range(most + 5)]
+
+
+def test_search_rounds_expand_channels(spark):
+    asked = spark.sparkContext.accumulator(0)
+    tables = {"q": [{"id": "1", "channel_id": "UCa"}, {"id": "2", "channel_id": "UCb"}, {"id": "3", "channel_id": "UCb"}, {"id": "4", "channel_id": "zz"}],
+              "r": [{"id": "2"}, {"id": "5"}], "list/UCb": [{"id": "6"}, {"id": "1"}], "list/UCa": [{"id": "7"}], "list/zz": [{"id": "8"}]}
+
+    def fetch(query, most):
+        asked.add(1)
+        if query == "broken":
+            raise ValueError("no answer")
+        return tables[query]
+
+    queries_ = spark.createDataFrame([("q", 0), ("broken", 1), ("r", 2)], "query string, source_ord int")
+    seen = spark.createDataFrame([("3",)], "recording_id string")
+    found = discovery.search_rounds(queries_, lambda q, m: fetch(q, m), seen, channels=1, listing="list/%s")
+    assert [(r["recording_id"], r["round"]) for r in found.orderBy("round", "place").collect()] == [("1", 1), ("2", 1), ("4", 1), ("5", 1), ("7", 2)]
+    spark.dataSource.register(search.SearchSource)
+    df = spark.read.format("gleaner_search").option("queries", json.dumps(["a", "b"])).option("limit", "2").option("fetch", f"{__name__}:canned").load()
+    assert rows(df.select("recording_id")) == [("a0",), ("a1",), ("b0",), ("b1",)]
+
+
+def test_settings_file(tmp_path):
+    from gleaner.sources import settings
+
+    pytest.importorskip("yaml")
+    path = tmp_path / "s.yaml"
+    body = {k: {} for k in settings.SECTIONS} | {"scoring": {"accept_threshold": 0.6, "review_threshold": 0.3, "weights": {"quality": 0.7, "folk_relevance": 0.1, "music_speech": 0.1, "vad": 0.1}}}
+    path.write_text(json.dumps(body))  # JSON is YAML
+    s = Settings.from_file(str(path))
+    assert (s.accept, s.review, s.min_quality, s.weights["relevance"]) == (0.6, 0.3, 0.55, 0.1)
+    path.write_text(json.dumps({k: v for k, v in body.items() if k != "vad"}))
+    with pytest.raises(SettingsError, match="vad"):
+        Settings.from_file(str(path))
+    path.write_text(json.dumps(body | {"scoring": {"accept_threshold": 0.2}}))
+    with pytest.raises(SettingsError):
+        Settings.from_file(str(path))
+
+
+def test_seeded_order_and_decibels(spark):
+    ids = spark.range(50).select(F.col("id").cast("string").alias("v"))
+    order = lambda seed: [r[0] for r in ids.orderBy(discovery.seeded_order(F.col("v"), seed)).collect()]
+    assert order(1) == order(1) != order(2) and sorted(order(1)) == sorted(order(2))
+    got = [r[0] for r in spark.createDataFrame([(1.0,), (0.1,), (0.0,)], "x double").select(scoring.decibels(F.col("x"))).collect()]
+    assert got == pytest.approx([0.0, -20.0, -200.0])
