@@ -8,6 +8,9 @@ import uuid
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+BATCH_BYTES = 2 << 20
+_BATCH_SETTING, _BATCH_DEFAULT = "spark.sql.execution.arrow.maxBytesPerBatch", "67108864b"
+
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """Read one table through Spark only, so that any file system it knows will do."""
@@ -29,6 +32,16 @@ def shared_dir(spark: SparkSession) -> str:
     return sc.getCheckpointDir()
 
 
+def short_batches(spark: SparkSession) -> None:
+    """Have rows reach Python workers in Arrow batches of about ``BATCH_BYTES``.
+
+    Spark's own bound of 64 MB lets a worker, and the task that feeds it, hold a whole partition of texts
+    two or three times over. A bound that the session was given stays.
+    """
+    if spark.conf.get(_BATCH_SETTING) == _BATCH_DEFAULT:
+        spark.conf.set(_BATCH_SETTING, str(BATCH_BYTES))
+
+
 def materialize(df: DataFrame) -> DataFrame:
     """Write ``df`` as a Parquet table in the shared folder and read it back.
 
