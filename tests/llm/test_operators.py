@@ -675,3 +675,26 @@ def test_pipeline(spark):
         if name == "pii":
             assert not any(pii.base_spans(r["text"]) for r in seen.collect())
     assert sorted(map(tuple, corpus_pipeline.run(spark, SF).collect())) == sorted(map(tuple, seen.collect()))
+
+
+def test_pipeline_defined_cases(spark):
+    import corpus_pipeline
+
+    text = "one two three four five six seven"
+    kind = "doc_id long, text string, lang string, source string, n_chars long, extra string"
+    rows = [
+        (1, text, "en", "a", len(text), "x"), (1, text, "en", "a", len(text), "x"), (2, text, None, "a", len(text), None),
+        (3, None, "en", None, None, "y"), (None, text, "en", "a", len(text), "z"), (None, None, None, None, None, None),
+        (5, "mail to jo@example.com now please, all of you", "en", "a", 45, "x"),
+    ]
+    docs = spark.createDataFrame(rows, kind)
+    kept = corpus_pipeline.near_duplicates(spark, docs, SF)
+    assert sorted(map(tuple, kept.collect()), key=repr) == sorted([rows[0], *rows[3:]], key=repr)
+    masked = corpus_pipeline.personal_data(spark, kept, SF)
+    assert masked.columns == docs.columns
+    assert {r["text"] for r in masked.collect()} == {text, None, "mail to [EMAIL] now please, all of you"}
+    mixed = corpus_pipeline.mixing(spark, docs, SF)
+    assert mixed.columns == docs.columns and {tuple(r) for r in mixed.collect()} <= set(rows)
+    assert corpus_pipeline.encoding(spark, docs, SF).count() == len(rows)
+    for name, stage in corpus_pipeline.STAGES[1:]:
+        assert stage(spark, docs.limit(0), SF).count() == 0, name
