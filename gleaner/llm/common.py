@@ -66,3 +66,8 @@ def discard(df: DataFrame) -> None:
 def text_key(text: Column) -> Column:
     """128-bit content key of a text; a null text counts as the empty one."""
     return F.unhex(F.md5(F.coalesce(text, F.lit("")).cast("binary")))
+
+
+def same(name: str) -> Column:
+    """Whether ``name`` equals ``_name``, nulls being alike: to join with a side whose key was renamed."""
+    return F.col(name).eqNullSafe(F.col(f"_{name}"))

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat, mixing, sharding, topk
+from . import chat, mixing, repair, sharding, topk
 from .common import table
 
 
@@ -64,6 +64,22 @@ def op6_poisson_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(table(spark, sf_dir, "documents"))
 
 
+def op11_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repair.repair_digests(table(spark, sf_dir, "conversations"))
+
+
+def op12_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .counts import count_tokens
+
+    return count_tokens(table(spark, sf_dir, "documents"))
+
+
+def op13_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .variants import spelling_variants, vocabulary
+
+    return spelling_variants(vocabulary(table(spark, sf_dir, "documents")))
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     from corpus_pipeline import run
 
@@ -82,10 +98,14 @@ QUERIES = {
     "op8_suffix_dedup": op8_suffix_dedup,
     "op9_chat_windows": op9_chat_windows,
     "op10_hilbert_sharding": op10_hilbert_sharding,
+    "op11_conversation_repair": op11_conversation_repair,
+    "op12_token_counts": op12_token_counts,
+    "op13_spelling_variants": op13_spelling_variants,
 }
 ORACLE_SQL = {
     "op4_exact_top_k": topk.ORACLE_SQL,
     "op6_poisson_mixing": mixing.ORACLE_SQL,
     "op9_chat_windows": chat.ORACLE_SQL,
     "op10_hilbert_sharding": sharding.ORACLE_SQL,
+    "op11_conversation_repair": repair.ORACLE_SQL,
 }
