@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat, mixing, repair, sharding, topk
+from . import chat, mixing, repair, sharding, topk, variants
 from .common import table
 
 
@@ -75,9 +75,7 @@ def op12_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op13_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
-    from .variants import spelling_variants, vocabulary
-
-    return spelling_variants(vocabulary(table(spark, sf_dir, "documents")))
+    return variants.spelling_variants(variants.vocabulary(table(spark, sf_dir, "documents")))
 
 
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -108,4 +106,5 @@ ORACLE_SQL = {
     "op9_chat_windows": chat.ORACLE_SQL,
     "op10_hilbert_sharding": sharding.ORACLE_SQL,
     "op11_conversation_repair": repair.ORACLE_SQL,
+    "op13_spelling_variants": variants.ORACLE_SQL,
 }

@@ -34,6 +34,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import materialize, same, text_key
+from .sharding import CRC_TABLE, crc_sql
 
 BLOCK_BITS = 9
 BLOCK = 1 << BLOCK_BITS  # rows that are solved at once
@@ -225,15 +226,12 @@ def repair_digests(turns: DataFrame) -> DataFrame:
     return repair(damage(turns), turns).select("*", F.sha2("repaired", 256).alias("repaired_sha256")).drop("repaired")
 
 
-_CRC = """xor(list_reduce(list_prepend(4294967295::bigint, list_transform(string_split(coalesce(conv_id::varchar, ' ') || ':' || coalesce(turn::varchar, ' '), ''),
-  lambda c: ascii(c)::bigint)), lambda c, b: xor(c >> 8, crc_values[(xor(c, b) & 255) + 1])), 4294967295)"""
-_TABLE = f"""(select list(list_reduce(list_prepend(i, range(8)), lambda c, _: if(c & 1 = 1, xor(c >> 1, {0xEDB88320}), c >> 1)) order by i)
-  from range(256) r(i))"""
+_CRC = crc_sql("coalesce(conv_id::varchar, ' ') || ':' || coalesce(turn::varchar, ' ')")
 _LAST = r"regexp_extract(text, '([^\x20\x09-\x0D])[\x20\x09-\x0D]*$', 1, 's')"
 
 # The lattice as a recursion over rows: at each row the best way to each state, insertions first.
 ORACLE_SQL = f"""
-with recursive crc_table as (select {_TABLE} as crc_values), picked as (
+with recursive crc_table as (select {CRC_TABLE} as crc_values), picked as (
   select conv_id, turn, coalesce(role, ' ') as role, coalesce(text, ' ') as text, {_CRC} % 20 as pick from conversations, crc_table
 ), damaged as (
   select conv_id, turn, if(pick = 4, 'user', role) as role,

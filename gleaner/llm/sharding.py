@@ -186,10 +186,10 @@ def write_shards(docs: DataFrame, path: str, shards: int = SHARDS) -> None:
     )
 
 
-_TABLE = "list_transform(range(256), lambda n: list_reduce(list_prepend(n, range(8)), lambda c, i: case when c & 1 = 1 then xor(c >> 1, 3988292384) else c >> 1 end))"
+CRC_TABLE = "list_transform(range(256), lambda n: list_reduce(list_prepend(n, range(8)), lambda c, i: case when c & 1 = 1 then xor(c >> 1, 3988292384) else c >> 1 end))"
 
 
-def _crc_sql(value: str) -> str:
+def crc_sql(value: str) -> str:
     """The CRC-32 of a string, byte by byte."""
     as_bytes = f"list_transform(regexp_extract_all(hex(encode({value})), '..'), lambda h: ('0x' || h)::bigint)"
     return f"xor(list_reduce(list_prepend(4294967295::bigint, {as_bytes}), lambda c, b: xor(c >> 8, crc_values[(xor(c, b) & 255) + 1])), 4294967295)"
@@ -227,9 +227,9 @@ def _cuts_sql(column: str) -> str:
 
 
 ORACLE_SQL = f"""
-with crc_table as (select {_TABLE} as crc_values), sized as (
-  select doc_id, octet_length(encode(coalesce(text, '')))::bigint + 1 as size, {_crc_sql("coalesce(text, '')")} as crc,
-    length(coalesce(text, '')) as chars, {_crc_sql("source")} as source_crc, {_crc_sql("lang")} as lang_crc from documents, crc_table
+with crc_table as (select {CRC_TABLE} as crc_values), sized as (
+  select doc_id, octet_length(encode(coalesce(text, '')))::bigint + 1 as size, {crc_sql("coalesce(text, '')")} as crc,
+    length(coalesce(text, '')) as chars, {crc_sql("source")} as source_crc, {crc_sql("lang")} as lang_crc from documents, crc_table
 ), levelled as (
   select *, {", ".join(f"len(list_filter({_cuts_sql(c)}, lambda k: {c} > k)) as x{i}" for i, c in enumerate(("chars", "source_crc", "lang_crc")))}
   from sized
