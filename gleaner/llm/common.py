@@ -32,14 +32,26 @@ def shared_dir(spark: SparkSession) -> str:
     return sc.getCheckpointDir()
 
 
-def short_batches(spark: SparkSession) -> None:
-    """Have rows reach Python workers in Arrow batches of about ``BATCH_BYTES``.
+def short_batches(df: DataFrame) -> DataFrame:
+    """The same rows in a session of their own, where rows reach Python workers in Arrow batches of ``BATCH_BYTES``.
 
     Spark's own bound of 64 MB lets a worker, and the task that feeds it, hold a whole partition of texts
-    two or three times over. A bound that the session was given stays.
+    two or three times over. The new session has all other settings of the old one, which is left as it is;
+    a bound that was given to that stays too.
     """
-    if spark.conf.get(_BATCH_SETTING) == _BATCH_DEFAULT:
-        spark.conf.set(_BATCH_SETTING, str(BATCH_BYTES))
+    spark = df.sparkSession
+    if spark.conf.get(_BATCH_SETTING) != _BATCH_DEFAULT:
+        return df
+    own = spark.newSession()
+    for name, value in spark.conf.getAll.items():
+        if spark.conf.isModifiable(name):
+            own.conf.set(name, value)
+    own.conf.set(_BATCH_SETTING, str(BATCH_BYTES))
+    view = f"rows_{uuid.uuid4().hex}"  # what sessions of an application share
+    df.createGlobalTempView(view)
+    rows = own.table(f"{spark.conf.get('spark.sql.globalTempDatabase')}.{view}")
+    own.catalog.dropGlobalTempView(view)
+    return rows
 
 
 def materialize(df: DataFrame) -> DataFrame:

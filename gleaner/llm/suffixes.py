@@ -317,15 +317,19 @@ def _sorted_parts(rows: DataFrame, group_rows: int) -> DataFrame:
         bins = materialize(_bins(rows, length, width))
         length = width - 1
         sizes = bins.groupBy("core").agg(F.count("*").alias("n"))
-        largest = sizes.agg(F.max("n")).first()[0] or 0
-        # A window keeps the rows of a core together, whatever the optimiser does with sizes.
-        counted = bins.withColumn("n", F.count("*").over(Window.partitionBy("core"))).where("n > 1")
-        fitting = counted.where(F.col("n") <= group_rows) if length and largest > group_rows else counted
-        done = fitting.drop("n").sortWithinPartitions("core", "span", "at").mapInPandas(_sort_groups(length), _PART)
+        if not length:  # a bin of one start holds equal strings: their number says it all, and none are brought together
+            starts = bins.join(sizes.where("n > 1"), "core").select("span", F.col("at").alias("first"), F.col("at").alias("last"))
+            return starts if parts is None else parts.unionByName(starts)
+        large = sizes.where(F.col("n") > group_rows).select("core")
+        more = not large.isEmpty()
+        # Large groups are left out before any task gathers rows of a core; the window then keeps those of the others together.
+        fitting = bins.join(large, "core", "left_anti") if more else bins
+        shared = fitting.withColumn("n", F.count("*").over(Window.partitionBy("core"))).where("n > 1").drop("n")
+        done = shared.sortWithinPartitions("core", "span", "at").mapInPandas(_sort_groups(length), _PART)
         parts = done if parts is None else parts.unionByName(done)
-        if not length or largest <= group_rows:
+        if not more:
             return parts
-        rows = bins.join(sizes.where(F.col("n") > group_rows), "core").drop("n")
+        rows = bins.join(large, "core")
     raise AssertionError("the last bins have one start")
 
 
