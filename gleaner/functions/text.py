@@ -5,6 +5,7 @@ from __future__ import annotations
 import re
 from collections.abc import Callable, Sequence
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -42,9 +43,12 @@ def evidence(title: Column, label: Column, fallback: Column) -> Column:
     return F.coalesce(F.nullif(F.trim(tagged), F.lit("")), fallback)
 
 
+MEDIA_MARKS = ("v=", "youtu.be/", "/shorts/", "/watch/")  # fixed values: what stands before an id
+
+
 def media_id(url: Column) -> Column:
-    """The 11-character id of a media address; else what is taken for a bare id, the input itself."""
-    found = F.regexp_extract(url, r"(?:[?&]v=|//[^/]*\.be/|/shorts/|/watch/)([A-Za-z0-9_-]{11})", 1)
+    """The 11-character id behind the first of MEDIA_MARKS that has one; else what is taken for a bare id, the input itself."""
+    found = F.regexp_extract(url, f"(?:{_alternation(MEDIA_MARKS)})([A-Za-z0-9_-]{{11}})", 1)
     return F.coalesce(F.nullif(found, F.lit("")), url)
 
 
@@ -191,8 +195,37 @@ def partial_ratio(a: str, b: str) -> float:
         return 100.0 if not long else 0.0
     if short in long:
         return 100.0
-    n = len(short)
-    return max(ratio(short, long[max(0, i) : i + n]) for i in range(1 - n, len(long)))
+    best = _best_window(short, long)
+    # Of two texts of one length either may be the window.
+    return max(best, _best_window(long, short)) if len(short) == len(long) else best
+
+
+def _best_window(short: str, long: str) -> float:
+    """Over windows of the short text's length, and shorter ones at both ends.
+
+    Up to 64 characters all windows are scored at once, by the step of ``_lcs`` on an array of integers, one for each
+    window; a step takes the next character of every window.
+    """
+    n, m = len(short), len(long)
+    if n > 64:
+        return max(ratio(short, long[max(0, i) : i + n]) for i in range(1 - n, m))
+    masks: dict[int, int] = {}
+    for i, c in enumerate(short):
+        masks[ord(c)] = masks.get(ord(c), 0) | 1 << i
+    codes = np.frombuffer(long.encode("utf-32-le", "surrogatepass"), np.uint32)
+    seen, place = np.unique(codes, return_inverse=True)
+    of_char = np.array([masks.get(c, 0) for c in seen.tolist()], np.uint64)
+    none = np.zeros(n - 1, np.uint64)
+    padded = np.concatenate([none, of_char[place], none])  # before the start and behind the end nothing matches
+    full = np.uint64((1 << n) - 1)
+    row = np.full(m + n - 1, full)
+    for k in range(n):
+        hit = row & padded[k : k + len(row)]
+        row = (row + hit) | (row - hit)
+    common = n - np.bitwise_count(row & full).astype(np.int64)
+    ends = np.arange(1, len(row) + 1)
+    held = np.minimum(np.minimum(ends, n), len(row) + 1 - ends)
+    return float((200.0 * common / (n + held)).max())
 
 
 def token_set_ratio(a: str, b: str) -> float:

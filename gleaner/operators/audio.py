@@ -11,6 +11,9 @@ import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..sources.container import read_riff
+from ..sources.settings import Settings
+
 FRAME, HOP = 2048, 512  # fixed values
 METRICS = """duration double, peak double, rms double, silence double, clipping double, snr double,
     noise_floor double, dynamic_range double, dropout double, rolloff double, sample_rate int, channels int, lufs double"""
@@ -20,12 +23,24 @@ BLOCK_SECONDS, BLOCK_STEP, ABSOLUTE_GATE, RELATIVE_GATE, LUFS_OFFSET = 0.4, 0.25
 LEAST_LUFS_SECONDS = 0.5
 
 
+UNREADABLE = ValueError  # what decoding raises
+
+
 def decode_wav(content: bytes) -> tuple[np.ndarray, int, int]:
-    """Mono samples in [-1, 1], sample rate, channel count of a 16-bit PCM file."""
-    with wave.open(io.BytesIO(content)) as f:
-        raw = np.frombuffer(f.readframes(f.getnframes()), "<i2").astype(np.float64) / 32768
-        n = f.getnchannels()
-        return raw.reshape(-1, n).mean(axis=1), f.getframerate(), n
+    """Mono samples in [-1, 1], sample rate, channel count of a file of whole numbers (8 to 32 bits) or floats."""
+    f = read_riff(content)
+    raw = np.frombuffer(content, np.uint8, f.frames * f.width, f.start)
+    if f.subtype == "PCM_24":
+        wide = np.zeros((len(raw) // 3, 4), np.uint8)
+        wide[:, 1:] = raw.reshape(-1, 3)
+        y = wide.view("<i4")[:, 0] / 2.0**31
+    elif f.subtype in ("FLOAT", "DOUBLE"):
+        y = raw.view("<f4" if f.subtype == "FLOAT" else "<f8").astype(np.float64)
+    elif f.subtype == "PCM_U8":
+        y = (raw.astype(np.float64) - 128) / 128
+    else:
+        y = raw.view("<i2") / 2.0**15 if f.subtype == "PCM_16" else raw.view("<i4") / 2.0**31
+    return y.reshape(-1, f.channels).mean(axis=1), f.rate, f.channels
 
 
 def frame_rms(y: np.ndarray) -> np.ndarray:
@@ -40,10 +55,10 @@ def _db(x: np.ndarray | float) -> np.ndarray:
     return 20 * np.log10(np.maximum(x, 1e-10))
 
 
-def dropout_ratio(db: np.ndarray) -> float:
+def dropout_ratio(db: np.ndarray, below: float = -60.0) -> float:
     """Share of very quiet frames whose neighbours, six either side, are loud."""
     loud = np.percentile(db, 90) - 20
-    quiet = np.flatnonzero(db < -60)
+    quiet = np.flatnonzero(db < below)
     hits = 0
     for i in quiet:
         around = np.delete(db[max(0, i - 6) : i + 7], min(i, 6))
@@ -94,21 +109,21 @@ def rolloffs(y: np.ndarray, rate: int, share: float = 0.95, batch: int = 256) ->
     return np.concatenate(out) * rate / FRAME
 
 
-def metrics(y: np.ndarray, rate: int, channels: int) -> tuple:
+def metrics(y: np.ndarray, rate: int, channels: int, s: Settings = Settings()) -> tuple:
     rms = frame_rms(y)
     db = _db(rms)
     whole = float(np.sqrt(np.mean(y**2)))
     p5, p95 = _db(np.percentile(rms, 5)), _db(np.percentile(rms, 95))
     lufs = loudness(y, rate)
     return (
-        round(len(y) / rate, 2), round(float(np.abs(y).max()), 4), round(whole, 6), round(float(np.mean(db < -55)), 4),
-        round(float(np.mean(np.abs(y) >= 0.99)), 5), round(float(_db(whole) - p5), 2), round(float(p5), 2),
-        round(float(p95 - p5), 2), round(dropout_ratio(db), 4), round(float(np.median(rolloffs(y, rate))), 1), rate, channels,
+        round(len(y) / rate, 2), round(float(np.abs(y).max()), 4), round(whole, 6), round(float(np.mean(db < s.silence_level)), 4),
+        round(float(np.mean(np.abs(y) >= s.clipping_level)), 5), round(float(_db(whole) - p5), 2), round(float(p5), 2),
+        round(float(p95 - p5), 2), round(dropout_ratio(db, s.silence_level - 5), 4), round(float(np.median(rolloffs(y, rate))), 1), rate, channels,
         None if lufs is None else round(lufs, 2),
     )
 
 
-def measure(files: DataFrame) -> DataFrame:
+def measure(files: DataFrame, s: Settings = Settings()) -> DataFrame:
     """(path, *metrics, error) for ``files(path, content)``; what can't be decoded has an error."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -119,8 +134,8 @@ def measure(files: DataFrame) -> DataFrame:
                     y, rate, n = decode_wav(content)
                     if not len(y):
                         raise ValueError("no frames")
-                    rows.append((path, *metrics(y, rate, n), None))
-                except (wave.Error, EOFError, ValueError) as e:
+                    rows.append((path, *metrics(y, rate, n, s), None))
+                except UNREADABLE as e:
                     rows.append((path, *[None] * len(METRICS.split(',')), str(e) or type(e).__name__))
             yield pd.DataFrame(rows, columns=["path", *(f.split()[0] for f in METRICS.split(",")), "error"])
 

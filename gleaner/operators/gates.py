@@ -6,6 +6,7 @@ decides, so every gate is one CASE expression, evaluated in the JVM in one pass.
 
 from __future__ import annotations
 
+import re
 from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass, field
 
@@ -36,7 +37,11 @@ def gate_result(stage: str, code: Column | None = None, review: Column | None =
 
 @dataclass(frozen=True)
 class TextRules:
-    """Patterns of the text gate; order of ``exclusions`` is the order of their codes."""
+    """Patterns of the text gate; order of ``exclusions`` is the order of their codes.
+
+    A term of an exclusion that holds a character of the target script is looked for as it stands, anywhere; any other is
+    trimmed, lower-cased and must stand between characters outside a-z and 0-9.
+    """
 
     foreign_script: str
     foreign_terms: Sequence[str]
@@ -55,19 +60,18 @@ def text_code(raw: Column, narration: Column, rules: TextRules) -> Column:
         (~has_script(raw, rules.target_script) & ~has_term(low, rules.context_terms), "NON_FOLK"),
     ]
     for code, terms in rules.exclusions.items():
-        latin = [t for t in terms if t.isascii()]
-        native = [raw.contains(t) for t in terms if not t.isascii()]
-        found = has_term(low, latin)
-        for n in native:
-            found = found | n
+        native = [t for t in terms if re.search(rules.target_script, t)]
+        found = has_term(low, [t.lower().strip() for t in terms if t not in native])
+        for term in native:
+            found = found | raw.contains(term)
         out.append((found & ~narration if code in rules.narration_exempt else found, code))
     return first_of(out)
 
 
 def keyword_decision(best: Column, hits: Column, s: Settings = Settings()) -> Column:
-    """PASS at the threshold with a hit, REVIEW within the margin below it, else REJECT."""
+    """PASS at the threshold with enough hits, REVIEW within the margin below it, else REJECT."""
     return (
-        F.when((best >= s.keyword_threshold) & (hits >= 1), PASS)
+        F.when((best >= s.keyword_threshold) & (hits >= s.keyword_hits), PASS)
         .when(best >= s.keyword_threshold - s.keyword_review_margin, REVIEW)
         .otherwise(REJECT)
     )
@@ -108,12 +112,9 @@ def quality_composite(parts: Mapping[str, tuple[Column, float]]) -> Column:
     return F.round(total, 4)
 
 
-# Weights of the sub-scores, and the ends of their ranges.
+# Weights of the sub-scores, and the ends of their ranges; the limits are those of the settings.
 QUALITY_WEIGHTS = {"silence": 0.18, "clipping": 0.14, "snr": 0.18, "noise": 0.12, "range": 0.12, "dropout": 0.10, "band": 0.10, "loudness": 0.06}
-QUALITY_LIMITS = {
-    "min_duration": 10.0, "max_duration": 300.0, "silence": 0.45, "clipping": 0.05, "dynamic_range": 4.0, "snr": 5.0, "noise_floor": -25.0,
-    "dropout": 0.10, "rolloff": 3000.0, "sample_rate": 16000, "min_lufs": -45.0, "max_lufs": -4.0,
-}
+QUALITY_LIMITS = Settings().limits
 FULL_SNR, FULL_RANGE, NOISE_SPAN, FULL_BAND = 30.0, 40.0, 30.0, 8000.0
 UNKNOWN_LOUDNESS, OFF_LOUDNESS = 0.7, 0.4
 
@@ -168,11 +169,11 @@ def override_code(excess: Sequence[tuple[Column, str]]) -> Column:
     return F.coalesce(worst_of(excess), F.lit("SEVERE_DISTORTION"))
 
 
-def sound_label(music: Column, speech: Column) -> Column:
+def sound_label(music: Column, speech: Column, s: Settings = Settings()) -> Column:
     return (
-        F.when((music >= 0.25) & (music >= speech), "SONG")
-        .when((speech >= 0.85) & (speech > music), "SPEECH")
-        .when((music >= 0.25) & (speech >= 0.25), "MIXED")
+        F.when((music >= s.min_music) & (music >= speech), "SONG")
+        .when((speech >= s.max_speech) & (speech > music), "SPEECH")
+        .when((music >= s.min_mixed) & (speech >= s.min_mixed), "MIXED")
         .otherwise("UNKNOWN")
     )
 
@@ -209,10 +210,10 @@ def final_code(
 ) -> Column:
     """Code of the first final rule that rejects, else null."""
     m = F.coalesce(music, F.lit(0.0))
-    spoken = (label == "SPEECH") & speech.isNotNull() & (m < 0.25)
+    spoken = (label == "SPEECH") & speech.isNotNull() & (m < s.min_music)
     rules = [
-        (spoken & F.when(narration, speech > 0.92).otherwise(speech >= 0.85), "SPEECH"),
-        ((music < 0.25) & (relevance < s.review), "NON_SONG"),
+        (spoken & F.when(narration, speech > s.max_narration).otherwise(speech >= s.max_speech), "SPEECH"),
+        ((music < s.min_music) & (relevance < s.review), "NON_SONG"),
         ((score < s.review) & (relevance < s.review), "NON_FOLK"),
         (score < s.review, "NON_SONG"),
     ]

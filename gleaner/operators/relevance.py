@@ -9,9 +9,6 @@ from ..functions.scoring import dot
 from ..sources.settings import Settings
 from .gates import REJECT, REVIEW, gate_result, relevance_decision
 
-BLEND_WEIGHT = 0.5  # fixed value: share of the second model
-
-
 def concepts(given: Column, english_name: Column) -> Column:
     """The reference concepts of a category; one made of its name where it has none."""
     made = F.array(F.concat(F.lit("Tamil folk "), english_name, F.lit(" traditional song")))
@@ -26,12 +23,12 @@ def best_similarity(vector: Column, references: Column) -> Column:
 
 def undecided(similarity: Column, s: Settings = Settings()) -> Column:
     """Whether the similarity lies in the band around the review limit, where a second model is asked."""
-    return F.coalesce(F.abs(similarity - s.relevance_review) <= s.relevance_band, F.lit(False))
+    return F.coalesce(F.lit(s.second_model) & (F.abs(similarity - s.relevance_review) <= s.relevance_band), F.lit(False))
 
 
-def blend(similarity: Column, second: Column, s: Settings = Settings(), weight: float = BLEND_WEIGHT) -> Column:
+def blend(similarity: Column, second: Column, s: Settings = Settings()) -> Column:
     """In the band a mean with the second model's answer; the first alone elsewhere or where the second has none."""
-    both = (1 - weight) * similarity + weight * second
+    both = (1 - s.second_weight) * similarity + s.second_weight * second
     return F.when(undecided(similarity, s) & second.isNotNull(), both).otherwise(similarity)
 
 

@@ -36,7 +36,7 @@ RULES = gates.TextRules(
     foreign_terms=("eaux", "ciónez"),
     target_script="[éèêç]",
     context_terms=("the", "and"),
-    exclusions={"INTERVIEW": ("hashed",), "SPEECH": ("whether", "that"), "NEWS": ("tion", "queça")},
+    exclusions={"INTERVIEW": (" Hashed",), "SPEECH": ("whether", "that"), "NEWS": ("tion", "queça", "Ungö"), "LECTURE": ("Être",)},
 )
 _B = lambda terms: f"'(^|[^a-z0-9])({terms})([^a-z0-9]|$)'"
 _TEXT_CASE = f"""case
@@ -45,7 +45,8 @@ _TEXT_CASE = f"""case
   when not regexp_matches(text, '[éèêç]') and not regexp_matches(lower(text), {_B('the|and')}) then 'NON_FOLK'
   when regexp_matches(lower(text), {_B('hashed')}) then 'INTERVIEW'
   when regexp_matches(lower(text), {_B('whether|that')}) and source <> 'src1' then 'SPEECH'
-  when regexp_matches(lower(text), {_B('tion')}) or contains(text, 'queça') then 'NEWS' end"""
+  when regexp_matches(lower(text), {_B('tion|ungö')}) or contains(text, 'queça') then 'NEWS'
+  when regexp_matches(lower(text), {_B('être')}) and source <> 'src1' then 'LECTURE' end"""
 
 
 @query(f"select doc_id, coalesce(code, 'PASS') as outcome from (select doc_id, {_TEXT_CASE} as code from documents)")
@@ -475,13 +476,21 @@ def listing_counts(spark, d):
     return t(spark, d, "pages").groupBy(host.alias("host")).agg(*counts)
 
 
-@query("""select page_id, coalesce(nullif(regexp_extract(u, '(?:[?&]v=|//[^/]*\\.be/|/shorts/|/watch/)([A-Za-z0-9_-]{11})', 1), ''), u) as media_id
-  from (select page_id, case page_id % 3 when 0 then 'https://m.example/watch?v=' || substr(md5(url), 1, 11) || '&x=1'
-    when 1 then 'https://v.be/' || substr(md5(url), 1, 11) else url end as u from pages)""")
+_MARKS = "['v=', 'youtu.be/', '/shorts/', '/watch/']"
+
+
+# The first place where a mark stands with eleven characters of an id behind it.
+@query(f"""with u as (select page_id, case page_id % 5 when 0 then 'https://m.example/watch?v=' || substr(md5(url), 1, 11) || '&x=1'
+    when 1 then 'youtu.be/' || substr(md5(url), 1, 11) when 2 then 'v=' || substr(md5(url), 1, 11) when 3 then substr(md5(url), 1, 11) else url end as u from pages),
+  p as (select page_id, u, unnest(range(1, length(u) + 1)) as i from u), m as (select page_id, u, i, unnest({_MARKS}) as mark from p),
+  f as (select page_id, arg_min(substr(u, i + length(mark), 11), i) as id from m
+    where substr(u, i, length(mark)) = mark and regexp_full_match(substr(u, i + length(mark), 11), '[A-Za-z0-9_-]{{11}}') group by 1)
+  select u.page_id, coalesce(id, u) as media_id from u left join f on f.page_id = u.page_id""")
 def video_id_extract(spark, d):
     short = F.substring(F.md5("url"), 1, 11)
-    u = F.when(F.col("page_id") % 3 == 0, F.concat(F.lit("https://m.example/watch?v="), short, F.lit("&x=1"))).when(
-        F.col("page_id") % 3 == 1, F.concat(F.lit("https://v.be/"), short)).otherwise(F.col("url"))
+    p = F.col("page_id") % 5
+    u = F.when(p == 0, F.concat(F.lit("https://m.example/watch?v="), short, F.lit("&x=1"))).when(p == 1, F.concat(F.lit("youtu.be/"), short))
+    u = u.when(p == 2, F.concat(F.lit("v="), short)).when(p == 3, short).otherwise(F.col("url"))
     return t(spark, d, "pages").select("page_id", text.media_id(u).alias("media_id"))
 
 

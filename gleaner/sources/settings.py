@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import warnings
 from collections.abc import Iterable, Mapping
 from dataclasses import dataclass, field
 from typing import Any
@@ -23,16 +24,48 @@ FILE_KEYS = {
     "min_duration": ("audio", "minimum_duration_sec"),
     "max_duration": ("audio", "maximum_duration_sec"),
     "keyword_threshold": ("metadata_gate", "fuzzy_match_threshold"),
+    "keyword_hits": ("metadata_gate", "min_keyword_hits"),
     "keyword_review_margin": ("metadata_gate", "review_margin"),
     "min_quality": ("quality_gate", "minimum_quality_score"),
+    "max_silence": ("quality_gate", "maximum_silence_ratio"),
+    "silence_level": ("quality_gate", "near_silence_dbfs"),
+    "max_clipping": ("quality_gate", "maximum_clipping_ratio"),
+    "clipping_level": ("quality_gate", "clipping_sample_threshold"),
+    "min_snr": ("quality_gate", "minimum_snr_db"),
+    "max_noise_floor": ("quality_gate", "maximum_noise_floor_dbfs"),
+    "min_dynamic_range": ("quality_gate", "minimum_dynamic_range_db"),
+    "min_lufs": ("quality_gate", "loudness", "min_lufs"),
+    "max_lufs": ("quality_gate", "loudness", "max_lufs"),
+    "max_dropout": ("quality_gate", "dropout", "max_dropout_ratio"),
+    "min_rolloff": ("quality_gate", "bandwidth", "min_rolloff_hz"),
+    "min_sample_rate": ("quality_gate", "min_sample_rate"),
+    "min_music": ("classifier", "music_min_prob"),
+    "max_speech": ("classifier", "speech_reject_prob"),
+    "min_mixed": ("classifier", "mixed_low"),
     "accept": ("scoring", "accept_threshold"),
     "review": ("scoring", "review_threshold"),
     "weights": ("scoring", "weights"),
     "relevance_pass": ("folk_relevance", "accept_similarity"),
     "relevance_review": ("folk_relevance", "review_similarity"),
     "relevance_band": ("folk_relevance", "uncertain_band"),
+    "second_weight": ("folk_relevance", "clap", "blend_weight"),
+    "second_model": ("folk_relevance", "clap", "enabled"),
     "duplicate_similarity": ("duplicate", "fingerprint_similarity"),
+    "print_seconds": ("duplicate", "fpcalc_length_sec"),
+    "split": ("chunking", "enabled"),
+    "split_above": ("chunking", "chunk_threshold_sec"),
+    "part_target": ("chunking", "target_chunk_duration_sec"),
+    "part_min": ("chunking", "min_chunk_duration_sec"),
+    "part_max": ("chunking", "max_chunk_duration_sec"),
+    "max_parts": ("chunking", "max_chunks_per_video"),
 }
+# Keys of the sections above that set nothing here. Terms are read by ``exclusions_from_file``; the others name
+# models and programs, or decide nothing.
+OTHER_KEYS = (
+    ("metadata_gate", "exclude_terms"), ("quality_gate", "dropout", "gap_min_ms"), ("classifier", "default_max_speech_ratio"),
+    ("folk_relevance", "embedding_model"), ("folk_relevance", "clap", "model_name"), ("duplicate", "fpcalc_path"),
+    ("chunking", "silence_thresh_db"), ("chunking", "min_silence_len_sec"),
+)
 WEIGHT_NAMES = {"folk_relevance": "relevance", "music_speech": "music", "vad": "vocal"}
 
 
@@ -56,6 +89,41 @@ class Settings:
     relevance_review: float = 0.25
     relevance_band: float = 0.06
     duplicate_similarity: float = 0.90
+    keyword_hits: int = 1
+    max_silence: float = 0.45
+    silence_level: float = -55.0
+    max_clipping: float = 0.05
+    clipping_level: float = 0.99
+    min_snr: float = 5.0
+    max_noise_floor: float = -25.0
+    min_dynamic_range: float = 4.0
+    min_lufs: float = -45.0
+    max_lufs: float = -4.0
+    max_dropout: float = 0.10
+    min_rolloff: float = 3000.0
+    min_sample_rate: float = 16000.0
+    min_music: float = 0.25
+    max_speech: float = 0.85
+    min_mixed: float = 0.25
+    max_narration: float = 0.92  # in no file
+    second_weight: float = 0.5
+    second_model: bool = True
+    print_seconds: float = 120.0
+    split: bool = True
+    split_above: float = 300.0
+    part_target: float = 120.0
+    part_min: float = 30.0
+    part_max: float = 180.0
+    max_parts: int = 5
+
+    @property
+    def limits(self) -> dict[str, float]:
+        """The limits of the quality gate by metric."""
+        return {
+            "min_duration": self.min_duration, "max_duration": self.max_duration, "silence": self.max_silence, "clipping": self.max_clipping,
+            "dynamic_range": self.min_dynamic_range, "snr": self.min_snr, "noise_floor": self.max_noise_floor, "dropout": self.max_dropout,
+            "rolloff": self.min_rolloff, "sample_rate": self.min_sample_rate, "min_lufs": self.min_lufs, "max_lufs": self.max_lufs,
+        }
 
     def __post_init__(self) -> None:
         if not 0 < self.min_quality <= 1:
@@ -76,24 +144,71 @@ class Settings:
 
     @classmethod
     def from_file(cls, path: str) -> Settings:
-        """Settings of a YAML file by sections; every section of SECTIONS must be there, other keys keep their defaults."""
-        import yaml
+        """Settings of a YAML file by sections.
 
-        with open(path, encoding="utf-8") as f:
-            given = yaml.safe_load(f)
-        if not isinstance(given, dict):
-            raise SettingsError("the file holds no sections")
+        Every section of SECTIONS must be there; what a section leaves out keeps its default. A key in a
+        section of the gates that sets nothing is an error, so that no limit is silently left at its default.
+        """
+        given = _sections(path)
         missing = [name for name in SECTIONS if name not in given]
         if missing:
             raise SettingsError(f"missing sections: {missing}")
+        known = {*FILE_KEYS.values(), *OTHER_KEYS}
+        idle = [path for path in _leaves(given, {k[:i] for k in known for i in range(1, len(k))}) if path[0] in _GATES and path not in known]
+        if idle:
+            raise SettingsError(f"keys without effect: {['.'.join(map(str, p)) for p in idle]}")
         found: dict[str, Any] = {}
-        for name, (section, key) in FILE_KEYS.items():
-            value = (given[section] or {}).get(key)
-            if value is not None:
-                found[name] = {WEIGHT_NAMES.get(k, k): float(w) for k, w in value.items()} if name == "weights" else float(value)
+        for name, path in FILE_KEYS.items():
+            value: Any = given
+            for key in path:
+                value = (value or {}).get(key)
+            if value is None:
+                continue
+            if name == "weights":
+                found[name] = {WEIGHT_NAMES.get(k, k): float(w) for k, w in value.items()}
+            else:
+                found[name] = type(getattr(cls, name))(value)
         return cls(**found)
 
 
+_GATES = {path[0] for path in FILE_KEYS.values()}
+
+
+def _sections(path: str) -> dict[str, Any]:
+    import yaml
+
+    with open(path, encoding="utf-8") as f:
+        given = yaml.safe_load(f)
+    if not isinstance(given, dict):
+        raise SettingsError("the file holds no sections")
+    return given
+
+
+def _leaves(given: Mapping[Any, Any], inner: set[tuple], at: tuple = ()) -> Iterable[tuple]:
+    """Paths of the keys, down to those that aren't among the inner ones."""
+    for key, value in given.items():
+        path = (*at, key)
+        if path in inner and isinstance(value, Mapping):
+            yield from _leaves(value, inner, path)
+        elif path not in inner:
+            yield path
+
+
+def exclusions_from_file(path: str) -> dict[str, tuple[str, ...]]:
+    """The terms of the text gate by code, in the file's order; a code that isn't among CODES is left out with a warning."""
+    given = ((_sections(path).get("metadata_gate") or {}).get("exclude_terms")) or {}
+    for code in given.keys() - CODES:
+        warnings.warn(f"unknown code {code} is left out", stacklevel=2)
+    return {code: tuple(terms or ()) for code, terms in given.items() if code in CODES}
+
+
+# All rejection codes.
+CODES = frozenset(
+    """TOO_SHORT TOO_LONG CORRUPT_AUDIO MOSTLY_SILENT EXCESSIVE_CLIPPING SEVERE_DISTORTION VERY_LOW_SNR EXCESSIVE_NOISE AUDIO_DROPOUT LOW_BANDWIDTH
+    INTERVIEW SPEECH PODCAST NEWS LECTURE DISCUSSION SERMON STORY_ONLY NON_SONG NON_FOLK DUPLICATE_RECORDING DOWNLOAD_FAILED""".split()
+)
+
+
 def categories(spark: SparkSession, rows: Iterable[Mapping[str, Any]]) -> DataFrame:
     """The category dimension; slugs are unique and the named fields required."""
     fields = StructType.fromDDL(CATEGORY_SCHEMA).names
