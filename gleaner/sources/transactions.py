@@ -15,10 +15,12 @@ Any file system that Spark's Python workers reach through Arrow will do (``file`
 from __future__ import annotations
 
 import json
+import threading
 import time
 import uuid
 from collections.abc import Iterator
 from dataclasses import dataclass
+from weakref import WeakSet
 
 from pyspark import TaskContext
 from pyspark.errors import AnalysisException
@@ -112,12 +114,21 @@ class Lines(DataSource):
         return LineWriter(self.options)
 
 
+_REGISTER, _REGISTERED = threading.Lock(), WeakSet()
+
+
 def append_lines(lines: DataFrame, folder: str, transaction: str | None = None) -> None:
     """Add the one text column of ``lines`` to the folder, all of it or nothing.
 
     With the name of a transaction that was committed before nothing is added. Null lines are not allowed; an empty table is committed too.
     """
-    lines.sparkSession.dataSource.register(Lines)
+    spark = lines.sparkSession
+    with _REGISTER:  # registering again would take the source away for a moment from other threads
+        if spark not in _REGISTERED:
+            spark.dataSource.register(Lines)
+            _REGISTERED.add(spark)
+    # Spark looks sources up in the session that is active in this thread, and a thread of the caller's own has none.
+    spark._jvm.org.apache.spark.sql.classic.SparkSession.setActiveSession(spark._jsparkSession)
     writer = lines.write.format(FORMAT).mode("append").option("path", folder)
     (writer.option("transaction", transaction) if transaction else writer).save()
 
