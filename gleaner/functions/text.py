@@ -252,3 +252,24 @@ def _scores(texts: pd.Series, keywords: pd.Series) -> pd.Series:
 
 def fuzzy_score(text: Column, keyword: Column) -> Column:
     return F.pandas_udf(_scores, "double")(text, keyword)
+
+
+def keyword_scores(text: Column, keywords: Column, threshold: float) -> Column:
+    """A struct of the best score of any keyword, the first listed that has it, and how many reach the threshold.
+
+    Keywords are trimmed and blank ones left out; a score of 0 has no keyword. A null text gives nulls and costs nothing.
+    """
+
+    def run(texts: pd.Series, lists: pd.Series) -> pd.DataFrame:
+        rows = []
+        for text, words in zip(texts, lists, strict=True):
+            if text is None:
+                rows.append((None, None, None))
+                continue
+            named = [k.strip() for k in (words if words is not None else []) if k and k.strip()]
+            scores = [keyword_score(text, k) for k in named]
+            best = max(scores, default=0.0)
+            rows.append((best, named[scores.index(best)] if best > 0 else None, sum(s >= threshold for s in scores)))
+        return pd.DataFrame(rows, columns=["best", "keyword", "hits"]).astype({"hits": "Int64"})
+
+    return F.pandas_udf(run, "best double, keyword string, hits long")(text, keywords)

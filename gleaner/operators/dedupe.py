@@ -21,37 +21,66 @@ def _checkpoint(df: DataFrame) -> DataFrame:
     return df.checkpoint()
 
 
-def _blocks(prints: DataFrame, words: int, threshold: float) -> DataFrame:
-    """(block, value, id) for prints of at least ``words`` words, over their first ``words``.
+SLACK = 1.125  # lengths of one class: from its base up to so many times that
+WORD_GROUP = 64  # prints that may share a word at its place and still meet on it
 
-    At most k bits may differ, so of k + 1 blocks of bits one at least is equal.
-    """
-    bits = 32 * words
-    k = int((1 - threshold) * bits + 1e-9)
-    edges = [i * bits // (k + 1) for i in range(k + 2)]
-    word = lambda x: F.lpad(F.conv(x.bitwiseAND(F.lit(0xFFFFFFFF)).cast("string"), 10, 2), 32, "0")
-    rows = prints.withColumn("_bits", F.array_join(F.transform(F.slice("fp", 1, words), word), ""))
-    blocks = F.array(*(F.substring("_bits", a + 1, b - a) for a, b in zip(edges, edges[1:], strict=False)))
-    return rows.select("id", F.size("fp").alias("size"), F.posexplode(blocks).alias("block", "value"))
+
+def length_classes(sizes: list[int], threshold: float) -> list[tuple[int, int]]:
+    """(base, k) ascending: the class of a length is the greatest base up to it, and of any two prints whose shorter has a
+    length of the class at most k of the first ``base`` words' bits differ."""
+    classes: list[tuple[int, int]] = []
+    sizes = sorted(sizes)
+    for i, n in enumerate(sizes):
+        if not classes or n > classes[-1][0] * SLACK:
+            top = max(m for m in sizes[i:] if m <= n * SLACK)
+            classes.append((n, int((1 - threshold) * 32 * top + 1e-9)))
+    return classes
 
 
-def similar_prints(prints: DataFrame, threshold: float) -> DataFrame:
-    """(a, b, similarity), a before b, of distinct prints ``(id, fp)`` within the threshold.
+def _blocks(prints: DataFrame, classes: list[tuple[int, int]]) -> DataFrame:
+    """(id, base, own, block, value) for every class whose base a print's length reaches; ``own`` marks its own class.
 
-    Prints are compared over their common prefix. So for every length that occurs, prints of that
-    length meet those that are as long or longer, on blocks of that prefix. Only ids travel; a
-    pair is made once and then verified on its prints.
+    The first ``base`` words are cut into k + 1 blocks of bits; as k bits may differ, one block at least is equal.
+    """
+    word = lambda x: F.lpad(F.conv(x.bitwiseAND(F.lit(0xFFFFFFFF)).cast("string"), 10, 2), 32, "0")
+    known = F.array(*(F.struct(F.lit(base).alias("base"), F.lit(k).alias("k")) for base, k in classes))
+    fitting = F.filter(known, lambda c: c["base"] <= F.size("fp"))
+    rows = prints.select("id", F.array_join(F.transform("fp", word), "").alias("bits"), fitting.alias("classes"))
+    rows = rows.select("id", "bits", F.element_at("classes", -1)["base"].alias("last"), F.explode("classes").alias("c"))
+    cut = F.expr("transform(sequence(0, c.k), i -> substring(bits, i * 32 * c.base div (c.k + 1) + 1, (i + 1) * 32 * c.base div (c.k + 1) - i * 32 * c.base div (c.k + 1)))")
+    return rows.select("id", F.col("c.base").alias("base"), (F.col("c.base") == F.col("last")).alias("own"), F.posexplode(cut).alias("block", "value"))
+
+
+def _met_on_blocks(prints: DataFrame, threshold: float) -> DataFrame:
+    """(a, b): candidates among which every pair within the threshold is."""
+    sizes = [r["n"] for r in prints.select(F.size("fp").alias("n")).where("n > 0").distinct().collect()]  # lengths, not rows
+    if not sizes:
+        return prints.select(F.col("id").alias("a"), F.col("id").alias("b")).limit(0)
+    blocks = _checkpoint(_blocks(prints.where(F.size("fp") > 0), length_classes(sizes, threshold)))
+    other = blocks.select("base", "block", "value", F.col("id").alias("other"), F.col("own").alias("other_own"))
+    met = blocks.where("own").drop("own").join(other, ["base", "block", "value"]).where("id < other or (id > other and not other_own)")
+    return met.select(F.least("id", "other").alias("a"), F.greatest("id", "other").alias("b"))
+
+
+def _met_on_words(prints: DataFrame) -> DataFrame:
+    """(a, b): prints that have one whole word in common at the same place; words of many prints (silence, say) tell nothing."""
+    words = _checkpoint(prints.select("id", F.posexplode("fp").alias("place", "word")))
+    few = words.groupBy("place", "word").agg(F.count("*").alias("n")).where(F.col("n").between(2, WORD_GROUP)).drop("n")
+    shared = words.join(few, ["place", "word"])
+    return shared.join(shared.withColumnRenamed("id", "other"), ["place", "word"]).where("id < other").select(F.col("id").alias("a"), F.col("other").alias("b"))
+
+
+def similar_prints(prints: DataFrame, threshold: float, by: str = "blocks") -> DataFrame:
+    """(a, b, similarity), a before b, of distinct prints ``(id, fp)`` within the threshold over their common prefix.
+
+    By ``blocks`` every such pair is found: lengths fall into few classes, and all meet in one join on blocks of the prefix that a class is
+    sure to share. By ``words`` prints meet that share a whole word at its place, whatever their lengths: far fewer
+    candidates, but a pair may be missed (a word stays whole with a chance of the similarity to the 32nd power, and prints have
+    hundreds of words). Only ids travel; a pair is made once and then verified on its prints.
     """
-    sizes = sorted(r["n"] for r in prints.select(F.size("fp").alias("n")).where("n > 0").distinct().collect())  # lengths, not rows
-    met = None
-    for n in sizes:
-        blocks = _checkpoint(_blocks(prints.where(F.size("fp") >= n), n, threshold))
-        other = blocks.select("block", "value", F.col("id").alias("other"))
-        pairs = blocks.where(F.col("size") == n).join(other, ["block", "value"]).where("id <> other")
-        pairs = pairs.select(F.least("id", "other").alias("a"), F.greatest("id", "other").alias("b")).distinct()
-        met = pairs if met is None else met.unionByName(pairs)
-    if met is None:
-        return prints.select(F.col("id").alias("a"), F.col("id").alias("b"), F.lit(0.0).alias("similarity")).limit(0)
+    if by not in ("blocks", "words"):
+        raise ValueError(f"no way to meet by {by}")
+    met = _met_on_blocks(prints, threshold) if by == "blocks" else _met_on_words(prints)
     left = prints.select(F.col("id").alias("a"), F.col("fp").alias("fp_a"))
     right = prints.select(F.col("id").alias("b"), F.col("fp").alias("fp_b"))
     both = met.distinct().join(left, "a").join(right, "b")
@@ -64,13 +93,13 @@ def _distinct_prints(prints: DataFrame) -> DataFrame:
     return prints.where(F.size("fp") > 0).groupBy("fp").agg(F.min("ord").alias("id")).select("id", "fp")
 
 
-def similar_pairs(prints: DataFrame, threshold: float) -> DataFrame:
+def similar_pairs(prints: DataFrame, threshold: float, by: str = "blocks") -> DataFrame:
     """(ord, other, similarity) of every earlier ``other`` within the threshold, for ``prints(ord, fp)``.
 
     All pairs are the result here, so copies are paired too; ``any_earlier`` and ``greedy`` need none of that.
     """
     known = _checkpoint(_distinct_prints(prints))
-    near = _checkpoint(similar_prints(known, threshold))
+    near = _checkpoint(similar_prints(known, threshold, by))
     own = known.select(F.col("id").alias("a"), F.col("id").alias("b"), F.lit(1.0).alias("similarity"))
     both = near.unionByName(near.select(F.col("b").alias("a"), F.col("a").alias("b"), "similarity")).unionByName(own)
     member = prints.join(known, "fp").select("id", "ord")
@@ -78,10 +107,10 @@ def similar_pairs(prints: DataFrame, threshold: float) -> DataFrame:
     return named.where("other < ord").select("ord", "other", "similarity")
 
 
-def _neighbours(prints: DataFrame, threshold: float) -> tuple[DataFrame, DataFrame]:
+def _neighbours(prints: DataFrame, threshold: float, by: str) -> tuple[DataFrame, DataFrame]:
     """Rows (ord, id) with the first row of their print, and (id, other, similarity) both ways."""
     known = _checkpoint(_distinct_prints(prints))
-    near = _checkpoint(similar_prints(known, threshold)).select(F.col("a").alias("id"), F.col("b").alias("other"), "similarity")
+    near = _checkpoint(similar_prints(known, threshold, by)).select(F.col("a").alias("id"), F.col("b").alias("other"), "similarity")
     both = near.unionByName(near.select(F.col("other").alias("id"), F.col("id").alias("other"), "similarity"))
     return _checkpoint(prints.join(known, "fp").select("ord", "id")), both
 
@@ -92,20 +121,20 @@ def _best(pairs: DataFrame) -> DataFrame:
     return pairs.groupBy("ord").agg(best.alias("b")).select("ord", (-F.col("b.o")).alias("duplicate_of"), F.col("b.similarity"))
 
 
-def any_earlier(prints: DataFrame, threshold: float) -> DataFrame:
+def any_earlier(prints: DataFrame, threshold: float, by: str = "blocks") -> DataFrame:
     """(ord, duplicate_of, similarity): the best earlier neighbour, whether that was kept or not.
 
     A copy's best is its first copy, or what that equals over a shorter length and comes before it;
     so only first copies need their neighbours.
     """
-    member, near = _neighbours(prints, threshold)
+    member, near = _neighbours(prints, threshold, by)
     firsts = _best(near.where("other < id").select(F.col("id").alias("ord"), "other", "similarity"))
     equal = firsts.where("similarity = 1").select(F.col("ord").alias("id"), F.col("duplicate_of").alias("before"))
     copies = member.where("ord <> id").join(equal, "id", "left")
     return firsts.unionByName(copies.select("ord", F.coalesce("before", "id").alias("duplicate_of"), F.lit(1.0).alias("similarity")))
 
 
-def greedy(prints: DataFrame, threshold: float, stored: DataFrame | None = None) -> DataFrame:
+def greedy(prints: DataFrame, threshold: float, stored: DataFrame | None = None, by: str = "blocks") -> DataFrame:
     """(ord, duplicate_of) where only kept rows block later ones; null for kept rows.
 
     ``stored(ord, fp)`` are prints that were kept before, with orders below all others: they block and are not
@@ -116,7 +145,7 @@ def greedy(prints: DataFrame, threshold: float, stored: DataFrame | None = None)
     old = stored.select("ord", "fp", F.lit(True).alias("kept")) if stored is not None else None
     rows = prints.select("ord", "fp", F.lit(None).cast("boolean").alias("kept"))
     rows = rows if old is None else rows.unionByName(old)
-    member, near = _neighbours(rows, threshold)
+    member, near = _neighbours(rows, threshold, by)
     edges = _checkpoint(near.where("other < id").select(F.col("id").alias("ord"), "other", "similarity"))
     seeds = rows.where("kept").select("ord", "kept")
     state = _checkpoint(member.where("ord = id").select("ord").join(seeds, "ord", "left"))

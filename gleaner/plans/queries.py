@@ -325,6 +325,22 @@ def dedupe_any_earlier(spark, d):
     return dedupe.any_earlier(_prints(spark, d), 0.70)
 
 
+_LEVELS = [round(0.02 * i - 0.15, 2) for i in range(16)]
+
+
+# Prints of nine lengths: a 32-bit word for each level, which of the first 32 components exceed it.
+@query(f"""with b as (select vec_id, list_transform([{", ".join(map(str, _LEVELS))}][1:8 + vec_id % 9], lambda c:
+    list_sum(list_transform(range(1, 33), lambda i: if(embedding[i]::double > c, 1::bigint << (32 - i), 0)))::bigint) as fp from embeddings),
+  p as (select x.vec_id as ord, y.vec_id as other, least(len(x.fp), len(y.fp)) as n, x.fp as f, y.fp as g from b x join b y on y.vec_id < x.vec_id)
+  select ord, other, similarity from (select ord, other, 1 - list_sum(list_transform(range(1, n + 1), lambda i: bit_count(xor(f[i], g[i])))) / (32.0::double * n) as similarity from p)
+  where similarity >= 0.78""")
+def hamming_mixed_lengths(spark, d):
+    word = lambda c: F.aggregate(F.slice("embedding", 1, 32), F.lit(0).cast("long"), lambda s, x: s * 2 + F.when(x.cast("double") > c, 1).otherwise(0))
+    whole = F.array(*(word(c) for c in _LEVELS))
+    made = t(spark, d, "embeddings").select(F.col("vec_id").alias("ord"), F.slice(whole, F.lit(1), (8 + F.col("vec_id") % 9).cast("int")).alias("fp"))
+    return dedupe.similar_pairs(made, 0.78)
+
+
 # One pass in order: the state holds the orders that were kept; each step decides the next row.
 _GREEDY = _PAIRS + """, n as (select vec_id, row_number() over (order by vec_id) as i from embeddings),
   near as (select n.i, n.vec_id, list(p.other) as others, list(p.similarity) as sims from n left join pairs p on p.ord = n.vec_id group by 1, 2),

@@ -1,0 +1,95 @@
+"""The chain's branches: keywords scored inside it, failed fetches, parts of split recordings; its plan."""
+
+import re
+
+import pytest
+from pyspark.sql import functions as F
+
+from gleaner.functions.text import keyword_score, media_id, partial_ratio
+from gleaner.operators import chain, gates
+from gleaner.sources.settings import Settings
+
+from .test_reference_operators import CANDIDATE, CHAIN, GOOD, RULES
+
+
+def table(spark, cases, more=""):
+    rows = [{**CANDIDATE, "recording_id": str(i), "ord": i, **x} for i, x in enumerate(cases)]
+    return spark.createDataFrame(rows, CHAIN + more)
+
+
+def outcome(decided):
+    return {r["recording_id"]: (r["stage"], r["decision"], r["rejection_code"]) for r in decided.collect()}
+
+
+def test_terms_with_other_letters(spark):
+    rules = gates.TextRules("[ఀ-౿]", (), "[஀-௿]", ("tamil",), {"NEWS": ("News", "économie", "  ", "செய்தி"), "SPEECH": ("உரை",)})
+    cases = {
+        "tamil News today": "NEWS", "tamil newsy": None, "tamil économies du jour": None, "tamil Économie du jour": "NEWS",
+        "முன்செய்திகள்": "NEWS", "tamil உரை": "SPEECH", "plain": "NON_FOLK", "tamil": None,
+    }
+    df = spark.createDataFrame([(k,) for k in cases], "t string")
+    got = {r["t"]: r["code"] for r in df.withColumn("code", gates.text_code(F.col("t"), F.lit(False), rules)).collect()}
+    assert got == cases
+
+
+def test_media_ids(spark):
+    i = "dQw4w9WgXcQ"
+    cases = {f"youtu.be/{i}": i, f"v={i}": i, f"https://x.example/shorts/{i}?t=1": i, f"a/watch/{i}": i, f"/v/?list=1&v={i}9": i, i: i, "v=short": "v=short",
+             f"v=no youtu.be/{i}": i, "": ""}
+    got = {r["u"]: r["id"] for r in spark.createDataFrame([(k,) for k in cases], "u string").withColumn("id", media_id(F.col("u"))).collect()}
+    assert got == cases
+
+
+def test_partial_ratio_is_the_same_both_ways():
+    assert partial_ratio("ab??", "axbx") == partial_ratio("axbx", "ab??") == pytest.approx(200 / 3)
+    assert partial_ratio("", "") == 100 and partial_ratio("", "a") == 0 and partial_ratio("a" * 70, "b" + "a" * 70) == 100
+
+
+def test_patterns_are_matched_once(spark):
+    rules = gates.TextRules("[ß]", ("eaux",), "[é]", ("the",), {"SPEECH": ("whether",), "NEWS": ("tion",)})
+    plan = chain.screen(table(spark, [{}]), rules)._jdf.queryExecution().optimizedPlan().toString()
+    assert len(re.findall("RLIKE", plan)) == 6
+
+
+def test_keywords_are_scored_in_the_chain(spark):
+    words = ["", " harvest song ", "boat"]
+    cases = [{"raw": "tamil harvest song"}, {"raw": "tamil harvst sng"}, {"raw": "tamil zzzz"}, {"raw": "telugu harvest song"}, {"raw": "tamil boat", "keywords": []}, {"raw": "tamil boat", "keywords": None}]
+    df = table(spark, [{"keywords": words, **x} for x in cases], ", keywords array<string>").drop("best", "hits")
+    got = {r["recording_id"]: r for r in chain.decide(df, RULES).collect()}
+    for i, x in enumerate(cases[:3]):
+        best = max(keyword_score(x["raw"], k.strip()) for k in words[1:])
+        first = got[str(i)]["results"][0]
+        assert first["decision"] == ("PASS" if best >= 70 else "REVIEW" if best >= 62 else "REJECT")
+        assert first["score"] == (pytest.approx(round(best / 100, 4)) if best >= 62 else None)
+    assert [got[str(i)]["rejection_code"] for i in (3, 4, 5)] == ["NON_FOLK"] * 3
+
+
+def test_failed_fetches(spark):
+    gone = {"exists": False, "size": None, "frames": None, "has_stream": False, "container": None, "pcm": None}
+    df = table(spark, [{"fetched": True}, {"fetched": False, "probe": gone}, {"fetched": None}, {"fetched": True, "probe": gone}, {"fetched": False, "duration": 400.0}], ", fetched boolean")
+    assert outcome(chain.decide(df, RULES)) == {
+        "0": ("final_scoring", "ACCEPT", None), "1": ("download", "REJECT", "DOWNLOAD_FAILED"), "2": ("final_scoring", "ACCEPT", None),
+        "3": ("integrity_gate", "REJECT", "CORRUPT_AUDIO"), "4": ("metadata_gate", "REJECT", "TOO_LONG"),
+    }
+
+
+def test_parts_of_split_recordings(spark):
+    bad, silent = {**GOOD, "silence": 0.9}, {**GOOD, "silence": 0.44, "clipping": 0.03, "snr": 6.0, "noise_floor": -26.0, "dynamic_range": 5.0}
+    # 0: one part passes; 1: none does; 2: rejected before; 3: whole; 4: flagged before, its parts start afresh; 5: its second part repeats one of 0; 6: too many parts
+    df = table(spark, [{}, {}, {"best": 0.0}, {"fp": [0xFF00FF00]}, {"best": 65.0}, {}, {}])
+    kinds = "recording_id string, piece int, " + re.search(r"metrics struct<[^>]*>", CHAIN)[0] + ", fp array<bigint>"
+    whole = lambda r, p, m, fp: (r, p, tuple(m.values()), fp)
+    pieces = [whole("0", 0, bad, [1]), whole("0", 1, GOOD, [0xFFFF]), whole("1", 0, bad, None), whole("1", 1, silent, None), whole("2", 0, GOOD, None), whole("4", 0, GOOD, None),
+              whole("4", 1, bad, None), whole("5", 0, GOOD, [0xF0F0F0F0]), whole("5", 1, GOOD, [0xFFFF])] + [whole("6", p, bad if p < 5 else GOOD, None) for p in range(7)]
+    out = chain.decide(df, RULES, pieces=spark.createDataFrame(pieces, kinds)).persist()
+    got = outcome(out)
+    accept, reject = ("chunking", "ACCEPT", None), ("chunking", "REJECT", None)
+    assert {k: got[k] for k in "0123456"} == {
+        "0": accept, "1": reject, "2": ("metadata_gate", "REJECT", "NON_FOLK"), "3": ("final_scoring", "ACCEPT", None), "4": accept, "5": accept, "6": reject,
+    }
+    assert got["0_p01"][2] == got["4_p02"][2] == "MOSTLY_SILENT" and got["0_p02"][1] == got["4_p01"][1] == "ACCEPT"
+    assert got["1_p02"][0] == "final_scoring" and got["5_p02"] == ("duplicate_gate", "REJECT", "DUPLICATE_RECORDING")
+    assert sorted(k for k in got if k.startswith("6_")) == [f"6_p{i:02d}" for i in range(1, Settings().max_parts + 1)] and "2_p01" not in got
+    parents = {r["recording_id"]: r["parent_id"] for r in out.collect()}
+    assert parents["0_p01"] == "0" and parents["0"] is None and len(got) == 7 + 2 + 2 + 2 + 2 + 5
+    out.unpersist()
