@@ -142,40 +142,6 @@ def measure(files: DataFrame, s: Settings = Settings()) -> DataFrame:
     return files.select("path", "content").mapInPandas(run, f"path string, {METRICS}, error string")
 
 
-def split_points(rms: np.ndarray, per_second: float, least: float, target: float, most: float) -> list[tuple[float, float]]:
-    """Pieces (start, end) in seconds, cut at the quietest frame between the bounds.
-
-    The rest after the last cut is a piece; pieces under the least length join the one before.
-    """
-    total = len(rms) / per_second
-    cuts, at = [0.0], 0.0
-    while at + target < total:
-        a, b = int((at + least) * per_second), int(min(at + most, total) * per_second)
-        if b <= a:
-            break
-        at = (a + int(np.argmin(rms[a:b]))) / per_second
-        cuts.append(at)
-    pieces = list(zip(cuts, [*cuts[1:], total], strict=True))
-    merged = pieces[:1]
-    for start, end in pieces[1:]:
-        if end - start < least:
-            merged[-1] = (merged[-1][0], end)
-        else:
-            merged.append((start, end))
-    return merged
-
-
-def split_series(frames: DataFrame, key: str, order: str, value: str, per_second: float, least: float, target: float, most: float) -> DataFrame:
-    """(key, piece, start, end) for the frame series of each key, whose order is ``order``."""
-
-    def run(k: tuple, group: pd.DataFrame) -> pd.DataFrame:
-        rms = group.sort_values(order)[value].to_numpy(float)
-        pieces = split_points(rms, per_second, least, target, most)
-        return pd.DataFrame([(k[0], i, a, b) for i, (a, b) in enumerate(pieces)], columns=[key, "piece", "start_s", "end_s"])
-
-    return frames.groupBy(key).applyInPandas(run, f"{key} {dict(frames.dtypes)[key]}, piece int, start_s double, end_s double")
-
-
 MAX_PARTS = 5
 
 

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..functions import scoring, text
-from ..operators import audio, chain, dedupe, discovery, gates, models, relevance
+from ..operators import chain, dedupe, discovery, gates, models, relevance, splitter
 from ..sources import settings, storage
 from ..sources.runlog import last_by_key
 from ..streaming import runlog as stream
@@ -540,10 +540,17 @@ def voice_and_tags(spark, d):
     return g.select("user_id", gates.voiced_ratio(F.col("segs"), F.col("total")).alias("vocal_ratio"), "music", "speech")
 
 
-@query()
+# The boundaries one by one; only the last piece can be shorter than the least length, and then takes the boundary before it along.
+@query("""with recursive u as (select user_id, list(value order by event_id) as f, count(*)::bigint as total from events group by 1),
+  walk(user_id, k, pos) as (select user_id, 0::bigint, 0::bigint from u union all
+    select w.user_id, k + 1, pos + 3 + list_position(u.f[pos + 4:least(pos + 12, total)], list_min(u.f[pos + 4:least(pos + 12, total)])) - 1
+    from walk w join u on u.user_id = w.user_id where pos + 8 < total),
+  cut as (select walk.user_id, k, pos, total, max(k) over (partition by walk.user_id) as last from walk join u on u.user_id = walk.user_id),
+  kept as (select * from cut where k = 0 or k < last or total - pos >= 3)
+  select user_id, k::int as piece, pos::double as start_s, lead(pos, 1, total) over (partition by user_id order by k)::double as end_s from kept""")
 def chunk_assign(spark, d):
-    """Each user's events as a frame series, split at the quietest frames."""
-    return audio.split_series(t(spark, d, "events"), "user_id", "event_id", "value", per_second=1.0, least=3.0, target=8.0, most=12.0)
+    """Each user's events as a frame series, split at the quietest frames by a table function."""
+    return splitter.split_series(t(spark, d, "events"), "user_id", "event_id", "value", per_second=1.0, least=3.0, target=8.0, most=12.0)
 
 
 @query("""select c_mktsegment, n_name, count(*) as n from customer join nation on c_nationkey = n_nationkey group by cube (c_mktsegment, n_name)""")

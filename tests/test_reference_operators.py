@@ -8,7 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from gleaner.functions import scoring, text
-from gleaner.operators import audio, chain, dedupe, discovery, gates, models, relevance
+from gleaner.operators import audio, chain, dedupe, discovery, gates, models, relevance, splitter
 from gleaner.plans import queries
 from gleaner.sources import retry, runlog, search, storage
 from gleaner.sources.settings import Settings, SettingsError, all_queries, categories, keywords, unknown_slugs
@@ -333,11 +333,14 @@ def a_root(gain):
     return np.sqrt(10 ** (gain / 40))
 
 
-def test_split_points():
+def test_cuts():
     rms = np.ones(400)
     rms[[90, 210, 330]] = 0
-    assert audio.split_points(rms, 1.0, 60, 100, 130) == [(0.0, 90.0), (90.0, 210.0), (210.0, 330.0), (330.0, 400.0)]
-    assert audio.split_points(rms[:100], 1.0, 60, 100, 130) == [(0.0, 100.0)]
+    assert splitter.cuts(rms, 400, 1, 60, 100, 130) == [0, 90, 210, 330, 400]
+    assert splitter.cuts(rms[:100], 100, 1, 60, 100, 130) == [0, 100]
+    assert splitter.cuts(rms, 350, 1, 60, 100, 130) == [0, 90, 210, 350]  # a short rest takes the boundary before it along
+    assert splitter.cuts(np.zeros(0), 250, 512, 60, 100, 130) == [0, 100, 250]  # no frame between the bounds: the target length
+    assert splitter.cuts(rms, 0, 1, 60, 100, 130) == [0] and splitter.cuts(rms, 130, 1, 60, 100, 130) == [0, 130]
 
 
 def test_streaming_counts(spark, tmp_path):
