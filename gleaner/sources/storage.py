@@ -6,6 +6,7 @@ import posixpath
 import uuid
 from collections.abc import Iterator
 
+import pandas as pd
 from pyspark.sql import Column, DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 
@@ -104,22 +105,49 @@ def write_manifest(placed: DataFrame, path: str) -> None:
     placed.write.mode("append").partitionBy("state", "category_slug").parquet(path)
 
 
-def write_files(files: DataFrame) -> None:
-    """Write ``files(path, content)`` through Arrow's file systems, which take paths and URIs.
+def read_file(path: str) -> bytes:
+    """The bytes of one file, in a task, through Arrow's file systems."""
+    from pyarrow import fs
 
-    A file appears whole or not at all: it is written beside its place and moved there, so a
-    task that runs twice does no harm.
-    """
+    system, place = fs.FileSystem.from_uri(path)
+    with system.open_input_stream(place) as stream:
+        return stream.read()
 
-    def run(rows: Iterator[Row]) -> None:
-        from pyarrow import fs
 
+def _put(path: str, content: bytes) -> None:
+    """A file appears whole or not at all: it is written beside its place and moved there, so a task that runs twice does no harm."""
+    from pyarrow import fs
+
+    system, place = fs.FileSystem.from_uri(path)
+    system.create_dir(posixpath.dirname(place), recursive=True)
+    part = f"{place}.{uuid.uuid4().hex}.part"
+    with system.open_output_stream(part) as out:
+        out.write(content)
+    system.move(part, place)
+
+
+def put_files(files: DataFrame) -> DataFrame:
+    """(path, error): write ``files(path, content)`` when the result is asked for; the error of a file that could not be, else null."""
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            errors = []
+            for path, content in zip(batch["path"], batch["content"], strict=True):
+                try:
+                    _put(path, bytes(content))
+                    errors.append(None)
+                except Exception as e:
+                    errors.append(f"{type(e).__name__}: {e}")
+            yield pd.DataFrame({"path": batch["path"], "error": errors})
+
+    return files.select("path", "content").mapInPandas(run, "path string, error string")
+
+
+def write_files(files: DataFrame) -> None:
+    """Write ``files(path, content)`` through Arrow's file systems, which take paths and URIs; the first failure fails the job."""
+
+    def run(rows: Iterator[Row]) -> None:
         for row in rows:
-            system, place = fs.FileSystem.from_uri(row["path"])
-            system.create_dir(posixpath.dirname(place), recursive=True)
-            part = f"{place}.{uuid.uuid4().hex}.part"
-            with system.open_output_stream(part) as out:
-                out.write(bytes(row["content"]))
-            system.move(part, place)
+            _put(row["path"], bytes(row["content"]))
 
     files.select("path", "content").foreachPartition(run)
