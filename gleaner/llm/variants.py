@@ -37,6 +37,7 @@ SHORTEST, LEAST, LEAD, DROP = 7, 2, 10, 31
 DOUBLINGS = 5  # 2 ** 5 steps; a chain has at most 19, as n is below 2 ** 63
 BITS_PER_WORD, PROBES, MOST_BITS = 32, 6, 1 << 29
 SLICE_BITS = 19  # of the map, built apart
+TASK_WORDS = 25_000  # words whose neighbours one task makes
 PIECE = 1 << 17  # neighbours whose check sums are held at once
 _BASE = np.uint64(0x9E3779B97F4A7C15)
 _INVERSE = np.uint64(pow(int(_BASE), -1, 1 << 64))
@@ -184,8 +185,10 @@ def near_words(words: DataFrame) -> DataFrame:
     """(word, n, near, near_n): every ordered pair of words of ``words(word, n)`` that differ by one edit."""
     letters = words.select(F.explode(F.array_distinct(F.split("word", ""))).alias("c")).where("c <> ''").distinct()
     alphabet = np.array(sorted(ord(r["c"]) for r in letters.toLocalIterator()), np.uint32)
-    bits = words.sparkSession.sparkContext.broadcast(bit_map(words, words.count()))
-    found = words.mapInPandas(_candidates(alphabet, bits), "near string, word string, n long")
+    n = words.count()
+    bits = words.sparkSession.sparkContext.broadcast(bit_map(words, n))
+    spread = words.repartition(-(-n // TASK_WORDS) or 1, "word")  # a task makes a thousand strings of each word
+    found = spread.mapInPandas(_candidates(alphabet, bits), "near string, word string, n long")
     return found.join(words.select(F.col("word").alias("near"), F.col("n").alias("near_n")), "near")
 
 
