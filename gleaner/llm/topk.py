@@ -15,9 +15,9 @@ remaining local scores are resolved one by one, exactly. The k best of those tha
 cutoff are the result; it is exact for any data.
 
 Vectors are packed into tiles and queries into blocks of about ``BLOCK``; every tile meets every
-block of its length. Blocks are broadcast while they take ``BROADCAST_BYTES`` at most, a size
-that is known from their number; beyond it tiles and blocks are joined on block and a salt. Only
-short lists are shuffled after that.
+block of its length. Blocks go out in waves of ``BROADCAST_BYTES``, a size that is known from their number; each
+wave is broadcast and answered for good before the next, so tiles are read once a wave where they lie and never
+shuffled. Only short lists are.
 
 Defined cases: vectors that are null, empty or hold null or non-finite components take no part;
 only candidates of the query's length are compared; rows that repeat a query's id are the
@@ -42,9 +42,8 @@ SITES = 4
 BLOCK = 1024
 SCALE = 256
 LEADERS = 8
-FEW = 0.25  # share of candidates left below which they are resolved one by one
+FEW = 0.25  # share of candidates left below which they are resolved one by one; it sets the time that takes, never the result
 BROADCAST_BYTES = 8 << 20
-SALTS = 32
 _TILE_ROWS, _TILE_BYTES = 2048, 4 << 20
 _LIST = "query_id long, row long, vec_id long, score long"
 _NONE = -(1 << 63)
@@ -195,15 +194,10 @@ def _scan(k: int, first: bool) -> Callable[[Iterator[pd.DataFrame]], Iterator[pd
 _PAIR = ("tile", "dim", "ids", "data", "query_ids", "cuts", "queries")
 
 
-def _met(tiles: DataFrame, asked: DataFrame, blocks: int, widest: int) -> DataFrame:
-    """Every tile with every block of queries of its length."""
+def _met(tiles: DataFrame, asked: DataFrame) -> DataFrame:
+    """Every tile with every block of a wave's queries of its length."""
     packed = asked.groupBy("block", "dim").applyInPandas(_pack_block, "block int, dim int, query_ids binary, cuts binary, queries binary")
-    if blocks * BLOCK * widest * 8 <= BROADCAST_BYTES:
-        met = tiles.join(F.broadcast(packed), "dim")
-    else:
-        dealt = tiles.withColumns({"block": F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))), "salt": F.pmod(F.xxhash64("tile"), F.lit(SALTS)).cast("int")})
-        met = dealt.join(packed.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1)))), ["block", "dim", "salt"])
-    return met.select(*_PAIR)
+    return tiles.join(F.broadcast(packed), "dim").select(*_PAIR)
 
 
 def _ranked(found: DataFrame, k: int) -> DataFrame:
@@ -220,11 +214,20 @@ def top_k(vectors: DataFrame, queries: DataFrame, k: int = K) -> DataFrame:
     seen = asked.agg(F.count("*").alias("n"), F.coalesce(F.max("dim"), F.lit(0)).alias("dim")).first()
     blocks = max(1, -(-seen["n"] // BLOCK))
     asked = asked.withColumns({"block": F.pmod(F.xxhash64("vec_id"), F.lit(blocks)).cast("int"), "cut": F.lit(_NONE)})
-    gathered = _met(tiles, asked, blocks, seen["dim"]).mapInPandas(_scan(k, first=True), _LIST)
+    wave = max(1, BROADCAST_BYTES // (BLOCK * max(1, seen["dim"]) * 8))  # blocks
+    if blocks <= wave:
+        return _answered(tiles, asked, k)
+    done = [materialize(_answered(tiles, asked.where(F.col("block").between(b, b + wave - 1)), k)) for b in range(0, blocks, wave)]
+    return done[0].sparkSession.read.schema(done[0].schema).parquet(*(d.table_path for d in done))
+
+
+def _answered(tiles: DataFrame, asked: DataFrame, k: int) -> DataFrame:
+    """The three phases for the queries of one wave."""
+    gathered = _met(tiles, asked).mapInPandas(_scan(k, first=True), _LIST)
     known = _ranked(gathered.dropDuplicates(["query_id", "row"]), k).groupBy("query_id").agg(F.min("score").alias("least"), F.count("*").alias("n"))
     cutoffs = materialize(known.where(F.col("n") == k).select(F.col("query_id").alias("vec_id"), "least"))
     asked = asked.join(cutoffs, "vec_id", "left").withColumn("cut", F.coalesce("least", "cut")).drop("least")
-    found = _met(tiles, asked, blocks, seen["dim"]).mapInPandas(_scan(k, first=False), _LIST)
+    found = _met(tiles, asked).mapInPandas(_scan(k, first=False), _LIST)
     return _ranked(found, k).select("query_id", "rank", "vec_id", "score")
 
 

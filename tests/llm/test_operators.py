@@ -259,6 +259,13 @@ def test_top_k_beyond_one_block(spark, monkeypatch):
     assert got == {q: sorted((-int(v @ w), i) for i, w in whole.items() if i != q and len(w) == len(v))[:3] for q, v in whole.items() if q % 10 == 0}
 
 
+def test_top_k_never_shuffles_tiles(spark):
+    tiles = spark.createDataFrame([], "tile long, dim int, ids binary, data binary")
+    asked = spark.createDataFrame([], "vec_id long, dim int, v array<double>, block int, cut long")
+    plan = topk._met(tiles, asked)._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastHashJoin" in plan and len(re.findall(r"\bExchange hashpartitioning", plan)) == 1 and "hashpartitioning(block" in plan
+
+
 def test_top_k_prunes():
     gen = np.random.default_rng(7)
     rows = gen.normal(size=(3000, 64))
