@@ -89,3 +89,27 @@ def search_rounds(
         return search(sources, fetch).withColumn("place", F.struct("source_ord", "hit_ord"))
 
     return discover(fetch_round, seen, "recording_id", "place", max_rounds, patience, limit)
+
+
+def chosen(categories: DataFrame, slugs: str | None = None) -> DataFrame:
+    """The categories that a comma list names, or all; a name that isn't there fails the job."""
+    if slugs is None:
+        return categories
+    wanted = [s.strip() for s in slugs.split(",") if s.strip()]
+    named = categories.sparkSession.createDataFrame([(s,) for s in wanted], "folder_slug string").distinct()
+    known = named.join(categories.select("folder_slug", F.lit(True).alias("_known")), "folder_slug", "left")
+    checked = known.select(F.when(F.col("_known"), F.col("folder_slug")).otherwise(F.raise_error(F.concat(F.lit("unknown category: "), "folder_slug"))).alias("folder_slug"))
+    return categories.join(checked, "folder_slug").select(categories.columns)
+
+
+def first_candidates(found: DataFrame, limit: int | None, order: str = "ord") -> DataFrame:
+    """The first ``limit`` candidates in the order of discovery, as the feature asks; all without a limit (none or 0)."""
+    return found.orderBy(order).limit(limit) if limit else found
+
+
+def category_report(counts: DataFrame, category: str = "category") -> DataFrame:
+    """Rows of counts sorted by category, the row of totals (``TOTAL``) last."""
+    numbers = [c for c in counts.columns if c != category]
+    total = counts.agg(*(F.coalesce(F.sum(c), F.lit(0)).alias(c) for c in numbers)).withColumn(category, F.lit("TOTAL"))
+    both = counts.withColumn("_last", F.lit(0)).unionByName(total.withColumn("_last", F.lit(1)))
+    return both.orderBy("_last", category).drop("_last")

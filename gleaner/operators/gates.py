@@ -185,7 +185,11 @@ def tag_max(names: Sequence[str], tag: Column, prob: Column) -> Column:
 
 def voiced_ratio(segments: Column, total: Column) -> Column:
     """Share of samples inside (start, end) segments, clamped and rounded."""
-    inside = F.aggregate(segments, F.lit(0).cast("long"), lambda s, x: s + (x["end"] - x["start"]))
+    return voiced_share(F.aggregate(segments, F.lit(0).cast("long"), lambda s, x: s + (x["end"] - x["start"])), total)
+
+
+def voiced_share(inside: Column, total: Column) -> Column:
+    """The same of how many samples lie inside, where segments are rows and their lengths were summed."""
     return F.round(clamp01(F.try_divide(inside, total)), 4)
 
 

@@ -45,6 +45,11 @@ def _pieces(bounds: list[int], rate: float) -> Iterator[tuple[int, float, float]
         yield i, a / rate, b / rate
 
 
+def _plain(x: Any) -> Any:
+    """A number of numpy's as one of Python's, as table functions return them."""
+    return x.item() if isinstance(x, np.generic) else x
+
+
 class SplitFrames:
     """(piece, start_s, end_s) of one series of frames; lengths are in seconds."""
 
@@ -69,7 +74,7 @@ class SplitRecording:
         if len(bounds) > 2:
             for piece, start, end in list(_pieces(bounds, rate))[:parts]:
                 own = y[bounds[piece] : bounds[piece + 1]]
-                yield piece, start, end, metrics(own, rate, channels), fingerprint(own, rate, print_seconds) or None, encode_wav(own, rate)
+                yield piece, start, end, tuple(map(_plain, metrics(own, rate, channels))), fingerprint(own, rate, print_seconds) or None, encode_wav(own, rate)
 
 
 _PIECE = "piece int, start_s double, end_s double"

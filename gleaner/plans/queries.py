@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..functions import scoring, text
-from ..operators import chain, dedupe, discovery, gates, models, relevance, splitter
+from ..operators import chain, dedupe, discovery, gates, models, quantiles, relevance, sketches, splitter
 from ..sources import settings, storage
 from ..sources.runlog import last_by_key
 from ..streaming import runlog as stream
@@ -523,21 +523,34 @@ def dropout_window(spark, d):
 
 @query("""select event_type, round(quantile_cont(value, 0.05), 4) as p05, round(median(value), 4) as p50, round(quantile_cont(value, 0.95), 4) as p95 from events group by 1""")
 def percentile_floor(spark, d):
-    p = lambda q: F.round(F.percentile("value", F.lit(q)), 4)
-    return t(spark, d, "events").groupBy("event_type").agg(p(0.05).alias("p05"), p(0.5).alias("p50"), p(0.95).alias("p95"))
+    found = quantiles.exact_quantiles(t(spark, d, "events"), "event_type", "value", (0.05, 0.5, 0.95))
+    pick = lambda q: F.round(F.max(F.when(F.col("quantile") == q, F.col("value"))), 4)
+    return found.groupBy("event_type").agg(pick(0.05).alias("p05"), pick(0.5).alias("p50"), pick(0.95).alias("p95"))
 
 
 @query("""select user_id, round(least(1, sum(case when event_id % 3 = 0 then 5 else 0 end) / (count(*) * 4.0::double)), 4) as vocal_ratio,
   max(value) filter (event_type in ('click', 'purchase')) as music, max(value) filter (event_type in ('view', 'scroll')) as speech from events group by 1""")
 def voice_and_tags(spark, d):
-    start = F.col("event_id").cast("long")
-    segs = F.collect_list(F.when(F.col("event_id") % 3 == 0, F.struct(start.alias("start"), (start + 5).alias("end"))))
     g = t(spark, d, "events").groupBy("user_id").agg(
-        segs.alias("segs"), (F.count("*") * 4).alias("total"),
+        F.sum(F.when(F.col("event_id") % 3 == 0, 5).otherwise(0)).alias("inside"), (F.count("*") * 4).alias("total"),
         gates.tag_max(["click", "purchase"], F.col("event_type"), F.col("value")).alias("music"),
         gates.tag_max(["view", "scroll"], F.col("event_type"), F.col("value")).alias("speech"),
     )
-    return g.select("user_id", gates.voiced_ratio(F.col("segs"), F.col("total")).alias("vocal_ratio"), "music", "speech")
+    return g.select("user_id", gates.voiced_share(F.col("inside"), F.col("total")).alias("vocal_ratio"), "music", "speech")
+
+
+@query("select event_type, count(*) as records, true as ids_near, true as median_near from events group by 1")
+def audit_sketches(spark, d):
+    """Sketches of ten batches merged, held against the exact figures: both lie within the stated errors."""
+    log = t(spark, d, "events").select(F.col("user_id").alias("recording_id"), F.col("event_type").alias("category_slug"), (F.col("event_id") % 3).alias("decision"),
+                                       F.col("value").alias("final_score"), (F.col("event_id") % 10).alias("batch"))
+    kept = sketches.merged(sketches.summarise(log, ("category_slug", "decision", "batch")), ("category_slug",))
+    read = kept.select("category_slug", "records", F.hll_sketch_estimate("ids").alias("ids"), F.kll_sketch_get_quantile_double("scores", F.lit(0.5)).alias("median"))
+    exact = log.join(read, "category_slug").groupBy("category_slug").agg(
+        F.first("records").alias("records"), (F.abs(F.first("ids") / F.count_distinct("recording_id") - 1) <= 4 * sketches.ID_ERROR).alias("ids_near"),
+        (F.abs(F.count_if(F.col("final_score") <= F.col("median")) / F.count("*") - 0.5) <= sketches.RANK_ERROR).alias("median_near"),
+    )
+    return exact.withColumnRenamed("category_slug", "event_type")
 
 
 # The boundaries one by one; only the last piece can be shorter than the least length, and then takes the boundary before it along.

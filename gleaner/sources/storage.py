@@ -114,7 +114,7 @@ def read_file(path: str) -> bytes:
         return stream.read()
 
 
-def _put(path: str, content: bytes) -> None:
+def put_bytes(path: str, content: bytes) -> None:
     """A file appears whole or not at all: it is written beside its place and moved there, so a task that runs twice does no harm."""
     from pyarrow import fs
 
@@ -126,6 +126,18 @@ def _put(path: str, content: bytes) -> None:
     system.move(part, place)
 
 
+def staged_file(folder: str, name: str) -> str | None:
+    """The first of ``folder/name.*`` with an audio extension that is there and not empty."""
+    from pyarrow import fs
+
+    for extension in AUDIO:
+        path = posixpath.join(folder, f"{name}.{extension}")
+        system, place = fs.FileSystem.from_uri(path)
+        if (system.get_file_info(place).size or 0) > 0:
+            return path
+    return None
+
+
 def put_files(files: DataFrame) -> DataFrame:
     """(path, error): write ``files(path, content)`` when the result is asked for; the error of a file that could not be, else null."""
 
@@ -134,7 +146,7 @@ def put_files(files: DataFrame) -> DataFrame:
             errors = []
             for path, content in zip(batch["path"], batch["content"], strict=True):
                 try:
-                    _put(path, bytes(content))
+                    put_bytes(path, bytes(content))
                     errors.append(None)
                 except Exception as e:
                     errors.append(f"{type(e).__name__}: {e}")
@@ -148,6 +160,6 @@ def write_files(files: DataFrame) -> None:
 
     def run(rows: Iterator[Row]) -> None:
         for row in rows:
-            _put(row["path"], bytes(row["content"]))
+            put_bytes(row["path"], bytes(row["content"]))
 
     files.select("path", "content").foreachPartition(run)
