@@ -4,20 +4,25 @@ from __future__ import annotations
 
 import tempfile
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..functions.scoring import hamming_similarity
 
 
-def _checkpoint(df: DataFrame) -> DataFrame:
-    """A checkpoint in the folder of ``spark.checkpoint.dir``; a private one is made for local masters alone."""
-    sc = df.sparkSession.sparkContext
+def shared_folder(spark: SparkSession) -> str:
+    """The folder of ``spark.checkpoint.dir``; a private one is made for local masters alone."""
+    sc = spark.sparkContext
     if sc.getCheckpointDir() is None:
-        folder = df.sparkSession.conf.get("spark.checkpoint.dir", None)
+        folder = spark.conf.get("spark.checkpoint.dir", None)
         if not folder and not sc.master.startswith("local"):
             raise RuntimeError("set spark.checkpoint.dir to a folder that driver and executors share")
         sc.setCheckpointDir(folder or tempfile.mkdtemp(prefix="gleaner-"))
+    return sc.getCheckpointDir()
+
+
+def _checkpoint(df: DataFrame) -> DataFrame:
+    shared_folder(df.sparkSession)
     return df.checkpoint()
 
 

@@ -2,14 +2,17 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+import uuid
+from collections.abc import Callable, Iterator
 
-from pyspark.sql import DataFrame, SparkSession, Window
+import numpy as np
+import pandas as pd
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..functions import scoring, text
-from ..operators import chain, dedupe, discovery, gates, models, quantiles, relevance, sketches, splitter
-from ..sources import settings, storage
+from ..operators import audio, chain, dedupe, discovery, gates, models, prints, quantiles, relevance, sketches, splitter
+from ..sources import container, runlog, settings, storage
 from ..sources.runlog import last_by_key
 from ..streaming import runlog as stream
 
@@ -113,16 +116,37 @@ def variant_interleave(spark, d):
     return discovery.interleave(rows, "p_brand", "p_partkey", by="p_size")
 
 
-@query()
+def _lcs_sql(short: str, long: str) -> str:
+    """Length of the longest common subsequence: for each character of the long text a row over the beginnings of the short one."""
+    start = f"list_transform(range(len({short}) + 1), lambda i: 0)"
+    step = f"""list_transform(range(1, len(r) + 1), lambda j: greatest(r[j],
+      coalesce(list_max(list_transform(range(2, j + 1), lambda i: if({short}[i - 1] = ch, r[i - 1] + 1, 0))), 0)))"""
+    return f"list_last(list_reduce({long}, lambda r, ch: {step}, {start}))"
+
+
+_KEYS = ["hand thing", "thereof", "queeux", "schein"]
+
+
+# The best window of the lowered text for each keyword, and the comparison of their sets of words.
+@query(f"""with k as (select item_id, lower(text) as low, unnest({_KEYS!r}) as keyword, unnest(range({len(_KEYS)})) as ord from benchmark),
+  c as (select *, string_split(low, '') as t, string_split(keyword, '') as s, len(keyword) as n, list_sort(list_distinct(list_filter(regexp_split_to_array(low, '\\s+'), lambda w: w <> ''))) as y,
+    list_sort(list_distinct(string_split(keyword, ' '))) as x from k),
+  w as (select item_id, ord, n, s, t[greatest(1, pos):pos + n - 1] as part from (select *, unnest(range(2 - n, len(t) + 1)) as pos from c where not contains(low, keyword))),
+  partial as (select item_id, ord, max(200.0::double * {_lcs_sql('s', 'part')} / (n + len(part))) as score from w group by 1, 2),
+  sets as (select *, array_to_string(list_filter(x, lambda v: list_contains(y, v)), ' ') as common, list_filter(x, lambda v: not list_contains(y, v)) as own,
+    list_filter(y, lambda v: not list_contains(x, v)) as other from c),
+  pair as (select *, trim(common || ' ' || array_to_string(own, ' ')) as l, trim(common || ' ' || array_to_string(other, ' ')) as r from sets),
+  token as (select item_id, ord, keyword, contains(low, keyword) as inside, case when common <> '' and (len(own) = 0 or len(other) = 0) then 100 else greatest(
+    200.0::double * {_lcs_sql("string_split(l, '')", "string_split(r, '')")} / (length(l) + length(r)),
+    if(common = '', 0, 200.0::double * length(common) / (length(common) + length(l))), if(common = '', 0, 200.0::double * length(common) / (length(common) + length(r)))) end as score from pair),
+  scored as (select t.item_id, t.ord, keyword, case when inside then 100 else greatest(t.score, p.score) end as score from token t left join partial p on p.item_id = t.item_id and p.ord = t.ord),
+  best as (select item_id, arg_max(keyword, (score, -ord)) as keyword, max(score) as score, count(*) filter (score >= 70) as hits from scored group by 1)
+  select item_id, keyword, round(score / 100, 4) as score, hits, case when score >= 70 and hits >= 1 then 'PASS' when score >= 62 then 'REVIEW' else 'REJECT' end as decision from best""")
 def fuzzy_best_keyword(spark, d):
     """The best of a few keywords for each item of the benchmark table, first listed on ties."""
-    keys = ["hand thing", "thereof", "queeux", "schein"]
-    items = t(spark, d, "benchmark").select("item_id", "text", F.posexplode(F.array(*map(F.lit, keys))).alias("ord", "keyword"))
-    scored = items.withColumn("score", text.fuzzy_score(F.col("text"), F.col("keyword")))
-    best = F.max(F.struct("score", (-F.col("ord")).alias("o"), "keyword"))
-    out = scored.groupBy("item_id").agg(best.alias("b"), F.count_if(F.col("score") >= 70).alias("hits"))
-    decision = gates.keyword_decision(F.col("b.score"), F.col("hits"))
-    return out.select("item_id", F.col("b.keyword").alias("keyword"), F.round(F.col("b.score") / 100, 4).alias("score"), "hits", decision.alias("decision"))
+    items = t(spark, d, "benchmark").withColumn("s", text.keyword_scores(F.col("text"), F.array(*map(F.lit, _KEYS)), 70.0))
+    score = F.round(F.col("s.best") / 100, 4)
+    return items.select("item_id", "s.keyword", score.alias("score"), "s.hits", gates.keyword_decision(F.col("s.best"), F.col("s.hits")).alias("decision"))
 
 
 @query("""select l_orderkey, l_linenumber, round(least(1, greatest(0, l_quantity / 50)) * 0.4 + least(1, greatest(0, l_discount * 10)) * 0.35
@@ -650,6 +674,59 @@ def address_candidates(spark, d):
     return chain.address_candidates(t(spark, d, "pages").select(u.alias("url")), "pages").select("recording_id", "category_slug", "title")
 
 
+def _wav(rows: DataFrame) -> Column:
+    """Bytes of an 8-bit mono file of 8000 samples a second: the text's own bytes as samples, a fifth of them cut off for every seventh text."""
+    little = lambda n, width: F.unhex(F.concat(*(F.lpad(F.hex(F.shiftright(n, 8 * i).bitwiseAND(F.lit(255))), 2, "0") for i in range(width))))
+    data = F.coalesce(F.col("text"), F.lit("")).cast("binary")
+    n = F.octet_length(data)
+    head = bytes.fromhex("57415645666d74201000000001000100401f0000401f00000100080064617461")
+    held = F.when(F.col("doc_id") % 7 == 0, F.substring(data, F.lit(1), F.floor(n * 0.8).cast("int"))).otherwise(data)
+    return F.concat(F.lit(b"RIFF"), little(n + 36, 4), F.lit(head), little(n, 4), held)
+
+
+@query("""with n as (select doc_id, octet_length(encode(coalesce(text, '')))::bigint as n from documents), f as (select *, if(doc_id % 7 = 0, floor(n * 0.8), n)::bigint as held from n)
+  select doc_id, held as frames, n / 8000.0::double as container, held / 8000.0::double as pcm, case when held = 0 or abs(n - held) / 8000.0 > greatest(1, 0.15 * n / 8000.0) then 'CORRUPT_AUDIO' end as code from f""")
+def container_probe(spark, d):
+    """Files whose headers are parsed: the facts come from their bytes, the code from the facts."""
+    docs = t(spark, d, "documents")
+    probed = container.probe(docs.select(F.col("doc_id").cast("string").alias("path"), _wav(docs).alias("content")))
+    code = gates.integrity_code(*(F.col("probe")[k] for k in chain.PROBE))
+    return probed.select(F.col("path").cast("long").alias("doc_id"), "probe.frames", "probe.container", "probe.pcm", code.alias("code"))
+
+
+def _tunes(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """For each page a tune of its address and the same one again, quieter and at another rate."""
+    for batch in batches:
+        rows = []
+        for page, digest in zip(batch["page_id"], batch["digest"], strict=True):
+            for again, rate in enumerate((11025, 16000)):
+                beat = np.arange(rate // 4) / rate
+                notes = [np.sin(2 * np.pi * 110 * 2 ** (b % 36 / 12) * beat) + 0.5 * np.sin(2 * np.pi * 110 * 2 ** (b // 7 / 12) * beat) for b in digest]
+                rows.append((str(2 * page + again), audio.encode_wav(np.concatenate(notes) * (0.1 if again else 0.5), rate)))
+        yield pd.DataFrame(rows, columns=["path", "content"])
+
+
+# The rule itself: what sounds the same is found, what doesn't is kept.
+@query("""select 2 * page_id + again as ord, case when again = 1 then 2 * page_id end as duplicate_of from pages, (values (0), (1)) v(again)""")
+def acoustic_duplicates(spark, d):
+    """Prints of recordings, and the duplicates among them across gain and rate."""
+    made = t(spark, d, "pages").select("page_id", F.unhex(F.sha2(F.concat_ws(":", "page_id", "url"), 256)).alias("digest"))
+    found = dedupe._checkpoint(prints.fingerprints(made.mapInPandas(_tunes, "path string, content binary")))
+    return dedupe.greedy(found.select(F.col("path").cast("long").alias("ord"), F.col("fingerprint").alias("fp")), 0.90)
+
+
+@query("""with r as (select user_id, event_id, value >= 50 as later, event_type from events)
+  select user_id::varchar as recording_id, arg_max(event_type, (later, event_id)) as decision, arg_max(event_id, (later, event_id)) as event_id from r group by 1""")
+def runlog_transactions(spark, d):
+    """A log of two transactions, the first of which is tried again and adds nothing, read back: its last lines with their open field."""
+    folder = f"{dedupe.shared_folder(spark)}/log-{uuid.uuid4().hex}"
+    rows = t(spark, d, "events").select(F.col("user_id").cast("string").alias("recording_id"), F.col("event_type").alias("decision"), "event_id", "value")
+    for name, part in (("low", "value < 50"), ("high", "value >= 50"), ("low", "value < 50")):
+        runlog.append_run_log(rows.where(part).drop("value").orderBy("event_id"), folder, name)
+    read = runlog.read_run_log(spark, folder)
+    return read.select("recording_id", "decision", F.try_variant_get(F.col("extra")["event_id"], "$", "bigint").alias("event_id"))
+
+
 CHAIN_RULES = gates.TextRules(foreign_script="[ß]", foreign_terms=("eaux",), target_script="[éèêç]", context_terms=("the", "and", "de", "der", "a"),
                               exclusions={"SPEECH": ("whether",), "NEWS": ("tion",)})
 _HEARD = "(code is null and quality >= 0.55)"
