@@ -59,7 +59,48 @@ _NEAR_PHONE = re.compile(r"(?<![\w+])(?:\([0-9]{3}\)|[0-9]{3})[ .-][0-9]{3}[ .-]
 _NEAR_EMAIL = re.compile(
     r"(?<![\w.+-])[A-Za-z0-9._+-]{1,64} ?[\[(] ?at ?[\])] ?[A-Za-z0-9-]{1,63} ?(?:\.|[\[(] ?dot ?[\])]) ?[A-Za-z]{2,10}(?!\w)", re.IGNORECASE
 )
-_ENDINGS = frozenset("com org net edu gov io de fr es uk info eu".split())
+# Fixed values, public registries as of 2025. Endings of addresses: the generic ones of IANA's root zone that are not open to
+# any string, and those that RFC 2606 and RFC 6762 keep for tests and local use. An ending of two letters is a country's (ISO 3166).
+_ENDINGS = frozenset("com org net edu gov mil int info biz name pro aero coop museum mobi jobs travel tel cat asia post arpa app dev online shop site".split())
+_NO_ENDINGS = frozenset("test example invalid localhost local internal home lan".split())
+# Card numbers by issuer (ISO/IEC 7812): first and last prefix, lengths.
+_ISSUERS = (
+    ("4", "4", (13, 16, 19)), ("51", "55", (16,)), ("2221", "2720", (16,)), ("34", "34", (15,)), ("37", "37", (15,)), ("6011", "6011", (16, 17, 18, 19)),
+    ("644", "649", (16, 17, 18, 19)), ("65", "65", (16, 17, 18, 19)), ("300", "305", (14, 16, 17, 18, 19)), ("36", "36", (14, 15, 16, 17, 18, 19)), ("38", "39", (14, 16, 17, 18, 19)),
+    ("3528", "3589", (16, 17, 18, 19)), ("62", "62", (16, 17, 18, 19)), ("50", "50", tuple(range(13, 20))), ("56", "58", tuple(range(13, 20))), ("63", "63", tuple(range(13, 20))), ("67", "67", tuple(range(13, 20))),
+)
+# Networks of RFC 6890 that name no host of the internet's: this network, loop-back, link-local, documentation, tests, multicast, reserved.
+_NO_HOSTS = ("0.0.0.0/8", "127.0.0.0/8", "169.254.0.0/16", "192.0.0.0/24", "192.0.2.0/24", "198.18.0.0/15", "198.51.100.0/24", "203.0.113.0/24", "224.0.0.0/4", "240.0.0.0/4")
+# Country codes of ITU-T E.164 of one and two digits; all others have three, and begin with one of these pairs.
+_CODES = frozenset("1 7 20 27 30 31 32 33 34 36 39 40 41 43 44 45 46 47 48 49 51 52 53 54 55 56 57 58 60 61 62 63 64 65 66 81 82 84 86 90 91 92 93 94 95 98".split())
+_LONG_CODES = frozenset("21 22 23 24 25 26 29 35 37 38 42 50 59 67 68 69 80 85 87 88 96 97 99".split())
+
+
+def _network(written: str) -> tuple[int, int]:
+    """The first address and the mask of a network."""
+    first, bits = written.split("/")
+    return _address(first), (1 << 32) - (1 << (32 - int(bits)))
+
+
+def _address(dotted: str) -> int:
+    a, b, c, d = (min(int(p[-9:]), 255) for p in dotted.split("."))
+    return a << 24 | b << 16 | c << 8 | d
+
+
+_NO_HOST_MASKS = tuple(map(_network, _NO_HOSTS))
+
+
+def known_issuer(digits: str) -> bool:
+    return any(len(digits) in lengths and first <= digits[: len(first)] <= last for first, last, lengths in _ISSUERS)
+
+
+def known_number(digits: str) -> bool:
+    """Whether digits behind a plus sign begin with a country's code and, in the North American plan, have its form."""
+    if digits[:1] == "1":
+        return len(digits) == 11 and digits[1] > "1" and digits[4] > "1"
+    return digits[:1] in _CODES or digits[:2] in _CODES or digits[:2] in _LONG_CODES
+
+
 _FOR = {
     "email": frozenset("mail email contact write address reach send".split()),
     "ip": frozenset("ip host server address from client network ping".split()),
@@ -180,12 +221,15 @@ def _structure(kind: str, got: str) -> int:
 def _gazetteer(kind: str, got: str) -> int:
     d = _digits(got)
     if kind == "email":
-        return 1 if re.split(r"[^A-Za-z0-9]+", got)[-1].lower() in _ENDINGS else 0
+        ending = re.split(r"[^A-Za-z0-9]+", got)[-1].lower()
+        return -1 if ending in _NO_ENDINGS or ending.isdigit() else 1 if ending in _ENDINGS or len(ending) == 2 and ending.isalpha() else 0
     if kind == "ip":
-        return -1 if got.split(".")[0] in ("0", "127") or len(got) > 15 or int(got.split(".")[0]) > 223 else 1
+        return -1 if len(got) > 15 or any(_address(got) & mask == first for first, mask in _NO_HOST_MASKS) else 1
     if kind == "card":
-        return 1 if d[0] in "3456" and len(set(d)) > 2 else -1
-    return 1 if got.startswith("+1") or "555" in d or "(" in got else 0
+        return 1 if known_issuer(d) and len(set(d)) > 2 else -1
+    if got[0] == "+":
+        return 1 if known_number(d) else -1
+    return 1 if len(d) == 10 and d[0] > "1" and d[3] > "1" else -1  # a national number, as the candidates without a plus sign are
 
 
 def votes(text: str, span: Span, strict: bool) -> tuple[int, ...]:

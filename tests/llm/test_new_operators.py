@@ -10,7 +10,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from gleaner.llm import counts, repair, variants
+from gleaner.llm import counts, pii, repair, variants
 
 CLASH = ("place", "role_key", "first", "key", "fault", "initial", "steps", "word", "n", "near", "h", "run", "_conv_id", "n_bytes")
 rng = random.Random(5)
@@ -284,3 +284,20 @@ def test_forms_and_roots(spark, monkeypatch, most_bits):
     assert got == plain_variants(words)
     assert got[chain[0]][1] == chain[-1] and got["tiesame"][0] == "tiesama"
     assert spelled(variants.spelling_variants(table.limit(0))) == {}
+
+
+# 5 What the registries say
+
+
+@pytest.mark.parametrize(
+    "kind, got, vote",
+    [
+        ("email", "a@b.de", 1), ("email", "a@b.com", 1), ("email", "a@b.example", -1), ("email", "a@b.c3", 0), ("email", "a@1.2.3.44", -1), ("email", "a@b.unheard", 0),
+        ("ip", "8.8.8.8", 1), ("ip", "127.0.0.1", -1), ("ip", "203.0.113.9", -1), ("ip", "203.0.112.9", 1), ("ip", "239.1.1.1", -1), ("ip", "198.19.255.255", -1), ("ip", "198.20.0.0", 1),
+        ("ip", "10.0.0.1", 1), ("card", "4111 1111 1111 1111", -1), ("card", "4012888888881881", 1), ("card", "2221000000000009", 1), ("card", "2721000000000009", -1), ("card", "371449635398431", 1),
+        ("card", "3714496353984310", -1), ("card", "9111111111111112", -1), ("phone", "+1 (826) 555-4081", 1), ("phone", "+1 (126) 555-4081", -1), ("phone", "+44 20 7946 0000", 1), ("phone", "+210 123 456 789", 1),
+        ("phone", "+998 12 345 67 89", 1), ("phone", "(826) 555-4081", 1), ("phone", "126 555-4081", -1), ("phone", "+0 123456789", -1),
+    ],
+)
+def test_registries(kind, got, vote):
+    assert pii._gazetteer(kind, got) == vote
