@@ -8,9 +8,10 @@ from zlib import crc32
 
 import numpy as np
 import pytest
+import xxhash
 from pyspark.sql import functions as F
 
-from gleaner.llm import counts, pii, repair, variants
+from gleaner.llm import cdc, counts, fingerprints, pii, repair, toxicity, variants
 
 CLASH = ("place", "role_key", "first", "key", "fault", "initial", "steps", "word", "n", "near", "h", "run", "_conv_id", "n_bytes")
 rng = random.Random(5)
@@ -301,3 +302,72 @@ def test_forms_and_roots(spark, monkeypatch, most_bits):
 )
 def test_registries(kind, got, vote):
     assert pii._gazetteer(kind, got) == vote
+
+
+# 7 Cuts and likeness, a byte at a time
+
+
+def plain_cuts(data, least, normal, most):
+    gear = [xxhash.xxh32_intdigest(bytes([b]), 7) for b in range(256)]
+    bits = normal.bit_length() - 1
+    strict, loose = (((1 << n) - 1) << (32 - n) for n in (bits + 1, bits - 1))
+    ends, start, rolling = [], 0, 0
+    for i, b in enumerate(data):
+        rolling = ((rolling << 1) + gear[b]) & 0xFFFFFFFF
+        size = i + 1 - start
+        small_rest = len(data) - start <= least
+        if not small_rest and size >= least and (size == most or rolling & (strict if size < normal else loose) == 0):
+            ends.append(i + 1)
+            start = i + 1
+    return ends + [len(data)] if start < len(data) else ends
+
+
+@pytest.mark.parametrize("sizes", [(16, 64, 255), (8, 32, 40), (512, 2048, 8192)])
+def test_cuts_a_byte_at_a_time(sizes):
+    for n in (0, 1, sizes[0], sizes[0] + 1, sizes[2], 5000, 30_000):
+        for letters in (256, 20, 1):
+            data = bytes(rng.randrange(letters) for _ in range(n))
+            assert cdc.cut_points(data, cdc.Sizes(*sizes)) == plain_cuts(data, *sizes)
+
+
+def plain_chunks(text):
+    data = text.encode()
+    ends = plain_cuts(data, 16, 64, 255)
+    return {data[a:b] for a, b in zip([0, *ends], ends, strict=False)}
+
+
+def plain_likeness(a, b):
+    own, other = plain_chunks(a), plain_chunks(b)
+    return sum(len(c) for c in own if c in other) / sum(map(len, own)) if own else float(not other)
+
+
+def test_likeness_by_chunks_themselves(spark):
+    words = ["".join(rng.choice("abcdeéß") for _ in range(rng.randint(2, 8))) for _ in range(200)]
+    texts = [" ".join(rng.choice(words) for _ in range(rng.randint(0, 400))) for _ in range(40)]
+    texts += [texts[3], texts[3] + " more", None, "", "short", "é" * 3000]
+    rows = list(enumerate(texts))
+    got = {r["doc_id"]: r for r in fingerprints.edited_likeness(spark.createDataFrame(rows, "doc_id long, text string").repartition(5)).collect()}
+    for i, text in rows:
+        text, following = text or "", texts[(i + 1) % len(texts)] or ""
+        quarter = len(text) // 4
+        changed = text[: len(text) - quarter] + following[:quarter]
+        assert got[i]["edited_sha256"] == hashlib.sha256(changed.encode()).hexdigest() and got[i]["n_chars"] == len(text)
+        assert got[i]["near_edited"] == pytest.approx(plain_likeness(text, changed)) and got[i]["near_next"] == pytest.approx(plain_likeness(text, following))
+
+
+# 2 Scores, a word at a time
+
+
+def test_scores_a_word_at_a_time(spark):
+    """The scorer's shares of features times weights, put together from counts without its tables."""
+    docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
+    weights, intercept = {}, -1.0
+    for r in docs.limit(50).collect():
+        for f in toxicity.feature_counts(r["text"])[0]:
+            weights[f] = ((f * 2654435761) % 1000 - 500) / 50
+    model = toxicity.Model(weights, intercept)
+    got = {r["doc_id"]: r["s"] for r in docs.select("doc_id", toxicity.score_column("text", model).alias("s")).collect()}
+    for r in docs.collect():
+        tally, total = toxicity.feature_counts(r["text"])
+        z = intercept + sum(weights.get(f, 0.0) * n for f, n in tally.items()) / (total + toxicity.SMOOTHING)
+        assert got[r["doc_id"]] == pytest.approx(1 / (1 + np.exp(-z)), abs=1e-6)
