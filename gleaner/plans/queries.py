@@ -795,3 +795,31 @@ def candidate_chain(spark, d):
     todo = chain.pending(rows, log, log.limit(0))
     decided = chain.decide(todo, CHAIN_RULES, _heard_signals, s=settings.Settings(duplicate_similarity=0.70))
     return decided.select(F.col("recording_id").alias("doc_id"), "stage", "decision", "rejection_code", (F.col("final_score") + 0.0).alias("final_score"))
+
+
+_FINE = {"duration": 60.0, "silence": 0.0, "clipping": 0.0, "dynamic_range": 30.0, "snr": 30.0, "noise_floor": -60.0, "dropout": 0.0, "rolloff": 8000.0, "sample_rate": 44100.0, "lufs": -14.0}
+
+
+# One document in four is split into two to four parts; one in nine can't be fetched, one in thirteen is broken.
+@query(f"""with first as (select doc_id, n_chars, coalesce('metadata_gate:' || {_TEXT_CASE}, case when n_chars / 10.0 > 300 then 'metadata_gate:TOO_LONG' when n_chars > 0 and n_chars / 10.0 < 10 then 'metadata_gate:TOO_SHORT'
+    when doc_id % 9 = 0 then 'download:DOWNLOAD_FAILED' when doc_id % 13 = 0 then 'integrity_gate:CORRUPT_AUDIO' end) as code from documents),
+  parts as (select doc_id, n_chars, code, unnest(case when code is null and doc_id % 4 = 1 then range(doc_id % 3 + 2) else [null] end) as piece from first),
+  judged as (select doc_id, piece, coalesce(code, case when (n_chars + 17 * coalesce(piece, 0)) % 50 > 45 then 'quality_gate:MOSTLY_SILENT' else 'final_scoring' end) as code from parts),
+  rows as (select doc_id::varchar || case when piece is null then '' else printf('_p%02d', piece + 1) end as recording_id, code from judged
+    union all select doc_id::varchar, case when bool_or(code = 'final_scoring') then 'chunking' else 'chunking:' end from judged where piece is not null group by doc_id)
+  select recording_id, string_split(code, ':')[1] as stage, case when contains(code, ':') then 'REJECT' else 'ACCEPT' end as decision, nullif(string_split(code, ':')[2], '') as rejection_code from rows""")
+def chain_with_parts(spark, d):
+    """The chain with what can't be fetched, and with long recordings that stand as their parts."""
+    c = F.col
+    metrics = lambda silence: F.struct(*((silence if k == "silence" else F.lit(v)).alias(k) for k, v in _FINE.items()))
+    here = c("doc_id") % 13 != 0
+    probe = F.struct(*(v.alias(k) for k, v in {"exists": here, "size": F.lit(9), "frames": F.lit(9), "has_stream": here, "container": F.lit(60.0), "pcm": F.lit(60.0)}.items()))
+    docs = t(spark, d, "documents")
+    rows = docs.select(
+        c("doc_id").cast("string").alias("recording_id"), c("source").alias("category_slug"), c("doc_id").alias("ord"), c("text").alias("raw"), (c("source") == "src1").alias("narration"),
+        F.lit(90.0).alias("best"), F.lit(1).alias("hits"), (c("n_chars") / 10.0).alias("duration"), (c("doc_id") % 9 != 0).alias("fetched"), probe.alias("probe"),
+        metrics(c("n_chars") % 50 / 100.0).alias("metrics"), F.lit(None).cast("array<bigint>").alias("fp"), F.lit(0.9).alias("music"), F.lit(0.1).alias("speech"), F.lit(0.8).alias("vocal"), F.lit(0.6).alias("similarity"),
+    )
+    pieces = docs.where("doc_id % 4 = 1").select(c("doc_id").cast("string").alias("recording_id"), "n_chars", F.explode(F.expr("sequence(0, int(doc_id % 3) + 1)")).alias("piece"))
+    pieces = pieces.select("recording_id", "piece", metrics((c("n_chars") + 17 * c("piece")) % 50 / 100.0).alias("metrics"))
+    return chain.decide(rows, RULES, pieces=pieces).select("recording_id", "stage", "decision", "rejection_code")

@@ -7,6 +7,7 @@ from __future__ import annotations
 
 import importlib
 import json
+import logging
 from collections.abc import Callable, Iterable, Iterator, Mapping
 from typing import Any
 
@@ -18,6 +19,7 @@ from .retry import with_retry
 
 HIT = "recording_id string, title string, channel string, channel_id string, duration_sec double, description string, url string, query string, hit_ord int"
 
+_log = logging.getLogger("gleaner")
 
 Fetch = Callable[[str, int], Iterable[Mapping[str, Any]]]
 
@@ -39,7 +41,7 @@ def _hits(found: Iterable[Mapping[str, Any] | None], query: str, limit: int) ->
 def search(sources: DataFrame, fetch: Fetch, attempts: int = 2, pause: float = 2.0) -> DataFrame:
     """Hits of every source ``(query, source_ord, most)`` by ``fetch(query, most)``, called in tasks, with ``source_ord``.
 
-    A source is tried again after a failure and left out if it fails for good.
+    A source is tried again after a failure and left out if it fails for good, which its task logs; ``failed_sources`` names those.
     """
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -48,13 +50,19 @@ def search(sources: DataFrame, fetch: Fetch, attempts: int = 2, pause: float = 2
             for query, place, most in zip(batch["query"], batch["source_ord"], batch["most"], strict=True):
                 try:
                     found = with_retry(lambda q=query, m=most: list(_hits(fetch(q, int(m)), q, int(m))), attempts, pause)
-                except Exception:
+                except Exception as e:
+                    _log.warning("the source %r failed: %r", query, e)
                     continue
                 yield pd.DataFrame(found, columns=names).assign(source_ord=place)
 
     return sources.select("query", "source_ord", "most").mapInPandas(run, f"{HIT}, source_ord int")
 
 
+def failed_sources(sources: DataFrame, hits: DataFrame) -> DataFrame:
+    """Sources of ``search`` that gave no hit at all, whether they failed or have none."""
+    return sources.join(hits.select("query", "source_ord").distinct(), ["query", "source_ord"], "left_anti")
+
+
 class _Query(InputPartition):
     def __init__(self, text: str) -> None:
         self.text = text

@@ -1,6 +1,5 @@
 """Sketches, exact quantiles, fetching, splitting of files, checks of a session, selections and reports."""
 
-import io
 import json
 import logging
 import math
@@ -11,8 +10,8 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from gleaner.operators import audio, chain, discovery, dedupe, quantiles, sketches, splitter
-from gleaner.sources import media, preflight, settings
+from gleaner.operators import audio, chain, dedupe, discovery, models, quantiles, sketches, splitter
+from gleaner.sources import media, preflight, search, settings
 from gleaner.sources.settings import Settings, SettingsError
 
 from .test_audio_files import song
@@ -140,7 +139,7 @@ def test_logging_is_set_up_once(tmp_path):
     for handler in list(log.handlers):
         handler.close()
         log.removeHandler(handler)
-    assert isinstance(io.StringIO(), io.StringIO) and logging.getLogger(preflight.LOGGER) is log
+    assert logging.getLogger(preflight.LOGGER) is log
 
 
 def test_selection_and_report(spark):
@@ -182,3 +181,27 @@ def test_prints_of_many_lengths(spark):
     assert found <= planted and len(found) >= 0.9 * len(planted) and len(planted) > 50
     with pytest.raises(ValueError):
         dedupe.similar_pairs(table, 0.9, by="luck")
+
+
+def test_failures_are_told(spark):
+    def load():
+        def model(values):
+            if (values == 3).any():
+                raise ValueError("three")
+            return [None if v == 4 else v * 2.0 for v in values]
+
+        return model
+
+    use = models.batch_model(load, "double", errors=True)
+    out = spark.range(6).withColumn("r", use(F.col("id") > 0, F.col("id")))
+    got = {r["id"]: (r["r"]["answer"], r["r"]["error"]) for r in out.collect()}
+    assert got == {0: (None, None), 1: (2.0, None), 2: (4.0, None), 3: (None, "ValueError: three"), 4: (None, None), 5: (10.0, None)}
+    sources = spark.createDataFrame([("a", 0, 2), ("bad", 1, 2), ("none", 2, 2)], "query string, source_ord int, most int")
+
+    def find(query, most):
+        if query == "bad":
+            raise ConnectionError
+        return [{"id": "x"}] if query == "a" else []
+
+    hits = search.search(sources, find, attempts=1)
+    assert sorted(r["query"] for r in search.failed_sources(sources, hits).collect()) == ["bad", "none"]
