@@ -124,22 +124,24 @@ def metrics(y: np.ndarray, rate: int, channels: int, s: Settings = Settings()) -
 
 
 def measure(files: DataFrame, s: Settings = Settings()) -> DataFrame:
-    """(path, *metrics, error) for ``files(path, content)``; what can't be decoded has an error."""
+    """(path, *metrics, subtype, error) for ``files(path, content)``; what can't be decoded has an error, and no metrics."""
+    names = [f.split()[0] for f in METRICS.split(",")]
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             rows = []
             for path, content in zip(batch["path"], batch["content"], strict=True):
                 try:
+                    content = bytes(content or b"")
                     y, rate, n = decode_wav(content)
                     if not len(y):
                         raise ValueError("no frames")
-                    rows.append((path, *metrics(y, rate, n, s), None))
+                    rows.append((path, *metrics(y, rate, n, s), read_riff(content).subtype, None))
                 except UNREADABLE as e:
-                    rows.append((path, *[None] * len(METRICS.split(',')), str(e) or type(e).__name__))
-            yield pd.DataFrame(rows, columns=["path", *(f.split()[0] for f in METRICS.split(",")), "error"])
+                    rows.append((path, *[None] * len(names), None, str(e) or type(e).__name__))
+            yield pd.DataFrame(rows, columns=["path", *names, "subtype", "error"])
 
-    return files.select("path", "content").mapInPandas(run, f"path string, {METRICS}, error string")
+    return files.select("path", "content").mapInPandas(run, f"path string, {METRICS}, subtype string, error string")
 
 
 MAX_PARTS = 5

@@ -49,17 +49,18 @@ def discover(
     ``fetch(round, hits so far)`` gives a round's hits with ``key`` and ``order``. Stops after
     ``max_rounds``, after ``patience`` empty rounds in a row, or at ``limit`` hits (0: none).
     """
-    hits, empty = None, 0
+    hits, empty, total = None, 0, 0
     known = seen.select(key)
     for n in range(1, max_rounds + 1):
         found = fetch(n, hits if hits is not None else seen.limit(0))
         new = first_copies(found.join(known, key, "left_anti"), key, order).withColumn("round", F.lit(n))
         new = _checkpoint(new)
         fresh = new.count()
+        total += fresh
         hits = new if hits is None else hits.unionByName(new)
         known = known.unionByName(new.select(key))
         empty = 0 if fresh else empty + 1
-        if empty >= patience or (limit and hits.count() >= limit):
+        if empty >= patience or (limit and total >= limit):
             break
     return hits.orderBy("round", order).limit(limit) if limit else hits
 

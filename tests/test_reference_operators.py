@@ -301,7 +301,7 @@ def test_audio_metrics(spark):
     assert got["silence"]["silence"] == 1 and got["sine"]["silence"] == 0
     assert got["sine"]["rms"] == pytest.approx(0.3535, abs=1e-3) and got["sine"]["duration"] == 2
     assert got["square"]["clipping"] > 0.9 and got["gap"]["dropout"] > got["sine"]["dropout"] == 0
-    assert got["empty"]["error"] and got["junk"]["error"]
+    assert got["empty"]["error"] and got["junk"]["error"] and got["junk"]["subtype"] is None and got["sine"]["subtype"] == "PCM_16"
     assert got["silence"]["lufs"] is None and -11 < got["sine"]["lufs"] < -9
 
 
