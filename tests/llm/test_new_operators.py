@@ -9,9 +9,10 @@ from zlib import crc32
 import numpy as np
 import pytest
 import xxhash
+from pyspark import AccumulatorParam
 from pyspark.sql import functions as F
 
-from gleaner.llm import cdc, counts, fingerprints, pii, repair, toxicity, variants
+from gleaner.llm import cdc, counts, fingerprints, pii, repair, suffixes, toxicity, variants
 
 CLASH = ("place", "role_key", "first", "key", "fault", "initial", "steps", "word", "n", "near", "h", "run", "_conv_id", "n_bytes")
 rng = random.Random(5)
@@ -371,3 +372,46 @@ def test_scores_a_word_at_a_time(spark):
         tally, total = toxicity.feature_counts(r["text"])
         z = intercept + sum(weights.get(f, 0.0) * n for f, n in tally.items()) / (total + toxicity.SMOOTHING)
         assert got[r["doc_id"]] == pytest.approx(1 / (1 + np.exp(-z)), abs=1e-6)
+
+
+# 8 Groups that are too large
+
+
+class _Most(AccumulatorParam):
+    def zero(self, value):
+        return value
+
+    def addInPlace(self, a, b):  # noqa: N802
+        return max(a, b)
+
+
+def test_no_task_holds_a_large_group(spark, monkeypatch):
+    """A passage in half of the texts, each time between other words: no group that is sorted has more rows than allowed."""
+    passage = " ".join(f"shared{i}" for i in range(60))
+    own = lambda n: " ".join("".join(rng.choice("abcdefgh") for _ in range(6)) for _ in range(n))
+    texts = [f"{own(9)} {passage} {own(9)}" if i % 2 else own(80) for i in range(120)]
+    most = spark.sparkContext.accumulator(0, _Most())
+    plain = suffixes._sort_groups
+
+    def counting(length):
+        run = plain(length)
+
+        def counted(batches):
+            sizes = {}
+
+            def seen():
+                for batch in batches:
+                    for core in batch["core"]:
+                        sizes[core] = sizes.get(core, 0) + 1
+                    yield batch
+
+            yield from run(seen())
+            most.add(max(sizes.values(), default=0))
+
+        return counted
+
+    monkeypatch.setattr(suffixes, "_sort_groups", counting)
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = {r["doc_id"]: (r["n_removed"], r["n_spans"]) for r in suffixes.remove_repeats(docs, group_rows=20).collect()}
+    assert all(got[i] == (0, 0) for i in range(0, 120, 2)) and all(got[i][0] >= len(passage) and got[i][1] == 1 for i in range(1, 120, 2))
+    assert most.value <= 20
