@@ -14,6 +14,7 @@ from ..functions.text import object_uri, path_parts
 
 AUDIO = ("wav", "mp3", "m4a", "flac", "ogg", "opus")  # fixed values
 LEAST_TEXT_BYTES = 20
+COPY_BYTES = 1 << 20
 
 
 def list_files(spark: SparkSession, root: str, pattern: str = "*", recursive: bool = True) -> DataFrame:
@@ -126,6 +127,37 @@ def put_bytes(path: str, content: bytes) -> None:
     system.move(part, place)
 
 
+def copy_files(pairs: DataFrame) -> DataFrame:
+    """(path, target, error): copy ``pairs(path, target)`` between any two places, in blocks, when the result is asked for.
+
+    A copy appears whole or not at all; the error of one that failed doesn't stop the others. A null path or target is an error.
+    """
+
+    def one(path: str, target: str) -> None:
+        from pyarrow import fs
+
+        (own, source), (other, place) = fs.FileSystem.from_uri(path), fs.FileSystem.from_uri(target)
+        other.create_dir(posixpath.dirname(place), recursive=True)
+        part = f"{place}.{uuid.uuid4().hex}.part"
+        with own.open_input_stream(source) as read, other.open_output_stream(part) as out:
+            while block := read.read(COPY_BYTES):
+                out.write(block)
+        other.move(part, place)
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            errors: list[str | None] = []
+            for path, target in zip(batch["path"], batch["target"], strict=True):
+                try:
+                    one(path, target)
+                    errors.append(None)
+                except Exception as e:
+                    errors.append(f"{type(e).__name__}: {e}")
+            yield batch.assign(error=errors)
+
+    return pairs.select("path", "target").mapInPandas(run, "path string, target string, error string")
+
+
 def staged_file(folder: str, name: str) -> str | None:
     """The first of ``folder/name.*`` with an audio extension that is there and not empty."""
     from pyarrow import fs

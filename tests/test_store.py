@@ -104,3 +104,12 @@ def test_a_file_that_cannot_be_written_changes_no_decision(spark, tmp_path):
     assert got["error"] and got["audio_path"] is None and got["text_path"] is None and got["decision"] == "ACCEPT"
     assert runlog.read_run_log(spark, log).first()["decision"] == "ACCEPT"
     assert storage.put_files(decided.select(F.col("recording_id").alias("path"), F.lit(b"").alias("content")).limit(0)).count() == 0
+
+
+def test_copies(spark, tmp_path):
+    (tmp_path / "a").write_bytes(b"x" * (storage.COPY_BYTES + 5))
+    pairs = [(str(tmp_path / "a"), str(tmp_path / "to" / "b")), (f"file://{tmp_path}/a", f"file://{tmp_path}/to/c"), (str(tmp_path / "none"), str(tmp_path / "to" / "d")), (None, "/x")]
+    got = [r["error"] for r in storage.copy_files(spark.createDataFrame(pairs, "path string, target string").coalesce(1)).collect()]
+    assert [e is None for e in got] == [True, True, False, False]
+    assert (tmp_path / "to" / "b").read_bytes() == (tmp_path / "to" / "c").read_bytes() == (tmp_path / "a").read_bytes()
+    assert sorted(p.name for p in (tmp_path / "to").iterdir()) == ["b", "c"]
