@@ -38,6 +38,7 @@ from .sharding import CRC_TABLE, crc_sql
 
 BLOCK_BITS = 9
 BLOCK = 1 << BLOCK_BITS  # rows that are solved at once
+KEY_CHARS = 64
 DELETE, REROLE, INSERT, TRUNCATED = 4, 3, 3, 3
 NOTHING, SYSTEM, USER, ASSISTANT = range(4)  # what was written last
 FOLLOWS = (USER, USER, ASSISTANT, USER)  # by state: what an inserted or re-roled row becomes
@@ -59,12 +60,15 @@ def damage(turns: DataFrame) -> DataFrame:
 
 
 def number(turns: DataFrame) -> DataFrame:
-    """The rows with ``place``, which rises with (conv_id, turn, role, text) over the whole table."""
+    """The rows with ``place``, which rises with (conv_id, turn, role, text) over the whole table.
+
+    Ranges are cut on the beginnings of roles and texts, so that the sample of keys that Spark takes is small however long texts are.
+    """
     order = ["conv_id", "turn", "role", "text"]
     space = lambda name: F.coalesce(name, F.lit(" ")).alias(name)
     rows = turns.select("conv_id", "turn", space("role"), space("text"))
-    rows = rows.repartitionByRange(*order).sortWithinPartitions(*order)
-    return materialize(rows.withColumn("place", F.monotonically_increasing_id()))
+    rows = rows.repartitionByRange("conv_id", "turn", *(F.substring(c, 1, KEY_CHARS) for c in ("role", "text")))
+    return materialize(rows.sortWithinPartitions(*order).withColumn("place", F.monotonically_increasing_id()))
 
 
 def with_faults(numbered: DataFrame) -> DataFrame:
