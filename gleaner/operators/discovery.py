@@ -11,15 +11,27 @@ from ..sources.search import Fetch, search
 from .dedupe import _checkpoint, first_copies
 
 
-def interleave(rows: DataFrame, variant: str, within: str, by: str | None = None) -> DataFrame:
-    """``pos`` numbers rows round-robin over the variants: first of each, then second of each.
+def numbered(rows: DataFrame, *order: str, name: str = "pos") -> DataFrame:
+    """The rows with their position, from 1, in the order of the given columns; no task sees more than a range of them.
 
-    Positions are counted inside ``by`` if given, so that no order over all rows is needed.
+    Rows that are equal in all of ``order`` are numbered in any order.
     """
+    sorted_ = rows.repartitionByRange(*order).sortWithinPartitions(*order).withColumn("_place", F.monotonically_increasing_id())
+    placed = _checkpoint(sorted_).withColumn("_part", F.shiftright("_place", 33))
+    sizes = placed.groupBy("_part").agg(F.count("*").alias("n"), F.min("_place").alias("_first"))
+    before = F.coalesce(F.sum("n").over(Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))  # a row a partition
+    starts = sizes.select("_part", "_first", before.alias("_before"))
+    return placed.join(starts, "_part").withColumn(name, F.col("_before") + F.col("_place") - F.col("_first") + 1).drop("_part", "_place", "_first", "_before")
+
+
+def interleave(rows: DataFrame, variant: str, within: str, by: str | None = None) -> DataFrame:
+    """``pos`` numbers rows round-robin over the variants: first of each, then second of each; inside ``by`` if given."""
     keys = [by] if by else []
     turn = F.row_number().over(Window.partitionBy(*keys, variant).orderBy(within))
     rows = rows.withColumn("_turn", turn)
-    whole = Window.partitionBy(*(keys or [F.lit(0)])).orderBy("_turn", variant)
+    if not by:
+        return numbered(rows, "_turn", variant).drop("_turn")
+    whole = Window.partitionBy(by).orderBy("_turn", variant)
     return rows.withColumn("pos", F.row_number().over(whole)).drop("_turn")
 
 

@@ -205,3 +205,15 @@ def test_failures_are_told(spark):
 
     hits = search.search(sources, find, attempts=1)
     assert sorted(r["query"] for r in search.failed_sources(sources, hits).collect()) == ["bad", "none"]
+
+
+def test_positions_over_many_partitions(spark):
+    rows = [(f"v{i % 3}", i) for i in range(0, 900) if i % 3 != 1 or i < 90]
+    df = spark.createDataFrame(rows, "variant string, n int").repartition(5)
+    got = {(r["variant"], r["n"]): r["pos"] for r in discovery.interleave(df, "variant", "n").collect()}
+    turn, want = {}, []
+    for v, n in rows:
+        turn[v] = turn.get(v, 0) + 1
+        want.append((turn[v], v, n))
+    assert got == {(v, n): i + 1 for i, (_, v, n) in enumerate(sorted(want))}
+    assert discovery.numbered(df.limit(0), "n").count() == 0
