@@ -4,7 +4,7 @@ A folder holds ``parts/<attempt>-<partition>.json`` and ``commits/<name>.json``.
 commit puts one small file in place, by a rename, that names the attempt and its time. Lines count once their attempt is committed:
 
 * an append reads nothing of what was written before, and writers that run at once don't meet;
-* a job that is aborted takes its parts away, one that dies leaves parts that no commit names;
+* a job that is aborted takes its parts away (an empty file in ``aborts`` tells its last tasks), one that dies leaves parts that no commit names;
 * a task that runs twice leaves two parts, and only the one that its commit lists counts;
 * a transaction with a name is committed once: when a stream repeats a batch, the second commit finds the
   first one's file and takes its own parts away.
@@ -19,6 +19,7 @@ import threading
 import time
 import uuid
 from collections.abc import Iterator
+from contextlib import suppress
 from dataclasses import dataclass
 from weakref import WeakSet
 
@@ -74,6 +75,8 @@ class LineWriter(DataSourceWriter):
                 out.write(f"{first[0]}\n".encode())
                 for row in rows:
                     out.write(f"{row[0]}\n".encode())
+            if self._aborted():
+                raise RuntimeError("the job was aborted")
         except BaseException:
             self._drop([name])
             raise
@@ -82,7 +85,14 @@ class LineWriter(DataSourceWriter):
     def _drop(self, parts: list[str]) -> None:
         files, folder = _open(self.folder)
         for name in parts:
-            files.delete_file(f"{folder}/parts/{name}")
+            with suppress(FileNotFoundError):
+                files.delete_file(f"{folder}/parts/{name}")
+
+    def _aborted(self) -> bool:
+        from pyarrow.fs import FileType
+
+        files, folder = _open(self.folder)
+        return files.get_file_info(f"{folder}/aborts/{self.attempt}").type != FileType.NotFound
 
     def commit(self, messages: list[Part | None]) -> None:
         from pyarrow.fs import FileType
@@ -99,7 +109,15 @@ class LineWriter(DataSourceWriter):
         files.move(f"{folder}/commits/_{self.attempt}", place)
 
     def abort(self, messages: list[Part | None]) -> None:
-        """Parts of tasks that Spark has no message of, as they ended while others failed, go too."""
+        """Parts of tasks that Spark has no message of, as they ended while others failed, go too.
+
+        Tasks may still be running: those that have opened their part are seen in the listing, and those that open one later
+        find the mark that was set before it.
+        """
+        files, folder = _open(self.folder)
+        files.create_dir(f"{folder}/aborts", recursive=True)
+        with files.open_output_stream(f"{folder}/aborts/{self.attempt}") as out:
+            out.write(b"")
         self._drop([name for name in _parts(self.folder) if name.startswith(f"{self.attempt}-")])
 
 
