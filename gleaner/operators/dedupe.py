@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..functions.scoring import hamming_similarity
+from . import tiles
 
 
 def shared_folder(spark: SparkSession) -> str:
@@ -28,6 +29,8 @@ def _checkpoint(df: DataFrame) -> DataFrame:
 
 SLACK = 1.125  # lengths of one class: from its base up to so many times that
 WORD_GROUP = 64  # prints that may share a word at its place and still meet on it
+FIRST_ROWS = 8192  # undecided prints that one task decides in order
+WAYS = ("all", "blocks", "words")
 
 
 def length_classes(sizes: list[int], threshold: float) -> list[tuple[int, int]]:
@@ -75,16 +78,25 @@ def _met_on_words(prints: DataFrame) -> DataFrame:
     return shared.join(shared.withColumnRenamed("id", "other"), ["place", "word"]).where("id < other").select(F.col("id").alias("a"), F.col("other").alias("b"))
 
 
-def similar_prints(prints: DataFrame, threshold: float, by: str = "blocks") -> DataFrame:
+def _packed(prints: DataFrame) -> DataFrame:
+    return tiles.packed(prints, _checkpoint)
+
+
+def similar_prints(prints: DataFrame, threshold: float, by: str = "all") -> DataFrame:
     """(a, b, similarity), a before b, of distinct prints ``(id, fp)`` within the threshold over their common prefix.
 
-    By ``blocks`` every such pair is found: lengths fall into few classes, and all meet in one join on blocks of the prefix that a class is
-    sure to share. By ``words`` prints meet that share a whole word at its place, whatever their lengths: far fewer
+    By ``all`` every print is compared with every other in tiles (``operators/tiles.py``): exact, and nothing but the result is sent.
+    By ``blocks`` every such pair is found too: lengths fall into few classes, and all meet in one join on blocks of the prefix that a class is
+    sure to share; this is for thresholds so near 1 that blocks are long (16 bits and more), else nearly all pairs are sent. By ``words``
+    prints meet that share a whole word at its place, whatever their lengths: far fewer
     candidates, but a pair may be missed (a word stays whole with a chance of the similarity to the 32nd power, and prints have
     hundreds of words). Only ids travel; a pair is made once and then verified on its prints.
     """
-    if by not in ("blocks", "words"):
+    if by not in WAYS:
         raise ValueError(f"no way to meet by {by}")
+    if by == "all":
+        blocks = _packed(prints)
+        return tiles.near_earlier(blocks, blocks, threshold).select(F.col("other").alias("a"), F.col("id").alias("b"), "similarity")
     met = _met_on_blocks(prints, threshold) if by == "blocks" else _met_on_words(prints)
     left = prints.select(F.col("id").alias("a"), F.col("fp").alias("fp_a"))
     right = prints.select(F.col("id").alias("b"), F.col("fp").alias("fp_b"))
@@ -98,11 +110,15 @@ def _distinct_prints(prints: DataFrame) -> DataFrame:
     return prints.where(F.size("fp") > 0).groupBy("fp").agg(F.min("ord").alias("id")).select("id", "fp")
 
 
-def similar_pairs(prints: DataFrame, threshold: float, by: str = "blocks") -> DataFrame:
+def similar_pairs(prints: DataFrame, threshold: float, by: str = "all") -> DataFrame:
     """(ord, other, similarity) of every earlier ``other`` within the threshold, for ``prints(ord, fp)``.
 
-    All pairs are the result here, so copies are paired too; ``any_earlier`` and ``greedy`` need none of that.
+    All pairs are the result here, so copies are paired too; ``any_earlier`` and ``greedy`` need none of that. By ``all`` the
+    pairs come from the tiles as they are and are neither stored nor sent.
     """
+    if by == "all":
+        blocks = _packed(prints.select(F.col("ord").alias("id"), "fp"))
+        return tiles.near_earlier(blocks, blocks, threshold).withColumnRenamed("id", "ord")
     known = _checkpoint(_distinct_prints(prints))
     near = _checkpoint(similar_prints(known, threshold, by))
     own = known.select(F.col("id").alias("a"), F.col("id").alias("b"), F.lit(1.0).alias("similarity"))
@@ -126,27 +142,90 @@ def _best(pairs: DataFrame) -> DataFrame:
     return pairs.groupBy("ord").agg(best.alias("b")).select("ord", (-F.col("b.o")).alias("duplicate_of"), F.col("b.similarity"))
 
 
-def any_earlier(prints: DataFrame, threshold: float, by: str = "blocks") -> DataFrame:
+def any_earlier(prints: DataFrame, threshold: float, by: str = "all") -> DataFrame:
     """(ord, duplicate_of, similarity): the best earlier neighbour, whether that was kept or not.
 
     A copy's best is its first copy, or what that equals over a shorter length and comes before it;
     so only first copies need their neighbours.
     """
-    member, near = _neighbours(prints, threshold, by)
-    firsts = _best(near.where("other < id").select(F.col("id").alias("ord"), "other", "similarity"))
+    if by == "all":
+        prints = tiles.comparable(prints)
+        known = _checkpoint(_distinct_prints(prints))
+        member, blocks = prints.join(known, "fp").select("ord", "id"), _packed(known)
+        firsts = _checkpoint(tiles.best_earlier(blocks, blocks, threshold)).toDF("ord", "duplicate_of", "similarity")
+    else:
+        member, near = _neighbours(prints, threshold, by)
+        firsts = _best(near.where("other < id").select(F.col("id").alias("ord"), "other", "similarity"))
     equal = firsts.where("similarity = 1").select(F.col("ord").alias("id"), F.col("duplicate_of").alias("before"))
     copies = member.where("ord <> id").join(equal, "id", "left")
     return firsts.unionByName(copies.select("ord", F.coalesce("before", "id").alias("duplicate_of"), F.lit(1.0).alias("similarity")))
 
 
-def greedy(prints: DataFrame, threshold: float, stored: DataFrame | None = None, by: str = "blocks") -> DataFrame:
+def _without(rows: DataFrame, kept: DataFrame, fresh: DataFrame, threshold: float) -> DataFrame:
+    """``rows(id, fp)`` but for those decided: the ids of ``fresh``, and those near an earlier one of ``kept(id, fp)``."""
+    near = tiles.near_any(_packed(rows), _packed(kept), threshold)
+    return _checkpoint(rows.join(fresh.unionByName(near).distinct(), "id", "left_anti"))
+
+
+def _kept(prints: DataFrame, seeds: DataFrame | None, threshold: float, first_rows: int) -> DataFrame:
+    """(id, fp) of what one pass in order keeps of distinct ``prints(id, fp)``, and the ``seeds`` kept before.
+
+    The first rows that are undecided go through one pass in a task; then all that are near what was kept leave. Where that leaves more
+    than half, neighbours are few: all rows that have no earlier undecided neighbour are kept at once. Every round decides
+    ``first_rows`` at least, and no neighbours are stored.
+    """
+    kept, rows = prints.limit(0), _checkpoint(prints)
+    if seeds is not None:
+        kept = _checkpoint(seeds)
+        rows = _without(rows, kept, kept.select("id"), threshold)
+    n = rows.count()
+    while n:
+        last = rows.orderBy("id").limit(first_rows).agg(F.max("id")).first()[0] if n > first_rows else None
+        first = rows if last is None else rows.where(F.col("id") <= last)
+        new = _checkpoint(rows.join(tiles.kept_of_first(first, threshold, first_rows), "id", "left_semi").select("id", "fp"))
+        kept = kept.unionByName(new)
+        if last is None:
+            break
+        rows = _without(rows.where(F.col("id") > last), new, new.select("id"), threshold)
+        left = rows.count()
+        if left > max(first_rows, n // 2):
+            blocks = _packed(rows)
+            new = _checkpoint(rows.join(tiles.near_any(blocks, blocks, threshold), "id", "left_anti"))
+            kept = kept.unionByName(new)
+            rows = _without(rows, new, new.select("id"), threshold)
+            left = rows.count()
+        n = left
+    return _checkpoint(kept)
+
+
+def greedy(prints: DataFrame, threshold: float, stored: DataFrame | None = None, by: str = "all", first_rows: int = FIRST_ROWS) -> DataFrame:
     """(ord, duplicate_of) where only kept rows block later ones; null for kept rows.
 
     ``stored(ord, fp)`` are prints that were kept before, with orders below all others: they block and are not
-    part of the result. Copies follow their first copy. Rows without an undecided or kept
+    part of the result. Copies follow their first copy. The result is that of one pass in order. Rows without a print are kept.
+    By ``all``, rows are compared with kept ones only (``_kept``), so the work is that of rows times kept rows.
+    Otherwise neighbours are found first; rows without an undecided or kept
     earlier neighbour are kept, rows with a kept one dropped, until none is undecided; each round
-    is checkpointed. The result is that of one pass in order. Rows without a print are kept.
+    is checkpointed.
     """
+    if by == "all":
+        return _greedy_by_all(prints, threshold, stored, first_rows)
+    return _greedy_by_neighbours(prints, threshold, stored, by)
+
+
+def _greedy_by_all(prints: DataFrame, threshold: float, stored: DataFrame | None, first_rows: int) -> DataFrame:
+    seeds = None if stored is None else tiles.comparable(_distinct_prints(stored))
+    known = _checkpoint(_distinct_prints(prints))
+    fresh = known if stored is None else known.join(_distinct_prints(stored).select("fp"), "fp", "left_anti").select("id", "fp")
+    kept = _kept(tiles.comparable(fresh), seeds, threshold, first_rows)
+    rows = prints.select(F.col("ord").cast("long").alias("id"), "fp")
+    rows = rows if stored is None else rows.join(stored.select(F.col("ord").alias("id")), "id", "left_anti")
+    reason = tiles.best_earlier(_packed(rows.join(kept, "id", "left_anti")), _packed(kept), threshold)
+    found = rows.select("id").join(reason.select("id", F.col("other").alias("duplicate_of")), "id", "left")
+    return found.select(F.col("id").alias("ord"), F.col("duplicate_of").cast("long"))
+
+
+def _greedy_by_neighbours(prints: DataFrame, threshold: float, stored: DataFrame | None, by: str) -> DataFrame:
     old = stored.select("ord", "fp", F.lit(True).alias("kept")) if stored is not None else None
     rows = prints.select("ord", "fp", F.lit(None).cast("boolean").alias("kept"))
     rows = rows if old is None else rows.unionByName(old)
