@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import uuid
 from collections.abc import Callable, Iterator
+from functools import cache
 
 import numpy as np
 import pandas as pd
@@ -694,23 +695,36 @@ def container_probe(spark, d):
     return probed.select(F.col("path").cast("long").alias("doc_id"), "probe.frames", "probe.container", "probe.pcm", code.alias("code"))
 
 
+TUNED_PAGES = 8  # about 3.5 MB of samples
+
+
+@cache
+def _tones(rate: int) -> np.ndarray:
+    """A quarter of a second of each of the 37 tones, of which all tunes are made."""
+    beat = np.arange(rate // 4) / rate
+    return np.stack([np.sin(2 * np.pi * 110 * 2 ** (k / 12) * beat) for k in range(37)])
+
+
 def _tunes(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    """For each page a tune of its address and the same one again, quieter and at another rate."""
+    """For each page a tune of its address and the same one again, quieter and at another rate; a few pages at a time."""
     for batch in batches:
-        rows = []
-        for page, digest in zip(batch["page_id"], batch["digest"], strict=True):
-            for again, rate in enumerate((11025, 16000)):
-                beat = np.arange(rate // 4) / rate
-                notes = [np.sin(2 * np.pi * 110 * 2 ** (b % 36 / 12) * beat) + 0.5 * np.sin(2 * np.pi * 110 * 2 ** (b // 7 / 12) * beat) for b in digest]
-                rows.append((str(2 * page + again), audio.encode_wav(np.concatenate(notes) * (0.1 if again else 0.5), rate)))
-        yield pd.DataFrame(rows, columns=["path", "content"])
+        for at in range(0, len(batch), TUNED_PAGES):
+            rows = []
+            for page, digest in batch[["page_id", "digest"]].iloc[at : at + TUNED_PAGES].itertuples(index=False, name=None):
+                for again, rate in enumerate((11025, 16000)):
+                    tones = _tones(rate)
+                    notes = [tones[b % 36] + 0.5 * tones[b // 7] for b in digest]
+                    rows.append((str(2 * page + again), audio.encode_wav(np.concatenate(notes) * (0.1 if again else 0.5), rate)))
+            yield pd.DataFrame(rows, columns=["path", "content"])
 
 
 # The rule itself: what sounds the same is found, what doesn't is kept.
 @query("""select 2 * page_id + again as ord, case when again = 1 then 2 * page_id end as duplicate_of from pages, (values (0), (1)) v(again)""")
 def acoustic_duplicates(spark, d):
     """Prints of recordings, and the duplicates among them across gain and rate."""
-    made = t(spark, d, "pages").select("page_id", F.unhex(F.sha2(F.concat_ws(":", "page_id", "url"), 256)).alias("digest"))
+    pages = t(spark, d, "pages")
+    tasks = 1 + pages.count() // 128  # samples take time and room, rows don't
+    made = pages.select("page_id", F.unhex(F.sha2(F.concat_ws(":", "page_id", "url"), 256)).alias("digest")).repartition(tasks)
     found = dedupe._checkpoint(prints.fingerprints(made.mapInPandas(_tunes, "path string, content binary")))
     return dedupe.greedy(found.select(F.col("path").cast("long").alias("ord"), F.col("fingerprint").alias("fp")), 0.90)
 
