@@ -148,13 +148,17 @@ def near_duplicates(docs: DataFrame, hot_cell: int = HOT_CELL) -> DataFrame:
     return marked.join(label, marked["fp"] == label["label_fp"], "left").select("doc_id", "fp", "component_id")
 
 
-def drop_near_duplicates(docs: DataFrame, groups: Callable[[DataFrame], DataFrame] = near_duplicates) -> DataFrame:
+def drop_near_duplicates(docs: DataFrame, further: Callable[[DataFrame, DataFrame], DataFrame] | None = None) -> DataFrame:
     """The rows of ``docs`` that are first (smallest id) in their group; rows without an id stay.
 
-    ``groups`` gives (doc_id, component_id): by fingerprint, or ``jaccard.near_duplicates``.
+    Groups are those of the fingerprints. ``further(docs, groups)`` may check them exactly and link what they don't
+    reach (``jaccard.checked_and_extended``); it gives (doc_id, component_id).
     Rows that share an id are one document: of those, the one whose text has the least MD5 stays.
     """
-    first = groups(docs).where("doc_id = component_id").select("doc_id").distinct()
+    found = near_duplicates(docs)
+    if further:
+        found = further(docs, materialize(found))
+    first = found.where("doc_id = component_id").select("doc_id").distinct()
     with_id = docs.where("doc_id is not null").join(first, "doc_id", "left_semi")
     one = F.min_by(F.struct(*(F.col(f"`{c}`") for c in docs.columns)), F.md5(F.coalesce("text", F.lit("")).cast("binary")))
     # The aggregate reads the exchange that the join made.
