@@ -28,9 +28,12 @@ def address_candidates(addresses: DataFrame, category: str) -> DataFrame:
 
 
 def pending(candidates: DataFrame, log: DataFrame, stored: DataFrame) -> DataFrame:
-    """Candidates that neither the run log nor the stored outputs hold."""
-    done = log.select("recording_id").unionByName(stored.select("recording_id"))
-    return candidates.join(done, "recording_id", "left_anti")
+    """Candidates that neither the run log nor the stored outputs hold.
+
+    An outer join in place of an anti-join, which Spark would move below ``screen`` and so onto rows that still have their texts.
+    """
+    done = log.select("recording_id").unionByName(stored.select("recording_id")).distinct().withColumn("_done", F.lit(True))
+    return candidates.join(done, "recording_id", "left").where("_done is null").drop("_done")
 
 
 PROBE = ("exists", "size", "frames", "has_stream", "container", "pcm")
@@ -56,7 +59,10 @@ def _with_keyword_score(rows: DataFrame, s: Settings) -> DataFrame:
 
 
 def screen(candidates: DataFrame, rules: TextRules, s: Settings = Settings()) -> DataFrame:
-    """Candidates with ``results`` of the gates that need no samples: text, length, fetch and integrity, up to the first that rejects."""
+    """Candidates with ``results`` of the gates that need no samples: text, length, fetch and integrity, up to the first that rejects.
+
+    No row moves here. Joins with the log or with prints come after it, on rows without ``raw``, else they move every text.
+    """
     c = F.col
     rows = candidates.withColumn("_text", gates.text_code(c("raw"), c("narration"), rules))
     if "keywords" in rows.columns:
@@ -113,7 +119,7 @@ def decide(
     are rejected as DOWNLOAD_FAILED. Where models make HEARD, ``signals`` adds them to rows that are still in the chain and of
     enough quality; it is applied to each such row once. ``results`` holds the row of each gate that was reached. Prints meet those
     of candidates that came before by ``ord`` and passed the duplicate gate, and those of ``stored`` (ord, fp), whose orders lie below.
-    Only rows of these columns are written or shuffled, never ``raw``.
+    Only rows of these columns are written or shuffled, never ``raw``. Rows that have ``results`` are taken as screened, by the same settings.
 
     ``pieces(recording_id, piece, ...)`` are the parts, from 0, of recordings that were split, with the columns that a part has of its own (metrics,
     fp, HEARD). A recording that is open after the integrity gate then stands as its parts, ``max_parts`` of them at most, as the feature asks,
@@ -122,7 +128,7 @@ def decide(
     c = F.col
     limits = limits or s.limits
     m = {k: c("metrics")[k] for k in METRICS}
-    rows = screen(candidates, rules, s)
+    rows = candidates if "results" in candidates.columns else screen(candidates, rules, s)
     ids, at = ["recording_id", "category_slug", "ord"], "ord"
     if pieces is not None:
         rows, at = _checkpoint(rows.drop("raw", "keywords")), "at"

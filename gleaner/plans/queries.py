@@ -800,14 +800,16 @@ def candidate_chain(spark, d):
     """The whole chain: documents that no log holds, every gate in order, duplicates among what gets that far, the final decision."""
     log = t(spark, d, "labels").where("quality = 1").select(F.col("doc_id").alias("recording_id"))
     prints = _prints(spark, d).withColumnRenamed("ord", "vec_id")
-    rows = t(spark, d, "documents").join(prints, F.expr("doc_id div 4 = vec_id"), "left").select(  # four documents share a print
+    rows = t(spark, d, "documents").select(
         F.col("doc_id").alias("recording_id"), F.col("source").alias("category_slug"), F.col("doc_id").alias("ord"), F.col("text").alias("raw"),
         (F.col("lang") == "fr").alias("narration"), (55 + F.col("n_chars") % 45).cast("double").alias("best"), F.lit(1).alias("hits"),
         (F.col("n_chars") / 10.0).alias("duration"), F.struct(*(v.alias(k) for k, v in _probe().items())).alias("probe"),
-        F.struct(*(v.alias(k) for k, v in _metrics().items())).alias("metrics"), "fp",
+        F.struct(*(v.alias(k) for k, v in _metrics().items())).alias("metrics"),
     )
-    todo = chain.pending(rows, log, log.limit(0))
-    decided = chain.decide(todo, CHAIN_RULES, _heard_signals, s=settings.Settings(duplicate_similarity=0.70))
+    own = settings.Settings(duplicate_similarity=0.70)
+    screened = chain.screen(rows, CHAIN_RULES, own).drop("raw", "probe")  # texts stay where they were read
+    todo = chain.pending(screened, log, log.limit(0)).join(prints, F.expr("recording_id div 4 = vec_id"), "left").drop("vec_id")  # four documents share a print
+    decided = chain.decide(todo, CHAIN_RULES, _heard_signals, s=own)
     return decided.select(F.col("recording_id").alias("doc_id"), "stage", "decision", "rejection_code", (F.col("final_score") + 0.0).alias("final_score"))
 
 

@@ -6,10 +6,11 @@ import pytest
 from pyspark.sql import functions as F
 
 from gleaner.functions.text import keyword_score, media_id, partial_ratio
-from gleaner.operators import chain, gates
+from gleaner.operators import chain, dedupe, gates
+from gleaner.plans import queries
 from gleaner.sources.settings import Settings
 
-from .test_reference_operators import CANDIDATE, CHAIN, GOOD, RULES
+from .test_reference_operators import CANDIDATE, CHAIN, GOOD, RULES, SF
 
 
 def table(spark, cases, more=""):
@@ -64,6 +65,43 @@ def test_keywords_are_scored_in_the_chain(spark):
     assert [got[str(i)]["rejection_code"] for i in (3, 4, 5)] == ["NON_FOLK"] * 3
 
 
+def formatted(df):
+    query = df._jdf.queryExecution()
+    return query.explainString(df.sparkSession._jvm.org.apache.spark.sql.execution.ExplainMode.fromString("formatted"))
+
+
+@pytest.mark.parametrize("name", ["candidate_chain", "chain_with_parts"])
+def test_no_text_is_shuffled_or_written(spark, monkeypatch, name):
+    plans, written = [], []
+
+    def checkpoint(df):
+        plans.append(formatted(df))
+        written.extend(df.columns)
+        return df.checkpoint()
+
+    for module in (chain, dedupe):
+        monkeypatch.setattr(module, "_checkpoint", checkpoint)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        plans.append(formatted(queries.QUERIES[name](spark, SF)))
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    moved = [columns for plan in plans for columns in re.findall(r"Exchange\nInput \[\d+\]: \[(.*)\]", plan)]
+    assert any("results#" in columns for columns in moved)
+    assert not [columns for columns in moved if re.search(r"\b(text|raw)#", columns)]
+    assert written and not {"text", "raw"} & set(written)
+
+
+def test_pending_after_the_screen(spark):
+    cases = [{"raw": "tamil a"}, {"raw": "plain"}, {"raw": "tamil b"}, {"best": 0.0}, {"raw": None}]
+    df = table(spark, cases)
+    log = spark.createDataFrame([("0",), ("1",), ("0",), (None,)], "recording_id string")
+    stored = spark.createDataFrame([("3",), ("9",)], "recording_id string")
+    todo = chain.pending(chain.screen(df, RULES).drop("raw", "probe"), log, stored)
+    assert todo.columns == [x for x in df.columns if x not in ("raw", "probe")] + ["results"]
+    assert outcome(chain.decide(todo, RULES)) == outcome(chain.decide(df.where("recording_id in ('2', '4')"), RULES))
+
+
 def test_failed_fetches(spark):
     gone = {"exists": False, "size": None, "frames": None, "has_stream": False, "container": None, "pcm": None}
     df = table(spark, [{"fetched": True}, {"fetched": False, "probe": gone}, {"fetched": None}, {"fetched": True, "probe": gone}, {"fetched": False, "duration": 400.0}], ", fetched boolean")
