@@ -30,6 +30,7 @@ def _checkpoint(df: DataFrame) -> DataFrame:
 SLACK = 1.125  # lengths of one class: from its base up to so many times that
 WORD_GROUP = 64  # prints that may share a word at its place and still meet on it
 FIRST_ROWS = 8192  # undecided prints that one task decides in order
+LINK_PLACES, LINK_WORDS = (0, 8, 16, 24, 32), 2  # where prints meet that most likely are copies, and on how many words
 WAYS = ("all", "blocks", "words")
 
 
@@ -78,8 +79,8 @@ def _met_on_words(prints: DataFrame) -> DataFrame:
     return shared.join(shared.withColumnRenamed("id", "other"), ["place", "word"]).where("id < other").select(F.col("id").alias("a"), F.col("other").alias("b"))
 
 
-def _packed(prints: DataFrame) -> DataFrame:
-    return tiles.packed(prints, _checkpoint)
+def _packed(prints: DataFrame, threshold: float | None = None) -> DataFrame:
+    return tiles.packed(prints, _checkpoint, threshold)
 
 
 def similar_prints(prints: DataFrame, threshold: float, by: str = "all") -> DataFrame:
@@ -95,7 +96,7 @@ def similar_prints(prints: DataFrame, threshold: float, by: str = "all") -> Data
     if by not in WAYS:
         raise ValueError(f"no way to meet by {by}")
     if by == "all":
-        blocks = _packed(prints)
+        blocks = _packed(prints, threshold)
         return tiles.near_earlier(blocks, blocks, threshold).select(F.col("other").alias("a"), F.col("id").alias("b"), "similarity")
     met = _met_on_blocks(prints, threshold) if by == "blocks" else _met_on_words(prints)
     left = prints.select(F.col("id").alias("a"), F.col("fp").alias("fp_a"))
@@ -117,7 +118,7 @@ def similar_pairs(prints: DataFrame, threshold: float, by: str = "all") -> DataF
     pairs come from the tiles as they are and are neither stored nor sent.
     """
     if by == "all":
-        blocks = _packed(prints.select(F.col("ord").alias("id"), "fp"))
+        blocks = _packed(prints.select(F.col("ord").alias("id"), "fp"), threshold)
         return tiles.near_earlier(blocks, blocks, threshold).withColumnRenamed("id", "ord")
     known = _checkpoint(_distinct_prints(prints))
     near = _checkpoint(similar_prints(known, threshold, by))
@@ -151,7 +152,7 @@ def any_earlier(prints: DataFrame, threshold: float, by: str = "all") -> DataFra
     if by == "all":
         prints = tiles.comparable(prints)
         known = _checkpoint(_distinct_prints(prints))
-        member, blocks = prints.join(known, "fp").select("ord", "id"), _packed(known)
+        member, blocks = prints.join(known, "fp").select("ord", "id"), _packed(known, threshold)
         firsts = _checkpoint(tiles.best_earlier(blocks, blocks, threshold)).toDF("ord", "duplicate_of", "similarity")
     else:
         member, near = _neighbours(prints, threshold, by)
@@ -167,12 +168,50 @@ def _without(rows: DataFrame, kept: DataFrame, fresh: DataFrame, threshold: floa
     return _checkpoint(rows.join(fresh.unionByName(near).distinct(), "id", "left_anti"))
 
 
-def _kept(prints: DataFrame, seeds: DataFrame | None, threshold: float, first_rows: int) -> DataFrame:
+def _links(prints: DataFrame, threshold: float) -> DataFrame:
+    """(id, other, similarity, alike) of some pairs of ``prints(id, fp)`` within the threshold, ``other`` being the smaller id; ``alike``: of one length.
+
+    Each print is compared with the first that has the same few words at one of ``LINK_PLACES``. That finds most copies at a cost
+    that grows with the prints; who uses it looks for the others among all pairs.
+    """
+    at = F.explode(F.array(*(F.lit(p) for p in LINK_PLACES)))
+    words = prints.select("id", "fp", at.alias("place")).where(F.size("fp") >= F.col("place") + LINK_WORDS)
+    met = _checkpoint(words.select("id", "place", F.xxhash64(F.slice("fp", F.col("place") + 1, LINK_WORDS)).alias("words")))
+    first = met.groupBy("place", "words").agg(F.min("id").alias("other"), F.count("*").alias("n")).where("n > 1").drop("n")
+    pairs = met.join(first, ["place", "words"]).where("other < id").select("id", "other").distinct()
+    both = pairs.join(prints, "id").join(prints.select(F.col("id").alias("other"), F.col("fp").alias("fp_b")), "other")
+    named = both.select("id", "other", hamming_similarity(F.col("fp"), F.col("fp_b")).alias("similarity"), (F.size("fp") == F.size("fp_b")).alias("alike"))
+    return _checkpoint(named.where(F.col("similarity") >= threshold))
+
+
+def _kept_by_links(rows: DataFrame, links: DataFrame, threshold: float) -> tuple[DataFrame, DataFrame] | None:
+    """(id, fp) of ``rows(id, fp)`` that are kept, and of those that stay undecided; or nothing, where that can't be told this way.
+
+    Only rows without a link are compared with each other: those without an earlier neighbour there are the heads. If every other row has an
+    earlier neighbour among the heads, the pass keeps just these: in order, a head has no neighbour among those kept before it, and any other row has one.
+    Rows without such a neighbour are undecided; heads stand if none of those is an earlier neighbour of one.
+    """
+    own = links.join(rows.select("id"), "id", "left_semi").join(rows.select(F.col("id").alias("other")), "other", "left_semi")
+    own = _checkpoint(own.select("id", "other"))
+    free = _checkpoint(rows.join(own, "id", "left_anti"))
+    blocks = _packed(free, threshold)
+    heads = _checkpoint(free.join(tiles.near_any(blocks, blocks, threshold), "id", "left_anti"))
+    led = own.join(heads.select(F.col("id").alias("other")), "other", "left_semi").select("id")
+    rest = _checkpoint(rows.join(heads.select("id").unionByName(led).distinct(), "id", "left_anti"))
+    if not rest.isEmpty():
+        packed = _packed(heads)
+        rest = _checkpoint(rest.join(tiles.near_any(_packed(rest), packed, threshold), "id", "left_anti"))
+        if not rest.isEmpty() and not tiles.near_any(packed, _packed(rest), threshold).isEmpty():
+            return None
+    return heads, rest
+
+
+def _kept(prints: DataFrame, seeds: DataFrame | None, threshold: float, first_rows: int, links: DataFrame | None) -> DataFrame:
     """(id, fp) of what one pass in order keeps of distinct ``prints(id, fp)``, and the ``seeds`` kept before.
 
     The first rows that are undecided go through one pass in a task; then all that are near what was kept leave. Where that leaves more
-    than half, neighbours are few: all rows that have no earlier undecided neighbour are kept at once. Every round decides
-    ``first_rows`` at least, and no neighbours are stored.
+    than half, neighbours are few: all that ``_kept_by_links`` can tell of are decided at once, or else all rows that have no earlier
+    undecided neighbour are kept at once. Every round decides ``first_rows`` at least, and no other neighbours than ``links`` are stored.
     """
     kept, rows = prints.limit(0), _checkpoint(prints)
     if seeds is not None:
@@ -189,10 +228,15 @@ def _kept(prints: DataFrame, seeds: DataFrame | None, threshold: float, first_ro
         rows = _without(rows.where(F.col("id") > last), new, new.select("id"), threshold)
         left = rows.count()
         if left > max(first_rows, n // 2):
-            blocks = _packed(rows)
-            new = _checkpoint(rows.join(tiles.near_any(blocks, blocks, threshold), "id", "left_anti"))
-            kept = kept.unionByName(new)
-            rows = _without(rows, new, new.select("id"), threshold)
+            told = _kept_by_links(rows, links, threshold)
+            if told:
+                new, rows = told
+                kept = kept.unionByName(new)
+            else:
+                blocks = _packed(rows, threshold)
+                new = _checkpoint(rows.join(tiles.near_any(blocks, blocks, threshold), "id", "left_anti"))
+                kept = kept.unionByName(new)
+                rows = _without(rows, new, new.select("id"), threshold)
             left = rows.count()
         n = left
     return _checkpoint(kept)
@@ -203,7 +247,8 @@ def greedy(prints: DataFrame, threshold: float, stored: DataFrame | None = None,
 
     ``stored(ord, fp)`` are prints that were kept before, with orders below all others: they block and are not
     part of the result. Copies follow their first copy. The result is that of one pass in order. Rows without a print are kept.
-    By ``all``, rows are compared with kept ones only (``_kept``), so the work is that of rows times kept rows.
+    By ``all``, rows are compared with kept ones only (``_kept``), so the work is that of rows times kept rows; for those that a cheap link
+    leads to their best kept row it is that of reading them (``_led``).
     Otherwise neighbours are found first; rows without an undecided or kept
     earlier neighbour are kept, rows with a kept one dropped, until none is undecided; each round
     is checkpointed.
@@ -213,14 +258,36 @@ def greedy(prints: DataFrame, threshold: float, stored: DataFrame | None = None,
     return _greedy_by_neighbours(prints, threshold, stored, by)
 
 
+def _led(prints: DataFrame, known: DataFrame, kept: DataFrame, links: DataFrame, threshold: float) -> DataFrame:
+    """(id, other) of those ``prints(id, fp)`` whose best kept row ``other`` is sure from a link alone. No two of ``kept(id, fp)`` are within the threshold.
+
+    Bits that differ obey the triangle inequality. Over m words, any other kept row differs from ``other`` in more than (1 - threshold) * 32 * m bits, so from
+    a row that is d bits from that one in more than these less d. With d small enough for both lengths that is a lesser similarity than that with ``other``.
+    """
+    least = kept.agg(F.min(F.size("fp"))).first()[0] or 0
+    m = F.least(F.size("fp"), F.lit(least))
+    sure = (1 - F.col("similarity")) * (F.size("fp") + m) < (1 - threshold) * m * (1 - 1e-9)
+    best = links.where("alike").join(kept.select(F.col("id").alias("other")), "other", "left_semi").join(known, "id").where(sure).select("id", "other")
+    best = best.unionByName(kept.select("id", F.col("id").alias("other")))
+    member = prints.join(known.withColumnRenamed("id", "first"), "fp").select("id", "first")
+    return member.join(best.withColumnRenamed("id", "first"), "first").where("id <> other").select("id", "other").distinct()
+
+
 def _greedy_by_all(prints: DataFrame, threshold: float, stored: DataFrame | None, first_rows: int) -> DataFrame:
     seeds = None if stored is None else tiles.comparable(_distinct_prints(stored))
     known = _checkpoint(_distinct_prints(prints))
     fresh = known if stored is None else known.join(_distinct_prints(stored).select("fp"), "fp", "left_anti").select("id", "fp")
-    kept = _kept(tiles.comparable(fresh), seeds, threshold, first_rows)
+    fresh = tiles.comparable(fresh)
+    links = _links(fresh, threshold) if known.count() > first_rows else None
+    kept = _kept(fresh, seeds, threshold, first_rows, links)
     rows = prints.select(F.col("ord").cast("long").alias("id"), "fp")
     rows = rows if stored is None else rows.join(stored.select(F.col("ord").alias("id")), "id", "left_anti")
-    reason = tiles.best_earlier(_packed(rows.join(kept, "id", "left_anti")), _packed(kept), threshold)
+    open_ = rows.join(kept, "id", "left_anti")
+    if stored is None and links is not None:
+        led = _checkpoint(_led(tiles.comparable(open_), fresh, kept, links, threshold))
+        reason = tiles.best_earlier(_packed(open_.join(led, "id", "left_anti")), _packed(kept), threshold).select("id", "other").unionByName(led)
+    else:
+        reason = tiles.best_earlier(_packed(open_), _packed(kept), threshold)
     found = rows.select("id").join(reason.select("id", F.col("other").alias("duplicate_of")), "id", "left")
     return found.select(F.col("id").alias("ord"), F.col("duplicate_of").cast("long"))
 

@@ -3,44 +3,62 @@
 Prints are sorted by id over partitions and packed into blocks, one row each. Every block meets every block that begins before its
 end; a task compares the two as arrays of words, so of the pairs only those within the threshold (or the best of a print) leave
 it. What is stored or shuffled grows with the prints, what is computed with their pairs: one machine instruction for 64 bits.
+
+Prints of many words that are compared among themselves have a sketch each: their bits turned and cut to ``SKETCH`` numbers. A turn keeps distances
+and a cut lessens them, so pairs whose sketches are further apart than the bits may be are left at once, at a matrix product; all others
+are compared word by word. The axes are the main ones of a bounded sample; they decide the time alone, not what is found.
 """
 
 from __future__ import annotations
 
 from collections.abc import Callable, Iterator
+from functools import cached_property
 
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-BLOCK_ROWS, BLOCK_BYTES = 4096, 1 << 18
-STRIPS, STRIP_BLOCKS = 16, 64  # partitions of blocks: so many, or more where one would hold more blocks than that
-CELLS = 1 << 18  # pairs that are compared at once
+BLOCK_ROWS, BLOCK_BYTES = 4096, 1 << 19
+STRIPS, STRIP_BLOCKS = 16, 64  # partitions of blocks: so many at most, or more where one would hold more blocks than that
+CELLS, SKETCHED_CELLS = 1 << 18, 1 << 20  # pairs that are compared at once
 LOOK = 8  # columns of 64 bits after which pairs that are too far already are left
+SKETCH, SKETCH_ROWS, SKETCH_WORDS = 64, 2048, 48  # numbers a sketch, prints that its axes are made from, words that it is made of at most
+SKETCHED_BLOCKS = 4  # so many blocks at least, else sketches cost more than they save
+SKETCH_PASSES = 0.1  # share of pairs that may pass
 KEPT_ROWS = 1 << 20
 CHUNK = 256
 _LOW = np.uint64(0xFFFFFFFF)
-_PACKED = "low long, high long, ids binary, sizes binary, words binary"
+_PACKED = "low long, high long, ids binary, sizes binary, words binary, sketch binary"
 
 
 class Block:
-    """Prints, longest first: ids, sizes in words, and columns of two words each (an odd last word has zeros behind it)."""
+    """Prints, longest first: ids, sizes in words, columns of two words each (an odd last word has zeros behind it), and sketches or none."""
 
-    def __init__(self, ids: np.ndarray, sizes: np.ndarray, words: np.ndarray) -> None:
+    def __init__(self, ids: np.ndarray, sizes: np.ndarray, words: np.ndarray, sketch: np.ndarray | None = None) -> None:
         order = np.argsort(-sizes, kind="stable")
         held = np.arange(int(sizes.max()) + int(sizes.max()) % 2)[None, :] < sizes[:, None]
         rows = np.zeros(held.shape, np.uint32)
         rows[held] = words
         self.ids, self.sizes = ids[order], sizes[order].astype(np.int64)
         self.columns = np.ascontiguousarray(rows[order].view(np.uint64).T)
+        self.sketch = None
+        if sketch is not None:  # with minus half the square of its length, and a one
+            half = -0.5 * np.einsum("ij,ij->i", sketch, sketch)
+            self.sketch = np.column_stack([sketch, half, np.ones(len(sketch), np.float32)])[order]
 
     def part(self, rows: slice | np.ndarray) -> Block:
         """Some of the rows, in order."""
         new = object.__new__(Block)
         new.ids, new.sizes, new.columns = self.ids[rows], self.sizes[rows], self.columns[:, rows]
+        new.sketch = None if self.sketch is None else self.sketch[rows]
         return new
 
+    @cached_property
+    def facing(self) -> np.ndarray:
+        """Sketches as columns, so that a row of ``sketch`` times one is minus half the square of the distance of the two."""
+        return np.ascontiguousarray(self.sketch[:, [*range(SKETCH), SKETCH + 1, SKETCH]].T)
+
     def longer(self, n: int) -> int:
         """How many prints have at least ``n`` words."""
         return int(np.searchsorted(-self.sizes, -n, "right"))
@@ -60,6 +78,10 @@ def _limits(threshold: float, most: int) -> np.ndarray:
 def _near(a: Block, b: Block, limits: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(row of a, row of b, bits that differ) of the pairs within the limit of their common prefix."""
     longest = int(min(a.sizes[0], b.sizes[0]))
+    if a.sketch is not None and b.sketch is not None:
+        r, c = _passed(a.sketch, b.facing, limits[longest])
+        if len(r) * LOOK <= len(a.ids) * len(b.ids):
+            return _rest(a, b, r, c, np.zeros(len(r), np.int64), 0, limits)
     kind = np.uint16 if longest < 2048 else np.int32
     bits = np.zeros((len(a.ids), len(b.ids)), kind)
     n_columns = -(-longest // 2)
@@ -84,9 +106,25 @@ def _near(a: Block, b: Block, limits: np.ndarray) -> tuple[np.ndarray, np.ndarra
     return _rest(a, b, r, c, bits[r, c].astype(np.int64), n_columns, limits)
 
 
+def _passed(sketch: np.ndarray, facing: np.ndarray, most: int) -> tuple[np.ndarray, np.ndarray]:
+    """(row of one, row of the other) of the sketches that are no further apart than ``most`` bits; those of prints that have none pass."""
+    near = np.zeros(-(-len(sketch) * facing.shape[1] // 8) * 8, bool)
+    flat = near[: len(sketch) * facing.shape[1]]
+    np.logical_not(np.less(sketch @ facing, -0.5 * (float(most) + 0.5)).ravel(), out=flat)  # half a bit is left to rounding
+    eights = np.flatnonzero(near.view(np.uint64))  # few pairs pass
+    at = (eights[:, None] * 8 + np.arange(8))[near.reshape(-1, 8)[eights]]
+    return np.divmod(at, facing.shape[1])
+
+
 def _rest(a: Block, b: Block, r: np.ndarray, c: np.ndarray, bits: np.ndarray, column: int, limits: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """The pairs (r, c), with ``bits`` over the columns before ``column``, over all others."""
     common = np.minimum(a.sizes[r], b.sizes[c])
+    while len(r) and 2 * (column + LOOK) <= common.min():  # columns that all pairs have whole
+        own = slice(column, column + LOOK)
+        bits = bits + np.bitwise_count(a.columns[own, r] ^ b.columns[own, c]).sum(axis=0, dtype=np.int64)
+        keep = bits <= limits[common]
+        r, c, bits, common = r[keep], c[keep], bits[keep], common[keep]
+        column += LOOK
     for k in range(column, -(-int(common.max(initial=0)) // 2)):
         differ = a.columns[k, r] ^ b.columns[k, c]
         differ = np.where(common >= 2 * k + 2, differ, np.where(common == 2 * k + 1, differ & _LOW, np.uint64(0)))
@@ -102,7 +140,7 @@ def _earlier(a: Block, b: Block, threshold: float) -> Iterator[tuple[np.ndarray,
     """(id of a, smaller id of b, similarity) of the pairs within the threshold, some at a time."""
     limits = _limits(threshold, int(max(a.sizes[0], b.sizes[0])))
     ordered = b.ids.max() < a.ids.min()
-    step = max(1, CELLS // len(b.ids))
+    step = max(1, (CELLS if a.sketch is None else SKETCHED_CELLS) // len(b.ids))
     for at in range(0, len(a.ids), step):
         some = a.part(slice(at, at + step))
         r, c, bits = _near(some, b, limits)
@@ -114,8 +152,9 @@ def _earlier(a: Block, b: Block, threshold: float) -> Iterator[tuple[np.ndarray,
 
 
 def _block(row: tuple) -> Block:
-    ids, sizes, words = row
-    return Block(np.frombuffer(ids, np.int64), np.frombuffer(sizes, np.int32), np.frombuffer(words, np.uint32))
+    ids, sizes, words, sketch = row
+    numbers = np.frombuffer(sketch, np.float32).reshape(-1, SKETCH) if sketch else None
+    return Block(np.frombuffer(ids, np.int64), np.frombuffer(sizes, np.int32), np.frombuffer(words, np.uint32), numbers)
 
 
 def _flat(prints: pd.Series) -> tuple[np.ndarray, np.ndarray]:
@@ -135,8 +174,8 @@ def _pack(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
             end = int(np.searchsorted(ends, ends[at] + BLOCK_BYTES // 4, "right")) - 1
             end = max(at + 1, min(end, at + BLOCK_ROWS, len(ids)))
             own = slice(at, end)
-            row = (ids[own].min(), ids[own].max(), ids[own].tobytes(), sizes[own].tobytes(), words[ends[at] : ends[end]].tobytes())
-            yield pd.DataFrame([row], columns=["low", "high", "ids", "sizes", "words"])
+            row = (ids[own].min(), ids[own].max(), ids[own].tobytes(), sizes[own].tobytes(), words[ends[at] : ends[end]].tobytes(), b"")
+            yield pd.DataFrame([row], columns=["low", "high", "ids", "sizes", "words", "sketch"])
             at = end
 
 
@@ -145,23 +184,67 @@ def comparable(prints: DataFrame) -> DataFrame:
     return prints.where((F.size("fp") > 0) & ~F.exists("fp", lambda w: w.isNull()))
 
 
-def packed(prints: DataFrame, checkpoint: Callable[[DataFrame], DataFrame]) -> DataFrame:
-    """``prints(id, fp)`` in blocks of neighbouring ids, dealt evenly over partitions."""
+def _first_bits(sizes: np.ndarray, words: np.ndarray, n: int) -> np.ndarray:
+    """The bits of the first ``n`` words of each print, in rows; prints of fewer words have no row."""
+    ends = np.cumsum(sizes, dtype=np.int64)
+    at = (ends - sizes)[sizes >= n, None] + np.arange(n)
+    return np.unpackbits(words[at].view(np.uint8), axis=1).astype(np.float32)
+
+
+def _axes(block: tuple, threshold: float) -> tuple[int, np.ndarray, np.ndarray] | None:
+    """Words that sketches are made of, the point they are seen from and their axes, of the prints of a block; none where too few pairs would be left."""
+    sizes, words = np.frombuffer(block[0], np.int32), np.frombuffer(block[1], np.uint32)
+    n = min(SKETCH_WORDS, int(np.quantile(sizes, 0.1, method="lower")))
+    if n * 32 < 4 * SKETCH:
+        return None
+    bits = _first_bits(sizes, words, n)
+    bits = bits[:: -(-len(bits) // SKETCH_ROWS)]
+    middle = bits.mean(axis=0)
+    seen = bits - middle
+    axes = np.linalg.eigh(seen.T @ seen)[1][:, : -SKETCH - 1 : -1].astype(np.float32)
+    some = (seen @ axes)[:: -(-len(seen) // 256)]
+    apart = ((some[:, None] - some) ** 2).sum(axis=2)
+    passed = (apart <= _limits(threshold, int(sizes.max()))[int(np.median(sizes))]).mean() - 1 / len(some)
+    return (n, middle, axes) if passed <= SKETCH_PASSES else None
+
+
+def _sketched(n: int, middle: np.ndarray, axes: np.ndarray) -> Callable[[Iterator[pd.DataFrame]], Iterator[pd.DataFrame]]:
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            for row in batch.to_dict("records"):
+                sizes, words = np.frombuffer(row["sizes"], np.int32), np.frombuffer(row["words"], np.uint32)
+                numbers = np.full((len(sizes), SKETCH), np.nan, np.float32)
+                numbers[sizes >= n] = (_first_bits(sizes, words, n) - middle) @ axes
+                yield pd.DataFrame([row | {"sketch": numbers.tobytes()}])
+
+    return run
+
+
+def packed(prints: DataFrame, checkpoint: Callable[[DataFrame], DataFrame], threshold: float | None = None) -> DataFrame:
+    """``prints(id, fp)`` in blocks of neighbouring ids, dealt evenly over partitions; with sketches where a threshold is given and they help."""
     rows = comparable(prints).select(F.col("id").cast("long").alias("id"), "fp")
     blocks = checkpoint(rows.repartitionByRange("id").sortWithinPartitions("id").mapInPandas(_pack, _PACKED))
     n = blocks.count()
-    return checkpoint(blocks.repartition(max(1, min(n, max(STRIPS, -(-n // STRIP_BLOCKS))))))
+    if threshold is not None and n >= SKETCHED_BLOCKS:
+        block = blocks.orderBy(F.xxhash64("low")).select("sizes", "words").first()
+        axes = _axes(tuple(block), threshold)
+        if axes:
+            blocks = blocks.mapInPandas(_sketched(*axes), _PACKED)
+    few = max(min(n, 4), min(STRIPS, n // 4))  # of n partitions n * n tasks are made
+    return checkpoint(blocks.repartition(max(1, few, -(-n // STRIP_BLOCKS))))
 
 
 def _met(later: DataFrame, earlier: DataFrame) -> DataFrame:
-    """Every block of ``later`` beside every one of ``earlier`` that holds a smaller id."""
+    """Every block of ``later`` beside every one of ``earlier`` that holds a smaller id. Sketches of different frames have different axes."""
+    if later is not earlier:
+        later, earlier = (x.withColumn("sketch", F.lit(b"")) for x in (later, earlier))
     other = earlier.select(*(F.col(c).alias(f"{c}_b") for c in earlier.columns)).hint("shuffle_replicate_nl")  # not broadcast
-    return later.crossJoin(other).where("low_b < high").select("ids", "sizes", "words", "ids_b", "sizes_b", "words_b")
+    return later.crossJoin(other).where("low_b < high").select("ids", "sizes", "words", "sketch", "ids_b", "sizes_b", "words_b", "sketch_b")
 
 
 def _tiles(batch: pd.DataFrame) -> Iterator[tuple[Block, Block]]:
     for row in batch.itertuples(index=False, name=None):
-        yield _block(row[:3]), _block(row[3:])
+        yield _block(row[:4]), _block(row[4:])
 
 
 def near_earlier(later: DataFrame, earlier: DataFrame, threshold: float) -> DataFrame:

@@ -700,10 +700,11 @@ TUNED_PAGES = 8  # about 3.5 MB of samples
 
 
 @cache
-def _tones(rate: int) -> np.ndarray:
-    """A quarter of a second of each of the 37 tones, of which all tunes are made."""
+def _beats(rate: int, gain: float) -> list[bytes]:
+    """A quarter of a second for each byte of a digest: two of the 37 tones of which all tunes are made."""
     beat = np.arange(rate // 4) / rate
-    return np.stack([np.sin(2 * np.pi * 110 * 2 ** (k / 12) * beat) for k in range(37)])
+    tones = [np.sin(2 * np.pi * 110 * 2 ** (k / 12) * beat) for k in range(37)]
+    return [audio.pcm_16((tones[b % 36] + 0.5 * tones[b // 7]) * gain) for b in range(256)]
 
 
 def _tunes(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -712,10 +713,9 @@ def _tunes(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for at in range(0, len(batch), TUNED_PAGES):
             rows = []
             for page, digest in batch[["page_id", "digest"]].iloc[at : at + TUNED_PAGES].itertuples(index=False, name=None):
-                for again, rate in enumerate((11025, 16000)):
-                    tones = _tones(rate)
-                    notes = [tones[b % 36] + 0.5 * tones[b // 7] for b in digest]
-                    rows.append((str(2 * page + again), audio.encode_wav(np.concatenate(notes) * (0.1 if again else 0.5), rate)))
+                for again, (rate, gain) in enumerate(((11025, 0.5), (16000, 0.1))):
+                    beats = _beats(rate, gain)
+                    rows.append((str(2 * page + again), audio.encode_wav(b"".join([beats[b] for b in digest]), rate)))
             yield pd.DataFrame(rows, columns=["path", "content"])
 
 
@@ -726,7 +726,8 @@ def acoustic_duplicates(spark, d):
     pages = t(spark, d, "pages")
     tasks = 1 + pages.count() // 128  # samples take time and room, rows don't
     made = pages.select("page_id", F.unhex(F.sha2(F.concat_ws(":", "page_id", "url"), 256)).alias("digest")).repartition(tasks)
-    found = dedupe._checkpoint(prints.fingerprints(made.mapInPandas(_tunes, "path string, content binary")))
+    # Files are printed where they are made: their bytes stay in the worker. Prints are small, so fewer tasks read them.
+    found = dedupe._checkpoint(made.mapInPandas(lambda batches: prints.printed(_tunes(batches)), prints.PRINTED)).coalesce(1 + tasks // 16)
     return dedupe.greedy(found.select(F.col("path").cast("long").alias("ord"), F.col("fingerprint").alias("fp")), 0.90)
 
 

@@ -3,6 +3,7 @@
 import struct
 
 import numpy as np
+import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
@@ -149,3 +150,21 @@ def test_prints_feed_the_duplicate_gate(spark):
     assert rows["0"]["duration"] == pytest.approx(16.0) and rows["5"]["error"] == "empty fingerprint"
     found = dedupe.greedy(got.select(F.col("path").cast("long").alias("ord"), F.col("fingerprint").alias("fp")), 0.90)
     assert {r["ord"]: r["duplicate_of"] for r in found.collect()} == {0: None, 1: 0, 2: None, 3: None, 4: None, 5: None}
+
+
+def test_files_of_a_batch_are_printed_as_alone(monkeypatch):
+    """Signals of one rate and length are resampled at once, some files at a time; a file that can't be printed spoils no other."""
+    files = [audio.encode_wav(song(k, rate, seconds), rate) for k, (rate, seconds) in enumerate([(16000, 4.0), (16000, 4.0), (8000, 3.0), (16000, 3.0), (11025, 4.0)])]
+    files += [audio.encode_wav(np.zeros(1), 48000), b"junk", None, audio.encode_wav(np.zeros(0), 8000)]
+    batch = pd.DataFrame({"path": [str(k) for k in range(len(files))], "content": files})
+    alone = [next(prints.printed(iter([batch[k : k + 1]]))) for k in range(len(batch))]
+    calls, made = [], prints.resampled
+    monkeypatch.setattr(prints, "resampled", lambda y, rate: calls.append(y.shape) or made(y, rate))
+    for held in (1 << 21, 70_000):
+        monkeypatch.setattr(prints, "HELD", held)
+        calls.clear()
+        got = next(prints.printed(iter([batch])))
+        told = lambda row: [x if isinstance(x, list) or pd.notna(x) else None for x in row]
+        assert [told(row) for row in got.itertuples(index=False)] == [told(one.iloc[0]) for one in alone]
+        assert ((2, 64000) in calls) == (held > 128_000)
+    assert [bool(e) for e in got["error"]] == [False] * 5 + [True] * 4
