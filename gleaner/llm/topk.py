op4_exact_top_k: sum leaders from their local scores, compare in the narrowest exact numbers

Symptom: op4_exact_top_k takes 593 CPU seconds a GB at 0.02 GB, 441 of them in Python, 129 in the JVM, 13 in GC; executors peak at 1,342 MB.
Evidence: Profile of both passes over the 51,282 vectors alone, 16.8 s: leaders are scored a second time from gathered rows (3.5 s) although each site had just scored them, all 4.1 million leaders are made Python integers and sorted (2.7 s), and the second pass fills some 25 matrices a tile and block for its bounds (7.0 s).
Fix: A leader's score is the sum of its local scores, and a tile sends the k best of a query; the bounds are one product of the site lengths, and whether a later site may hold a sufficient entry is asked once a query; products are made in singles where the lengths show these to be exact, else doubles, else Python integers. A pair meets in one tile and block only, so the cutoffs need no dropDuplicates and no aggregate (7 exchanges to 6). Scores above 2^53 are exact now; the second pass had rounded them (248 of 250 pairs found in a small case, some scores off by 4).
Effect: at 0.6 GB of input CPU 90 -> 77 s, shuffle 0.00 -> 0.00 GB, spill 0.00 -> 0.00 GB, read 0.07 -> 0.07 GB, longest task 2 -> 3 s, most memory of a task 73 -> 36 MB; at 6 GB of input CPU 1465 -> 448 s, shuffle 0.04 -> 0.02 GB, spill 0.00 -> 0.00 GB, read 0.73 -> 0.73 GB, longest task 108 -> 25 s, most memory of a task 75 -> 44 MB; with hot keys, at 0.6 GB of input CPU 86 -> 76 s, shuffle 0.00 -> 0.00 GB, spill 0.00 -> 0.00 GB, read 0.07 -> 0.07 GB, longest task 2 -> 2 s, most memory of a task 71 -> 36 MB.

@@ -4,12 +4,12 @@ Components become integers, floor(256 * x). A vector is cut into ``SITES`` parts
 is a site with local scores: the inner product of query and candidate over that part alone. The
 score of a candidate is the sum of its local scores.
 
-Phase 1: every task lists, for each query and site, the candidates with the ``LEADERS`` times k
-best local scores it has. These leaders alone are scored in full; the k-th best score among the leaders of all
+Phase 1: every task finds, for each query and site, the candidates with the ``LEADERS`` times k
+best local scores of a tile. The full score of these leaders is the sum of their local ones; the k-th best among the leaders of all
 tasks is one that k candidates are known to reach, the safe cutoff of the query. Phase 2: the
 cutoffs go out with the queries. Sites are scored one after another, and a candidate stays only
 while it has a sufficient entry (a local score of cutoff / sites or more, without which no sum
-reaches the cutoff) or may still get one, and while what it has, with the most that the
+reaches the cutoff) or its query may still get one in the tile, and while what it has, with the most that the
 lengths of the parts left allow, reaches the cutoff. Phase 3: where few candidates are left, their
 remaining local scores are resolved one by one, exactly. The k best of those that reach the
 cutoff are the result; it is exact for any data.
@@ -45,7 +45,7 @@ LEADERS = 8
 FEW = 0.25  # share of candidates left below which they are resolved one by one; it sets the time that takes, never the result
 BROADCAST_BYTES = 8 << 20
 _TILE_ROWS, _TILE_BYTES = 2048, 4 << 20
-_LIST = "query_id long, row long, vec_id long, score long"
+_SCORES, _LIST = "query_id long, score long", "query_id long, score long, vec_id long"
 _NONE = -(1 << 63)
 
 
@@ -74,22 +74,25 @@ def _pack_block(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
     return pd.DataFrame({"block": [key[0]], "dim": [key[1]], "query_ids": [rows["vec_id"].to_numpy("int64").tobytes()], "cuts": [cuts], "queries": [data]})
 
 
-def _exact(a: np.ndarray, b: np.ndarray) -> np.ndarray:
-    """Integer products as doubles where these are exact, else as Python integers."""
-    if not a.size or not b.size or np.abs(a).max() * np.abs(b).max() * a.shape[1] < 2**50:
-        return a @ b.T
-    return _whole(a) @ _whole(b).T
+def _numbers(q: np.ndarray, v: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Queries and rows in the narrowest numbers in which all their products are exact: singles, doubles, else Python integers.
+
+    No partial sum of an inner product of integers is above the product of the lengths.
+    """
+    most = np.linalg.norm(q, axis=1).max(initial=0) * np.linalg.norm(v, axis=1).max(initial=0)
+    if most < 2**50:
+        kind = np.float32 if most < 2**24 else np.float64
+        return q.astype(kind), v.astype(kind)
+    return _whole(q), _whole(v)
 
 
 def _whole(m: np.ndarray) -> np.ndarray:
     return np.array([[int(x) for x in row] for row in m], dtype=object).reshape(m.shape)
 
 
-def _paired(a: np.ndarray, b: np.ndarray) -> np.ndarray:
-    """Inner products of matching rows, exact in the same way."""
-    if not a.size or np.abs(a).max() * np.abs(b).max() * a.shape[1] < 2**50:
-        return np.einsum("ij,ij->i", a, b)
-    return (_whole(a) * _whole(b)).sum(axis=1)
+def _lengths(m: np.ndarray, sites: list[slice]) -> np.ndarray:
+    """The length of each row's part at each site, as doubles."""
+    return np.stack([np.linalg.norm(m[:, s].astype(np.float64), axis=1) for s in sites], axis=1)
 
 
 def _sites(dim: int) -> list[slice]:
@@ -104,80 +107,99 @@ def _own(query_ids: np.ndarray, ids: np.ndarray) -> tuple[np.ndarray, np.ndarray
     return at, columns[which]
 
 
-def leaders(q: np.ndarray, v: np.ndarray, own: tuple[np.ndarray, np.ndarray], n: int) -> tuple[np.ndarray, np.ndarray]:
-    """Phase 1: pairs (query, row) that are among the n best of a query at some site."""
-    chosen = np.zeros((len(q), len(v)), bool)
+def leading(q: np.ndarray, v: np.ndarray, own: tuple[np.ndarray, np.ndarray], n: int) -> np.ndarray:
+    """Phase 1: scores of the pairs (query, row) that are among the n best of a query at some site, ties included; -inf elsewhere."""
+    chosen, total = np.zeros((len(q), len(v)), bool), 0
+    last = max(0, len(v) - n)
     for s in _sites(q.shape[1]):
-        local = _exact(q[:, s], v[:, s])
+        local = q[:, s] @ v[:, s].T
         local[own] = -np.inf
-        best = np.argpartition(-local, n - 1, axis=1)[:, :n] if len(v) > n else np.tile(np.arange(len(v)), (len(q), 1))
-        np.put_along_axis(chosen, best, True, axis=1)
-    chosen[own] = False
-    return np.nonzero(chosen)
+        total = total + local
+        chosen |= local >= np.partition(local, last, axis=1)[:, [last]]
+    return np.where(chosen, total, -np.inf)
+
+
+def leaders(q: np.ndarray, v: np.ndarray, own: tuple[np.ndarray, np.ndarray], n: int) -> tuple[np.ndarray, np.ndarray]:
+    """Phase 1: the pairs themselves."""
+    return np.nonzero(leading(q, v, own, n) > -np.inf)
+
+
+def _best(score: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
+    """The k best finite scores of each query: its place, and the score. They are taken one by one, as partitions are slow where most is -inf."""
+    row, rest, best = np.arange(len(score)), score.copy(), np.full((len(score), k), -np.inf, score.dtype)
+    for n in range(k):
+        at = rest.argmax(axis=1)
+        best[:, n] = rest[row, at]
+        rest[row, at] = -np.inf
+    qi, nth = np.nonzero(best > -np.inf)
+    return qi, best[qi, nth]
 
 
 def reaching(q: np.ndarray, v: np.ndarray, cuts: np.ndarray, own: tuple[np.ndarray, np.ndarray]) -> tuple[np.ndarray, np.ndarray, np.ndarray, int]:
     """Phases 2 and 3: pairs that reach the cutoffs, their scores, and how many pairs were scored in full."""
     sites = _sites(q.shape[1])
     m = len(sites)
-    lengths = [(np.linalg.norm(q[:, s], axis=1), np.linalg.norm(v[:, s], axis=1)) for s in sites]
-    least = np.array([-np.inf if c == _NONE else float(c) for c in cuts])
-    floor_ = least - 1 - np.abs(least) * 1e-9  # bounds are rounded, so they are given some room
+    kind = np.float64 if q.dtype == object else q.dtype
+    a, b = _lengths(q, sites), _lengths(v, sites)
+    least = np.where(cuts == _NONE, -np.inf, cuts.astype(np.float64))
+    room = 1 + 16 * np.finfo(kind).eps * np.linalg.norm(a, axis=1) * np.linalg.norm(b, axis=1).max()
+    low = (least - room).astype(kind)  # bounds are rounded, so they are given some room
+    a, b = a.astype(kind), b.astype(kind)
     pairs: tuple[np.ndarray, np.ndarray] | None = None
-    total = np.zeros((len(q), len(v)))
-    enough = np.zeros((len(q), len(v)), bool)
+    total, enough = 0, False
     for n, s in enumerate(sites):
+        left, right = a[:, n + 1 :], b[:, n + 1 :]
+        may = (left * right.max(axis=0)).max(axis=1, initial=-np.inf) * m >= low  # queries that may still get a sufficient entry
         if pairs is None:
-            local, need, low = _exact(q[:, s], v[:, s]), least[:, None], floor_[:, None]
-            room = sum((a[:, None] * b[None, :] for a, b in lengths[n + 1 :]), np.zeros((1, 1)))
-            most = np.maximum.reduce([a[:, None] * b[None, :] for a, b in lengths[n + 1 :]]) if n + 1 < m else -np.inf
-        else:
-            qi, vi = pairs
-            local, need, low = _paired(q[qi][:, s], v[vi][:, s]), least[qi], floor_[qi]
-            room = sum((a[qi] * b[vi] for a, b in lengths[n + 1 :]), np.zeros(1))
-            most = np.maximum.reduce([a[qi] * b[vi] for a, b in lengths[n + 1 :]]) if n + 1 < m else -np.inf
-        total = total + local
-        enough = enough | (local * m >= low)
-        stay = (enough | (most * m >= low)) & (total + room >= low)
-        if pairs is None:
+            local = q[:, s] @ v[:, s].T
+            total = total + local
+            enough = enough | (local >= (low / m)[:, None])
+            stay = (enough | may[:, None]) & (total + left @ right.T >= low[:, None])
             stay[own] = False
-            if n + 1 == m or stay.mean() < FEW:
-                pairs = np.nonzero(stay)
+            if n + 1 == m or np.count_nonzero(stay) < FEW * stay.size:
+                pairs = np.divmod(np.flatnonzero(stay), len(v))
                 total, enough = total[pairs], enough[pairs]
                 scored = len(pairs[0]) if n + 1 < m else stay.size
         else:
-            pairs = (pairs[0][stay], pairs[1][stay])
+            qi, vi = pairs
+            local = np.einsum("ij,ij->i", q[qi, s], v[vi, s])
+            total = total + local
+            enough = enough | (local >= (low / m)[qi])
+            stay = (enough | may[qi]) & (total + np.einsum("ij,ij->i", left[qi], right[vi]) >= low[qi])
+            pairs = (qi[stay], vi[stay])
             total, enough = total[stay], enough[stay]
             if n + 1 < m:
                 scored = len(pairs[0])
     assert pairs is not None
-    reach = total >= least[pairs[0]]
+    reach = total >= cuts[pairs[0]]
     return pairs[0][reach], pairs[1][reach], total[reach], scored
 
 
 def _top(rows: pd.DataFrame, k: int) -> pd.DataFrame:
-    """The k best candidates of each query; ties go to the smaller id."""
-    rows = rows.sort_values(["query_id", "score", "vec_id"], ascending=[True, False, True], kind="stable")
-    return rows[rows.groupby("query_id").cumcount() < k]
+    """The k best candidates of each query; ties go to the smaller id, where there is one."""
+    query, score, *ids = (rows[c] for c in rows)
+    rows = rows.iloc[np.lexsort((*ids, ~score, query))]  # ~: the larger first
+    return rows[rows.groupby("query_id", sort=False).cumcount() < k]
 
 
 def _scan(k: int, first: bool) -> Callable[[Iterator[pd.DataFrame]], Iterator[pd.DataFrame]]:
-    """A pass over (tile, block) pairs: the leaders with their scores, or the rows that reach the cutoffs."""
+    """A pass over (tile, block) pairs: the best scores of leaders, or the rows that reach the cutoffs."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         held, size = [], 0
         for batch in batches:
-            for tile, dim, ids_, data, q_ids, cuts, queries in zip(*(batch[c] for c in _PAIR), strict=True):
+            for dim, ids_, data, q_ids, cuts, queries in zip(*(batch[c] for c in _PAIR), strict=True):
                 ids, v = np.frombuffer(ids_, np.int64), np.frombuffer(data).reshape(-1, dim)
                 query_ids, q = np.frombuffer(q_ids, np.int64), np.frombuffer(queries).reshape(-1, dim)
                 own = _own(query_ids, ids)
+                q, v = _numbers(q, v)
                 if first:
-                    qi, vi = leaders(q, v, own, LEADERS * k)
-                    score = _paired(q[qi], v[vi])
+                    qi, score = _best(leading(q, v, own, LEADERS * k), k)
+                    found = {"query_id": query_ids[qi], "score": score.astype("int64")}
                 else:
                     qi, vi, score, _ = reaching(q, v, np.frombuffer(cuts, np.int64), own)
-                found = {"query_id": query_ids[qi], "row": tile * _TILE_ROWS + vi, "vec_id": ids[vi], "score": [int(x) for x in score]}
-                held.append(_top(pd.DataFrame(found, dtype="int64"), k))
+                    found = {"query_id": query_ids[qi], "score": score.astype("int64"), "vec_id": ids[vi]}
+                held.append(_top(pd.DataFrame(found), k))
                 size += len(held[-1])
                 if size > 1 << 18:
                     held = [_top(pd.concat(held), k)]
@@ -191,7 +213,7 @@ def _scan(k: int, first: bool) -> Callable[[Iterator[pd.DataFrame]], Iterator[pd
     return run
 
 
-_PAIR = ("tile", "dim", "ids", "data", "query_ids", "cuts", "queries")
+_PAIR = ("dim", "ids", "data", "query_ids", "cuts", "queries")
 
 
 def _met(tiles: DataFrame, asked: DataFrame) -> DataFrame:
@@ -200,16 +222,14 @@ def _met(tiles: DataFrame, asked: DataFrame) -> DataFrame:
     return tiles.join(F.broadcast(packed), "dim").select(*_PAIR)
 
 
-def _ranked(found: DataFrame, k: int) -> DataFrame:
-    by_score = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
+def _ranked(found: DataFrame, k: int, *ties: str) -> DataFrame:
+    by_score = Window.partitionBy("query_id").orderBy(F.desc("score"), *ties)
     return found.withColumn("rank", F.row_number().over(by_score)).where(F.col("rank") <= k)
 
 
 def top_k(vectors: DataFrame, queries: DataFrame, k: int = K) -> DataFrame:
     """(query_id, rank, vec_id, score) for each vector of ``queries`` against all ``vectors``."""
-    tiles = materialize(
-        _integers(vectors).mapInPandas(_pack, "dim int, ids binary, data binary").withColumn("tile", F.monotonically_increasing_id())
-    )
+    tiles = materialize(_integers(vectors).mapInPandas(_pack, "dim int, ids binary, data binary"))
     asked = materialize(_integers(queries).dropDuplicates(["vec_id"]))
     seen = asked.agg(F.count("*").alias("n"), F.coalesce(F.max("dim"), F.lit(0)).alias("dim")).first()
     blocks = max(1, -(-seen["n"] // BLOCK))
@@ -221,14 +241,18 @@ def top_k(vectors: DataFrame, queries: DataFrame, k: int = K) -> DataFrame:
     return done[0].sparkSession.read.schema(done[0].schema).parquet(*(d.table_path for d in done))
 
 
+def _cutoffs(tiles: DataFrame, asked: DataFrame, k: int) -> DataFrame:
+    """(vec_id, least): the k-th best score of each query that has as many leaders. A pair meets in one tile and block only, so no score comes twice."""
+    gathered = _met(tiles, asked).mapInPandas(_scan(k, first=True), _SCORES)
+    return _ranked(gathered, k).where(F.col("rank") == k).select(F.col("query_id").alias("vec_id"), F.col("score").alias("least"))
+
+
 def _answered(tiles: DataFrame, asked: DataFrame, k: int) -> DataFrame:
     """The three phases for the queries of one wave."""
-    gathered = _met(tiles, asked).mapInPandas(_scan(k, first=True), _LIST)
-    known = _ranked(gathered.dropDuplicates(["query_id", "row"]), k).groupBy("query_id").agg(F.min("score").alias("least"), F.count("*").alias("n"))
-    cutoffs = materialize(known.where(F.col("n") == k).select(F.col("query_id").alias("vec_id"), "least"))
+    cutoffs = materialize(_cutoffs(tiles, asked, k))
     asked = asked.join(cutoffs, "vec_id", "left").withColumn("cut", F.coalesce("least", "cut")).drop("least")
     found = _met(tiles, asked).mapInPandas(_scan(k, first=False), _LIST)
-    return _ranked(found, k).select("query_id", "rank", "vec_id", "score")
+    return _ranked(found, k, "vec_id").select("query_id", "rank", "vec_id", "score")
 
 
 ORACLE_SQL = f"""

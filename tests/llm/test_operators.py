@@ -305,6 +305,40 @@ def test_top_k_prunes():
     assert (got == scores[qi, vi]).all() and scored < 0.25 * scores.size
 
 
+@pytest.mark.parametrize("scale, kind", [(256, np.float32), (1 << 20, np.float64), (1 << 28, object)])
+def test_top_k_numbers(scale, kind):
+    gen = np.random.default_rng(8)
+    rows = gen.normal(size=(600, 16))
+    rows = np.floor(scale * rows / np.linalg.norm(rows, axis=1)[:, None])
+    rows[300:400] = rows[7]  # copies
+    ids = np.arange(600)
+    q, v = topk._numbers(rows[::50], rows)
+    assert q.dtype == v.dtype == kind
+    own = topk._own(ids[::50], ids)
+    at, score = topk._best(topk.leading(q, v, own, 600), 5)
+    exact = [[(sum(int(x) * int(y) for x, y in zip(a, b, strict=True)), j) for j, b in enumerate(rows) if j != i * 50] for i, a in enumerate(rows[::50])]
+    best = [sorted((s for s, _ in r), reverse=True)[:5] for r in exact]
+    assert [[int(s) for s in score[at == i]] for i in range(12)] == best
+    cuts = np.array([b[-1] for b in best])
+    qi, vi, got, scored = topk.reaching(q, v, cuts, own)
+    assert sorted(zip(qi.tolist(), vi.tolist(), map(int, got), strict=True)) == sorted((i, j, s) for i, r in enumerate(exact) for s, j in r if s >= cuts[i])
+    assert scored < 0.5 * len(q) * len(v)
+
+
+def test_top_k_cutoffs_take_one_exchange_of_scores(spark):
+    tiles = spark.createDataFrame([], "dim int, ids binary, data binary")
+    asked = spark.createDataFrame([], "vec_id long, dim int, v array<double>, block int, cut long")
+    plan = topk._cutoffs(tiles, asked, 5)._jdf.queryExecution().executedPlan().toString()
+    assert re.findall(r"\bExchange hashpartitioning\((\w+?)#", plan) == ["query_id", "block"] and "Aggregate" not in plan
+
+
+def test_top_k_odd_rows(spark):
+    given = [(1, [0.5, float("inf")]), (2, [float("-inf"), 0.0]), (3, [None, 1.0]), (50, [1.0, -0.004]), (50, [1.0, -0.004]), (4, [0.0, 0.0]), (4, [0.0, 0.0]), (100, [1.0]), (5, [2.0]), (150, None)]
+    df = spark.createDataFrame(given, "vec_id long, embedding array<float>")
+    got = [tuple(r) for r in topk.top_k(df, df.where("vec_id % 50 = 0")).orderBy("query_id", "rank").collect()]
+    assert got == [(50, 1, 4, 0), (50, 2, 4, 0), (100, 1, 5, 256 * 512)]
+
+
 # 5 PII
 
 PATTERNS = {
