@@ -235,8 +235,9 @@ def keywords(native: Column, english: Column, native_queries: Column) -> Column:
     """Names, parts of the English name between ``/`` and ``,``, and native queries; each once, in any case."""
     given = F.concat(F.array(native, english), F.split(english, "[/,]"), F.coalesce(native_queries, F.array().cast("array<string>")))
     terms = F.filter(F.transform(given, lambda x: F.trim(x)), lambda x: x.isNotNull() & (x != ""))
-    lowered = F.transform(terms, lambda x: F.lower(x))
-    return F.filter(terms, lambda x, i: F.array_position(lowered, F.lower(x)) == i + 1)
+    # An array of one: a lambda works out what it refers to outside once a term, but its own variable once a row.
+    lowered = F.array(F.transform(terms, lambda x: F.lower(x)))
+    return F.flatten(F.transform(lowered, lambda low: F.filter(terms, lambda x, i: F.array_position(low, F.lower(x)) == i + 1)))
 
 
 def unknown_slugs(candidates: DataFrame, known: DataFrame) -> DataFrame:

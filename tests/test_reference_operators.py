@@ -1,6 +1,7 @@
 import io
 import json
 import os
+import re
 import wave
 
 import numpy as np
@@ -420,6 +421,18 @@ def test_category_terms(spark):
     assert [r[0] for r in unknown_slugs(candidates, known).select("recording_id").collect()] == ["b"]
 
 
+def test_keywords_of_odd_rows(spark):
+    many = ", ".join(f"{'Term' if i < 60 else 'TERM'} {i % 60}" for i in range(120))
+    given = [("N", "a/b,A , ,b", ["n", " B", "c", None, "c "]), (None, "x", ["X"]), ("N", None, ["q"]), ("N", "e", None), ("", " ", []), ("\u0130", "i\u0307,\u039f\u03a3/\u03bf\u03c2,\u03bf\u03c3", []), ("m", many, [])]
+    df = spark.createDataFrame(given, "native string, english string, queries array<string>")
+    found = df.select(keywords(F.col("native"), F.col("english"), F.col("queries")).alias("k"))
+    got = [r["k"] for r in found.collect()]
+    assert got[:6] == [["N", "a/b,A , ,b", "a", "b", "c"], ["x"], None, ["N", "e"], [], ["\u0130", "i\u0307,\u039f\u03a3/\u03bf\u03c2,\u03bf\u03c3", "\u039f\u03a3", "\u03bf\u03c3"]]
+    assert got[6] == ["m", many, *(f"Term {i}" for i in range(60))]
+    looked_in = re.findall(r"array_position\((lambda \w+|\w+\()", found._jdf.queryExecution().optimizedPlan().toString())
+    assert looked_in and all(x.startswith("lambda ") for x in looked_in)  # what is searched for each term is a variable, not an expression
+
+
 def test_chain_calls_each_gate_once(spark):
     calls = {name: spark.sparkContext.accumulator(0) for name in ("two", "three", "five")}
 
